@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cladeframe.llm import media, mixing, packing
+from cladeframe.llm import media, mixing, packing, pii, quality
 
-MODULES = (mixing, media, packing)
+MODULES = (mixing, media, packing, quality, pii)
 
 
 def queries() -> dict:
