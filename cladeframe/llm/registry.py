@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cladeframe.llm import media, mixing, packing, pii, quality, toxicity
+from cladeframe.llm import dedup, media, mixing, packing, pii, quality, toxicity
 
-MODULES = (mixing, media, packing, quality, pii, toxicity)
+MODULES = (dedup, mixing, media, packing, quality, pii, toxicity)
 
 
 def queries() -> dict:
