@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cladeframe.llm import dedup, media, mixing, packing, pii, quality, toxicity
+from cladeframe.llm import dedup, media, mixing, packing, pii, quality, substrings, toxicity
 
-MODULES = (dedup, mixing, media, packing, quality, pii, toxicity)
+MODULES = (dedup, quality, toxicity, mixing, pii, media, substrings, packing)
 
 
 def queries() -> dict:
