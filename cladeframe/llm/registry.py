@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cladeframe.llm import dedup, media, mixing, packing, pii, quality, substrings, toxicity
+from cladeframe.llm import dedup, licenses, media, mixing, packing, pii, quality, substrings, toxicity, warc
 
-MODULES = (dedup, quality, toxicity, mixing, pii, media, substrings, packing)
+MODULES = (dedup, quality, licenses, toxicity, mixing, pii, warc, media, substrings, packing)
 
 
 def queries() -> dict:

@@ -1,33 +1,54 @@
-"""The corpus pipeline: each stage calls one operator of cladeframe.llm."""
+"""The corpus pipeline: toxicity, near-dedup, personal data, mixing, packing.
+
+Each stage calls one operator of cladeframe.llm on all rows that the one before kept, and
+all but the last return the columns of documents. Stages are written as Parquet and read
+again, so that a lost executor costs a part of one stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cladeframe.llm import mixing, packing
+from cladeframe.llm import dedup, mixing, packing, pii, toxicity
 from cladeframe.session import read_table, stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity score doesn't reject."""
+    return toxicity.keep_clean(docs.select(COLUMNS), toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest id."""
+    kept = dedup.near_duplicates(docs).where("kept").select("doc_id").dropDuplicates()
+    return docs.select(COLUMNS).join(kept, "doc_id").select(COLUMNS)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in their texts replaced by its kind."""
+    return pii.redact(docs.select(COLUMNS), pii.train(docs))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.replicate(docs).select(COLUMNS)
+    """Documents repeated or left out, so that sources get their target weights."""
+    return mixing.replicate(docs.select(COLUMNS)).select(COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of 4096 tokens."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("mix", mix), ("pack", pack)]
+STAGES = [("toxicity", clean), ("near-dedup", deduplicate), ("pii", redact), ("mixing", mix), ("packing", pack)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(COLUMNS)
-    for name, step in STAGES:
-        docs = step(spark, docs, sf_dir)
-        if step is not STAGES[-1][1]:
-            docs = stage(docs, name)
-    return docs
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
