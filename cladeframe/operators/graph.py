@@ -38,3 +38,53 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return nodes.join(links.withColumnsRenamed({"a": "node", "b": "component"}), "node", "left").select(
         "node", F.coalesce("component", "node").alias("component")
     )
+
+
+def cluster_edges(edges: DataFrame, components: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """The edges with the component (cid) that they belong to, self loops included."""
+    return edges.join(components.select(F.col("node").alias(a), F.col("component").alias("cid")), a)
+
+
+def cluster_stats(edges: DataFrame, components: DataFrame, classes: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """cid, n_nodes, n_edges, sum_dist, avg_dist, n_classes, classes per component.
+
+    edges has a column dist; classes (node, class) may come from any expression or UDF,
+    and nodes without a row there are of class '1'."""
+    nodes = components.join(classes, "node", "left").groupBy(F.col("component").alias("cid")).agg(
+        F.count("*").alias("n_nodes"), F.array_sort(F.collect_set(F.coalesce("class", F.lit("1")))).alias("classes")
+    )
+    sums = cluster_edges(edges, components, a, b).groupBy("cid").agg(F.count("*").alias("n_edges"), F.sum("dist").alias("sum_dist"))
+    return nodes.join(sums, "cid").select("cid", "n_nodes", "n_edges", "sum_dist", (F.col("sum_dist") / F.col("n_edges")).alias("avg_dist"), F.size("classes").alias("n_classes"), "classes")
+
+
+def clustering_summary(stats: DataFrame) -> DataFrame:
+    """One row over cluster_stats(): counts, the global share of closed pairs, and least, largest
+    and mean of the closed share, mean distance, nodes, edges and classes of the clusters;
+    bogus tells whether a cluster has more nodes of a class than it has classes of nodes."""
+    pairs = F.col("n_nodes") * (F.col("n_nodes") - 1) / 2
+    s = stats.withColumn("pairs", pairs).withColumn("tcc", F.try_divide(F.col("n_edges"), F.col("pairs")))
+    spread = [
+        f(c).alias(f"{n}_{c}")
+        for c in ("tcc", "avg_dist", "n_nodes", "n_edges", "n_classes")
+        for n, f in (("min", F.min), ("max", F.max), ("avg", F.avg))
+    ]
+    return s.agg(
+        F.count("*").alias("n_clusters"), F.sum("n_nodes").alias("sum_nodes"), F.sum("n_edges").alias("sum_edges"),
+        F.try_divide(F.sum("n_edges"), F.sum("pairs")).alias("global_tcc"), *spread,
+        F.coalesce(F.bool_or(F.col("n_classes") > F.col("n_nodes")), F.lit(False)).alias("bogus"),
+    )
+
+
+def threshold_sweep(edges: DataFrame, classes: DataFrame, limits: list[float], a: str = "a", b: str = "b") -> DataFrame:
+    """clustering_summary() of the edges up to each limit, with the limit as distance."""
+    out = None
+    for limit in limits:
+        some = stage(edges.where(F.col("dist") <= limit), "edges")
+        row = clustering_summary(cluster_stats(some, connected_components(some, a, b), classes, a, b)).withColumn("distance", F.lit(float(limit)))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def transitively_closed(stats: DataFrame, n_genomes: int) -> DataFrame:
+    """Clusters with an edge for every pair of nodes, in all genomes of the result."""
+    return stats.where((F.col("n_edges") >= F.col("n_nodes") * (F.col("n_nodes") - 1) / 2) & (F.col("n_classes") == n_genomes))
