@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeframe.model import DEFAULT_DIVERGENCE, DEFAULT_EVALUE
-from cladeframe.operators import dims, graph, pairs, profiles
+from cladeframe.operators import census, dims, graph, pairs, profiles, ranking
 from cladeframe.session import shared_dir, stage
+from cladeframe.sources import sinks
 
 
 def distance_between(lower: float | None, upper: float | None):
@@ -185,3 +186,39 @@ def reuse(spark: SparkSession, make, **query) -> DataFrame:
             raise
     make().write.mode("ignore").parquet(path)
     return spark.read.parquet(path)
+
+
+def raw_pair_download(orthologs: DataFrame, qdb: str, sdb: str, div: str, evalue: str, kind: str = "text", genes: DataFrame | None = None) -> DataFrame:
+    """One pair's orthologs at one parameter set as PA/OR text or, with genes (gene, genome, num),
+    as OrthoXML lines. A pair of one genome raises ValueError."""
+    if qdb == sdb:
+        raise ValueError("two different genomes are needed")
+    own = orthologs_for(orthologs, qdb, sdb, div, evalue)
+    if kind == "text":
+        return sinks.raw_pair_text(own)
+    if kind == "orthoxml" and genes is not None:
+        return sinks.orthoxml_pairs(own, genes.join(own.select(F.explode(F.array("qid", "sid")).alias("gene")).distinct(), "gene", "left_semi"))
+    raise ValueError(f"unknown kind {kind!r}, or no genes")
+
+
+def render(result: Result, kind: str, names: DataFrame, terms: DataFrame) -> DataFrame:
+    """A result as rows of text: 'text', 'matrix', 'nexus', 'phylip' or 'orthoxml'."""
+    spark = result.members.sparkSession
+    if kind == "text":
+        listed = spark.createDataFrame([(g,) for g in result.genomes], "genome string")
+        return sinks.result_text(result.members, listed, names, terms)
+    if kind == "matrix":
+        return sinks.profile_matrix_text(result.members, result.genomes, names, terms)
+    if kind in ("nexus", "phylip"):
+        rows = profiles.transposed_profiles(result.members, result.stats, result.genomes)
+        return sinks.nexus_matrix(rows) if kind == "nexus" else sinks.phylip_matrix(rows)
+    if kind == "orthoxml":
+        genes = stage(ranking.dense_ids(result.members.select("gene", "genome").distinct(), "genome", "gene", name="num"), "numbered")
+        return sinks.orthoxml_groups(result.members.select("cid", "gene"), result.stats.select("cid", "avg_dist"), genes)
+    raise ValueError(f"unknown kind {kind!r}")
+
+
+def release_stats(genomes: DataFrame, orthologs: DataFrame, release: str, date: str) -> DataFrame:
+    """release, release_date (from %Y-%m-%d), and the numbers of genomes, pairs and orthologs."""
+    stats = census.dataset_stats(genomes, orthologs)
+    return stats.select(F.lit(release).alias("release"), F.to_date(F.lit(date), "yyyy-MM-dd").alias("release_date"), *stats.columns)

@@ -97,6 +97,19 @@ def orthologs_for_pair(spark, sf):
     return Q.orthologs_for(tagged, "Brand#9", "Brand#10", "0.8", "1e-5").select("q", "s", "dist")
 
 
+@query(f"""WITH {E_SQL}, own AS (SELECT qdb, sdb, string_agg('OR' || chr(9) || q || chr(9) || s, chr(10) ORDER BY q::VARCHAR, s::VARCHAR) body FROM edges WHERE qdb = 'Brand#10' AND sdb = 'Brand#9' GROUP BY qdb, sdb)
+SELECT qdb, sdb, concat_ws(chr(10), concat_ws(chr(9), 'PA', qdb, sdb, '0.8', '1e-5'), body) AS value FROM own""")
+def raw_pair_download(spark, sf):
+    rows = A.edges(spark, sf).select("qdb", "sdb", F.lit("0.8").alias("div"), F.lit("1e-5").alias("evalue"), F.col("q").cast("string").alias("qid"), F.col("s").cast("string").alias("sid"), "dist")
+    text = Q.raw_pair_download(rows, "Brand#9", "Brand#10", "0.8", "1e-5")
+    return text.select("qdb", "sdb", F.regexp_replace("value", r"(?m)^(OR\t[^\t]+\t[^\t]+)\t.*$", "$1").alias("value"))
+
+
+@query(f"WITH {E_SQL} SELECT '5' AS release, DATE '2013-06-01' AS release_date, (SELECT count(DISTINCT p_brand) FROM part) AS num_genomes, (SELECT count(DISTINCT p_brand) * (count(DISTINCT p_brand) - 1) // 2 FROM part) AS num_pairs, count(*) AS num_orthologs FROM edges")
+def release_stats(spark, sf):
+    return Q.release_stats(A.genomes(spark, sf), A.edges(spark, sf), "5", "2013-06-01")
+
+
 # Clusters
 
 
@@ -350,12 +363,20 @@ def _mutual_sql(keys: str, source: str) -> str:
 SELECT {keys}qdb, sdb, qid, sid, dist FROM f WHERE rf = 1 AND rr = 1"""
 
 
+@query(f"""WITH {_HITS_SQL}, fwd AS (SELECT qid, qdb, sid, sdb, dist FROM (SELECT *, row_number() OVER (PARTITION BY qid, sdb ORDER BY dist, sid) n FROM hits) WHERE n = 1),
+rev AS (SELECT qid, sid FROM (SELECT *, row_number() OVER (PARTITION BY sid, qdb ORDER BY dist, qid) n FROM hits WHERE dist <= 1.18) WHERE n = 1) SELECT fwd.qid, fwd.sid, dist FROM fwd JOIN rev USING (qid, sid)""")
+def rsd_two_hit_lists(spark, sf):
+    """Backward hits from a shorter list than the forward ones."""
+    hits = stage(rsd.vector_hits(A.vectors(spark, sf)), "hits")
+    return rsd.reciprocal_smallest_distance(hits, hits.where("dist <= 1.18")).select("qid", "sid", "dist")
+
+
 @query(f"WITH {_HITS_SQL}, {_mutual_sql('', 'hits')}")
 def rsd_vectors(spark, sf):
     return rsd.reciprocal_smallest_distance(rsd.vector_hits(A.vectors(spark, sf)))
 
 
-_LIMITS = [(d, e, 8.0 + 2.0 * float(d) - 0.05 * int(e[3:])) for d in model.DIVERGENCES for e in model.EVALUES]
+_LIMITS = [(d, e, round(1.05 + 0.25 * float(d) - 0.004 * int(e[3:]), 6)) for d in model.DIVERGENCES for e in model.EVALUES]
 
 
 @query(f"""WITH {_HITS_SQL}, grid(div, evalue, lim) AS (VALUES {', '.join(f"('{d}', '{e}', CAST({x} AS DOUBLE))" for d, e, x in _LIMITS)}),
