@@ -7,8 +7,8 @@ similarity s stays together in some branch with high probability at any depth. N
 that are small are compared exhaustively: first by agreement of minwise tokens, then,
 for pairs not linked yet, on full shingle sets. Nodes still large at the last depth
 are cut into blocks and every pair of blocks is compared, so nothing is left out.
-A pair of similarity 0.85 shares a small node of one tree with probability over 0.82,
-of six trees over 0.9999; links within a group are redundant besides.
+A pair of similarity 0.85 shares a first node of one tree with that probability, of six
+trees with 0.99999; links within a group are redundant besides.
 
 Node sizes are counted with map-side combine; the rows of a node come together only
 once it is known to be small. Links of a first tree are made into components before
@@ -30,7 +30,9 @@ from cladeframe.session import read_table, stage
 
 SHINGLE = 5
 TREES, COORDINATES = 6, 96
-LEAF_ROWS, LEAF_SHINGLES = 1024, 4_000_000
+LEAF_ROWS, LEAF_SHINGLES = 4096, 4_000_000
+#: Nodes that choose a second token to branch by: pairs of similarity s meet in (1 + SECOND) * s children.
+SECOND = 0.35
 DEPTH = 4
 #: Pairs whose minwise tokens agree less are not verified: at 96 tokens, a pair of
 #: similarity 0.85 agrees that little with a probability of 2 in 100,000.
@@ -102,15 +104,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row to two child nodes, by minwise tokens that the node chooses."""
+    """Each row to one or two child nodes, by minwise tokens that the node chooses."""
     for b in batches:
         sig = _signatures(b.column("sig"))
         unit = b.column("unit").to_numpy().view(np.uint64)
         for way in (1, 2):
-            h = textops.mix(unit + _U(way) * _U(textops._M1))
+            h = textops.mix(unit + _U(way * textops._M1 % 2**64))
             c = TREES + (h % _U(COORDINATES - TREES)).astype(np.int64)
             child = textops.mix(h ^ (sig[np.arange(len(c)), c].astype(np.uint64) << _U(20))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(child), *(b.column(x) for x in ("rep", "n_shingles", "tree"))], names=["unit", "rep", "n_shingles", "tree"])
+            out = pa.RecordBatch.from_arrays([pa.array(child), *(b.column(x) for x in ("rep", "n_shingles", "tree"))], names=["unit", "rep", "n_shingles", "tree"])
+            yield out if way == 1 else out.filter(pa.array(textops.mix(h + _U(1)) % _U(100) < _U(int(100 * SECOND))))
 
 
 def small_nodes(sets: DataFrame) -> DataFrame:
@@ -174,11 +177,11 @@ def _candidates(least: int):
 
 
 def _verify(num: int, den: int, least: int):
-    """Links within nodes on full sets, a spanning forest of each node's components."""
+    """Components within nodes by links on full sets, as links to each one's least member."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, first in whole_groups(batches, "unit"):
-            rep, comp, sig = t.column("rep").to_numpy(), t.column("component").to_numpy(), _signatures(t.column("sig"))
+            comp, sig = t.column("component").to_numpy(), _signatures(t.column("sig"))
             sets = [s for chunk in t.column("text").chunks for s in shingle_sets(chunk)]
             links = []
             for a, e in zip(first[:-1].tolist(), first[1:].tolist()):
@@ -202,7 +205,7 @@ def _verify(num: int, den: int, least: int):
                     same = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                     if den * same >= num * (p + q - same):
                         root[max(x, y)] = min(x, y)
-                        links.append((int(rep[i]), int(rep[j])))
+                links += [(c, find(c)) for c in root if find(c) != c]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return run
@@ -239,7 +242,7 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
             rows = rows.join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))  # noqa: F821
             mixed = rows.groupBy("unit").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("unit")
             rows = rows.join(mixed, "unit", "left_semi")
-        more = by_unit(rows.join(texts, "rep").select("unit", "rep", "component", "text", "sig")).mapInArrow(_verify(num, den, least), "a long, b long")
+        more = by_unit(rows.join(texts, "rep").select("unit", "component", "text", "sig")).mapInArrow(_verify(num, den, least), "a long, b long")
         links = stage(more if links is None else more.unionByName(links), "links")
         components = stage(connected_components(links), "components")
     firsts = sets.select("key1", "key2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left")
