@@ -32,7 +32,8 @@ def gene_term_bridge(genes: DataFrame, sequences: DataFrame, terms: DataFrame) -
     own = genes.select(F.col("acc").alias("external_sequence_id"), F.explode("go_terms").alias("go_term_acc")).distinct()
     rows = own.join(terms.select(F.col("acc").alias("go_term_acc"), F.col("name").alias("go_term_name"), F.col("type").alias("go_term_type")), "go_term_acc")
     rows = rows.join(sequences.select("external_sequence_id", F.col("id").alias("sequence_id")), "external_sequence_id")
-    return dense_ids(rows.select("sequence_id", "go_term_acc", "go_term_name", "go_term_type"), "sequence_id", "go_term_acc")
+    numbered = dense_ids(rows.select("sequence_id", "go_term_acc", "go_term_name", "go_term_type"), "sequence_id", "go_term_acc")
+    return numbered.select("id", "sequence_id", "go_term_acc", "go_term_name", "go_term_type")
 
 
 def sequence_terms(ids: DataFrame, bridge: DataFrame) -> DataFrame:

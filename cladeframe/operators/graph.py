@@ -48,12 +48,12 @@ def cluster_edges(edges: DataFrame, components: DataFrame, a: str = "a", b: str
 def cluster_stats(edges: DataFrame, components: DataFrame, classes: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """cid, n_nodes, n_edges, sum_dist, avg_dist, n_classes, classes per component.
 
-    edges has a column dist; classes (node, class) may come from any expression or UDF,
+    edges has a column dist, summed to 12 places and so alike in any order; classes (node, class) may come from any expression or UDF,
     and nodes without a row there are of class '1'."""
     nodes = components.join(classes, "node", "left").groupBy(F.col("component").alias("cid")).agg(
         F.count("*").alias("n_nodes"), F.array_sort(F.collect_set(F.coalesce("class", F.lit("1")))).alias("classes")
     )
-    sums = cluster_edges(edges, components, a, b).groupBy("cid").agg(F.count("*").alias("n_edges"), F.sum("dist").alias("sum_dist"))
+    sums = cluster_edges(edges, components, a, b).groupBy("cid").agg(F.count("*").alias("n_edges"), F.sum(F.col("dist").cast("decimal(28,12)")).cast("double").alias("sum_dist"))
     return nodes.join(sums, "cid").select("cid", "n_nodes", "n_edges", "sum_dist", (F.col("sum_dist") / F.col("n_edges")).alias("avg_dist"), F.size("classes").alias("n_classes"), "classes")
 
 

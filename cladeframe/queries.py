@@ -32,14 +32,21 @@ def query(sql: str | None = None):
 
 
 E_SQL = A.edges_sql()
+
+
+def _R6(x: str) -> str:
+    """Six places, rounded half up on the shortest decimal, as Spark does."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), 6) AS DOUBLE)"
+
+
 #: Components of `edges`: n (node), cid; g is the genome of a node.
 C_SQL = f"""WITH RECURSIVE {E_SQL},
 e(a, b) AS (SELECT q, s FROM edges UNION SELECT s, q FROM edges),
 r AS (SELECT a n, a m FROM e UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.n),
 comp AS (SELECT n, min(m) cid FROM r GROUP BY n),
 members AS (SELECT cid, p_brand genome, n gene FROM comp JOIN part ON p_partkey = n),
-sums AS (SELECT cid, count(*) n_edges, sum(dist) sum_dist FROM edges JOIN comp ON n = q GROUP BY cid),
-stats AS (SELECT cid, n_nodes, n_edges, round(sum_dist, 6) sum_dist, round(sum_dist / n_edges, 6) avg_dist, n_classes FROM sums
+sums AS (SELECT cid, count(*) n_edges, CAST(sum(CAST(dist AS DECIMAL(28, 12))) AS DOUBLE) sum_dist FROM edges JOIN comp ON n = q GROUP BY cid),
+stats AS (SELECT cid, n_nodes, n_edges, {_R6('sum_dist')} sum_dist, {_R6('sum_dist / n_edges')} avg_dist, n_classes FROM sums
           JOIN (SELECT cid, count(*) n_nodes, count(DISTINCT genome) n_classes FROM members GROUP BY cid) USING (cid)),
 cols AS (SELECT DISTINCT genome FROM (SELECT qdb genome FROM edges UNION SELECT sdb FROM edges)),
 {A.TERMS_SQL},

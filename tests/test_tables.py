@@ -114,3 +114,56 @@ def test_stream_adds_once(spark, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "t"))
     assert {(r.qdb, r.sdb): r.num_orthologs for r in rows.collect()} == {("1", "2"): 1, ("1", "3"): 0, ("2", "3"): 1}
     assert rows.where(F.exists("orthologs", lambda o: o["qid"] == "x") & (F.col("qdb") == "1")).count() == 0
+
+
+def test_release_tables(spark, tmp_path):
+    genes = spark.createDataFrame([("p1", "1", "one", ["7", "8"], ["GO:1", "GO:9"]), ("p2", "2", "", [], [])], "acc string, genome string, gene_name string, gene_ids array<string>, go_terms array<string>")
+    names = spark.createDataFrame([("1", "n1"), ("2", "n2")], "genome string, name string")
+    taxa = spark.createDataFrame([("1", "E", "Eukaryota", "t1")], "taxon string, cat_code string, cat_name string, taxon_name string")
+    terms = spark.createDataFrame([("GO:1", "growth", "biological_process")], "acc string, name string, type string")
+    tables = release.release_dimensions(genes, names, taxa, terms)
+    assert [(r.id, r.acc, r.taxon_category_code, r.num_seqs) for r in tables["genomes"].orderBy("id").collect()] == [(1, "1", "E", 1), (2, "2", None, 1)]
+    assert [tuple(r) for r in tables["sequence"].orderBy("id").collect()] == [(1, "p1", 1, "one", 7), (2, "p2", 2, "", None)]
+    assert [tuple(r) for r in tables["sequence_to_go_term"].collect()] == [(1, 1, "GO:1", "growth", "biological_process")]
+    ids = tables["sequence"].select(F.col("id").alias("sequence_id"))
+    assert {r.sequence_id: r.term_accs for r in dims.sequence_terms(ids, tables["sequence_to_go_term"]).collect()} == {1: ["GO:1"], 2: []}
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS rel_test LOCATION '{tmp_path}/db'")
+    release.load_release(tables, "rel_test", "r5")
+    release.load_release(tables, "rel_test", "r5")
+    assert spark.table("rel_test.r5_sequence").count() == 2
+    spark.sql("DROP DATABASE rel_test CASCADE")
+
+
+def test_reference_set_and_uploads(spark, tmp_path):
+    from cladeframe.sources import readers, sinks
+
+    genes = spark.createDataFrame([("1", ">a", "MV" * 40), ("2", ">b", "LL")], "genome string, nameline string, sequence string")
+    sinks.write_genome_fasta(genes, str(tmp_path / "fa"))
+    back = readers.read_fasta(spark, str(tmp_path / "fa" / "genome=1")).first()
+    assert back.id == "a" and back.seq == "MV" * 40
+    taxa = spark.createDataFrame([("1", "one"), ("2", "two")], "taxon string, name string")
+    hits = spark.createDataFrame([("a", "1", "b", "2", 1.0)], "qid string, qdb string, sid string, sdb string, dist double")
+    genomes, orthologs = release.build_reference_set(genes, taxa, hits, 2.0)
+    assert genomes.count() == 2 and [r.value for r in sinks.pairs_for_upload(orthologs).collect()] == ["a\tb"]
+    with pytest.raises(ValueError, match="unique"):
+        release.genome_names(genes.select("genome"), taxa.withColumn("name", F.lit("same")))
+
+
+def test_raw_download(spark):
+    rows = spark.createDataFrame([("10090", "9606", "0.2", "1e-20", "x", "y", 0.5)], model.ORTHOLOGS)
+    assert [r.value for r in query.raw_pair_download(rows, "9606", "10090", "0.2", "1e-20").collect()] == ["PA\t10090\t9606\t0.2\t1e-20\nOR\tx\ty\t0.5"]
+    assert query.raw_pair_download(rows, "9606", "1", "0.2", "1e-20").count() == 0
+    with pytest.raises(ValueError):
+        query.raw_pair_download(rows, "1", "1", "0.2", "1e-20")
+    genes = spark.createDataFrame([("x", "10090", 1), ("y", "9606", 2), ("z", "9606", 3)], "gene string, genome string, num int")
+    xml = "".join(r.value for r in query.raw_pair_download(rows, "9606", "10090", "0.2", "1e-20", "orthoxml", genes).orderBy("section", "ord").collect())
+    assert xml.count("<gene ") == 2 and xml.count("<orthologGroup>") == 1
+    assert query.release_stats(spark.createDataFrame([("a",), ("b",)], "genome string"), rows, "5", "2013-06-01").first().num_pairs == 1
+
+
+@pytest.mark.parametrize("kind", ["text", "matrix", "nexus", "phylip", "orthoxml"])
+def test_renders(spark, kind):
+    e = spark.createDataFrame(EDGES, "q string, s string, qdb string, sdb string, dist double")
+    names = spark.createDataFrame([("a1", "n")], "gene string, gene_name string")
+    terms = spark.createDataFrame([("a1", "t")], "gene string, term string")
+    assert all(r.value for r in query.render(query.orthology_query(e, upper=1.5), kind, names, terms).collect())
