@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeframe.session import read_table
+from cladeframe.session import read_table, stage
 
 SEED = 17
 
@@ -64,7 +64,8 @@ def replicate(docs: DataFrame, weights: dict[str, float] | None = None, budget:
     begin with mix_ are replaced.
     """
     docs = docs.drop("mix_rate", "mix_copy", "mix_order", "mix_source")
-    rate = rates(docs, weights, budget).select(F.col("source").alias("mix_source"), F.round("rate", 6).alias("mix_rate"), "cdf")
+    # Written, so that its true size decides between a broadcast and a shuffled join.
+    rate = stage(rates(docs, weights, budget).select(F.col("source").alias("mix_source"), F.round("rate", 6).alias("mix_rate"), "cdf"), "rates")
     u = uniform(seed, F.col("doc_id"))
     joined = docs.join(rate, F.col("source").eqNullSafe(F.col("mix_source"))).withColumn("mix_count", F.size(F.filter("cdf", lambda c: c <= u)))
     kept = joined.where("mix_count > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("mix_count") - 1)))
