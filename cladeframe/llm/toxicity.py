@@ -29,7 +29,7 @@ LEXICON = 512  # words and stems of the lexicon, at most
 STEMS = range(4, 9)  # lengths of the stems of words
 MANY = 3  # different words of one stem that make a mark of their own
 REJECT = 0.7
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 150_000
 
 # The letters that a character may stand for; '' lets it stand for nothing.
 IMITATES = {
