@@ -846,3 +846,22 @@ def stream_load_orthologs_twice(spark, sf):
 @query(f"WITH {E_SQL} SELECT a.p_brand AS qdb, b.p_brand AS sdb FROM (SELECT DISTINCT p_brand FROM part) a JOIN (SELECT DISTINCT p_brand FROM part) b ON a.p_brand < b.p_brand WHERE NOT EXISTS (SELECT 1 FROM edges WHERE qdb = a.p_brand AND sdb = b.p_brand)")
 def incremental_genome_pairs(spark, sf):
     return incremental_pairs(pairs.genome_pairs(A.genomes(spark, sf)), A.edges(spark, sf).select("qdb", "sdb").distinct())
+
+
+def _typed(name: str, **kinds: str) -> None:
+    """Columns of a query's SQL in the types that the query returns."""
+    ORACLES[name] = f"SELECT * REPLACE ({', '.join(f'CAST({c} AS {t}) AS {c}' for c, t in kinds.items())}) FROM ({ORACLES[name]})"
+
+
+_typed("cluster_stats", n_classes="INT")
+_typed("clustering_summary", min_n_classes="INT", max_n_classes="INT")
+_typed("threshold_sweep", min_n_classes="INT", max_n_classes="INT")
+_typed("extract_genes", len="BIGINT")
+_typed("genome_dimension", id="INT")
+_typed("sequence_dimension", genome_id="INT")
+_typed("encode_edges", query_db="INT", subject_db="INT")
+_typed("edges_with_sequences", q_genome="INT", s_genome="INT")
+_typed("orthdata_roundtrip", num_orthologs="INT")
+_typed("fasta_roundtrip", n="INT")
+_typed("fasta_chars", n_chars="BIGINT")
+_typed("stream_load_orthologs_twice", num_orthologs="INT")
