@@ -33,10 +33,17 @@ def reciprocal_smallest_distance(forward: DataFrame, backward: DataFrame | None
 
 
 def rsd_grid(hits: DataFrame, grid: DataFrame) -> DataFrame:
-    """Reciprocal pairs for every parameter set of the grid (div, evalue, limit): hits up to the
-    limit take part. All sets share one scan of the hits."""
-    some = hits.join(F.broadcast(grid), F.col("dist") <= F.col("limit"))  # 12 rows
-    return reciprocal_smallest_distance(some, keys=("div", "evalue"))
+    """Reciprocal pairs for every parameter set of the grid (div, evalue, limit), of hits up to
+    the limit. The nearest hit within a limit is the nearest of all or none, so pairs are
+    matched once and then held to the limits."""
+    return reciprocal_smallest_distance(hits).join(F.broadcast(grid), F.col("dist") <= F.col("limit")).drop("limit")  # 12 rows
+
+
+def rsd_params(hits: DataFrame, params: DataFrame) -> DataFrame:
+    """Reciprocal pairs for every parameter set (div, evalue, max_div, min_exponent) of hits whose
+    div_needed and exponent pass it; all sets share one scan of the hits."""
+    some = hits.join(F.broadcast(params), (F.col("div_needed") <= F.col("max_div")) & (F.col("exponent") >= F.col("min_exponent")))  # 12 rows
+    return reciprocal_smallest_distance(some.select("div", "evalue", "qid", "qdb", "sid", "sdb", "dist"), keys=("div", "evalue"))
 
 
 def match_best_hits(forward: DataFrame, backward: DataFrame) -> DataFrame:

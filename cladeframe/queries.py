@@ -374,13 +374,13 @@ SELECT {keys}qdb, sdb, qid, sid, dist FROM f WHERE rf = 1 AND rr = 1"""
 rev AS (SELECT qid, sid FROM (SELECT *, row_number() OVER (PARTITION BY sid, qdb ORDER BY dist, qid) n FROM hits WHERE dist <= 1.18) WHERE n = 1) SELECT fwd.qid, fwd.sid, dist FROM fwd JOIN rev USING (qid, sid)""")
 def rsd_two_hit_lists(spark, sf):
     """Backward hits from a shorter list than the forward ones."""
-    hits = stage(rsd.vector_hits(A.vectors(spark, sf)), "hits")
+    hits = stage(rsd.vector_hits(A.vectors(spark, sf)).where("qdb < sdb"), "hits")
     return rsd.reciprocal_smallest_distance(hits, hits.where("dist <= 1.18")).select("qid", "sid", "dist")
 
 
 @query(f"WITH {_HITS_SQL}, {_mutual_sql('', 'hits')}")
 def rsd_vectors(spark, sf):
-    return rsd.reciprocal_smallest_distance(rsd.vector_hits(A.vectors(spark, sf)))
+    return rsd.reciprocal_smallest_distance(stage(rsd.vector_hits(A.vectors(spark, sf)).where("qdb < sdb"), "hits"))
 
 
 _LIMITS = [(d, e, round(1.05 + 0.25 * float(d) - 0.004 * int(e[3:]), 6)) for d in model.DIVERGENCES for e in model.EVALUES]
@@ -390,7 +390,14 @@ _LIMITS = [(d, e, round(1.05 + 0.25 * float(d) - 0.004 * int(e[3:]), 6)) for d i
 h AS (SELECT div, evalue, hits.* FROM hits JOIN grid ON dist <= lim), {_mutual_sql('div, evalue, ', 'h')}""")
 def rsd_param_grid(spark, sf):
     grid = spark.createDataFrame(_LIMITS, 'div string, evalue string, `limit` double')
-    return rsd.rsd_grid(rsd.vector_hits(A.vectors(spark, sf)), grid)
+    return rsd.rsd_grid(stage(rsd.vector_hits(A.vectors(spark, sf)).where("qdb < sdb"), "hits"), grid).select("div", "evalue", "qdb", "sdb", "qid", "sid", "dist")
+
+
+@query(f"""WITH {A.EVIDENCE_SQL}, {_GRID}, h AS (SELECT div, evalue, q qid, s sid, qdb, sdb, min(dist) dist FROM evidence JOIN grid ON dneed <= dmax AND ek >= k GROUP BY ALL), {_mutual_sql('div, evalue, ', 'h')}""")
+def rsd_evidence_params(spark, sf):
+    grid = model.params(spark).withColumn("max_div", F.round(F.col("max_div") * 10).cast("int"))
+    hits = A.evidence(spark, sf).select(F.col("q").alias("qid"), F.col("s").alias("sid"), "qdb", "sdb", F.col("dneed").alias("div_needed"), F.col("ek").alias("exponent"), "dist")
+    return rsd.rsd_params(stage(hits, "hits"), grid).select("div", "evalue", "qdb", "sdb", "qid", "sid", "dist")
 
 
 @query("""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), g AS (SELECT doc_id gene, text FROM d)
