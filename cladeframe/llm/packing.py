@@ -120,27 +120,44 @@ def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-def _exact(gap: int, counts: np.ndarray) -> list[int] | None:
-    """One, two or three available lengths that sum to gap, large ones first."""
-    if counts[gap]:
-        return [gap]
-    free = counts[:gap] > 0
-
-    def pair(total: int) -> list[int] | None:
-        if total < 2:
-            return None
-        both = free[1:total] & free[total - 1 : 0 : -1]
-        if total % 2 == 0 and counts[total // 2] < 2:
-            both[total // 2 - 1] = False
-        i = int(both[::-1].argmax())
-        return [total - 1 - i, i + 1] if both[len(both) - 1 - i] else None
-
-    if found := pair(gap):
-        return found
-    for a in np.flatnonzero(free)[::-1]:
-        if (found := pair(gap - int(a))) and (counts[a] >= 1 + found.count(int(a))):
-            return [int(a), *found]
-    return None
+class Complements:
+    """Index of the single, pair and triple sums of the lengths left.
+
+    Counts only go down, so what can't be summed now never can again, and the largest
+    length that a sum can begin with only falls: each sum keeps it as a place to go on from."""
+
+    def __init__(self, left: np.ndarray):
+        self.left = left
+        self.pair_from, self.triple_from = list(range(-1, len(left) - 1)), list(range(-2, len(left) - 2))
+
+    def pair(self, total: int) -> list[int] | None:
+        left, a = self.left, self.pair_from[total]
+        if 2 * a >= total and left[a] and left[total - a] and (2 * a > total or left[a] > 1):
+            return [a, total - a]
+        low = -(-total // 2)
+        if a > low:
+            both = (left[low:a] > 0) & (left[total - low : total - a : -1] > 0)
+            if 2 * low == total and left[low] < 2:
+                both[0] = False
+            i = int(both[::-1].argmax())
+            if both[len(both) - 1 - i]:
+                a = self.pair_from[total] = a - 1 - i
+                return [a, total - a]
+        self.pair_from[total] = -1
+        return None
+
+    def exact(self, gap: int) -> list[int] | None:
+        """One, two or three lengths left that sum to gap, large ones first."""
+        if self.left[gap]:
+            return [gap]
+        if found := self.pair(gap):
+            return found
+        for a in range(self.triple_from[gap], 0, -1):
+            self.triple_from[gap] = a
+            if self.left[a] and self.pair_from[gap - a] > 0 and (found := self.pair(gap - a)) and self.left[a] > found.count(a):
+                return [a, *found]
+        self.triple_from[gap] = 0
+        return None
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -150,13 +167,13 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     left = np.zeros(capacity + 1, np.int64)
     for n, c in counts.items():
         left[n] = c
-    used, slots, sequence = np.zeros(capacity + 1, np.int64), [], 0
+    used, slots, sequence, index = np.zeros(capacity + 1, np.int64), [], 0, Complements(left)
     while (some := np.flatnonzero(left)).size:
         lengths = {int(some[-1]): 1}
         left[some[-1]] -= 1
         gap = capacity - int(some[-1])
         while gap:
-            more = _exact(gap, left)
+            more = index.exact(gap)
             if more is None:
                 fit = np.flatnonzero(left[: gap + 1])
                 if not fit.size:
