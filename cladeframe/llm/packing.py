@@ -26,7 +26,7 @@ from cladeframe.session import read_table, stage
 
 #: Beyond these letters, normal forms and case are left to the tokenizer, text by text.
 _PLAIN = re.compile(r"[\x00-\x1b\x20-ɏ]*")
-_CACHE_WORDS = 1_000_000
+_CACHE_WORDS = 200_000
 _PROBE = "Ab, cd  Éf's g1\n(h)"
 _state: dict = {}
 
@@ -228,6 +228,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    textops.small_batches(spark)
     import public_tokenizers
 
     return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 2 << 20
 
@@ -60,6 +61,15 @@ def slices(text: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int,
         i = j
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Hand texts to Python workers a thousand rows at a time: at kilobytes a row, the default
+    of ten thousand holds too much on both sides. Smaller settings are left alone."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 class Words:
     """The words of the rows of one slice: start and end bytes, row, 64-bit hash,
     and first[r]:first[r + 1] the words of row r."""

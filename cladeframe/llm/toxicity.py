@@ -29,7 +29,8 @@ LEXICON = 512  # words and stems of the lexicon, at most
 STEMS = range(4, 9)  # lengths of the stems of words
 MANY = 3  # different words of one stem that make a mark of their own
 REJECT = 0.7
-_CACHE_WORDS = 150_000
+PIECE = 240
+_CACHE_WORDS = 80_000
 
 # The letters that a character may stand for; '' lets it stand for nothing.
 IMITATES = {
@@ -39,11 +40,11 @@ IMITATES = {
 }
 COST_IMITATE, COST_DROP_SIGN, COST_DROP_MARK, COST_DROP_REPEAT = 0.5, 3.0, 0.1, 1.0
 
-_LETTERS = re.compile(r"[^\W\d_]+")
 #: Single characters apart by blanks: a word spaced out.
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]+\S){2,}(?!\S)")
 _EDGE = "".join(c for c, to in IMITATES.items() if not to) + "\"?()[]{}<>«»“”…"
 _TRIPLE = re.compile(r"(.)\1\1")
+_LONG_RUN = re.compile(r"(.)\1{3,}")
 
 
 def _code(c: str) -> int:
@@ -65,7 +66,20 @@ class Channel:
         self.log_p = np.log(p)
 
     def decode(self, words: list[str]) -> list[str]:
-        """The likeliest letters of each word; characters that imitate nothing are dropped."""
+        """The likeliest letters of each word; characters that imitate nothing are dropped.
+
+        Runs of one character count as three. Words of more than PIECE characters are read in
+        pieces, one after the other, so that time and memory follow their length."""
+        pieces, parts = [], []
+        for w in words:
+            w = _LONG_RUN.sub(r"\1\1\1", w)
+            own = [w[i : i + PIECE] for i in range(0, len(w), PIECE)]
+            parts.append(len(own))
+            pieces += own
+        read = iter(self._decode_all(pieces))
+        return ["".join(next(read) for _ in range(n)) for n in parts]
+
+    def _decode_all(self, words: list[str]) -> list[str]:
         out = [""] * len(words)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
         at = 0
@@ -361,6 +375,7 @@ def keep_clean(docs: DataFrame, scorer: Scorer, reject: float = REJECT) -> DataF
 
 
 def op4_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    textops.small_batches(spark)
     docs = read_table(spark, sf_dir, "documents")
     scored = score(docs, train(docs, read_table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= REJECT).cast("int").alias("predicted"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cladeframe.llm import dedup, mixing, packing, pii, toxicity
+from cladeframe.llm import dedup, mixing, packing, pii, textops, toxicity
 from cladeframe.session import read_table, stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -17,17 +17,20 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity score doesn't reject."""
+    textops.small_batches(spark)
     return toxicity.keep_clean(docs.select(COLUMNS), toxicity.train(docs, read_table(spark, sf_dir, "labels")))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id."""
+    textops.small_batches(spark)
     kept = dedup.near_duplicates(docs).where("kept").select("doc_id").dropDuplicates()
     return docs.select(COLUMNS).join(kept, "doc_id").select(COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data in their texts replaced by its kind."""
+    textops.small_batches(spark)
     return pii.redact(docs.select(COLUMNS), pii.train(docs))
 
 
@@ -40,6 +43,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of 4096 tokens."""
     import public_tokenizers
 
+    textops.small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -69,6 +69,16 @@ def test_viterbi_is_the_best_path(trained):
         assert ch.decode([word])[0] == max(best, key=best.get), (word, drop)
 
 
+def test_long_words(trained):
+    """In time that follows the length, whatever the letters."""
+    import time
+
+    began = time.time()
+    long = ["x1" * 300_000, "0" * 500_000 + "a", "i" * 90_000 + "d1o" + "t" * 50, " ".join("m0r0n" * 40_000)]
+    words = [w for w, _ in trained.restorer().restore(long)]
+    assert "idiot" in words[2] and time.time() - began < 30
+
+
 def test_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     scorer = toxicity.train(docs((1, "a b c"), (2, None)), none)
