@@ -41,7 +41,7 @@ SLACK = 0.15
 _U = np.uint64
 _SEEDS = np.random.default_rng(1).integers(1, 2**63, (2, COORDINATES), dtype=np.uint64)
 _MULT, _ADD = _SEEDS[0] * _U(2) + _U(1), _SEEDS[1]
-_FP = "doc_id long, n_shingles long, key1 long, key2 long, sig binary, nodes array<long>"
+_FP = "doc_id long, n_shingles long, key1 long, key2 long, sig binary, nodes array<long>, text_hash long"
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -81,7 +81,7 @@ def shingle_sets(text: pa.Array) -> list[np.ndarray]:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Set size, a 128-bit key of the set, minwise tokens, and the first node in each tree."""
+    """Set size, a 128-bit key of the set, minwise tokens, the first node in each tree, and a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -96,11 +96,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 keys = [textops.per_row(np.add, x, first, 0).view(np.int64) for x in (h, textops.mix(h ^ _ADD[0]))]
                 nodes = textops.mix((sig[:, :TREES].astype(np.uint64) << _U(8)) + np.arange(TREES, dtype=np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), pa.array(n), *map(pa.array, keys), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(nodes.tolist(), pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "key1", "key2", "sig", "nodes"],
+                    [b.column(0).slice(i, j - i), pa.array(n), *map(pa.array, keys), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(nodes.tolist(), pa.list_(pa.int64())), b.column(2).slice(i, j - i)],
+                    names=["doc_id", "n_shingles", "key1", "key2", "sig", "nodes", "text_hash"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _FP)
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text)).mapInArrow(run, _FP)
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,6 +226,11 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     without a doc_id link nothing: their component_id is null, and they are kept. Rows
     that repeat a doc_id count as one document. Other columns are ignored.
     """
+    return _grouped(docs, num, den).drop("text_hash")
+
+
+def _grouped(docs: DataFrame, num: int, den: int) -> DataFrame:
+    """near_duplicates(), with the xxhash64 of each row's text as text_hash."""
     least = int(np.ceil(COORDINATES * (num / den - SLACK)))
     prints = stage(fingerprints(docs), "fingerprints")
     known = prints.where("n_shingles > 0 and doc_id is not null")
@@ -248,11 +254,25 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     firsts = sets.select("key1", "key2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left")
     firsts = firsts.select("key1", "key2", F.coalesce("component", "rep").alias("component"))
     linked = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    out = prints.select("doc_id", "n_shingles", "key1", "key2").join(firsts, ["key1", "key2"], "left")
-    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), linked).alias("component_id"))
+    out = prints.select("doc_id", "n_shingles", "key1", "key2", "text_hash").join(firsts, ["key1", "key2"], "left")
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), linked).alias("component_id"), "text_hash")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def keep_one(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
+    """The rows of docs, all columns, that near_duplicates() keeps: one document of each group.
+
+    Rows of equal doc_id and text count once: the one of the least other columns stays. A
+    row is judged by its own text, also where others repeat its doc_id. Rows without a
+    doc_id all stay, repeated texts too, as nothing tells their documents apart.
+    """
+    kept = _grouped(docs, num, den).where("kept and doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    named = docs.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_hash"))
+    once = named.agg(F.min(F.struct(*others, "doc_id", "text")).alias("_row")).join(kept, ["_id", "_hash"], "left_semi")
+    return once.select("_row.*").select(docs.columns).unionByName(docs.where("doc_id is null"))
+
+
 def op1_chosen_path_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 

@@ -22,10 +22,12 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id."""
+    """One document of each group of near duplicates, that of the smallest id.
+
+    One row stays of those of equal doc_id and text; rows without a doc_id all stay.
+    """
     textops.small_batches(spark)
-    kept = dedup.near_duplicates(docs).where("kept").select("doc_id").dropDuplicates()
-    return docs.select(COLUMNS).join(kept, "doc_id").select(COLUMNS)
+    return dedup.keep_one(docs.select(COLUMNS))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
