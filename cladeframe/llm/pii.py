@@ -3,15 +3,19 @@
 High-recall generators propose overlapping spans. Spans of the four fixed formats that
 pass their checks always stay. All further candidates (written-out or defanged
 addresses, numbers without a country code, cards in other groupings) are judged by
-boosted trees over format and context features, whose training rows come from a bounded
-sample of the corpus: fixed-format spans, as found and rewritten into the other formats,
-against broken variants and what the generators pick up in plain prose. A threshold per
-kind, calibrated on held-out rows, selects spans. Texts are mapped row by row: no shuffle.
+boosted trees over format and context features, whose training rows are a bounded number
+per kind out of all documents: fixed-format spans, as found and rewritten into the other
+formats, against broken variants and what the generators pick up that no spelling of
+personal data looks like. Made-up spans of every kind join them, so that a kind that the
+corpus hardly has is judged too. A threshold per kind, calibrated on held-out rows,
+selects spans. Texts are mapped row by row: no shuffle.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
@@ -21,11 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeframe.llm.boosting import BoostedTrees
-from cladeframe.session import read_table
+from cladeframe.session import read_table, stage
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 4_000  # documents whose candidates train the trees
-SAMPLE_ROWS = 6_000  # candidates of these, at most
+SAMPLE_ROWS = 6_000  # candidates that train the trees, at most: as many of each kind and label
+MADE_ROWS = 40  # made-up spans of each kind besides
 PRECISION = 0.98
 
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -42,9 +46,15 @@ _AT, _DOT = r"(?:\s?[\[({<]\s?at\s?[\])}>]\s?|\sat\s)", r"(?:\s?[\[({<]\s?dot\s?
 WIDER = (
     ("email", re.compile(r"\bdot\b|[\[({<]\s?at\s?[\])}>]", re.I), re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,6}}", re.I)),
     ("ip", re.compile(r"[\[(]\.[\])]|[\[(]dot[\])]"), re.compile(r"(?<![0-9.])[0-9]{1,3}(?:[\[(](?:\.|dot)[\])][0-9]{1,3}){3}(?![0-9.])")),
-    ("card", _DIGIT, re.compile(r"(?<![0-9./])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9./])")),
-    ("phone", _DIGIT, re.compile(r"(?<![0-9+])(?:00[0-9]{1,3}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")),
-)
+    ("card", _DIGIT, re.compile(r"(?<![0-9./])[0-9]{4}([./_–]|[ ]?[-–][ ]|[ ]{2})(?:[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{6}\1[0-9]{4,5})(?![0-9]|[./][0-9])")),
+    ("phone", _DIGIT, re.compile(r"(?<![0-9+])(?:(?:00[0-9]{1,3}|1)[ .-])?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ ./-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")),
+    ("phone", _DIGIT, re.compile(r"(?<![0-9+.,/-])0[1-9][0-9]{1,3}[ /-][0-9]{3,4}[ -]?[0-9]{3,5}(?![0-9]|[.,/-][0-9])")),
+)
+#: What a spelling of personal data looks like, beyond the checks of cards and addresses.
+_SPELT = {
+    "email": re.compile(r"[\[({<]\s?(?:at|dot)\s?[\])}>]|\sat\s.*\sdot\s", re.I),
+    "phone": re.compile(r"(?:(?:00[0-9]{1,3}|1)[ .-])?(?:\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]|[0-9]{3}([ .-])[0-9]{3}\1)[0-9]{4}|0.*"),
+}
 _HINTS = re.compile(r"mail|contact|write|reach|call|phone|tel|mobile|fax|card|visa|pay|account|ip\b|host|server|address", re.I)
 
 Span = tuple[str, int, int]
@@ -92,6 +102,50 @@ def wider_spans(text: str) -> list[Span]:
     return [(kind, m.start(), m.end()) for kind, hint, pattern in WIDER if hint.search(text) for m in pattern.finditer(text)]
 
 
+#: Last parts of domains, and words that are no host: what tells addresses from prose.
+_TLDS = frozenset("com org net edu gov mil info biz name io co uk us de fr nl es it ch at be se no dk fi pl pt ru eu ca au nz jp cn in br mx za example test invalid".split())
+_PROSE = frozenset("the a an this that these those his her its my our your their one each every some any no which what all".split())
+
+
+def _address(s: str) -> tuple[bool, bool]:
+    """Whether s ends like a domain, and whether its host is a word of prose."""
+    words = re.findall(r"[a-z0-9-]+", s.lower())
+    after = words[words.index("at") + 1 :][:1] if "at" in words else []
+    return words[-1:] != [] and words[-1] in _TLDS, bool(after) and after[0] in _PROSE
+
+
+def spelt(text: str, span: Span) -> bool:
+    """Whether a candidate looks like personal data in another spelling: no evidence against it."""
+    kind, s = span[0], text[span[1] : span[2]]
+    if kind == "ip":
+        return all(int(g) <= 255 for g in re.findall(r"[0-9]+", s))
+    if kind == "card":
+        return 13 <= len(d := _digits(s)) <= 19 and luhn(d)
+    if kind == "email":
+        return bool(_SPELT[kind].search(s)) and _address(s) == (True, False)
+    return bool(_SPELT[kind].fullmatch(s))
+
+
+def _made() -> list[tuple[str, Span, int]]:
+    """MADE_ROWS made-up fixed-format spans of each kind in short texts, and as many of prose with "at" and "dot"."""
+    r = random.Random(6)
+    out = []
+    for i in range(MADE_ROWS):
+        card = [r.choice("3456"), *(r.choice("0123456789") for _ in range(14))]
+        card = "".join(card) + next(c for c in "0123456789" if luhn("".join(card) + c))
+        area, rest = r.randrange(200, 999), f"{r.randrange(200, 999)}-{r.randrange(10_000):04}"
+        own = {
+            "email": f"{r.choice(('jo', 'ann.lee', 'max'))}{r.choice(('', i))}@{r.choice(('mail', 'example', 'post'))}{r.choice(('', i))}.{r.choice(('com', 'org', 'net', 'co.uk'))}",
+            "ip": ".".join(str(r.randrange(256)) for _ in range(4)), "card": card, "phone": f"+1 ({area}) {rest}",
+        }
+        before = r.choice(("", "it was seen with ", "the next one is ", "write or call ", "see "))
+        after = r.choice(("", " and", ".", ", or", " now"))
+        out += [(before + s + after, (kind, len(before), len(before) + len(s)), 1) for kind, s in own.items()]
+        prose = f"{r.choice(('look', 'aim', 'stop', 'met', 'is'))} at {r.choice(sorted(_PROSE))} dot {r.choice(('over', 'in', 'on', 'and', 'it', 'of', 'is', 'that', 'there', 'at'))}"
+        out.append((before + prose + " there", ("email", len(before), len(before) + len(prose)), 0))
+    return out
+
+
 def features(text: str, span: Span) -> list[float]:
     """Format and context of a candidate, from it and 40 characters on either side."""
     kind, start, end = span
@@ -106,7 +160,7 @@ def features(text: str, span: Span) -> list[float]:
         bool(re.search(r"[\[({<]\s?(?:at|dot|\.)\s?[\])}>]", s)), bool(re.search(r"\sat\s", s)), bool(re.search(r"\sdot\s", s)),
         len(re.split(r"\W+", s)[-1]), "(" in s, s.startswith(("+", "00")),
         bool(_HINTS.search(before)), before[-1:].isalnum(), after[:1].isalnum(), sum(c in "0123456789" for c in before[-8:]),
-        sum(c.isdigit() for c in after),
+        sum(c.isdigit() for c in after), *_address(s),
     ]
 
 
@@ -124,17 +178,19 @@ def _variants(text: str, span: Span) -> list[tuple[str, Span, int]]:
         bad = [f"{pre.split()[-1] if pre.split() else 'it'} at {host.split('.')[0]}.{host.split('.')[-1]}"]
     elif kind == "ip":
         good = [s.replace(".", dot) for dot in ("[.]", "(.)", "[dot]")]
-        bad = ["[.]".join(str(int(p) + 256) for p in s.split("."))]
+        bad = ["[.]".join(str(int(p) + 256 * (i in over)) for i, p in enumerate(s.split("."))) for over in (range(4), (0,), (3,))]
     elif kind == "card":
         d = _digits(s)
         cut = [d[i : i + 4] for i in range(0, 12, 4)] + [d[12:]]
         off = d[:-1] + str((int(d[-1]) + 5) % 10)
-        good = [sep.join(cut) for sep in "./_"]
-        bad = [sep.join([*cut[:3], off[12:]]) for sep in "./_"]
+        seps = (".", "/", "_", "–", " - ", "  ")
+        good = [sep.join(cut) for sep in seps]
+        bad = [sep.join([*cut[:3], off[12:]]) for sep in seps]
     else:
         d = _digits(s)[-10:].rjust(10, "2")
         good = [f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}"]
-        bad = [f"{d[:3]} {d[3:6]} {d[6:]}{d[:1]}", f"{d[:4]}.{d[3:6]}.{d[6:]}"]
+        good += [f"({d[:3]}){d[3:6]}-{d[6:]}", f"1-{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]} {d[3:6]} {d[6:]}", f"0{d[1:3]} {d[3:6]}{d[6:]}"]
+        bad = [f"{d[:3]} {d[3:6]} {d[6:]}{d[:1]}", f"{d[:4]}.{d[3:6]}.{d[6:]}", f"{d[:3]}/{d[3:6]}.{d[6:]}", f"{d[:3]} {d[3:6]}.{d[6:]}"]
     made = [(pre + x + post, (kind, len(pre), len(pre) + len(x)), y) for y, xs in ((1, good), (0, bad)) for x in xs]
     return [*made, (pre + s + post, (kind, len(pre), len(pre) + len(s)), 1)]
 
@@ -151,39 +207,47 @@ class Model:
 
 
 def train(docs: DataFrame) -> Model:
-    """Trees from the candidates of SAMPLE_DOCS documents, the first by hash of doc_id.
+    """Trees from candidates of all documents, the first by hash of each kind and label.
 
-    At most SAMPLE_ROWS snippets of some 100 characters come to the driver. A corpus
-    without fixed-format spans gives a model that selects nothing.
+    Fixed-format spans are labelled 1; wider ones 0, unless they look like personal data in
+    another spelling: those are left out. At most SAMPLE_ROWS snippets of some 100
+    characters come to the driver. An empty corpus has the made-up spans alone.
     """
-    ids = F.broadcast(docs.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct())
+    most = SAMPLE_ROWS // (2 * len(KINDS))
 
     def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[tuple[str, int], dict] = {}
         for b in batches:
-            rows = []
-            for doc, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for t in b.column(0).to_pylist():
                 for label, spans in ((1, base_spans(t or "")), (0, wider_spans(t or ""))):
-                    for kind, s, e in spans:
-                        if e - s <= 200:
-                            rows.append((doc, kind, t[max(0, s - 40) : e + 8], s - max(0, s - 40), e - max(0, s - 40), label))
-            cols = list(zip(*rows)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()))], names=["doc_id", "kind", "text", "s", "e", "label"])
-
-    sample = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
-    rows = sample.mapInArrow(snippets, "doc_id long, kind string, text string, s int, e int, label int")
+                    for span in spans:
+                        kind, s, e = span
+                        if e - s > 200 or (not label and spelt(t, span)):
+                            continue
+                        at = max(0, s - 40)
+                        text = t[at : e + 8]
+                        key = int.from_bytes(hashlib.blake2b(f"{kind} {s - at} {text}".encode("utf-8", "replace"), digest_size=7).digest(), "big")
+                        own = first.setdefault((kind, label), {})
+                        own[key] = (key, kind, text, s - at, e - at, label)
+                        if len(own) > 4 * most:
+                            first[kind, label] = {k: own[k] for k in sorted(own)[:most]}
+        rows = [own[k] for own in first.values() for k in sorted(own)[:most]]
+        cols = list(zip(*rows)) or [[]] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()))], names=["key", "kind", "text", "s", "e", "label"])
+
+    found = docs.select(F.col("text").cast("string")).mapInArrow(snippets, "key long, kind string, text string, s int, e int, label int")
+    found = stage(found, "pii-candidates")
+    each = [found.where((F.col("kind") == k) & (F.col("label") == y)).distinct().orderBy("key", "text").limit(most) for k in KINDS for y in (0, 1)]
+    rows = [(r["key"], r["text"], (r["kind"], r["s"], r["e"]), r["label"]) for r in functools.reduce(DataFrame.unionByName, each).collect()]
+    rows += [(i // (len(KINDS) + 1), *made) for i, made in enumerate(_made())]
     x, y, kinds, held = [], [], [], []
-    for r in rows.orderBy(F.xxhash64("doc_id", "s", "e"), "doc_id", "kind", "s", "e").limit(SAMPLE_ROWS).collect():
-        span = (r["kind"], r["s"], r["e"])
-        for text, sp, label in _variants(r["text"], span) if r["label"] else [(r["text"], span, 0)]:
+    for key, snippet, span, own in rows:
+        for text, sp, label in _variants(snippet, span) if own else [(snippet, span, 0)]:
             x.append(features(text, sp))
             y.append(label)
             kinds.append(sp[0])
-            held.append(r["doc_id"] % 4 == 0)
-    if len(set(y)) < 2:
-        return Model(None, {})
+            held.append(key % 4 == 0)
     x, y, kinds, held = np.array(x, float), np.array(y, float), np.array(kinds), np.array(held)
-    if not held.any() or held.all():
-        held = np.arange(len(y)) % 4 == 0
     trees = BoostedTrees().fit(x[~held], y[~held]).calibrate(x[held], y[held])
     p, thresholds = trees.probability(x[held]), {}
     for kind in KINDS:
