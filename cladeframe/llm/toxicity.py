@@ -3,7 +3,8 @@
 A word that may be disguised is a lattice: each character stands for itself, for the
 letters it imitates, or for nothing (separators, repeats). Viterbi decoding under a
 character bigram model, counted over the whole corpus, restores the likeliest letters;
-numpy decodes all words of a batch at once. A lexicon and its weights are learned from
+numpy decodes all words of a batch at once. Words of letters only need no lattice: where
+letters are doubled, their readings with single ones are looked up too. A lexicon and its weights are learned from
 restored words of labelled documents, and documents are scored on restored text.
 Everything over documents is a map or a pre-aggregated count; texts are not shuffled.
 """
@@ -43,7 +44,11 @@ COST_IMITATE, COST_DROP_SIGN, COST_DROP_MARK, COST_DROP_REPEAT = 0.5, 3.0, 0.1,
 #: Single characters apart by blanks: a word spaced out.
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]+\S){2,}(?!\S)")
 _EDGE = "".join(c for c, to in IMITATES.items() if not to) + "\"?()[]{}<>«»“”…"
+_MARKS = _EDGE.replace("(", "")  # those that imitate no letter
+#: A number as it is written: nothing to decode.
+_NUMBER = re.compile(r"[+$€£#~-]*[0-9][0-9.,:/-]*[%+]?")
 _TRIPLE = re.compile(r"(.)\1\1")
+_RUN = re.compile(r"(.)\1*")
 _LONG_RUN = re.compile(r"(.)\1{3,}")
 
 
@@ -152,6 +157,21 @@ def _once(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1", word)
 
 
+def reduced(word: str, most: int = 4) -> list[str]:
+    """The other readings of a word with doubled letters: any of its runs as a single letter;
+    beyond `most` runs, all of them."""
+    runs = [m[0] for m in _RUN.finditer(word)]
+    long = sum(len(x) > 1 for x in runs)
+    if not long:
+        return []
+    if long > most:
+        return [_once(word)]
+    made = [""]
+    for x in runs:
+        made = [m + y for m in made for y in ((x, x[0]) if len(x) > 1 else (x,))]
+    return made[1:]
+
+
 class Restorer:
     """Tokens to restored words, with a cache that saves time only."""
 
@@ -159,21 +179,29 @@ class Restorer:
         self.channel, self.words = Channel(counts, lexicon), {}
         self.marks: dict[str, tuple[str, ...]] = {}
         self.single = {_once(w): w for w in lexicon}  # decoding may drop one of two equal letters
+        self.lexicon = frozenset(lexicon)
 
     def prepare(self, tokens: set[str]) -> None:
         if len(self.words) > _CACHE_WORDS:
             self.words.clear()
-        odd = []
+        odd, edged = [], []
         for token in tokens.difference(self.words):
             core = _core(token)
             if core.isalpha() and not _TRIPLE.search(core):
-                self.words[token] = core
-            elif any("a" <= c <= "z" for c in core):
+                self.words[token] = core  # doubled letters: Scorer.inputs reads them both ways
+            elif any("a" <= c <= "z" for c in core) or (any(IMITATES.get(c) for c in core) and not _NUMBER.fullmatch(core)):
                 odd.append(token)
             else:
                 self.words[token] = core
+            if "(" in token and token.strip(_MARKS) != core:
+                edged.append(token)
         for token, word in zip(odd, self.channel.decode([_core(x) for x in odd])):
             self.words[token] = self.single.get(_once(word), word)
+        # A bracket at an edge is a letter where that makes a word of the lexicon, and a mark otherwise.
+        for token, word in zip(edged, self.channel.decode([x.strip(_MARKS) for x in edged])):
+            word = self.single.get(_once(word), word)
+            if word in self.lexicon:
+                self.words[token] = word
 
     def restore(self, texts: list[str]) -> list[tuple[set[str], list[str]]]:
         """Per text: its restored words, and the spaced-out runs put together."""
@@ -269,8 +297,9 @@ class Scorer:
             for word in words.union(w for run in runs for w in long if w in run):
                 found = known.get(word)
                 if found is None:
-                    own = [f"{kind}:{word[:k]}" for k in STEMS if len(word) > k for kind in "sm"]
-                    found = known[word] = tuple(x for x in (f"w:{word}", *own) if x in self.lexicon)
+                    readings = [word] if f"w:{word}" in self.lexicon else [word, *reduced(word)]
+                    own = [f"{kind}:{w[:k]}" for w in readings for k in STEMS if len(w) > k for kind in "sm"]
+                    found = known[word] = tuple(dict.fromkeys(x for x in (*(f"w:{w}" for w in readings), *own) if x in self.lexicon))
                 hits += found
             many = Counter(x for x in hits if x[0] == "m")
             weights = [self.lexicon[x] for x in {x for x in hits if x[0] != "m" or many[x] >= MANY}]
