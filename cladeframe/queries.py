@@ -58,8 +58,8 @@ ham AS (SELECT a.term, a.cid c1, b.cid c2, list_sum(list_transform(list_zip(x.pr
 """
 
 
-def _result(spark: SparkSession, sf: str, **kw) -> Q.Result:
-    return Q.orthology_query(A.edges(spark, sf), **kw)
+def _result(spark: SparkSession, sf: str, upper: float | None = A.UPPER) -> Q.Result:
+    return Q.orthology_query(A.edges(spark, sf, upper=upper))
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -90,9 +90,9 @@ _GRID = "grid AS (SELECT d.div, e.evalue, CAST(round(CAST(d.div AS DOUBLE) * 10)
 
 @query(f"""WITH {A.EVIDENCE_SQL}, {_GRID}, found AS (SELECT DISTINCT div, evalue, q, s FROM evidence JOIN grid ON dneed <= dmax AND ek >= k WHERE dist <= 0.001)
 SELECT g.div, g.evalue, count(f.q) AS num_orthologs FROM grid g LEFT JOIN found f ON f.div = g.div AND f.evalue = g.evalue GROUP BY ALL""")
-def params_grid_counts(spark, sf):
+def params_grid_counts(spark, sf, upper=0.001):
     grid = model.params(spark).select("div", "evalue", F.round(F.col("max_div") * 10).cast("int").alias("dmax"), "min_exponent")
-    least = A.evidence(spark, sf).where("dist <= 0.001")
+    least = A.evidence(spark, sf).where(Q.distance_between(None, upper))
     found = least.join(F.broadcast(grid), (F.col("dneed") <= F.col("dmax")) & (F.col("ek") >= F.col("min_exponent")))  # 12 rows
     counts = found.select("div", "evalue", "q", "s").distinct().groupBy("div", "evalue").agg(F.count("*").alias("n"))
     return grid.join(counts, ["div", "evalue"], "left").select("div", "evalue", F.coalesce("n", F.lit(0)).alias("num_orthologs"))
@@ -113,30 +113,30 @@ def raw_pair_download(spark, sf):
 
 
 @query(f"WITH {E_SQL} SELECT '5' AS release, DATE '2013-06-01' AS release_date, (SELECT count(DISTINCT p_brand) FROM part) AS num_genomes, (SELECT count(DISTINCT p_brand) * (count(DISTINCT p_brand) - 1) // 2 FROM part) AS num_pairs, count(*) AS num_orthologs FROM edges")
-def release_stats(spark, sf):
-    return Q.release_stats(A.genomes(spark, sf), A.edges(spark, sf), "5", "2013-06-01")
+def release_stats(spark, sf, upper=A.UPPER):
+    return Q.release_stats(A.genomes(spark, sf), A.edges(spark, sf, upper=upper), "5", "2013-06-01")
 
 
 # Clusters
 
 
 @query(f"{C_SQL} SELECT n AS node, cid AS component FROM comp")
-def components(spark, sf):
-    return graph.connected_components(A.edges(spark, sf), "q", "s")
+def components(spark, sf, upper=A.UPPER):
+    return graph.connected_components(A.edges(spark, sf, upper=upper), "q", "s")
 
 
 def _classes(spark, sf):
     return A.genes(spark, sf).select(F.col("gene").alias("node"), F.col("genome").alias("class"))
 
 
-def _stats(spark, sf):
-    own = stage(A.edges(spark, sf), "edges")
+def _stats(spark, sf, upper=A.UPPER):
+    own = stage(A.edges(spark, sf, upper=upper), "edges")
     return graph.cluster_stats(own, graph.connected_components(own, "q", "s"), _classes(spark, sf), "q", "s")
 
 
 @query(f"{C_SQL} SELECT cid, n_nodes, n_edges, sum_dist, avg_dist, n_classes FROM stats")
-def cluster_stats(spark, sf):
-    return _stats(spark, sf).select("cid", "n_nodes", "n_edges", F.round("sum_dist", 6).alias("sum_dist"), F.round("avg_dist", 6).alias("avg_dist"), "n_classes")
+def cluster_stats(spark, sf, upper=A.UPPER):
+    return _stats(spark, sf, upper).select("cid", "n_nodes", "n_edges", F.round("sum_dist", 6).alias("sum_dist"), F.round("avg_dist", 6).alias("avg_dist"), "n_classes")
 
 
 _SUMMARY = """count(*) n_clusters, CAST(sum(n_nodes) AS BIGINT) sum_nodes, CAST(sum(n_edges) AS BIGINT) sum_edges, round(sum(n_edges) / sum(n_nodes * (n_nodes - 1) / 2), 6) global_tcc,
@@ -150,8 +150,8 @@ def _rounded(df):
 
 
 @query(f"{C_SQL} SELECT {_SUMMARY} FROM stats")
-def clustering_summary(spark, sf):
-    return _rounded(graph.clustering_summary(_stats(spark, sf)))
+def clustering_summary(spark, sf, upper=A.UPPER):
+    return _rounded(graph.clustering_summary(_stats(spark, sf, upper)))
 
 
 def _sweep_sql(limit):
@@ -165,8 +165,8 @@ def threshold_sweep(spark, sf):
 
 
 @query(f"{C_SQL} SELECT cid, q, s, dist FROM edges JOIN comp ON n = q")
-def cluster_edges(spark, sf):
-    return _result(spark, sf).edges.select("cid", "q", "s", "dist")
+def cluster_edges(spark, sf, upper=A.UPPER):
+    return _result(spark, sf, upper).edges.select("cid", "q", "s", "dist")
 
 
 # Queries of users: the genomes of Europe and so on are brands here
@@ -220,33 +220,33 @@ def browse_gene_ids(spark, sf):
 
 
 @query(f"{C_SQL} {_MATRIX}")
-def cluster_matrix(spark, sf):
-    return _matrix(_result(spark, sf))
+def cluster_matrix(spark, sf, upper=A.UPPER):
+    return _matrix(_result(spark, sf, upper))
 
 
 @query(f"{C_SQL} SELECT cid, array_to_string(profile, '') AS profile FROM prof")
-def profile_rows(spark, sf):
-    return _result(spark, sf).profiles().select("cid", F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"))
+def profile_rows(spark, sf, upper=A.UPPER):
+    return _result(spark, sf, upper).profiles().select("cid", F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"))
 
 
 @query(f"""{C_SQL} SELECT cols.genome, string_agg(CASE WHEN m.genome IS NULL THEN '0' ELSE '1' END, '' ORDER BY c.cid) AS profile FROM cols CROSS JOIN (SELECT DISTINCT cid FROM comp) c
 LEFT JOIN (SELECT DISTINCT cid, genome FROM members) m ON m.cid = c.cid AND m.genome = cols.genome GROUP BY cols.genome""")
-def transposed_profiles(spark, sf):
-    r = _result(spark, sf)
+def transposed_profiles(spark, sf, upper=A.UPPER):
+    r = _result(spark, sf, upper)
     rows = profiles.transposed_profiles(r.members, r.stats, r.genomes)
     return rows.select("genome", F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"))
 
 
 @query(f"{C_SQL} SELECT array_to_string(profile, '') AS profile, count(*) AS n, string_agg(CAST(cid AS VARCHAR), ',' ORDER BY cid) AS clusters FROM prof GROUP BY 1")
-def profile_counts(spark, sf):
-    p = _result(spark, sf).profiles()
+def profile_counts(spark, sf, upper=A.UPPER):
+    p = _result(spark, sf, upper).profiles()
     rows = profiles.profile_counts(p, p.select("cid", F.col("cid").alias("info")))
     return rows.select(F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"), "n", F.array_join(F.col("infos").cast("array<string>"), ",").alias("clusters"))
 
 
 @query(f"{C_SQL} SELECT cid, string_agg(term, ',' ORDER BY term) AS terms FROM ct GROUP BY cid")
-def cluster_terms(spark, sf):
-    own = profiles.cluster_terms(_result(spark, sf).members, A.terms(spark, sf))
+def cluster_terms(spark, sf, upper=A.UPPER):
+    own = profiles.cluster_terms(_result(spark, sf, upper).members, A.terms(spark, sf))
     return own.groupBy("cid").agg(F.array_join(F.array_sort(F.collect_list("term")), ",").alias("terms"))
 
 
@@ -254,8 +254,8 @@ _PAIRWISE = "SELECT term, count(DISTINCT c1) AS n_clusters, round(coalesce(sum(C
 
 
 @query(f"{C_SQL} {_PAIRWISE}")
-def terms_summary(spark, sf):
-    return Q.terms_summary(_result(spark, sf), A.terms(spark, sf))
+def terms_summary(spark, sf, upper=A.UPPER):
+    return Q.terms_summary(_result(spark, sf, upper), A.terms(spark, sf))
 
 
 @query(f"""{C_SQL}, t AS (SELECT term, count(*) n FROM ct GROUP BY term), pick AS (SELECT term FROM t WHERE n <= 100 ORDER BY n DESC, term LIMIT 1), mean AS ({_PAIRWISE})
@@ -271,8 +271,8 @@ def term_view(spark, sf):
 own AS (SELECT ct.term, x.d, ct.cid FROM ct JOIN (SELECT term FROM ct WHERE cid = (FROM pick)) USING (term)
         JOIN (SELECT y.cid, list_sum(list_transform(list_zip(y.profile, z.profile), lambda w: CASE WHEN w[1] <> w[2] THEN 1 ELSE 0 END)) d FROM prof y, prof z WHERE z.cid = (FROM pick)) x ON x.cid = ct.cid)
 SELECT term, many.n AS n_clusters, mean_hamming, round(sum(d) / count(*), 6) AS mean_from FROM own JOIN many USING (term) LEFT JOIN mean USING (term) GROUP BY ALL""")
-def gene_view(spark, sf):
-    r = _result(spark, sf)
+def gene_view(spark, sf, upper=A.UPPER):
+    r = _result(spark, sf, upper)
     first = r.stats.orderBy(F.desc("n_nodes"), "cid").first()
     return Q.gene_view(r, A.terms(spark, sf), first["cid"] if first else -1)
 
@@ -304,8 +304,8 @@ def clusters_view(spark, sf):
 @query(f"""{C_SQL}, i AS (SELECT cid, genome, string_agg(CAST(gene AS VARCHAR), ', ' ORDER BY CAST(gene AS VARCHAR)) ids FROM members GROUP BY ALL)
 SELECT p.cid, concat_ws(chr(9), array_to_string(profile, chr(9)), (SELECT string_agg(ids, '; ' ORDER BY genome) FROM i WHERE i.cid = p.cid),
  (SELECT string_agg(DISTINCT p_name, ' | ' ORDER BY p_name) FROM members m JOIN part ON p_partkey = gene WHERE m.cid = p.cid), (SELECT string_agg(term, ' | ' ORDER BY term) FROM ct WHERE ct.cid = p.cid)) AS value FROM prof p""")
-def profile_matrix_text(spark, sf):
-    r = _result(spark, sf)
+def profile_matrix_text(spark, sf, upper=A.UPPER):
+    r = _result(spark, sf, upper)
     return sinks.profile_matrix_text(r.members, r.genomes, A.names(spark, sf), A.terms(spark, sf))
 
 
@@ -349,8 +349,8 @@ def orthoxml_groups(spark, sf):
 
 @query(f"""WITH {E_SQL}, g AS (SELECT DISTINCT q gene, qdb genome FROM edges UNION SELECT s, sdb FROM edges), num AS (SELECT gene, row_number() OVER (ORDER BY genome, gene) num FROM g)
 SELECT a.num AS first_ref, b.num AS second_ref FROM edges JOIN num a ON a.gene = q JOIN num b ON b.gene = s""")
-def orthoxml_pairs(spark, sf):
-    own = stage(A.edges(spark, sf), "edges")
+def orthoxml_pairs(spark, sf, upper=A.UPPER):
+    own = stage(A.edges(spark, sf, upper=upper), "edges")
     ends = own.select(F.col("q").alias("gene"), F.col("qdb").alias("genome")).union(own.select("s", "sdb"))
     genes = stage(_numbered(spark, sf, ends), "numbered")
     rows = own.select(F.col("q").alias("qid"), F.col("s").alias("sid"), F.lit("0.8").alias("div"), F.lit("1e-5").alias("evalue"), "dist")
@@ -508,8 +508,8 @@ def extract_genes(spark, sf):
 
 
 @query(f"WITH {E_SQL} SELECT (SELECT count(DISTINCT p_brand) FROM part) AS num_genomes, (SELECT count(DISTINCT p_brand) * (count(DISTINCT p_brand) - 1) // 2 FROM part) AS num_pairs, count(*) AS num_orthologs FROM edges")
-def dataset_stats(spark, sf):
-    return census.dataset_stats(A.genomes(spark, sf), A.edges(spark, sf))
+def dataset_stats(spark, sf, upper=A.UPPER):
+    return census.dataset_stats(A.genomes(spark, sf), A.edges(spark, sf, upper=upper))
 
 
 _TIMES_SQL = "t AS (SELECT event_type, user_id, epoch_us(min(ts)) / 1000000 a, epoch_us(max(ts)) / 1000000 b FROM events GROUP BY ALL)"
@@ -668,18 +668,18 @@ def sequence_terms(spark, sf):
 _ENC = f"enc AS (SELECT gq.id query_db, gs.id subject_db, 1 AS divergence, 2 AS evalue, a.id q, b.id s, dist FROM edges JOIN gd gq ON gq.acc = qdb JOIN gd gs ON gs.acc = sdb JOIN sd a ON a.external_sequence_id = q JOIN sd b ON b.external_sequence_id = edges.s)"
 
 
-def _encoded(spark, sf):
+def _encoded(spark, sf, upper=A.UPPER):
     genomes = stage(_genome_table(spark, sf), "genomes")
     sequences = stage(dims.sequence_dimension(_gene_rows(spark, sf), genomes), "sequences")
-    rows = A.edges(spark, sf).select("qdb", "sdb", F.lit("0.8").alias("div"), F.lit("1e-10").alias("evalue"), F.col("q").alias("qid"), F.col("s").alias("sid"), "dist")
+    rows = A.edges(spark, sf, upper=upper).select("qdb", "sdb", F.lit("0.8").alias("div"), F.lit("1e-10").alias("evalue"), F.col("q").alias("qid"), F.col("s").alias("sid"), "dist")
     divs = spark.createDataFrame([(i, d) for i, d in enumerate(model.DIVERGENCES, 1)], "id int, name string")
     evalues = spark.createDataFrame([(i, e) for i, e in enumerate(model.EVALUES, 1)], "id int, name string")
     return dims.encode_edges(rows, genomes, divs, evalues, sequences), genomes, sequences
 
 
 @query(f"WITH {E_SQL}, {_SEQ_SQL}, {_ENC} SELECT * FROM enc")
-def encode_edges(spark, sf):
-    return _encoded(spark, sf)[0]
+def encode_edges(spark, sf, upper=A.UPPER):
+    return _encoded(spark, sf, upper)[0]
 
 
 @query(f"WITH {E_SQL}, {_SEQ_SQL}, {_ENC} SELECT q, s, dist, a.external_sequence_id AS q_acc, a.genome_id AS q_genome, a.gene_name AS q_name, b.external_sequence_id AS s_acc, b.genome_id AS s_genome, b.gene_name AS s_name FROM enc JOIN sd a ON a.id = q JOIN sd b ON b.id = enc.s")

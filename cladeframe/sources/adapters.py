@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from cladeframe.session import read_table
 
+UPPER = 0.05  # the edges of most queries, so that their recursive SQL ends; cladeframe.uncut has no limit
+
 EVIDENCE_SQL = """
 evidence AS (
  SELECT l1.l_partkey q, l2.l_partkey s, p1.p_brand qdb, p2.p_brand sdb,
@@ -37,7 +39,7 @@ def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("q", "s", "qdb", "sdb", F.greatest("d1", "d2").alias("dneed"), F.least("n1", "n2").cast("int").alias("ek"), dist.alias("dist"))
 
 
-def edges(spark: SparkSession, sf_dir: str, max_div: int = 8, min_exponent: int = 5, upper: float | None = 0.05, lower: float | None = None) -> DataFrame:
+def edges(spark: SparkSession, sf_dir: str, max_div: int = 8, min_exponent: int = 5, upper: float | None = UPPER, lower: float | None = None) -> DataFrame:
     """(q, s, qdb, sdb, dist) at one parameter set: the least distance of each pair of genes."""
     some = evidence(spark, sf_dir).where((F.col("dneed") <= max_div) & (F.col("ek") >= min_exponent))
     out = some.groupBy("q", "s", "qdb", "sdb").agg(F.min("dist").alias("dist"))

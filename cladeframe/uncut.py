@@ -1,0 +1,26 @@
+"""Queries of cladeframe.queries over whole tables, without the limits of their SQL.
+
+The queries there count pairs, or build clusters, within a small distance only. Here all
+pairs of a parameter set are edges, so that most genes form one component of very many edges.
+Recursive SQL is too slow for that: such queries have none and are tested by union-find.
+"""
+
+from __future__ import annotations
+
+import functools
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cladeframe import queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+_PLAIN = "params_grid_counts release_stats dataset_stats encode_edges orthoxml_pairs".split()
+_RECURSIVE = "components cluster_stats clustering_summary cluster_edges cluster_matrix profile_rows transposed_profiles profile_counts cluster_terms profile_matrix_text terms_summary gene_view".split()
+
+for _name in (*_PLAIN, *_RECURSIVE):
+    QUERIES[f"{_name}_uncut"] = functools.partial(getattr(queries, _name), upper=None)
+for _name in _PLAIN:
+    ORACLES[f"{_name}_uncut"] = queries.ORACLES[_name].replace(" HAVING min(dist) <= 0.05", "").replace(" WHERE dist <= 0.001", "")

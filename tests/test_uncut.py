@@ -1,0 +1,56 @@
+"""Uncut queries against their SQL, and clusters against union-find, on the smallest tables."""
+
+import os
+from collections import Counter
+
+import duckdb
+import pytest
+
+from cladeframe import uncut
+from cladeframe.sources import adapters as A
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def con():
+    con = duckdb.connect()
+    for t in ("part", "lineitem", "orders", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    return con
+
+
+def text(x):
+    return f"{x:.6g}" if isinstance(x, float) else str(x)
+
+
+@pytest.mark.parametrize("name", uncut.ORACLES)
+def test_is_its_sql(spark, con, name):
+    df = uncut.QUERIES[name](spark, SF)
+    cur = con.execute(uncut.ORACLES[name])
+    cols = [d[0] for d in cur.description]
+    want = Counter(tuple(text(r[cols.index(c)]) for c in df.columns) for r in cur.fetchall())
+    assert want and Counter(tuple(map(text, r)) for r in df.collect()) == want
+
+
+def test_clusters_of_all_edges(spark, con):
+    edges = con.execute(f"WITH {A.EVIDENCE_SQL} SELECT DISTINCT q, s FROM evidence WHERE dneed <= 8 AND ek >= 5").fetchall()
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for q, s in edges:
+        a, b = find(q), find(s)
+        root[max(a, b)] = min(a, b)
+    want = {n: find(n) for n in root}
+    nodes, links = Counter(want.values()), Counter(want[q] for q, _ in edges)
+    assert {r.node: r.component for r in uncut.QUERIES["components_uncut"](spark, SF).collect()} == want
+    assert max(nodes.values()) > 0.9 * len(want)
+    got = {r.cid: (r.n_nodes, r.n_edges) for r in uncut.QUERIES["cluster_stats_uncut"](spark, SF).collect()}
+    assert got == {c: (nodes[c], links[c]) for c in nodes}
+    assert uncut.QUERIES["cluster_edges_uncut"](spark, SF).count() == len(edges)
+    assert {r.cid for r in uncut.QUERIES["profile_rows_uncut"](spark, SF).collect()} == set(nodes)
