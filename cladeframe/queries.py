@@ -596,6 +596,7 @@ items AS (SELECT DISTINCT * FROM (SELECT release, 'taxons' kind, taxon item FROM
 
 
 def _releases(spark, sf):
+    """Of one order in 37, as in the SQL; uncut.releases() takes all."""
     o, c = read_table(spark, sf, "orders"), read_table(spark, sf, "customer")
     j = o.where("o_orderkey % 37 = year(o_orderdate) % 37").join(c, F.col("c_custkey") == F.col("o_custkey"))
     k = F.col("c_custkey") % 40

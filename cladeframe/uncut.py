@@ -3,6 +3,7 @@
 The queries there count pairs, or build clusters, within a small distance only. Here all
 pairs of a parameter set are edges, so that most genes form one component of very many edges.
 Recursive SQL is too slow for that: such queries have none and are tested by union-find.
+Releases are made of all orders of a year, with customers as genomes.
 """
 
 from __future__ import annotations
@@ -11,8 +12,12 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cladeframe import queries
+from cladeframe.functions import scalars
+from cladeframe.operators import changes
+from cladeframe.session import read_table, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +29,37 @@ for _name in (*_PLAIN, *_RECURSIVE):
     QUERIES[f"{_name}_uncut"] = functools.partial(getattr(queries, _name), upper=None)
 for _name in _PLAIN:
     ORACLES[f"{_name}_uncut"] = queries.ORACLES[_name].replace(" HAVING min(dist) <= 0.05", "").replace(" WHERE dist <= 0.001", "")
+
+
+# Changes between releases: customers by the years of their orders, three customers of a segment to a species
+
+_RELEASE_SQL = queries._RELEASE_SQL.replace(" WHERE o_orderkey % 37 = year(o_orderdate) % 37", "").replace(
+    "CAST(c_custkey % 40 AS VARCHAR) taxon, c_mktsegment || ' x ' || (c_custkey % 40) AS name, c_mktsegment || ' x' species",
+    "CAST(c_custkey AS VARCHAR) taxon, c_mktsegment || ' x' || (c_custkey // 3) || ' ' || c_custkey AS name, c_mktsegment || ' x' || (c_custkey // 3) species",
+)
+
+
+def releases(spark: SparkSession, sf: str) -> DataFrame:
+    """release, taxon, name, category: one row for each customer and year with an order."""
+    c = read_table(spark, sf, "customer")
+    o = read_table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").cast("string").alias("release")).distinct()
+    k = F.col("c_custkey")
+    name = F.concat_ws(" ", "c_mktsegment", F.concat(F.lit("x"), F.floor(k / 3).cast("string")), k.cast("string"))
+    return o.join(c, k == F.col("o_custkey")).select("release", k.cast("string").alias("taxon"), name.alias("name"), F.expr("substr('ABEVU', int(1 + c_custkey % 5), 1)").alias("category")).distinct()
+
+
+def change_log_diff_uncut(spark, sf):
+    return changes.change_log_diff(stage(changes.change_items(releases(spark, sf)), "items"))
+
+
+def change_log_sizes_uncut(spark, sf):
+    return changes.change_log_sizes(changes.change_items(releases(spark, sf)))
+
+
+def multi_taxon_species_uncut(spark, sf):
+    return changes.multi_taxon_species(releases(spark, sf).withColumn("species", scalars.species_of(F.col("name"))), "release")
+
+
+for _f in (change_log_diff_uncut, change_log_sizes_uncut, multi_taxon_species_uncut):
+    QUERIES[_f.__name__] = _f
+    ORACLES[_f.__name__] = queries.ORACLES[_f.__name__.removesuffix("_uncut")].replace(queries._RELEASE_SQL, _RELEASE_SQL)

@@ -54,3 +54,9 @@ def test_clusters_of_all_edges(spark, con):
     assert got == {c: (nodes[c], links[c]) for c in nodes}
     assert uncut.QUERIES["cluster_edges_uncut"](spark, SF).count() == len(edges)
     assert {r.cid for r in uncut.QUERIES["profile_rows_uncut"](spark, SF).collect()} == set(nodes)
+
+
+def test_releases_have_every_order(spark, con):
+    want = con.execute("SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR), CAST(c_custkey AS VARCHAR) FROM orders JOIN customer ON c_custkey = o_custkey").fetchall()
+    got = [(r.release, r.taxon) for r in uncut.releases(spark, SF).collect()]
+    assert sorted(got) == sorted(want) and "% 37" not in uncut.ORACLES["change_log_diff_uncut"]
