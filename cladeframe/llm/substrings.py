@@ -2,26 +2,29 @@
 
 Every window of W words has an anchor, the least-hashed phrase of K words in it, which
 depends on the window's words alone. So phrases that recur as anchors are confirmed by a
-count, and only windows on them can repeat. Documents with such phrases are dealt into
-shards by id; each shard compiles its confirmed phrases into an Aho-Corasick automaton
-over words and streams its documents through it to locate every occurrence. Windows on
-located phrases are compared with all equal windows of the corpus by their hashes (64 bits
-beside the phrase's 64), and each one that starts earlier elsewhere is removed.
-
-An automaton holds a shard's own phrases only, so its size is bounded by the shard and
-not by the corpus. Within a shard, equal windows go on as their first one; windows on
-phrases found HOT times or more travel by their own hash, not by the phrase's. Texts are
-shuffled twice, compressed; phrases as numbers.
+count, and only windows on them can repeat. The documents are dealt into shards by id, some
+MB of text each; a shard gets the confirmed phrases that any of its documents has as an
+anchor, without places, compiles them into one Aho-Corasick automaton and streams all of
+its documents through it. What the automaton matches, and nothing else, are the places
+whose windows are compared with equal windows of the corpus by their hashes (64 bits
+beside the phrase's 60); each window that starts earlier elsewhere is removed.
+
+Letters of the automaton are codes of words (BITS bits), so that a phrase is one number; a
+match of other words with the same codes costs a comparison, as windows decide. An
+automaton is bounded by its shard and not by the corpus.
+Equal windows of a shard go on as their first one, and windows on phrases found HOT times
+or more travel by their own hash: the rows of one window are at most as many as the shards,
+and are read one by one. Texts are shuffled twice, compressed; phrases as numbers.
 """
 
 from __future__ import annotations
 
-import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeframe.llm import textops
@@ -29,54 +32,89 @@ from cladeframe.llm.dedup import whole_groups
 from cladeframe.session import read_table, stage
 
 WINDOW, PHRASE = 20, 6
+BITS = 10
+SHARD_BYTES = 4 << 20  # of text in a shard, on average
 HOT = 1_000
 
+_U = np.uint64
+_NONE = np.iinfo(np.uint64).max
+_FOUND = "key long, doc_id long, start int, n int, kind byte, hashes binary"
+_GONE, _COLD, _HOT = 0, 1, 2
 
-def _anchors(words: textops.Words, window: int, phrase: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(window starts, anchor of each, hashes of phrases by their first word); positions
-    count the slice's words."""
-    h, first = textops.windows(words, phrase)
-    by_word = np.full(len(words.hash), np.iinfo(np.uint64).max, np.uint64)
-    per = np.diff(first)
-    by_word[np.arange(len(h)) + np.repeat(words.first[:-1] - first[:-1], per)] = h
-    n = np.maximum(words.count - window + 1, 0)
-    ends = np.cumsum(n)
-    starts = np.arange(ends[-1] if len(ends) else 0) + np.repeat(words.first[:-1] - (ends - n), n)
+
+def _bits(phrase: int) -> int:
+    return min(BITS, 60 // phrase)
+
+
+def word_codes(words: textops.Words, phrase: int) -> np.ndarray:
+    return (words.hash >> _U(64 - _bits(phrase))).astype(np.int64)
+
+
+def phrases(words: textops.Words, phrase: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the phrase that begins at each word as one number, whether its row is long enough)."""
+    n, bits = len(words.hash), _bits(phrase)
+    code, packed = np.append(word_codes(words, phrase), np.zeros(phrase, np.int64)), np.zeros(n, np.int64)
+    for k in range(phrase):
+        packed = (packed << bits) | code[k : k + n]
+    return packed, np.arange(n) + phrase <= words.first[1:][words.row]
+
+
+def letters(packed: np.ndarray, phrase: int) -> str:
+    """The letters of phrases, one after the other."""
+    bits = _bits(phrase)
+    shifts = np.arange(phrase - 1, -1, -1) * bits
+    return ((packed[:, None] >> shifts) & ((1 << bits) - 1)).astype("<u2").tobytes().decode("utf-16-le")
+
+
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """Where the first least of every `width` neighbours is."""
+    at, span = np.arange(len(values)), 1
+    while span < width:
+        step = min(span, width - span)
+        a, b = at[:-step], at[step:]
+        at = np.where(values[b] < values[a], b, a)
+        span += step
+    return at
+
+
+def _anchors(words: textops.Words, packed: np.ndarray, whole: np.ndarray, window: int, phrase: int) -> tuple[np.ndarray, np.ndarray]:
+    """(window starts, anchor of each); positions count the slice's words."""
+    n = len(packed)
+    starts = np.flatnonzero(np.arange(n) + window <= words.first[1:][words.row]) if n >= window else np.zeros(0, int)
     if not len(starts):
-        return starts, starts, by_word
-    view = np.lib.stride_tricks.sliding_window_view(by_word, window - phrase + 1)
-    return starts, starts + view[starts].argmin(1), by_word
+        return starts, starts
+    order = np.where(whole, textops.mix(packed.view(np.uint64).copy()), _NONE)
+    return starts, _least(order, window - phrase + 1)[starts]
 
 
-def _runs(anchor: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """Where a new anchor begins along the windows, and their end."""
-    if not len(anchor):
-        return np.zeros(1, int)
-    return np.concatenate([[0], np.flatnonzero((anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])) + 1, [len(anchor)]])
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it; the first always does."""
+    n = len(columns[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
 
 
-def anchors(docs: DataFrame, window: int, phrase: int, places: bool) -> DataFrame:
-    """The hash of every anchor (, its document, and its first word's number there)."""
-    schema = "phrase long" + ", doc_id long, at int" * places
+def anchors(docs: DataFrame, window: int, phrase: int) -> DataFrame:
+    """(phrase, shard): every anchor of docs (shard, text), windows on the same place once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_numpy()
+            shard = b.column(0).to_numpy()
             for i, j, buf, offs in textops.slices(b.column(1)):
                 words = textops.Words(buf, offs, False)
-                starts, anchor, by_word = _anchors(words, window, phrase)
-                at = anchor[_runs(anchor, words.row[starts])[:-1]]
-                cols = [pa.array(by_word[at].view(np.int64))]
-                if places:
-                    row = words.row[at]
-                    cols += [pa.array(ids[i:j][row]), pa.array((at - words.first[row]).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(cols, names=["phrase", "doc_id", "at"][: len(cols)])
+                packed, whole = phrases(words, phrase)
+                starts, anchor = _anchors(words, packed, whole, window, phrase)
+                at = anchor[_changes(anchor)]
+                yield pa.RecordBatch.from_arrays([pa.array(packed[at]), pa.array(shard[i:j][words.row[at]])], names=["phrase", "shard"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.select("shard", "text").mapInArrow(run, "phrase long, shard int")
 
 
-def _squeezed(docs: DataFrame) -> DataFrame:
-    """(doc_id, z): texts compressed one by one; nulls as empty."""
+def _squeezed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns of docs, and z: its texts compressed one by one; nulls as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -85,127 +123,194 @@ def _squeezed(docs: DataFrame) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 1000):
                 part = b.slice(i, 1000)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([z.compress((t or "").encode()) for t in part.column(1).to_pylist()], pa.binary())], names=["doc_id", "z"])
+                texts = pa.array([z.compress((t or "").encode()) for t in part.column(0).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], texts], names=[*columns, "z"])
 
-    return docs.mapInArrow(run, "doc_id long, z binary")
+    some = docs.select("text", *columns)
+    return some.mapInArrow(run, ", ".join([*(f"{c} {t}" for c, t in some.dtypes[1:]), "z binary"]))
 
 
-def _slices_of(b: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
+def _slices_of(b: pa.RecordBatch, most: int | None = None) -> Iterator[tuple[int, int, list[bytes]]]:
     """Rows of a batch with their texts' bytes, some MB at a time."""
     import zstandard
 
+    most = textops.SLICE_BYTES if most is None else most
     z, raw, first, size = zstandard.ZstdDecompressor(), [], 0, 0
     for i, x in enumerate(b.column("z")):
         raw.append(z.decompress(x.as_py()))
         size += len(raw[-1])
-        if size >= textops.SLICE_BYTES or i + 1 == b.num_rows:
+        if size >= most or i + 1 == b.num_rows:
             yield first, i + 1, raw
             raw, first, size = [], i + 1, 0
 
 
-def _locate(window: int, phrase: int):
-    """Stream a shard: its automaton finds the confirmed phrases; windows on them go out as
-    (key, doc_id, start, n, hashes), where a null hashes means that an equal window
-    precedes each of them in the shard."""
+class Automaton:
+    """The confirmed phrases of a shard."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, phrase: int):
         import ahocorasick
 
+        self.phrase, self.found = phrase, ahocorasick.Automaton(ahocorasick.STORE_INTS)
+
+    def add(self, packed: np.ndarray, hot: np.ndarray) -> None:
+        text, k = letters(packed, self.phrase), self.phrase
+        for i, h in enumerate(hot.tolist()):
+            self.found.add_word(text[i * k : i * k + k], int(h))
+
+    def locate(self, words: textops.Words) -> tuple[np.ndarray, np.ndarray]:
+        """For each word, whether a phrase begins there and whether that is a hot one."""
+        import ahocorasick
+
+        n = len(words.hash)
+        located, hot = np.zeros(n, bool), np.zeros(n, bool)
+        if not len(self.found) or not n:
+            return located, hot
+        if self.found.kind != ahocorasick.AHOCORASICK:
+            self.found.make_automaton()
+        # A letter that no phrase has stands between rows.
+        text = np.full(n + len(words.count), 1 << BITS, "<u2")
+        text[np.arange(n) + words.row] = word_codes(words, self.phrase)
+        got = np.fromiter((2 * end + h for end, h in self.found.iter(text.tobytes().decode("utf-16-le"))), np.int64)
+        begin = (got >> 1) - self.phrase + 1
+        begin -= np.repeat(np.arange(len(words.count)), words.count + 1)[begin]
+        located[begin] = True
+        hot[begin] = (got & 1) > 0
+        return located, hot
+
+
+def _locate(window: int, phrase: int):
+    """Stream shards: the phrases of a shard come first and make its automaton, through which
+    its documents go by doc_id. Windows on what it matches go out by key: runs of windows that
+    have an equal one before them in the shard (kind _GONE), runs on one phrase with their
+    hashes, and single windows on hot phrases by their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = automaton = lead = None
         for b in batches:
-            ids_of = b.column("doc_id").to_numpy()
-            for i, j, raw in _slices_of(b):
-                ids = ids_of[i:j]
-                offs = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
-                words = textops.Words(np.frombuffer(b"".join(raw), np.uint8), offs, False)
-                _, symbol = np.unique(words.hash, return_inverse=True)
-                symbol = symbol.tolist()
-                places, hot = b.column("places").slice(i, j - i), []
-                automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-                for r, own in enumerate(places.to_pylist()):
-                    base = int(words.first[r])
-                    for x in own:
-                        at = base + x["at"]
-                        automaton.add_word(tuple(symbol[at : at + phrase]), int(x["hot"]))
-                automaton.make_automaton()
-                located, hot = np.zeros(len(symbol), bool), np.zeros(len(symbol), bool)
-                for r in range(j - i):
-                    s, e = int(words.first[r]), int(words.first[r + 1])
-                    for end, is_hot in automaton.iter(tuple(symbol[s:e])):
-                        located[s + end - phrase + 1] = True
-                        hot[s + end - phrase + 1] = is_hot
-                starts, anchor, by_word = _anchors(words, window, phrase)
-                keep = located[anchor] if len(anchor) else np.zeros(0, bool)
-                starts, anchor = starts[keep], anchor[keep]
-                acc = np.zeros(len(words.hash) + 1, np.uint64)
-                np.cumsum(words.hash * textops.powers(textops._M2, len(words.hash)), out=acc[1:])
-                h = textops.mix((acc[starts + window] - acc[starts]) * textops.powers(textops._M2, len(words.hash) + 1, True)[starts])
-                row = words.row[starts]
-                own_start = starts - words.first[row]
-                order = np.lexsort((own_start, ids[row], h))
-                later = np.zeros(len(h), bool)  # an equal window precedes it in this slice
-                a, c = order[:-1], order[1:]
-                equal = h[a] == h[c]
-                # Of rows that repeat a document, equal starts precede nothing.
-                strict = (ids[row[a]] != ids[row[c]]) | (own_start[a] != own_start[c])
-                group = np.concatenate([[0], np.cumsum(~equal)]) if len(h) else np.zeros(0, int)
-                moved = np.concatenate([[0], np.cumsum(equal & strict)]) if len(h) else np.zeros(0, int)
-                if len(h):
-                    base = moved[np.concatenate([[0], np.flatnonzero(~equal) + 1])]
-                    later[order] = moved > base[group]
-                cut = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1]) | (hot[anchor[1:]] | (later[1:] != later[:-1]))])) if len(h) else np.zeros(0, int)
-                ends = np.append(cut[1:], len(h))
-                raw_h = h.tobytes()
-                gone = later[cut] if len(h) else later
-                key = np.where(hot[anchor[cut]], h[cut], by_word[anchor[cut]]) if len(h) else h
-                key = np.where(gone, textops.mix(ids[row[cut]].astype(np.uint64) + own_start[cut].astype(np.uint64)), key) if len(h) else key
-                hashes = [None if g else raw_h[8 * s : 8 * e] for g, s, e in zip(gone.tolist(), cut.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(ids[row[cut]]), pa.array(own_start[cut].astype(np.int32)), pa.array((ends - cut).astype(np.int32)), pa.array(hashes, pa.binary())],
-                    names=["key", "doc_id", "start", "n", "hashes"],
-                )
+            shards = b.column("shard").to_numpy()
+            cuts = np.append(_changes(shards), b.num_rows) if b.num_rows else [0]
+            for s, e in zip(cuts[:-1], cuts[1:]):
+                part = b.slice(s, e - s)
+                if shards[s] != current:
+                    current, automaton = shards[s], Automaton(phrase)
+                    lead = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+                n = part.num_rows - part.column("phrase").null_count
+                automaton.add(part.column("phrase").slice(0, n).to_numpy(), part.column("hot").slice(0, n).to_numpy(zero_copy_only=False))
+                rest = part.slice(n)
+                ids_of = rest.column("doc_id").to_numpy(zero_copy_only=False)
+                for i, j, raw in _slices_of(rest):
+                    ids = ids_of[i:j].astype(np.int64)
+                    offs = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+                    words = textops.Words(np.frombuffer(b"".join(raw), np.uint8), offs, False)
+                    located, hot = automaton.locate(words)
+                    packed, whole = phrases(words, phrase)
+                    starts, anchor = _anchors(words, packed, whole, window, phrase)
+                    keep = located[anchor]
+                    starts, anchor = starts[keep], anchor[keep]
+                    if not len(starts):
+                        continue
+                    acc = np.zeros(len(words.hash) + 1, np.uint64)
+                    np.cumsum(words.hash * textops.powers(textops._M2, len(words.hash)), out=acc[1:])
+                    h = textops.mix((acc[starts + window] - acc[starts]) * textops.powers(textops._M2, len(words.hash) + 1, True)[starts])
+                    row = words.row[starts]
+                    doc, own = ids[row], starts - words.first[row]
+                    lead, later = _later(lead, (h, doc, own))
+                    kind = np.where(later, _GONE, np.where(hot[anchor], _HOT, _COLD)).astype(np.int8)
+                    cut = _changes(row, kind, np.where(kind == _GONE, 0, anchor), np.where(kind == _HOT, own, 0), own - np.arange(len(own)))
+                    n_of = np.diff(np.append(cut, len(h)))
+                    kind, bytes_of = kind[cut], h.tobytes()
+                    key = np.where(kind == _HOT, h[cut].view(np.int64), np.where(kind == _COLD, packed[anchor[cut]], doc[cut] * 31 + own[cut]))
+                    hashes = [bytes_of[8 * s : 8 * (s + m)] if k == _COLD else None for s, m, k in zip(cut.tolist(), n_of.tolist(), kind.tolist())]
+                    cols = [pa.array(key), pa.array(doc[cut]), pa.array(own[cut].astype(np.int32)), pa.array(n_of.astype(np.int32)), pa.array(kind), pa.array(hashes, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(cols, names=["key", "doc_id", "start", "n", "kind", "hashes"])
 
     return run
 
 
+def _later(lead: tuple, new: tuple) -> tuple[tuple, np.ndarray]:
+    """The first of each window (hash, doc_id, start) of lead and new, and which of the new
+    ones have an equal window before them. Of rows that repeat a document, equal starts
+    precede nothing."""
+    h, d, s = (np.concatenate(x) for x in zip(lead, new))
+    order = np.lexsort((s, d, h))
+    h, d, s = h[order], d[order], s[order]
+    first = _changes(h)
+    of = np.repeat(first, np.diff(np.append(first, len(h))))
+    later = np.zeros(len(h), bool)
+    later[order] = (d != d[of]) | (s != s[of])
+    return (h[first], d[first], s[first]), later[len(lead[0]) :]
+
+
 def _judge(window: int):
-    """(doc_id, start, end) of runs of words to remove, from all windows that share a key."""
+    """(doc_id, start, end) of runs of words to remove, from all windows that share a key,
+    sorted by key, doc_id and start. A cold phrase has under HOT places and is held whole;
+    of a hot window, only its first place is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, _ in whole_groups(batches, "key"):
+        done: list[pa.RecordBatch] = []
+        lead = None
+
+        def cold() -> Iterator[pa.RecordBatch]:
+            nonlocal lead
+            for b in batches:
+                kind = b.column("kind").to_numpy()
+                key, doc, start, n = (b.column(c).to_numpy() for c in ("key", "doc_id", "start", "n"))
+                x = np.flatnonzero(kind == _HOT)
+                if len(x):
+                    k, d, s = key[x], doc[x], start[x]
+                    first = _changes(k)
+                    of = np.repeat(first, np.diff(np.append(first, len(k))))
+                    ld, ls = d[of], s[of]
+                    if lead is not None and lead[0] == k[0]:  # the window goes on from the last batch
+                        ld[of == 0], ls[of == 0] = lead[1], lead[2]
+                    gone = x[(d != ld) | (s != ls)]
+                    lead = (k[-1], ld[-1], ls[-1])
+                    done.append(_runs(doc[gone], start[gone].astype(np.int64), start[gone].astype(np.int64) + window))
+                x = np.flatnonzero(kind == _GONE)
+                done.append(_runs(doc[x], start[x].astype(np.int64), start[x].astype(np.int64) + n[x] - 1 + window))
+                yield b.filter(pa.array(kind == _COLD))
+
+        for t, _ in whole_groups(cold(), "key"):
+            yield from done
+            done.clear()
             doc, start, n = (t.column(c).to_numpy() for c in ("doc_id", "start", "n"))
-            known = t.column("hashes").is_null().to_numpy(zero_copy_only=False)
-            some = np.flatnonzero(~known)
-            h = np.frombuffer(b"".join(t.column("hashes").filter(pa.array(~known)).to_pylist()), np.uint64)
-            of = np.repeat(some, n[some])
-            s = start[of] + np.arange(len(h)) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
-            order = np.lexsort((s, doc[of], h))
-            ho, do, so = h[order], doc[of][order], s[order]
-            new = np.concatenate([[True], ho[1:] != ho[:-1]]) if len(h) else np.zeros(0, bool)
-            lead = np.flatnonzero(new)[np.cumsum(new) - 1] if len(h) else np.zeros(0, int)
-            gone = (do != do[lead]) | (so != so[lead])
-            docs = np.concatenate([doc[known], do[gone]])
-            a = np.concatenate([start[known], so[gone]]).astype(np.int64)
-            e = np.concatenate([start[known] + n[known] - 1, so[gone]]) + window
-            by = np.lexsort((a, docs))
-            docs, a, e = docs[by], a[by], e[by]
-            if len(docs):  # neighbours make one run
-                cut = np.flatnonzero(np.concatenate([[True], (docs[1:] != docs[:-1]) | (a[1:] > e[:-1])]))
-                docs, a, e = docs[cut], a[cut], np.maximum.reduceat(e, cut)
-            yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(a.astype(np.int32)), pa.array(e.astype(np.int32))], names=["doc_id", "start", "end"])
+            h = np.frombuffer(b"".join(t.column("hashes").to_pylist()), np.uint64)
+            s = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(len(h))
+            d = np.repeat(doc, n)
+            gone = _later((h[:0], d[:0], s[:0]), (h, d, s))[1]
+            yield _runs(d[gone], s[gone], s[gone] + window)
+        yield from done
 
     return run
 
 
+def _runs(docs: np.ndarray, a: np.ndarray, e: np.ndarray) -> pa.RecordBatch:
+    """Runs of words of documents, neighbours as one."""
+    by = np.lexsort((a, docs))
+    docs, a, e = docs[by], a[by], e[by]
+    if len(docs):
+        cut = np.flatnonzero(np.concatenate([[True], (docs[1:] != docs[:-1]) | (a[1:] > e[:-1])]))
+        docs, a, e = docs[cut], a[cut], np.maximum.reduceat(e, cut)
+    return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(a.astype(np.int32)), pa.array(e.astype(np.int32))], names=["doc_id", "start", "end"])
+
+
+def _shard(n: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("shard")
+
+
 def repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
     """(doc_id, start, end): runs of words to remove, which may overlap. Rows without a
     doc_id take no part."""
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    confirmed = anchors(docs, window, phrase, False).groupBy("phrase").agg(F.count("*").alias("n")).where("n > 1")
-    confirmed = stage(confirmed.select("phrase", (F.col("n") >= HOT).alias("hot")), "phrases")
-    places = anchors(docs, window, phrase, True).join(confirmed, "phrase").groupBy("doc_id").agg(F.collect_list(F.struct("at", "hot")).alias("places"))
-    shards = _squeezed(docs).join(places, "doc_id")
-    found = shards.mapInArrow(_locate(window, phrase), "key long, doc_id long, start int, n int, hashes binary")
-    return found.repartition("key").sortWithinPartitions("key").mapInArrow(_judge(window), "doc_id long, start int, end int")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    docs = docs.withColumn("shard", _shard(max(1, math.ceil(size / SHARD_BYTES))))
+    counts = anchors(docs, window, phrase).groupBy("phrase").agg(F.count("*").alias("n")).where("n > 1")
+    confirmed = stage(counts.select("phrase", (F.col("n") >= HOT).alias("hot")), "phrases")
+    parts = anchors(docs, window, phrase).join(confirmed, "phrase").select("shard", "phrase", "hot", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("z"))
+    texts = _squeezed(docs, "shard", "doc_id").select("shard", F.lit(None).cast("long").alias("phrase"), F.lit(None).cast("boolean").alias("hot"), "doc_id", "z")
+    shards = parts.unionByName(texts).repartition("shard").sortWithinPartitions("shard", F.col("phrase").asc_nulls_last(), "doc_id")
+    found = shards.mapInArrow(_locate(window, phrase), _FOUND)
+    return found.repartition("key").sortWithinPartitions("key", "doc_id", "start").mapInArrow(_judge(window), "doc_id long, start int, end int")
 
 
 def _cut(words: list[bytes], runs: list[dict] | None) -> list[bytes]:
@@ -225,8 +330,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
     Rows without a doc_id, and texts shorter than a window, stay whole; rows that repeat
     a doc_id and its text don't precede each other. Other columns are ignored.
     """
+    if not 1 <= phrase <= min(window, 60):
+        raise ValueError("a phrase has 1 to 60 words, and no more than a window")
     runs = repeats(docs, window, phrase).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
-    texts = _squeezed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    texts = _squeezed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
