@@ -66,13 +66,22 @@ class BoostedTrees:
     def raw(self, x: np.ndarray) -> np.ndarray:
         return self.base + self.rate * sum((self._walk(t, x) for t in self.trees), np.zeros(len(x)))
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
-        """Platt scaling on rows that fit() did not see."""
-        r, (a, b) = self.raw(x), (1.0, 0.0)
-        for _ in range(200):
-            e = sigmoid(a * r + b) - y
-            a, b = a - 0.05 * float((e * r).mean()), b - 0.05 * float(e.mean())
-        self.scale = (max(a, 0.05), b)
+    def calibrate(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> BoostedTrees:
+        """Platt scaling on rows that fit() did not see: Newton steps to the optimum, which a
+        ridge towards scale 1 and shift 0 keeps finite where the rows separate."""
+        r = np.stack([self.raw(x), np.ones(len(x))], 1)
+        prior = w = np.array([1.0, 0.0])
+        loss = lambda w: np.logaddexp(0, r @ w).sum() - y @ (r @ w) + ridge / 2 * ((w - prior) ** 2).sum()
+        for _ in range(100):
+            q = sigmoid(r @ w)
+            slope = r.T @ (q - y) + ridge * (w - prior)
+            step = np.linalg.solve((r * (q * (1 - q))[:, None]).T @ r + ridge * np.eye(2), slope)
+            while loss(w - step) > loss(w) and np.abs(step).max() > 1e-9:
+                step /= 2
+            w = w - step
+            if np.abs(step).max() < 1e-9:
+                break
+        self.scale = (max(float(w[0]), 0.05), float(w[1]))
         return self
 
     def probability(self, x: np.ndarray) -> np.ndarray:

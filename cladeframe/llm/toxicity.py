@@ -26,11 +26,10 @@ from cladeframe.llm.boosting import BoostedTrees
 from cladeframe.session import read_table, stage
 
 TRAIN_ROWS = 8_000  # labelled documents that train the lexicon and the score, at most
-LEXICON = 512  # words and stems of the lexicon, at most
 STEMS = range(4, 9)  # lengths of the stems of words
 MANY = 3  # different words of one stem that make a mark of their own
 REJECT = 0.7
-PIECE = 240
+PIECE = 240  # characters that are decoded in one go, if a letter can end them
 _CACHE_WORDS = 80_000
 
 # The letters that a character may stand for; '' lets it stand for nothing.
@@ -48,6 +47,7 @@ _MARKS = _EDGE.replace("(", "")  # those that imitate no letter
 #: A number as it is written: nothing to decode.
 _NUMBER = re.compile(r"[+$€£#~-]*[0-9][0-9.,:/-]*[%+]?")
 _TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"(.)\1")
 _RUN = re.compile(r"(.)\1*")
 _LONG_RUN = re.compile(r"(.)\1{3,}")
 
@@ -56,6 +56,20 @@ def _code(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 0
 
 
+def _pieces(word: str) -> Iterator[tuple[str, int, bool]]:
+    """(characters, state before them, whether the word ends with them) of pieces of a word. A
+    letter that repeats neither neighbour can be nothing else and isn't dropped: a place to cut."""
+    at, state = 0, 0
+    while len(word) - at > PIECE:
+        sure = (i for r in (range(at + PIECE - 1, at, -1), range(at + PIECE, len(word) - 1)) for i in r if _code(word[i]) and word[i - 1] != word[i] != word[i + 1])
+        cut = next(sure, None)
+        if cut is None:
+            break
+        yield word[at : cut + 1], state, False
+        at, state = cut + 1, _code(word[cut])
+    yield word[at:], state, True
+
+
 class Channel:
     """Viterbi decoder over states 0 (a border) and 1 to 26 (the last letter)."""
 
@@ -73,32 +87,34 @@ class Channel:
     def decode(self, words: list[str]) -> list[str]:
         """The likeliest letters of each word; characters that imitate nothing are dropped.
 
-        Runs of one character count as three. Words of more than PIECE characters are read in
-        pieces, one after the other, so that time and memory follow their length."""
+        Runs of one character count as three. A word of more than PIECE characters is cut after
+        letters that leave the decoder in one state only, so that its pieces are decoded side
+        by side to the letters of one pass over the whole word; stretches without such a letter
+        stay whole. Time and memory follow the length."""
         pieces, parts = [], []
         for w in words:
-            w = _LONG_RUN.sub(r"\1\1\1", w)
-            own = [w[i : i + PIECE] for i in range(0, len(w), PIECE)]
+            own = list(_pieces(_LONG_RUN.sub(r"\1\1\1", w)))
             parts.append(len(own))
             pieces += own
         read = iter(self._decode_all(pieces))
         return ["".join(next(read) for _ in range(n)) for n in parts]
 
-    def _decode_all(self, words: list[str]) -> list[str]:
-        out = [""] * len(words)
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    def _decode_all(self, pieces: list[tuple[str, int, bool]]) -> list[str]:
+        out = [""] * len(pieces)
+        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i][0]))
         at = 0
         while at < len(order):
             end, width = at, 1
-            while end < len(order) and (end == at or (end - at + 1) * len(words[order[end]]) <= 400_000):
-                width = max(width, len(words[order[end]]))
+            while end < len(order) and (end == at or (end - at + 1) * len(pieces[order[end]][0]) <= 400_000):
+                width = max(width, len(pieces[order[end]][0]))
                 end += 1
-            for i, w in zip(order[at:end], self._decode([words[i] for i in order[at:end]], width)):
+            for i, w in zip(order[at:end], self._decode([pieces[i] for i in order[at:end]], width)):
                 out[i] = w
             at = end
         return out
 
-    def _decode(self, words: list[str], width: int) -> Iterator[str]:
+    def _decode(self, pieces: list[tuple[str, int, bool]], width: int) -> Iterator[str]:
+        words, begin, last = zip(*pieces)
         alphabet = sorted(set("".join(words)))
         index = {c: i + 1 for i, c in enumerate(alphabet)}
         ways = max((len(IMITATES.get(c, "")) for c in alphabet), default=1) or 1
@@ -115,7 +131,7 @@ class Channel:
         for r, w in enumerate(words):
             text[r, : len(w)] = [index[c] for c in w]
         best = np.full((n, 27), -np.inf)
-        best[:, 0] = 0.0
+        best[np.arange(n), begin] = 0.0
         back = np.zeros((width, n, 27), np.int8)
         rows = np.arange(n)
         for t in range(width):
@@ -137,7 +153,7 @@ class Channel:
                     new[some[better], to[better]] = value[better]
                     back[t, some[better], to[better]] = prev[better]
             best = new
-        state = (best + self.log_p[:, 0]).argmax(1)
+        state = (best + np.where(np.array(last)[:, None], self.log_p[:, 0], 0.0)).argmax(1)
         made = np.zeros((width, n), np.uint8)
         for t in range(width - 1, -1, -1):
             prev = back[t, rows, state]
@@ -160,11 +176,10 @@ def _once(word: str) -> str:
 def reduced(word: str, most: int = 4) -> list[str]:
     """The other readings of a word with doubled letters: any of its runs as a single letter;
     beyond `most` runs, all of them."""
-    runs = [m[0] for m in _RUN.finditer(word)]
-    long = sum(len(x) > 1 for x in runs)
-    if not long:
+    if not _DOUBLE.search(word):
         return []
-    if long > most:
+    runs = [m[0] for m in _RUN.finditer(word)]
+    if sum(len(x) > 1 for x in runs) > most:
         return [_once(word)]
     made = [""]
     for x in runs:
@@ -181,6 +196,14 @@ class Restorer:
         self.single = {_once(w): w for w in lexicon}  # decoding may drop one of two equal letters
         self.lexicon = frozenset(lexicon)
 
+    def readings(self, word: str) -> list[str]:
+        """The word as it is; where letters are doubled and it is no word of the lexicon, also
+        with single ones, and the word of the lexicon that differs in doubled letters only."""
+        if word in self.lexicon or not _DOUBLE.search(word):
+            return [word]
+        found = self.single.get(_once(word))
+        return [word, *reduced(word), *([found] if found else [])]
+
     def prepare(self, tokens: set[str]) -> None:
         if len(self.words) > _CACHE_WORDS:
             self.words.clear()
@@ -273,33 +296,47 @@ def clusters(sample: DataFrame, keys: int = 8) -> dict[int, int]:
 
 
 def marks(words: set[str], runs: list[str]) -> list[str]:
-    """What the lexicon is chosen from: words ("w:"), stems ("s:"), and stems of many words ("m:")."""
-    words = {w for w in (*words, *runs) if 3 <= len(w) <= 40}
+    """What the lexicon is chosen from: words of three letters or more ("w:"), stems ("s:"), and
+    stems of many words ("m:")."""
+    words = {w for w in (*words, *runs) if len(w) >= 3}
     stems = Counter(w[:k] for w in words for k in STEMS if len(w) > k)
     return [*(f"w:{w}" for w in words), *(f"s:{x}" for x in stems), *(f"m:{x}" for x, n in stems.items() if n >= MANY)]
 
 
 class Scorer:
     """Boosted trees over what the marks of a document weigh: the largest weight, their sum,
-    how many words and stems of many words there are, and the number of words."""
+    how many words and stems of many words there are, and the number of words. A spaced-out
+    run counts as a word, and as the lexicon's words of four letters or more in it."""
 
     def __init__(self, counts: np.ndarray, lexicon: dict[str, float], trees: BoostedTrees):
         self.counts, self.lexicon, self.trees = counts, lexicon, trees
+        self.stems: dict[str, list[str]] = {}
+        for x in lexicon:
+            if x[0] != "w":
+                self.stems.setdefault(x[2:], []).append(x)
 
     def restorer(self) -> Restorer:
         return Restorer(self.counts, tuple(x[2:] for x in self.lexicon if x[0] == "w"))
 
+    def marks_of(self, readings: list[str]) -> tuple[str, ...]:
+        """The marks of the lexicon that a word has in any of its readings."""
+        found: list[str] = []
+        for w in readings:
+            if f"w:{w}" in self.lexicon:
+                found.append(f"w:{w}")
+            for k in STEMS[: max(0, len(w) - STEMS[0])]:
+                found += self.stems.get(w[:k], ())
+        return tuple(dict.fromkeys(found))
+
     def inputs(self, texts: list[str], restorer: Restorer) -> np.ndarray:
         long = [x[2:] for x in self.lexicon if x[0] == "w" and len(x) >= 6]
         known, out = restorer.marks, []
         for words, runs in restorer.restore(texts):
             hits: list[str] = []
-            for word in words.union(w for run in runs for w in long if w in run):
+            for word in words.union(runs, (w for run in runs for w in long if w in run)):
                 found = known.get(word)
                 if found is None:
-                    readings = [word] if f"w:{word}" in self.lexicon else [word, *reduced(word)]
-                    own = [f"{kind}:{w[:k]}" for w in readings for k in STEMS if len(w) > k for kind in "sm"]
-                    found = known[word] = tuple(dict.fromkeys(x for x in (*(f"w:{w}" for w in readings), *own) if x in self.lexicon))
+                    found = known[word] = self.marks_of(restorer.readings(word))
                 hits += found
             many = Counter(x for x in hits if x[0] == "m")
             weights = [self.lexicon[x] for x in {x for x in hits if x[0] != "m" or many[x] >= MANY}]
@@ -351,7 +388,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Scorer:
     llr = 2 * (a * F.ln(a / (n * share)) + F.when(b > 0, b * F.ln(b / (n * (1 - share)))).otherwise(0.0))
     least = 2 * math.log(max(found.count(), 1) / 0.05)
     best = found.where((a > 0) & (a > 2 * b)).withColumn("llr", llr).where(F.col("llr") > least)
-    picked = best.orderBy(F.desc("llr"), "mark").limit(LEXICON).collect()
+    picked = best.collect()  # of TRAIN_ROWS documents
     if not picked:
         return flat
     weigh = lambda r: math.log((r["a"] + 0.5) / (n1 + 1)) - math.log((r["b"] + 0.5) / (n0 + 1))

@@ -69,6 +69,20 @@ def test_viterbi_is_the_best_path(trained):
         assert ch.decode([word])[0] == max(best, key=best.get), (word, drop)
 
 
+def test_pieces_decode_as_one_pass(trained, monkeypatch):
+    """Words of any length, against one pass over the whole word."""
+    channel, r = trained.restorer().channel, random.Random(8)
+    signs = "abcdeiostu" + "0134$@!|.-" * 2
+    words = ["".join(r.choice(signs) for _ in range(n)) for n in (10, 240, 241, 300, 500, 5000)]
+    words += ["".join(r.choice("0134$@!|.-") for _ in range(700)) + "idiot", "s" * 500, "ab" * 400, "a1b2" * 200 + "".join(r.choice("$10!") for _ in range(600)) + "xyz" * 100]
+    got = channel.decode(words)
+    monkeypatch.setattr(toxicity, "PIECE", 10**9)
+    assert got == channel.decode(words) and len(list(toxicity._pieces(words[5]))) == 1
+    monkeypatch.setattr(toxicity, "PIECE", 7)
+    assert got == channel.decode(words)
+    assert "".join(p for p, _, _ in toxicity._pieces(words[5])) == words[5] and len(list(toxicity._pieces(words[5]))) > 100
+
+
 def test_long_words(trained):
     """In time that follows the length, whatever the letters."""
     import time
@@ -96,4 +110,4 @@ def test_held_out_accuracy(spark):
     got = toxicity.op4_noisy_channel_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
     clean = [r for r in got if not r.toxic]
     assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
-    assert sum(r.predicted for r in got if r.toxic) >= 0.6 * sum(r.toxic for r in got)
+    assert sum(r.predicted for r in got if r.toxic) >= 0.75 * sum(r.toxic for r in got)

@@ -5,7 +5,7 @@ from test_toxicity import trained  # noqa: F401
 from cladeframe.llm import toxicity
 
 
-@pytest.mark.parametrize("text", ["stuupid", "iddiot", "mooron", "woorthlless", "(1d10t", "(stupid)"])
+@pytest.mark.parametrize("text", ["stuupid", "iddiot", "mooron", "woorthlless", "(1d10t", "(stupid)", "i d i o t", "sttuuppiidd", "wwoorrtthhlleessss"])
 def test_doubled_disguises(trained, text):  # noqa: F811
     assert trained.score([text], trained.restorer())[0] >= 0.7
 
