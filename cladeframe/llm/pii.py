@@ -31,6 +31,7 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 6_000  # candidates that train the trees, at most: as many of each kind and label
 MADE_ROWS = 40  # made-up spans of each kind besides
 PRECISION = 0.98
+TRAIN_LENGTH = 200  # longer candidates train nothing, so that what comes to the driver is bounded; all are judged
 
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -127,7 +128,7 @@ def spelt(text: str, span: Span) -> bool:
 
 
 def _made() -> list[tuple[str, Span, int]]:
-    """MADE_ROWS made-up fixed-format spans of each kind in short texts, and as many of prose with "at" and "dot"."""
+    """MADE_ROWS made-up fixed-format spans of each kind in short texts, and four times as many of prose with "at" and "dot"."""
     r = random.Random(6)
     out = []
     for i in range(MADE_ROWS):
@@ -143,6 +144,10 @@ def _made() -> list[tuple[str, Span, int]]:
         out += [(before + s + after, (kind, len(before), len(before) + len(s)), 1) for kind, s in own.items()]
         prose = f"{r.choice(('look', 'aim', 'stop', 'met', 'is'))} at {r.choice(sorted(_PROSE))} dot {r.choice(('over', 'in', 'on', 'and', 'it', 'of', 'is', 'that', 'there', 'at'))}"
         out.append((before + prose + " there", ("email", len(before), len(before) + len(prose)), 0))
+        for j in range(3):
+            host = r.choice(("noon", "night", "home", f"stone-{r.choice(('hill', 'end', 'yard'))}", "post", "school", f"number{i}", "old-mill"))
+            prose = f"{r.choice(('looked', 'aimed', 'stop', 'met', 'dot'))} at {host} dot {r.choice(('over', 'after', 'and', 'of', 'with', 'for', 'on', 'there', 'matrix'))}"
+            out.append((before + prose + after, ("email", len(before), len(before) + len(prose)), 0))
     return out
 
 
@@ -153,6 +158,7 @@ def features(text: str, span: Span) -> list[float]:
     digits = _digits(s)
     groups = [len(g) for g in re.findall(r"[0-9]+", s)]
     letters = sum(c.isalpha() for c in s)
+    between = re.findall(r"[^0-9]+", s)
     return [
         KINDS.index(kind), len(s), len(digits), letters, len(s) - len(digits) - letters, len(groups),
         max(groups, default=0), min(groups, default=0),
@@ -160,7 +166,7 @@ def features(text: str, span: Span) -> list[float]:
         bool(re.search(r"[\[({<]\s?(?:at|dot|\.)\s?[\])}>]", s)), bool(re.search(r"\sat\s", s)), bool(re.search(r"\sdot\s", s)),
         len(re.split(r"\W+", s)[-1]), "(" in s, s.startswith(("+", "00")),
         bool(_HINTS.search(before)), before[-1:].isalnum(), after[:1].isalnum(), sum(c in "0123456789" for c in before[-8:]),
-        sum(c.isdigit() for c in after), *_address(s),
+        sum(c.isdigit() for c in after), *_address(s), len(set(between)), between[-1:] == between[-2:-1], s[:1] == "0",
     ]
 
 
@@ -190,6 +196,9 @@ def _variants(text: str, span: Span) -> list[tuple[str, Span, int]]:
         d = _digits(s)[-10:].rjust(10, "2")
         good = [f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}"]
         good += [f"({d[:3]}){d[3:6]}-{d[6:]}", f"1-{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]} {d[3:6]} {d[6:]}", f"0{d[1:3]} {d[3:6]}{d[6:]}"]
+        # With a country's code of one to three digits, and a trunk's 0 with two groups after it.
+        good += [f"00{c}-{d[:3]}-{d[3:6]}-{d[6:]}" for c in ("1", d[5:7], d[4:7])] + [f"00{c}.({d[:3]}) {d[3:6]}-{d[6:]}" for c in ("1", d[5:7])]
+        good += [f"0{d[1:4]}-{d[4:7]} {d[7:]}{d[:1]}", f"0{d[1:3]}-{d[3:6]}-{d[6:]}", f"0{d[1:4]}/{d[4:7]} {d[7:]}{d[:1]}", f"0{d[1:5]} {d[5:8]} {d[8:]}{d[:1]}"]
         bad = [f"{d[:3]} {d[3:6]} {d[6:]}{d[:1]}", f"{d[:4]}.{d[3:6]}.{d[6:]}", f"{d[:3]}/{d[3:6]}.{d[6:]}", f"{d[:3]} {d[3:6]}.{d[6:]}"]
     made = [(pre + x + post, (kind, len(pre), len(pre) + len(x)), y) for y, xs in ((1, good), (0, bad)) for x in xs]
     return [*made, (pre + s + post, (kind, len(pre), len(pre) + len(s)), 1)]
@@ -211,7 +220,8 @@ def train(docs: DataFrame) -> Model:
 
     Fixed-format spans are labelled 1; wider ones 0, unless they look like personal data in
     another spelling: those are left out. At most SAMPLE_ROWS snippets of some 100
-    characters come to the driver. An empty corpus has the made-up spans alone.
+    characters (of TRAIN_LENGTH and its context at most) come to the driver. An empty corpus
+    has the made-up spans alone.
     """
     most = SAMPLE_ROWS // (2 * len(KINDS))
 
@@ -222,7 +232,7 @@ def train(docs: DataFrame) -> Model:
                 for label, spans in ((1, base_spans(t or "")), (0, wider_spans(t or ""))):
                     for span in spans:
                         kind, s, e = span
-                        if e - s > 200 or (not label and spelt(t, span)):
+                        if e - s > TRAIN_LENGTH or (not label and spelt(t, span)):
                             continue
                         at = max(0, s - 40)
                         text = t[at : e + 8]
@@ -239,7 +249,7 @@ def train(docs: DataFrame) -> Model:
     found = stage(found, "pii-candidates")
     each = [found.where((F.col("kind") == k) & (F.col("label") == y)).distinct().orderBy("key", "text").limit(most) for k in KINDS for y in (0, 1)]
     rows = [(r["key"], r["text"], (r["kind"], r["s"], r["e"]), r["label"]) for r in functools.reduce(DataFrame.unionByName, each).collect()]
-    rows += [(i // (len(KINDS) + 1), *made) for i, made in enumerate(_made())]
+    rows += [(i // (len(KINDS) + 4), *made) for i, made in enumerate(_made())]
     x, y, kinds, held = [], [], [], []
     for key, snippet, span, own in rows:
         for text, sp, label in _variants(snippet, span) if own else [(snippet, span, 0)]:
