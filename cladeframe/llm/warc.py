@@ -19,11 +19,12 @@ RENEWED = ("age", "cache-control", "content-location", "date", "etag", "expires"
 
 
 def canonical_url(url: Column) -> Column:
-    """Host in lower case and the rest, without scheme, www., utm_ parameters, fragment and
-    closing slashes. Null and empty URLs give null."""
+    """Host in lower case and the rest, without scheme, www., parameters named utm_ and a word, empty
+    parameters, fragment and closing slashes. Null and empty URLs give null."""
     bare = F.regexp_replace(F.regexp_replace(url, "#.*$", ""), "^[Hh][Tt][Tt][Pp][Ss]?://", "")
     host = F.regexp_replace(F.lower(F.regexp_extract(bare, "^[^/?]*", 0)), "^www\\.", "")
-    rest = F.regexp_replace(F.regexp_replace(bare, "^[^/?]*", ""), "utm_[a-z]+=[^&]*&?", "")
+    rest = F.regexp_replace(F.regexp_replace(bare, "^[^/?]*", ""), "([?&])utm_[a-z]+=[^&]*", "$1")
+    rest = F.regexp_replace(rest, "([?&])&+", "$1")
     return F.nullif(F.concat(host, F.regexp_replace(rest, "[?&/]+$", "")), F.lit(""))
 
 
@@ -114,7 +115,7 @@ raw AS (
                    CASE WHEN page_id % 10 = 0 THEN tag END, 'front', CASE WHEN page_id % 10 = 0 THEN length(html) ELSE 0 END, ts0 FROM p),
 bare AS (SELECT *, regexp_replace(regexp_replace(url, '#.*$', ''), '^[Hh][Tt][Tt][Pp][Ss]?://', '') AS b FROM raw),
 records AS (SELECT * EXCLUDE (b, url), regexp_replace(lower(regexp_extract(b, '^[^/?]*')), '^www\.', '')
-              || regexp_replace(regexp_replace(regexp_replace(b, '^[^/?]*', ''), 'utm_[a-z]+=[^&]*&?', '', 'g'), '[?&/]+$', '') AS canonical FROM bare),
+              || regexp_replace(regexp_replace(regexp_replace(regexp_replace(b, '^[^/?]*', ''), '([?&])utm_[a-z]+=[^&]*', '\1', 'g'), '([?&])&+', '\1', 'g'), '[?&/]+$', '') AS canonical FROM bare),
 paired AS (SELECT v.record_id, v.canonical, v.ts, v.etag, v.date, f.record_id AS f_id, f.digest AS f_digest, f.etag AS f_etag, f.len AS f_len,
                   row_number() OVER (PARTITION BY v.record_id ORDER BY f.ts DESC NULLS LAST, f.record_id DESC) AS n
            FROM records v ASOF LEFT JOIN (SELECT canonical, ts, max(record_id) AS last FROM records WHERE kind = 'response' GROUP BY ALL) g

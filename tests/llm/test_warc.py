@@ -51,3 +51,9 @@ def test_pages(spark):
     pages = spark.createDataFrame([(10, "http://h.example/p", "<p>"), (11, None, None), (None, "x", "y")], "page_id long, url string, html string")
     got = {x.record_id: x.status for x in warc.resolve_revisits(warc.captures(pages)).collect()}
     assert got[101] == "resolved" and got[111] == "missing"
+
+
+def test_only_parameters_named_utm_go(spark):
+    urls = ["http://x.org/?my_utm_id=5&k=1", "http://x.org/?my_utm_id=6&k=1", "http://x.org/?utm_source=a&utm_medium=b&k=1", "http://x.org/?k=1&utm_source=a", "http://x.org/utm_a=1/"]
+    rows = spark.createDataFrame([(u,) for u in urls], "u string").select(warc.canonical_url(F.col("u")).alias("c"))
+    assert [r.c for r in rows.collect()] == ["x.org/?my_utm_id=5&k=1", "x.org/?my_utm_id=6&k=1", "x.org/?k=1", "x.org/?k=1", "x.org/utm_a=1"]
