@@ -9,7 +9,9 @@ hash: a global shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cladeframe.session import read_table, stage
@@ -24,7 +26,8 @@ def uniform(seed: int, *cols: Column) -> Column:
 
 
 def rates(docs: DataFrame, weights: dict[str, float] | None = None, budget: float = 1.0) -> DataFrame:
-    """(source, rate, cdf): rate is target share x budget x whole size / source's size.
+    """(source, rate, least, cdf): rate is target share x budget x whole size / source's size;
+    cdf is the Poisson distribution with that mean from `least` on.
 
     A document's size is its text's bytes plus one. Without weights, shares go by the
     square root of the sources' sizes. A source that weights don't name has rate 0.
@@ -40,20 +43,34 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, budget: floa
     rated = sizes.join(F.broadcast(whole)).withColumn(  # one row
         "rate", F.coalesce(F.try_divide(F.col("weight") * F.lit(float(budget)) * F.col("whole"), F.col("weights") * F.col("size")), F.lit(0.0))
     )
-    # Logarithms keep exp(-rate) from vanishing at high rates; the rest of the tail is under 1e-15.
-    most = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 20).cast("int")
-    start = F.struct(F.lit(0.0).alias("log_p"), F.array().cast("array<double>").alias("cdf"), F.lit(0.0).alias("sum"))
-    grown = F.aggregate(
-        F.sequence(F.lit(0), most),
-        start,
-        lambda acc, k: F.struct(
-            (log_p := F.when(k == 0, -F.col("rate")).otherwise(acc["log_p"] + F.ln("rate") - F.ln(k))).alias("log_p"),
-            F.concat(acc["cdf"], F.array(acc["sum"] + F.exp(log_p))).alias("cdf"),
-            (acc["sum"] + F.exp(log_p)).alias("sum"),
-        ),
-    )
-    cdf = F.when(F.col("rate") > 0, grown["cdf"]).otherwise(F.array(F.lit(1.0)))
-    return rated.select("source", "rate", cdf.alias("cdf"))
+    # Beyond 12 standard deviations and 20 on either side of the mean there is under 1e-15.
+    k, rate, spread = F.col("k"), F.col("rate"), F.ceil(12 * F.sqrt("rate") + 20)
+    least, most = F.greatest(F.lit(0).cast("long"), F.floor("rate") - spread), F.ceil("rate") + spread
+    steps = rated.select("source", "rate", least.alias("least"), F.explode(F.sequence(least, most)).alias("k"))
+    p = F.when(rate > 0, F.exp(k * F.ln("rate") - rate - log_factorial(k))).otherwise(F.when(k == 0, 1.0).otherwise(0.0))
+    over = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    cdf = F.transform(F.array_sort(F.collect_list(F.struct("k", "c"))), lambda x: x["c"])  # some 24 roots of the rate and 40
+    return steps.withColumn("c", F.sum(p).over(over)).groupBy("source", "rate", "least").agg(cdf.alias("cdf"))
+
+
+def log_factorial(k: Column) -> Column:
+    """ln k! of whole numbers: exact up to 20, then Stirling's series, to about 1e-15 of it."""
+    x = k.cast("double")
+    series = x * F.ln(x) - x + 0.5 * F.ln(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    return F.when(k <= 20, F.ln(F.factorial(F.least(k, F.lit(20)).cast("int")))).otherwise(series)
+
+
+def below(cdf: Column, u: Column) -> Column:
+    """How many numbers of a rising array are u or less, by binary search."""
+    start = F.struct(F.lit(0).alias("lo"), F.size(cdf).alias("hi"))
+
+    def step(acc: Column, _: Column) -> Column:
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        low = (acc["lo"] < acc["hi"]) & (F.get(cdf, mid) <= u)
+        return F.struct(F.when(low, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(low | (acc["lo"] >= acc["hi"]), acc["hi"]).otherwise(mid).alias("hi"))
+
+    halves = F.ceil(F.log2(F.size(cdf).cast("double") + 1)).cast("int")
+    return F.aggregate(F.sequence(F.lit(1), halves + 1), start, step)["lo"]
 
 
 def replicate(docs: DataFrame, weights: dict[str, float] | None = None, budget: float = 1.0, seed: int = SEED) -> DataFrame:
@@ -65,12 +82,12 @@ def replicate(docs: DataFrame, weights: dict[str, float] | None = None, budget:
     """
     docs = docs.drop("mix_rate", "mix_copy", "mix_order", "mix_source")
     # Written, so that its true size decides between a broadcast and a shuffled join.
-    rate = stage(rates(docs, weights, budget).select(F.col("source").alias("mix_source"), F.round("rate", 6).alias("mix_rate"), "cdf"), "rates")
-    u = uniform(seed, F.col("doc_id"))
-    joined = docs.join(rate, F.col("source").eqNullSafe(F.col("mix_source"))).withColumn("mix_count", F.size(F.filter("cdf", lambda c: c <= u)))
-    kept = joined.where("mix_count > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("mix_count") - 1)))
+    rate = stage(rates(docs, weights, budget).select(F.col("source").alias("mix_source"), F.round("rate", 6).alias("mix_rate"), "least", "cdf"), "rates")
+    mix_count = below(F.col("cdf"), uniform(seed, F.col("doc_id"))).cast("long") + F.col("least")
+    joined = docs.join(rate, F.col("source").eqNullSafe(F.col("mix_source"))).withColumn("mix_count", mix_count)
+    kept = joined.where("mix_count > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(0), (F.col("mix_count") - 1).cast("int"))))
     out = kept.withColumn("mix_order", uniform(seed + 1, F.col("doc_id"), F.col("mix_copy")))
-    return out.drop("mix_source", "cdf", "mix_count").repartitionByRange("mix_order").sortWithinPartitions("mix_order", "doc_id", "mix_copy")
+    return out.drop("mix_source", "least", "cdf", "mix_count").repartitionByRange("mix_order").sortWithinPartitions("mix_order", "doc_id", "mix_copy")
 
 
 def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from cladeframe.llm import mixing
 
 
@@ -34,3 +36,25 @@ def test_odd_rows(docs, odd):
     assert {"doc_id", "text", "mix_rate", "mix_copy", "mix_order"} <= set(out.columns)
     assert None in {r.source for r in out.collect()} and out.count() > 10
     assert mixing.replicate(docs().limit(0)).count() == 0
+
+
+def test_counts_are_the_inverse_of_the_distribution(spark):
+    """By a plain sum over all counts, at rates from none to where exp(-rate) vanishes."""
+    import random
+
+    r = random.Random(3)
+    rated = {0.0: [1.0], 0.3: [], 2.5: [], 24.0: [], 700.0: [], 4999.5: []}
+    for rate, cdf in rated.items():
+        total = 0.0
+        for k in range(int(rate + 14 * rate**0.5 + 30) if rate else 0):
+            total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+            cdf.append(total)
+    names = {f"s{i}": rate for i, rate in enumerate(rated)}
+    sizes = spark.createDataFrame([(s, "x" * 9) for s in names], "source string, text string")
+    found = mixing.rates(sizes, {s: rate for s, rate in names.items()}, budget=sum(names.values()) / len(names)).select("source", "rate", "least", "cdf")
+    assert {x.source: round(x.rate, 9) for x in found.collect()} == names
+    us = [(s, r.random()) for s in names for _ in range(200)]
+    got = spark.createDataFrame(us, "source string, u double").join(found, "source").select("source", "u", (mixing.below(F.col("cdf"), F.col("u")) + F.col("least")).alias("n"))
+    for x in got.collect():
+        assert x.n == sum(c <= x.u for c in rated[names[x.source]]), (x.source, x.u)
+    assert max(len(x.cdf) for x in found.collect()) < 2000
