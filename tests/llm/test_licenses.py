@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from cladeframe.llm import licenses
 
 
@@ -42,3 +44,12 @@ def test_spans(docs):
     text = "Intro words here. Released under the MIT License. And then some. Licensed under CC BY-NC 4.0. End"
     (row,) = licenses.scan(docs((1, text))).collect()
     assert [(m["license"], words(text)[m["start"] : m["end"]]) for m in row.matches] == [("MIT", words("Released under the MIT License")), ("CC-BY-NC-4.0", words("Licensed under CC BY-NC 4.0"))]
+
+
+def test_whole_licenses(docs, odd):
+    """Whole licenses in wrapped and commented lines, the notices beside them, and other columns by the operator's names."""
+    found = {"MIT": licenses._MIT, "BSD-3-Clause": licenses.TEMPLATES["BSD-3-Clause"][2], "ISC": licenses.TEMPLATES["ISC"][0], "Unlicense": licenses.TEMPLATES["Unlicense"][0]}
+    wrap = lambda t: "/* Copyright (c) 2020 A. Uthor\n" + "\n".join(" * " + " ".join(t.split()[i : i + 9]) for i in range(0, len(t.split()), 9)) + "\n */\nint main"
+    rows = docs(*((i, wrap(t)) for i, t in enumerate(found.values()))).withColumns({"matches": F.lit(1), "licenses": F.lit("x")})
+    got = {r.doc_id: {m["license"] for m in r.matches} for r in licenses.scan(rows).collect()}
+    assert got == {0: {"MIT"}, 1: {"BSD-3-Clause", "BSD-2-Clause"}, 2: {"ISC"}, 3: {"Unlicense"}}
