@@ -163,7 +163,10 @@ def to_pcm(media: DataFrame, column: str = "media", to_rate: int = 16000) -> Dat
 
 def store(texts: DataFrame, codec: str = ULAW, rate: int = 8000) -> DataFrame:
     """(doc_id, n_bytes, media): UTF-8 bytes padded by spaces to a positive multiple of
-    192 and stored as the codec's units; null texts count as empty. A lossless carrier."""
+    192 and stored as the codec's units: a lossless carrier.
+
+    One row per row of texts, repeated and null ids too; null texts count as empty. No rows
+    give no rows. Other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -180,7 +183,10 @@ def describe(media: DataFrame, to_rate_factor: int = 2) -> DataFrame:
     """Digests and features of stored media: payload_bytes, payload_sha256, tail_crc32,
     media_bytes, media_sha256 and feature. The feature reads the payload as each codec,
     decodes and doubles its rate: per codec the sample count, root mean square, zero
-    crossings, and the CRC of the resampled PCM."""
+    crossings, and the CRC of the resampled PCM.
+
+    One row per row of store(), repeated and null ids too, equal ones for equal media; no
+    rows give no rows. Null media, or files that wav() didn't write, raise an error."""
     if to_rate_factor != 2:
         raise ValueError("features are taken at twice the rate")
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"

@@ -281,7 +281,8 @@ def spans_of(text: str | None, model: Model) -> tuple[list[Span], list[Span]]:
 def find(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, base and spans (array<struct<kind, start, end>>, code points, end exclusive).
 
-    One row per row of docs, repeated or null ids too; null texts have no spans.
+    One row per row of docs, repeated or null ids too; null texts have no spans. No rows give
+    no rows. Other columns are ignored.
     """
     kind = "array<struct<kind:string,start:int,end:int>>"
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))

@@ -63,7 +63,8 @@ def slices(text: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int,
 
 def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
     """Hand texts to Python workers a thousand rows at a time: at kilobytes a row, the default
-    of ten thousand holds too much on both sides. Smaller settings are left alone."""
+    of ten thousand holds too much on both sides. Smaller settings are left alone. The
+    session keeps the setting, as plans read it only when they run."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:

@@ -414,7 +414,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Scorer:
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """doc_id, score: of every row of docs, repeated and null ids too; null texts as empty ones."""
+    """doc_id, score: of every row of docs, repeated and null ids too; null texts as empty ones.
+    No rows give no rows. Other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = scorer.restorer()
@@ -427,7 +428,8 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, scorer: Scorer, reject: float = REJECT) -> DataFrame:
-    """The rows of docs, all columns, that score below `reject`."""
+    """The rows of docs, all columns, that score below `reject`: repeated rows, null ids and null
+    texts (as empty ones) by their own score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = scorer.restorer()

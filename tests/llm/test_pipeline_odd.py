@@ -25,3 +25,19 @@ def test_every_stage_on_odd_rows(spark, odd):
     assert ids(steps["toxicity"](spark, odd, SF)) == ids(odd) == ids(steps["pii"](spark, odd, SF))
     assert set(ids(steps["mixing"](spark, odd, SF))) <= set(ids(odd))
     assert None in ids(steps["packing"](spark, odd, SF))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name, step", corpus_pipeline.STAGES)
+def test_empty_tables_and_clashing_names(spark, docs, odd, name, step):
+    extra = {c: odd.lang for c in ("score", "_id", "_row", "mix_copy", "mix_rate", "source_", "piece", "spans", "component_id", "cdf")}
+    out = step(spark, docs().limit(0), SF)
+    assert out.count() == 0
+    more = step(spark, odd.withColumns(extra), SF)
+    assert more.columns == out.columns == (corpus_pipeline.COLUMNS if name != "packing" else more.columns)
+    cols = corpus_pipeline.COLUMNS[:3] if name != "packing" else ["doc_id", "piece", "length", "ids_crc32"]
+    key = lambda df: Counter(map(str, df.select(*cols).collect()))
+    assert key(more) == key(step(spark, odd, SF))
+    texts = {r.text for r in odd.collect()}
+    if name in ("toxicity", "near-dedup", "pii"):
+        assert {r.text for r in more.collect()} == texts

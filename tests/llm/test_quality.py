@@ -47,3 +47,41 @@ def test_score_parts_clean_from_junk(spark, docs):
     again = quality.log_ratios(df, quality.trusted_sample(labels), 1024)
     assert again == model
     assert quality.log_ratios(docs().limit(0), quality.trusted_sample(labels.limit(0)), 16) == [0.0] * 16
+
+
+def test_whole_result_against_brute_force(spark, docs):
+    """llr and kept too, from hashes that a library beside Spark computes."""
+    import struct
+
+    import xxhash
+
+    number = lambda h: h - (1 << 64) if h >> 63 else h
+    one = lambda w: number(xxhash.xxh64_intdigest(w.encode(), 42))
+    step = lambda x, seed: xxhash.xxh64_intdigest(struct.pack("<q", x), seed)
+
+    def grams(text, n):
+        h = [one(w) for w in WORD.findall(text or "")]
+        return [x % n for x in h] + [number(step(b, step(a, 42))) % n for a, b in zip(h, h[1:])]
+
+    r = random.Random(11)
+    rows = [(i, " ".join(r.choice(["ab", "cd", "ef", "é", "#", f"w{r.randrange(40)}"]) for _ in range(r.randrange(50)))) for i in range(50)] + [(60, None), (61, ""), (None, "ab cd " * 9), (62, rows_62 := "x y " * 30), (62, rows_62)]
+    trusted = [i for i in range(0, 50, 3)]
+    n = 128
+    raw, target = [1.0] * n, [1.0] * n
+    for i, t in rows:
+        for b in grams(t, n):
+            raw[b] += 1
+            target[b] += i in trusted
+    table = [math.log(a / sum(target)) - math.log(b / sum(raw)) for a, b in zip(target, raw)]
+    df, labels = docs(*rows), spark.createDataFrame([(i, 1, 0) for i in trusted] + [(7, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    got = quality.judge(df, quality.log_ratios(df, quality.trusted_sample(labels), n), threshold=-0.02).collect()
+    want = []
+    for i, t in rows:
+        b, own = base(t), grams(t, n)
+        llr = sum(table[x] for x in own) / len(own) if own else 0.0
+        failed = b[0] < 10 or 100 * b[4] > 20 * b[0]
+        assert abs(llr + 0.02) > 1e-6
+        want.append((str(i), *b, failed, round(llr, 7), not failed and llr >= -0.02))
+    cols = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert sorted(want) == sorted((str(x.doc_id), *(x[c] for c in cols), round(x.llr, 7), x.kept) for x in got)
+    assert len({x.kept for x in got}) == 2
