@@ -79,11 +79,14 @@ def species_of(name: Column) -> Column:
 
 
 def class_from_prefix(gene: Column) -> Column:
-    """The organism that a gene id's prefix tells, or null."""
-    # Prefixes of gene ids by organism.
-    found = F.when(gene.startswith("At"), "At").when(gene.startswith("CE"), "CE").when(gene.startswith("Hs"), "HS")
-    found = found.when(gene.startswith("SP"), "SP").when(gene.startswith("EC"), "EC").when(gene.startswith("Y"), "SC")
-    return found.when(gene.rlike("^[0-9]"), "NUM")
+    """The organism that the first two characters of a gene id tell, or null; ids that begin
+    with a whole number are of the fly."""
+    two = F.substring(gene, 1, 2)
+    # Organism codes by the prefixes of gene ids.
+    codes = {"At": "ath", "CE": "cel", "Hs": "hsa", "SP": "spo", "EC": "ecu"}
+    yeast, fly = "sce", "dme"
+    known = F.create_map(*(F.lit(x) for kv in codes.items() for x in kv))
+    return F.coalesce(F.element_at(known, two), F.when(two.startswith("Y"), yeast).when(two.rlike(r"^\s*[+-]?[0-9]+\s*$"), fly))
 
 
 def hamming(a: Column, b: Column) -> Column:

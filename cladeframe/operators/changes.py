@@ -38,3 +38,12 @@ def change_log_diff(items: DataFrame) -> DataFrame:
     a = items.withColumnRenamed("release", "release_a").join(F.broadcast(releases), F.col("release_a") != F.col("release_b"))  # a row per release
     b = items.select(F.col("release").alias("release_b"), "kind", "item")
     return a.join(b, ["release_b", "kind", "item"], "left_anti").select("release_a", "release_b", "kind", "item")
+
+
+def change_log_names(genomes: DataFrame) -> DataFrame:
+    """(release_a, release_b, taxon, name): eukaryotes of a that b hasn't, with their names in a."""
+    euks = genomes.where("category = 'E'").select(F.col("release").alias("release_a"), "taxon", "name").distinct()
+    releases = genomes.select(F.col("release").alias("release_b")).distinct()
+    a = euks.join(F.broadcast(releases), F.col("release_a") != F.col("release_b"))  # a row per release
+    b = euks.select(F.col("release_a").alias("release_b"), "taxon")
+    return a.join(b, ["release_b", "taxon"], "left_anti").select("release_a", "release_b", "taxon", "name")

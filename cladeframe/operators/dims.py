@@ -99,6 +99,13 @@ def replace_genome(genes: DataFrame, genomes: DataFrame, genome: str, new_genes:
     return kept, genomes.where(F.col("genome") != genome).select("genome", "name", "taxon").unionByName(row)
 
 
+def replace_genome_on_disk(path: str, genome: str, new_genes: DataFrame) -> None:
+    """Overwrite the rows of one genome in a Parquet table that is partitioned by genome; the
+    other genomes' files aren't touched."""
+    rows = new_genes.drop("genome").withColumn("genome", F.lit(genome))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("genome").parquet(path)
+
+
 def resolve_names(genomes: DataFrame, names: list[str], least: int = 1) -> list[str]:
     """Ids of the named genomes, by name, once each. Unknown names and too few raise ValueError."""
     wanted = genomes.sparkSession.createDataFrame([(n,) for n in sorted(set(names))], "name string")

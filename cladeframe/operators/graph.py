@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cladeframe.operators.ranking import dense_ids
 from cladeframe.session import stage
 
 
@@ -45,22 +46,24 @@ def cluster_edges(edges: DataFrame, components: DataFrame, a: str = "a", b: str
     return edges.join(components.select(F.col("node").alias(a), F.col("component").alias("cid")), a)
 
 
-def cluster_stats(edges: DataFrame, components: DataFrame, classes: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """cid, n_nodes, n_edges, sum_dist, avg_dist, n_classes, classes per component.
+def cluster_stats(edges: DataFrame, components: DataFrame, classes: DataFrame | None = None, a: str = "a", b: str = "b") -> DataFrame:
+    """cid, n_nodes, n_edges, sum_dist, avg_dist, n_classes, classes, unclassified per component.
 
     edges has a column dist, summed to 12 places and so alike in any order; classes (node, class) may come from any expression or UDF,
-    and nodes without a row there are of class '1'."""
-    nodes = components.join(classes, "node", "left").groupBy(F.col("component").alias("cid")).agg(
-        F.count("*").alias("n_nodes"), F.array_sort(F.collect_set(F.coalesce("class", F.lit("1")))).alias("classes")
+    and nodes without a class there count as one more class and make a cluster unclassified.
+    Without classes, all nodes are of class '1'. A node has one class."""
+    named = components.withColumn("class", F.lit("1")) if classes is None else components.join(classes, "node", "left")
+    nodes = named.groupBy(F.col("component").alias("cid")).agg(
+        F.count("*").alias("n_nodes"), F.array_sort(F.collect_set("class")).alias("classes"), F.bool_or(F.col("class").isNull()).alias("unclassified")
     )
     sums = cluster_edges(edges, components, a, b).groupBy("cid").agg(F.count("*").alias("n_edges"), F.sum(F.col("dist").cast("decimal(28,12)")).cast("double").alias("sum_dist"))
-    return nodes.join(sums, "cid").select("cid", "n_nodes", "n_edges", "sum_dist", (F.col("sum_dist") / F.col("n_edges")).alias("avg_dist"), F.size("classes").alias("n_classes"), "classes")
+    return nodes.join(sums, "cid").select("cid", "n_nodes", "n_edges", "sum_dist", (F.col("sum_dist") / F.col("n_edges")).alias("avg_dist"), (F.size("classes") + F.col("unclassified").cast("int")).alias("n_classes"), "classes", "unclassified")
 
 
 def clustering_summary(stats: DataFrame) -> DataFrame:
     """One row over cluster_stats(): counts, the global share of closed pairs, and least, largest
     and mean of the closed share, mean distance, nodes, edges and classes of the clusters;
-    bogus tells whether a cluster has more nodes of a class than it has classes of nodes."""
+    bogus tells whether a cluster has a node of no class."""
     pairs = F.col("n_nodes") * (F.col("n_nodes") - 1) / 2
     s = stats.withColumn("pairs", pairs).withColumn("tcc", F.try_divide(F.col("n_edges"), F.col("pairs")))
     spread = [
@@ -71,11 +74,11 @@ def clustering_summary(stats: DataFrame) -> DataFrame:
     return s.agg(
         F.count("*").alias("n_clusters"), F.sum("n_nodes").alias("sum_nodes"), F.sum("n_edges").alias("sum_edges"),
         F.try_divide(F.sum("n_edges"), F.sum("pairs")).alias("global_tcc"), *spread,
-        F.coalesce(F.bool_or(F.col("n_classes") > F.col("n_nodes")), F.lit(False)).alias("bogus"),
+        F.coalesce(F.bool_or("unclassified"), F.lit(False)).alias("bogus"),
     )
 
 
-def threshold_sweep(edges: DataFrame, classes: DataFrame, limits: list[float], a: str = "a", b: str = "b") -> DataFrame:
+def threshold_sweep(edges: DataFrame, classes: DataFrame | None, limits: list[float], a: str = "a", b: str = "b") -> DataFrame:
     """clustering_summary() of the edges up to each limit, with the limit as distance."""
     out = None
     for limit in limits:
@@ -85,6 +88,20 @@ def threshold_sweep(edges: DataFrame, classes: DataFrame, limits: list[float], a
     return out
 
 
+def sampled_summaries(edges: DataFrame, classes: DataFrame | None, every: int, *order: str, a: str = "a", b: str = "b") -> DataFrame:
+    """clustering_summary() of the first edges in order, after each `every` of them, with n_seen
+    and the distance of the last one. As many clusterings as the number of edges divided by
+    `every`: choose it so that these are few. Fewer edges than that give no rows."""
+    numbered = stage(dense_ids(edges, *order, name="_nth"), "numbered-edges")
+    out = None
+    for seen in range(every, numbered.count() + 1, every) or [0]:
+        some = numbered.where(F.col("_nth") <= seen)
+        last = some.where(F.col("_nth") == seen).select(F.lit(seen).cast("long").alias("n_seen"), F.col("dist").alias("distance"))
+        row = clustering_summary(cluster_stats(some, connected_components(some, a, b), classes, a, b)).join(F.broadcast(last))  # one row
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def transitively_closed(stats: DataFrame, n_genomes: int) -> DataFrame:
     """Clusters with an edge for every pair of nodes, in all genomes of the result."""
     return stats.where((F.col("n_edges") >= F.col("n_nodes") * (F.col("n_nodes") - 1) / 2) & (F.col("n_classes") == n_genomes))

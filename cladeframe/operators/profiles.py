@@ -14,6 +14,11 @@ def genome_order(genomes: DataFrame, primary: str | None = None) -> list[str]:
     return [primary, *(g for g in found if g != primary)] if primary in found else found
 
 
+def _listed(genomes: list[str]) -> Column:
+    """The genomes as one constant array, so that plans don't grow with them."""
+    return F.array(*map(F.lit, genomes)) if genomes else F.array().cast("array<string>")
+
+
 def cluster_matrix(members: DataFrame, genomes: list[str]) -> DataFrame:
     """(cid, cells): the sorted genes of each genome, an array of arrays in the given order.
 
@@ -23,7 +28,7 @@ def cluster_matrix(members: DataFrame, genomes: list[str]) -> DataFrame:
     by = cells.groupBy("cid").agg(F.map_from_entries(F.collect_list(F.struct("genome", "genes"))).alias("m"))
     kind = members.schema["gene"].dataType.simpleString()
     empty = F.array().cast(f"array<{kind}>")
-    return by.select("cid", F.array(*(F.coalesce(F.element_at("m", F.lit(g)), empty) for g in genomes)).alias("cells"))
+    return by.select("cid", F.transform(_listed(genomes), lambda g: F.coalesce(F.element_at("m", g), empty)).alias("cells"))
 
 
 def cluster_pivot(members: DataFrame, genomes: list[str]) -> DataFrame:
@@ -34,7 +39,7 @@ def cluster_pivot(members: DataFrame, genomes: list[str]) -> DataFrame:
 def profiles(members: DataFrame, genomes: list[str]) -> DataFrame:
     """(cid, profile): 1 for each genome, in order, that the cluster has genes of."""
     own = members.groupBy("cid").agg(F.collect_set("genome").alias("present"))
-    return own.select("cid", F.array(*(F.array_contains("present", F.lit(g)).cast("int") for g in genomes)).alias("profile"))
+    return own.select("cid", F.transform(_listed(genomes), lambda g: F.array_contains("present", g).cast("int")).alias("profile"))
 
 
 def transposed_profiles(members: DataFrame, clusters: DataFrame, genomes: list[str]) -> DataFrame:
@@ -91,15 +96,24 @@ def best_gene_name(members: DataFrame, names: DataFrame, genomes: list[str], pri
     return members.join(names, "gene", "left").groupBy("cid").agg(F.min_by(named, F.when(named.isNotNull(), key)).alias("gene_name"))
 
 
+def info_place(info: Column) -> Column:
+    """Where the first blank of a struct<acc, name, term> is; 3 if there is none."""
+    blank = lambda c: F.coalesce(info[c], F.lit("")) == ""
+    return F.when(blank("acc"), 0).when(blank("name"), 1).when(blank("term"), 2).otherwise(3)
+
+
 def better_info(infos: Column) -> Column:
     """Of an array of struct<acc, name, term>, the one whose first blank comes latest; ties go
     to the first."""
-    blank = lambda c: F.coalesce(c, F.lit("")) == ""
-    place = lambda x: F.when(blank(x["acc"]), 0).when(blank(x["name"]), 1).when(blank(x["term"]), 2).otherwise(3)
-    keyed = F.transform(infos, lambda x, i: F.struct(place(x).alias("p"), (-i).alias("i"), x.alias("x")))
+    keyed = F.transform(infos, lambda x, i: F.struct(info_place(x).alias("p"), (-i).alias("i"), x.alias("x")))
     return F.array_max(keyed)["x"]
 
 
+def best_info(info: Column, order: Column) -> Column:
+    """better_info() of a group's rows in the given order, as an aggregate that keeps one of them."""
+    return F.min_by(info, F.struct(-info_place(info), order))
+
+
 def page(rows: DataFrame, order: str, page_num=1, page_size=None, default: int = 100) -> DataFrame:
     """One page of rows: sizes that aren't numbers mean the default, sizes under 1 or over the
     number of rows all; page numbers are held to those there are."""
@@ -108,8 +122,8 @@ def page(rows: DataFrame, order: str, page_num=1, page_size=None, default: int =
         size = int(page_size) if page_size is not None else default
     except (TypeError, ValueError):
         size = default
-    if size < 1 or size > total:
-        size = max(total, 1)
+    if size < 1 or size >= total:
+        return rows.orderBy(order)  # all rows stay in their partitions
     pages = max(1, -(-total // size))
     try:
         number = min(max(int(page_num), 1), pages)

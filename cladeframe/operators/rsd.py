@@ -2,21 +2,59 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def vector_hits(vectors: DataFrame) -> DataFrame:
-    """(qid, qdb, sid, sdb, dist) both ways between genes of different genomes, by the Euclidean
-    distance of their vectors, rounded to 6 places.
-
-    vectors (gene, genome, vector). Every pair between genomes is wanted, as in an all-pairs
-    comparison of sequences; genes of the larger side stay where they are."""
-    v = vectors.select("gene", "genome", F.transform("vector", lambda x: x.cast("double")).alias("v"))
-    a = v.select(F.col("gene").alias("qid"), F.col("genome").alias("qdb"), F.col("v").alias("qv"))
-    b = v.select(F.col("gene").alias("sid"), F.col("genome").alias("sdb"), F.col("v").alias("sv"))
-    square = F.aggregate(F.zip_with("qv", "sv", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-    return a.join(b, F.col("qdb") != F.col("sdb")).select("qid", "qdb", "sid", "sdb", F.round(F.sqrt(square), 6).alias("dist"))
+from cladeframe.session import stage
+
+
+BLOCK_ROWS = 2048  # vectors of one side that a task compares with as many of another genome
+
+
+def vector_hits(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(qid, qdb, sid, sdb, dist), qdb < sdb: hits between genes of different genomes that are the
+    nearest of either one among a block of vectors, by the Euclidean distance rounded to 6 places;
+    of equal ones the smaller id's.
+
+    vectors (gene, genome, vector). Every pair of genomes is compared in full, as in an
+    all-pairs comparison of sequences: genomes are cut into blocks, each pair of blocks is one
+    matrix product, and only nearest candidates leave it. So a gene's nearest hit in each
+    other genome is among the rows, which is all that reciprocal hits need. Rows without a
+    gene, genome or vector, and vectors of another length than the block's first, are an error."""
+    v = vectors.select("gene", "genome", F.col("vector").cast("array<double>").alias("v"))
+    n = F.greatest(F.lit(1), F.ceil(F.count("*") / block_rows)).cast("int")
+    sizes = stage(v.groupBy("genome").agg(n.alias("blocks")), "blocks")
+    dealt = stage(v.join(sizes, "genome").withColumn("block", F.pmod(F.xxhash64("gene"), F.col("blocks")).cast("int")).drop("blocks"), "dealt-vectors")
+    one = lambda db, i: sizes.select(F.col("genome").alias(db), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(i))
+    # A row per pair of blocks: the square of the number of blocks, not of genes.
+    units = stage(one("qdb", "i").join(one("sdb", "j"), F.col("qdb") < F.col("sdb")), "pairs-of-blocks")
+    side = lambda db, i, k: units.join(dealt.withColumnsRenamed({"genome": db, "block": i}), [db, i]).select("qdb", "sdb", "i", "j", F.lit(k).alias("side"), "gene", "v")
+    kind = vectors.schema["gene"].dataType.simpleString()
+    schema = f"qid {kind}, qdb string, sid {kind}, sdb string, dist double"
+    return side("qdb", "i", 0).unionByName(side("sdb", "j", 1)).groupBy("qdb", "sdb", "i", "j").applyInArrow(_nearest, schema).distinct()
+
+
+def _nearest(t: pa.Table) -> pa.Table:
+    """The nearest of the other side for each row of a pair of blocks."""
+    t = t.sort_by("gene")
+    is_b = t.column("side").to_numpy() == 1
+    a, b = t.filter(pa.array(~is_b)), t.filter(pa.array(is_b))
+    x, y = (np.array(s.column("v").to_pylist(), float).reshape(s.num_rows, -1) for s in (a, b))
+    out = []
+    if len(x) and len(y):
+        # Row by row, so that distances are exact differences and memory is that of one row's.
+        best_b = np.full(len(y), np.inf), np.zeros(len(y), int)
+        for k, row in enumerate(x):
+            d = np.round(np.sqrt(((y - row) ** 2).sum(1)), 6)
+            out.append((k, int(d.argmin()), float(d.min())))
+            nearer = d < best_b[0]
+            best_b[0][nearer], best_b[1][nearer] = d[nearer], k
+        out += [(int(k), m, float(d)) for m, (d, k) in enumerate(zip(*best_b))]
+    ka, kb = (pa.array([o[c] for o in out], pa.int64()) for c in (0, 1))
+    db = lambda c: pa.array([t.column(c)[0].as_py()] * len(out), pa.string())
+    return pa.Table.from_arrays([a.column("gene").take(ka), db("qdb"), b.column("gene").take(kb), db("sdb"), pa.array([o[2] for o in out], pa.float64())], names=["qid", "qdb", "sid", "sdb", "dist"])
 
 
 def reciprocal_smallest_distance(forward: DataFrame, backward: DataFrame | None = None, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -145,6 +145,19 @@ def gene_view(result: Result, terms: DataFrame, cid) -> DataFrame:
     return rows.orderBy("mean_from", "mean_hamming", "n_clusters", "term")
 
 
+def gene_sequences(result: Result, sequences: DataFrame, cid) -> DataFrame:
+    """(genome, gene, value): the FASTA text of each gene of a cluster that has a sequence
+    (gene, nameline, sequence), null where it has none."""
+    own = result.members.where(F.col("cid") == cid).select("genome", "gene")
+    text = sequences.select("gene", sinks.fasta_text().alias("value"))
+    return own.join(text, "gene", "left").select("genome", "gene", "value").orderBy("genome", "gene")
+
+
+def gene_edges(result: Result, cid) -> DataFrame:
+    """(q, qdb, s, sdb, dist): the edges of a cluster."""
+    return result.edges.where(F.col("cid") == cid).select("q", "qdb", "s", "sdb", "dist").orderBy("q", "s")
+
+
 def term_view(result: Result, terms: DataFrame, term: str) -> DataFrame:
     """The clusters of one term, each with the term's mean distance (null: too many)."""
     per_term = stage(profiles.cluster_terms(result.members, terms).where(F.col("term") == term), "cluster-terms")
@@ -159,9 +172,8 @@ def hamming_profile(result: Result, names: DataFrame, terms: DataFrame) -> DataF
     first_term = terms.groupBy("gene").agg(F.min("term").alias("term"))
     genes = result.members.join(names, "gene", "left").join(first_term, "gene", "left")
     info = F.struct(F.col("gene").cast("string").alias("acc"), F.coalesce("gene_name", F.lit("")).alias("name"), F.coalesce("term", F.lit("")).alias("term"))
-    per = result.profiles().join(genes, "cid").groupBy("profile").agg(F.count_distinct("cid").alias("n"), F.array_sort(F.collect_set(F.struct(F.col("gene").alias("g"), info.alias("info")))).alias("infos"))
-    best = profiles.better_info(F.transform("infos", lambda x: x["info"]))
-    return per.select(F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"), "n", best.alias("best")).select("profile", "n", F.concat_ws(" ", "best.acc", "best.name", "best.term").alias("info"))
+    per = result.profiles().join(genes, "cid").groupBy("profile").agg(F.count_distinct("cid").alias("n"), profiles.best_info(info, F.col("gene")).alias("best"))
+    return per.select(F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"), "n", "best").select("profile", "n", F.concat_ws(" ", "best.acc", "best.name", "best.term").alias("info"))
 
 
 def clusters_view(result: Result, names: DataFrame, terms: DataFrame, page_num=1, page_size=None) -> DataFrame:
@@ -206,7 +218,7 @@ def render(result: Result, kind: str, names: DataFrame, terms: DataFrame) -> Dat
     spark = result.members.sparkSession
     if kind == "text":
         listed = spark.createDataFrame([(g,) for g in result.genomes], "genome string")
-        return sinks.result_text(result.members, listed, names, terms)
+        return sinks.result_lines(result.members, result.stats, listed, names, terms)
     if kind == "matrix":
         return sinks.profile_matrix_text(result.members, result.genomes, names, terms)
     if kind in ("nexus", "phylip"):

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeframe.operators import census, dims, pairs, rsd
+from cladeframe import model
+from cladeframe.operators import census, changes, dims, pairs, ranking, rsd
 from cladeframe.session import stage
+from cladeframe.sources import readers, sinks
+from cladeframe.streaming.load import stream_load_orthologs
 
 
 @dataclass
@@ -21,6 +24,9 @@ class Release:
     pairs: DataFrame
     orthologs: DataFrame
     stats: DataFrame
+    timings: DataFrame | None = None
+    items: DataFrame | None = None
+    changes: DataFrame | None = None
 
 
 def extract_genes(records: DataFrame, selected: DataFrame) -> DataFrame:
@@ -36,9 +42,14 @@ def genome_names(selected: DataFrame, taxa: DataFrame) -> DataFrame:
     return rows
 
 
-def build_release(records: DataFrame, taxa: DataFrame, hits: DataFrame, grid: DataFrame, least: int = census.LEAST_SEQUENCES) -> Release:
+def build_release(
+    records: DataFrame, taxa: DataFrame, hits: DataFrame, grid: DataFrame, least: int = census.LEAST_SEQUENCES,
+    timings: DataFrame | None = None, release: str = "new", before: DataFrame | None = None,
+) -> Release:
     """From records (genome, acc, ns, ...), taxa (taxon, cat_code, name) and hits among genes
-    (qid, qdb, sid, sdb, dist) to all tables of a release."""
+    (qid, qdb, sid, sdb, dist) to all tables of a release: totals of the timings (type,
+    start_time, end_time) of its steps, its items for the change log, and, with the items of
+    earlier releases, what differs. export_release() writes its downloads."""
     records = stage(records, "records")  # parsed once
     counted = stage(census.genome_census(records), "census")
     selection = stage(census.select_genomes(counted, taxa, least), "selection")
@@ -48,7 +59,39 @@ def build_release(records: DataFrame, taxa: DataFrame, hits: DataFrame, grid: Da
     all_pairs = pairs.genome_pairs(genomes)
     own = hits.join(all_pairs.select("qdb", "sdb"), ["qdb", "sdb"], "left_semi")
     orthologs = stage(rsd.rsd_grid(own, grid), "orthologs")
-    return Release(counted, census.census_anomalies(counted), selection, genes, genomes, all_pairs, orthologs, census.dataset_stats(genomes, orthologs))
+    listed = genomes.join(taxa.select("taxon", F.col("cat_code").alias("category")), "taxon", "left")
+    items = stage(changes.change_items(listed.select(F.lit(release).alias("release"), "taxon", "name", "category")), "items")
+    return Release(
+        counted, census.census_anomalies(counted), selection, genes, genomes, all_pairs, orthologs, census.dataset_stats(genomes, orthologs),
+        None if timings is None else census.timing_totals(timings), items, None if before is None else changes.change_log_diff(items.unionByName(before)),
+    )
+
+
+def export_release(genes: DataFrame, genomes: DataFrame, orthologs: DataFrame, path: str, div_evalues: DataFrame | None = None, compression: str | None = "gzip") -> dict[str, str]:
+    """A release's downloads below path: FASTA by genome, PA/OR text by parameter set, and an OrthoXML
+    document, of all orthologs (qdb, sdb, div, evalue, qid, sid, dist) or of the given sets.
+
+    genes (acc, genome, nameline, sequence). Returns the folder of each; what is there stays."""
+    if div_evalues is not None:
+        orthologs = orthologs.join(div_evalues.select("div", "evalue"), ["div", "evalue"], "left_semi")
+    own = genes.join(genomes.select("genome"), "genome", "left_semi")
+    paths = {kind: f"{path}/{kind}" for kind in ("fasta", "orthologs", "orthoxml")}
+    if not _there(genes.sparkSession, paths["fasta"]):
+        sinks.write_genome_fasta(own, paths["fasta"])
+    if not _there(genes.sparkSession, paths["orthologs"]):
+        sinks.collate_orthologs(model.nest(orthologs), paths["orthologs"], compression=compression)
+    numbered = stage(ranking.dense_ids(own.select(F.col("acc").alias("gene"), "genome"), "genome", "gene", name="num"), "numbered")
+    sinks.write_text(sinks.orthoxml_pairs(orthologs, numbered), paths["orthoxml"], ["section", "ord"], compression)
+    return paths
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.text(path).inputFiles())
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return False
 
 
 def build_reference_set(genes: DataFrame, taxa: DataFrame, hits: DataFrame, limit: float) -> tuple[DataFrame, DataFrame]:
@@ -58,6 +101,18 @@ def build_reference_set(genes: DataFrame, taxa: DataFrame, hits: DataFrame, limi
     return genomes, rsd.reciprocal_smallest_distance(own)
 
 
+def reference_set_from_dir(spark: SparkSession, source: str, taxa: DataFrame, hits: DataFrame, limit: float, div: str, evalue: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """build_reference_set() of a directory of FASTA by genome, with its downloads written below out.
+
+    The genes are the directory's records by their ids; hits are among these."""
+    found = readers.read_genome_dir(spark, source)
+    genes = stage(found.select(F.col("id").alias("acc"), "genome", "nameline", F.col("seq").alias("sequence")), "reference-genes")
+    genomes, matched = build_reference_set(genes, taxa, hits, limit)
+    orthologs = stage(matched.select("qdb", "sdb", F.lit(div).alias("div"), F.lit(evalue).alias("evalue"), "qid", "sid", "dist"), "reference-orthologs")
+    export_release(genes, genomes, orthologs, out)
+    return genomes, orthologs
+
+
 def load_release(tables: dict[str, DataFrame], database: str, release: str) -> None:
     """Save a release's tables as <database>.<release>_<table>, over what is there."""
     spark = next(iter(tables.values())).sparkSession
@@ -70,3 +125,20 @@ def release_dimensions(genes: DataFrame, names: DataFrame, taxa: DataFrame, term
     genomes = stage(dims.genome_dimension(genes.select("genome"), names, taxa, census.count_sequences(genes)), "genomes")
     sequences = stage(dims.sequence_dimension(genes, genomes), "sequences")
     return {"genomes": genomes, "sequence": sequences, "sequence_to_go_term": dims.gene_term_bridge(genes, sequences, terms)}
+
+
+def load(spark: SparkSession, tables: dict[str, DataFrame], orthdata: str, path: str, release: str, date: str) -> DataFrame:
+    """Load a release below path: its tables as Parquet, then the PA/OR files under orthdata as a
+    stream, then its row (release, release_date, num_genomes, num_pairs, num_orthologs), which is
+    returned. The row comes last, so that a release that has it is whole; a load that is run
+    again replaces the tables and adds the files that are missing."""
+    genomes = tables["genomes"]
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{path}/{release}/{name}")
+    stream_load_orthologs(spark, orthdata, f"{path}/{release}/results", f"{path}/{release}/checkpoint")
+    counted = spark.read.parquet(f"{path}/{release}/results").agg(F.coalesce(F.sum("num_orthologs"), F.lit(0)).cast("long").alias("num_orthologs"))
+    n = F.count("*")
+    stats = genomes.agg(n.alias("num_genomes"), F.floor(n * (n - 1) / 2).cast("long").alias("num_pairs")).join(F.broadcast(counted))  # one row
+    row = stats.select(F.lit(release).alias("release"), F.to_date(F.lit(date), "yyyy-MM-dd").alias("release_date"), "num_genomes", "num_pairs", "num_orthologs")
+    row.write.mode("overwrite").parquet(f"{path}/{release}/release")
+    return spark.read.parquet(f"{path}/{release}/release")

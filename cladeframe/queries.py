@@ -39,15 +39,15 @@ def _R6(x: str) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), 6) AS DOUBLE)"
 
 
-#: Components of `edges`: n (node), cid; g is the genome of a node.
+#: Components of `edges`: n (node), cid; g is the genome of a node. Labels fall until each is its component's least node.
 C_SQL = f"""WITH RECURSIVE {E_SQL},
 e(a, b) AS (SELECT q, s FROM edges UNION SELECT s, q FROM edges),
-r AS (SELECT a n, a m FROM e UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.n),
-comp AS (SELECT n, min(m) cid FROM r GROUP BY n),
+comp(n, cid) USING KEY (n) AS (SELECT a, min(least(a, b)) FROM e GROUP BY a
+ UNION (SELECT e.b, min(c.cid) FROM comp c JOIN e ON e.a = c.n JOIN recurring.comp o ON o.n = e.b WHERE c.cid < o.cid GROUP BY e.b)),
 members AS (SELECT cid, p_brand genome, n gene FROM comp JOIN part ON p_partkey = n),
 sums AS (SELECT cid, count(*) n_edges, CAST(sum(CAST(dist AS DECIMAL(28, 12))) AS DOUBLE) sum_dist FROM edges JOIN comp ON n = q GROUP BY cid),
-stats AS (SELECT cid, n_nodes, n_edges, {_R6('sum_dist')} sum_dist, {_R6('sum_dist / n_edges')} avg_dist, n_classes FROM sums
-          JOIN (SELECT cid, count(*) n_nodes, count(DISTINCT genome) n_classes FROM members GROUP BY cid) USING (cid)),
+stats AS (SELECT cid, n_nodes, n_edges, {_R6('sum_dist')} sum_dist, {_R6('sum_dist / n_edges')} avg_dist, sum_dist / n_edges AS mean_dist, n_classes, bogus FROM sums
+          JOIN (SELECT cid, count(*) n_nodes, count(DISTINCT genome) + CAST(bool_or(genome IS NULL) AS INT) n_classes, bool_or(genome IS NULL) bogus FROM members GROUP BY cid) USING (cid)),
 cols AS (SELECT DISTINCT genome FROM (SELECT qdb genome FROM edges UNION SELECT sdb FROM edges)),
 {A.TERMS_SQL},
 ct AS (SELECT DISTINCT cid, term FROM members JOIN terms USING (gene)),
@@ -58,7 +58,7 @@ ham AS (SELECT a.term, a.cid c1, b.cid c2, list_sum(list_transform(list_zip(x.pr
 """
 
 
-def _result(spark: SparkSession, sf: str, upper: float | None = A.UPPER) -> Q.Result:
+def _result(spark: SparkSession, sf: str, upper: float | None = None) -> Q.Result:
     return Q.orthology_query(A.edges(spark, sf, upper=upper))
 
 
@@ -69,7 +69,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 # Edges
 
 
-@query(f"WITH {A.edges_sql(5, 10, 1e9)} SELECT q, s, qdb, sdb, dist FROM edges")
+@query(f"WITH {A.edges_sql(5, 10)} SELECT q, s, qdb, sdb, dist FROM edges")
 def edges_at_params(spark, sf):
     return A.edges(spark, sf, 5, 10, None)
 
@@ -88,12 +88,14 @@ def edges_touching_genes(spark, sf):
 _GRID = "grid AS (SELECT d.div, e.evalue, CAST(round(CAST(d.div AS DOUBLE) * 10) AS INT) dmax, e.k FROM (VALUES ('0.8'), ('0.5'), ('0.2')) d(div), (VALUES ('1e-5', 5), ('1e-10', 10), ('1e-15', 15), ('1e-20', 20)) e(evalue, k))"
 
 
-@query(f"""WITH {A.EVIDENCE_SQL}, {_GRID}, found AS (SELECT DISTINCT div, evalue, q, s FROM evidence JOIN grid ON dneed <= dmax AND ek >= k WHERE dist <= 0.001)
+@query(f"""WITH {A.EVIDENCE_SQL}, {_GRID}, found AS (SELECT DISTINCT div, evalue, q, s FROM evidence JOIN grid ON dneed <= dmax AND ek >= k)
 SELECT g.div, g.evalue, count(f.q) AS num_orthologs FROM grid g LEFT JOIN found f ON f.div = g.div AND f.evalue = g.evalue GROUP BY ALL""")
-def params_grid_counts(spark, sf, upper=0.001):
+def params_grid_counts(spark, sf):
     grid = model.params(spark).select("div", "evalue", F.round(F.col("max_div") * 10).cast("int").alias("dmax"), "min_exponent")
-    least = A.evidence(spark, sf).where(Q.distance_between(None, upper))
-    found = least.join(F.broadcast(grid), (F.col("dneed") <= F.col("dmax")) & (F.col("ek") >= F.col("min_exponent")))  # 12 rows
+    # A pair of genes counts at every parameter set that its best evidence passes: these are
+    # few per pair, so that pairs are reduced to them before they meet the grid.
+    best = A.evidence(spark, sf).select("q", "s", "dneed", "ek").groupBy("q", "s", "dneed").agg(F.max("ek").alias("ek"))
+    found = best.join(F.broadcast(grid), (F.col("dneed") <= F.col("dmax")) & (F.col("ek") >= F.col("min_exponent")))  # 12 rows
     counts = found.select("div", "evalue", "q", "s").distinct().groupBy("div", "evalue").agg(F.count("*").alias("n"))
     return grid.join(counts, ["div", "evalue"], "left").select("div", "evalue", F.coalesce("n", F.lit(0)).alias("num_orthologs"))
 
@@ -104,16 +106,19 @@ def orthologs_for_pair(spark, sf):
     return Q.orthologs_for(tagged, "Brand#9", "Brand#10", "0.8", "1e-5").select("q", "s", "dist")
 
 
-@query(f"""WITH {E_SQL}, own AS (SELECT qdb, sdb, string_agg('OR' || chr(9) || q || chr(9) || s, chr(10) ORDER BY q::VARCHAR, s::VARCHAR) body FROM edges WHERE qdb = 'Brand#10' AND sdb = 'Brand#9' GROUP BY qdb, sdb)
-SELECT qdb, sdb, concat_ws(chr(10), concat_ws(chr(9), 'PA', qdb, sdb, '0.8', '1e-5'), body) AS value FROM own""")
+@query(f"""WITH {E_SQL}, own AS (SELECT qdb, sdb, string_agg('OR' || chr(9) || q || chr(9) || s, chr(10) ORDER BY q::VARCHAR, s::VARCHAR) body, string_agg(CAST(round(dist * 1000000) AS BIGINT)::VARCHAR, ',' ORDER BY q::VARCHAR, s::VARCHAR) d
+ FROM edges WHERE qdb = 'Brand#10' AND sdb = 'Brand#9' GROUP BY qdb, sdb)
+SELECT qdb, sdb, concat_ws(chr(10), concat_ws(chr(9), 'PA', qdb, sdb, '0.8', '1e-5'), body) AS value, d AS millionths FROM own""")
 def raw_pair_download(spark, sf):
+    """The text, with its distances in millionths beside it, as numbers have more than one spelling."""
     rows = A.edges(spark, sf).select("qdb", "sdb", F.lit("0.8").alias("div"), F.lit("1e-5").alias("evalue"), F.col("q").cast("string").alias("qid"), F.col("s").cast("string").alias("sid"), "dist")
     text = Q.raw_pair_download(rows, "Brand#9", "Brand#10", "0.8", "1e-5")
-    return text.select("qdb", "sdb", F.regexp_replace("value", r"(?m)^(OR\t[^\t]+\t[^\t]+)\t.*$", "$1").alias("value"))
+    numbers = F.transform(F.regexp_extract_all("value", F.lit(r"OR\t[^\t]+\t[^\t]+\t(\S+)"), 1), lambda x: F.round(x.cast("double") * 1000000).cast("long").cast("string"))
+    return text.select("qdb", "sdb", F.regexp_replace("value", r"(?m)^(OR\t[^\t]+\t[^\t]+)\t.*$", "$1").alias("value"), F.array_join(numbers, ",").alias("millionths"))
 
 
 @query(f"WITH {E_SQL} SELECT '5' AS release, DATE '2013-06-01' AS release_date, (SELECT count(DISTINCT p_brand) FROM part) AS num_genomes, (SELECT count(DISTINCT p_brand) * (count(DISTINCT p_brand) - 1) // 2 FROM part) AS num_pairs, count(*) AS num_orthologs FROM edges")
-def release_stats(spark, sf, upper=A.UPPER):
+def release_stats(spark, sf, upper=None):
     return Q.release_stats(A.genomes(spark, sf), A.edges(spark, sf, upper=upper), "5", "2013-06-01")
 
 
@@ -121,7 +126,7 @@ def release_stats(spark, sf, upper=A.UPPER):
 
 
 @query(f"{C_SQL} SELECT n AS node, cid AS component FROM comp")
-def components(spark, sf, upper=A.UPPER):
+def components(spark, sf, upper=None):
     return graph.connected_components(A.edges(spark, sf, upper=upper), "q", "s")
 
 
@@ -129,43 +134,84 @@ def _classes(spark, sf):
     return A.genes(spark, sf).select(F.col("gene").alias("node"), F.col("genome").alias("class"))
 
 
-def _stats(spark, sf, upper=A.UPPER):
+def _stats(spark, sf, upper=None):
     own = stage(A.edges(spark, sf, upper=upper), "edges")
     return graph.cluster_stats(own, graph.connected_components(own, "q", "s"), _classes(spark, sf), "q", "s")
 
 
 @query(f"{C_SQL} SELECT cid, n_nodes, n_edges, sum_dist, avg_dist, n_classes FROM stats")
-def cluster_stats(spark, sf, upper=A.UPPER):
+def cluster_stats(spark, sf, upper=None):
     return _stats(spark, sf, upper).select("cid", "n_nodes", "n_edges", F.round("sum_dist", 6).alias("sum_dist"), F.round("avg_dist", 6).alias("avg_dist"), "n_classes")
 
 
 _SUMMARY = """count(*) n_clusters, CAST(sum(n_nodes) AS BIGINT) sum_nodes, CAST(sum(n_edges) AS BIGINT) sum_edges, round(sum(n_edges) / sum(n_nodes * (n_nodes - 1) / 2), 6) global_tcc,
  round(min(n_edges / (n_nodes * (n_nodes - 1) / 2)), 6) min_tcc, round(max(n_edges / (n_nodes * (n_nodes - 1) / 2)), 6) max_tcc, round(avg(n_edges / (n_nodes * (n_nodes - 1) / 2)), 6) avg_tcc,
  min(n_nodes) min_n_nodes, max(n_nodes) max_n_nodes, round(avg(n_nodes), 6) avg_n_nodes, min(n_edges) min_n_edges, max(n_edges) max_n_edges, round(avg(n_edges), 6) avg_n_edges,
- min(n_classes) min_n_classes, max(n_classes) max_n_classes, round(avg(n_classes), 6) avg_n_classes, false AS bogus"""
+ min(n_classes) min_n_classes, max(n_classes) max_n_classes, round(avg(n_classes), 6) avg_n_classes, round(min(mean_dist), 6) min_avg_dist, round(max(mean_dist), 6) max_avg_dist, round(avg(mean_dist), 6) avg_avg_dist, bool_or(bogus) AS bogus"""
 
 
 def _rounded(df):
-    return df.select(*(F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes if not c.endswith("avg_dist")))
+    return df.select(*(F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
 @query(f"{C_SQL} SELECT {_SUMMARY} FROM stats")
-def clustering_summary(spark, sf, upper=A.UPPER):
+def clustering_summary(spark, sf, upper=None):
     return _rounded(graph.clustering_summary(_stats(spark, sf, upper)))
 
 
+def _restricted(where: str, upper: float | None = None) -> str:
+    return C_SQL.replace(E_SQL, A.edges_sql(upper=upper, where=where))
+
+
+#: Ids by the kinds of prefix, made from the genes' numbers; one in eight has an unknown one.
+_PREFIX_SQL = "['At', 'CE', 'Hs', 'SP', 'EC', 'Y', '', 'q'][CAST(p_partkey % 8 AS INT) + 1] || CAST(10 + p_partkey AS VARCHAR)"
+_CLASS_SQL = "['ath', 'cel', 'hsa', 'spo', 'ecu', 'sce', 'dme', NULL][CAST(p_partkey % 8 AS INT) + 1]"
+
+
+def _prefixed(spark, sf):
+    k = F.col("p_partkey")
+    first = F.element_at(F.array(*map(F.lit, ("At", "CE", "Hs", "SP", "EC", "Y", "", "q"))), (k % 8 + 1).cast("int"))
+    ids = read_table(spark, sf, "part").select(k.alias("node"), F.concat(first, (k + 10).cast("string")).alias("id"))
+    return ids.withColumn("class", scalars.class_from_prefix(F.col("id")))
+
+
+@query(f"SELECT p_partkey AS node, {_PREFIX_SQL} AS id, {_CLASS_SQL} AS class FROM part")
+def gene_classes(spark, sf):
+    return _prefixed(spark, sf)
+
+
+@query(f"{C_SQL.replace('p_brand genome', _CLASS_SQL + ' genome')} SELECT {_SUMMARY} FROM stats")
+def clustering_summary_of_classes(spark, sf, upper=None):
+    """Classes by the ids' prefixes, with nodes of none."""
+    own = stage(A.edges(spark, sf, upper=upper), "edges")
+    return _rounded(graph.clustering_summary(graph.cluster_stats(own, graph.connected_components(own, "q", "s"), _prefixed(spark, sf).select("node", "class"), "q", "s")))
+
+
+def _sampled_sql(i: int) -> str:
+    own = f"{A.edges_sql().replace('edges AS', 'every_edge AS')}, ordered AS (SELECT *, row_number() OVER (ORDER BY dist, q, s) nth FROM every_edge), edges AS (SELECT q, s, qdb, sdb, dist FROM ordered WHERE nth <= {i} * ((SELECT count(*) FROM every_edge) // 4))"
+    return f"(SELECT * FROM ({C_SQL.replace(E_SQL, own)} SELECT (SELECT count(*) FROM edges) AS n_seen, (SELECT max(dist) FROM edges) AS distance, {_SUMMARY} FROM stats))"
+
+
+@query(" UNION ALL ".join(map(_sampled_sql, range(1, 5))))
+def summary_of_every_nth_edge(spark, sf):
+    """Clusters of the nearest edges, after each quarter of them."""
+    own = stage(A.edges(spark, sf), "edges")
+    every = max(1, own.count() // 4)
+    return _rounded(graph.sampled_summaries(own, _classes(spark, sf), every, "dist", "q", "s", a="q", b="s"))
+
+
 def _sweep_sql(limit):
-    return C_SQL.replace("min(dist) <= 0.05", f"min(dist) <= {limit}") + f"SELECT {limit}::DOUBLE AS distance, {_SUMMARY} FROM stats"
+    return _restricted("true", limit) + f"SELECT {limit}::DOUBLE AS distance, {_SUMMARY} FROM stats"
 
 
 @query(" UNION ALL ".join(f"({_sweep_sql(x)})" for x in (0.01, 0.02, 0.05)))
 def threshold_sweep(spark, sf):
-    own = stage(A.edges(spark, sf), "edges")
+    own = stage(A.edges(spark, sf, upper=0.05), "edges")
     return _rounded(graph.threshold_sweep(own, _classes(spark, sf), [0.01, 0.02, 0.05], "q", "s"))
 
 
 @query(f"{C_SQL} SELECT cid, q, s, dist FROM edges JOIN comp ON n = q")
-def cluster_edges(spark, sf, upper=A.UPPER):
+def cluster_edges(spark, sf, upper=None):
     return _result(spark, sf, upper).edges.select("cid", "q", "s", "dist")
 
 
@@ -176,10 +222,6 @@ _FIVE_SQL = "qdb IN ('Brand#1', 'Brand#12', 'Brand#15', 'Brand#20', 'Brand#7') A
 _CELLS = "array_to_string(list_transform((SELECT list(genome ORDER BY genome) FROM cols), lambda g: coalesce(array_to_string(list_sort(list_transform(list_filter(list(m), lambda x: x.genome = g), lambda x: x.gene)), ','), '')), ';')"
 
 
-def _restricted(where: str) -> str:
-    return C_SQL.replace("HAVING min(dist) <= 0.05)", f"HAVING min(dist) <= 0.05 AND {where})")
-
-
 def _matrix(result: Q.Result) -> DataFrame:
     cells = F.array_join(F.transform("cells", lambda c: F.array_join(c.cast("array<string>"), ",")), ";")
     return result.matrix().select("cid", cells.alias("cells"), "avg_dist")
@@ -189,63 +231,63 @@ _MATRIX = "SELECT cid, cells, avg_dist FROM (SELECT cid, " + _CELLS.replace("lis
 
 
 @query(f"{_restricted(_FIVE_SQL)} {_MATRIX}")
-def retrieve_clusters(spark, sf):
-    return _matrix(Q.retrieve(A.edges(spark, sf), A.genomes(spark, sf), _FIVE))
+def retrieve_clusters(spark, sf, upper=None):
+    return _matrix(Q.retrieve(A.edges(spark, sf, upper=upper), A.genomes(spark, sf), _FIVE))
 
 
 _TWO_SQL = "qdb IN ('Brand#1', 'Brand#12') AND sdb IN ('Brand#1', 'Brand#12')"
 
 
 @query(f"{_restricted(_TWO_SQL)} {_MATRIX} WHERE n_edges >= n_nodes * (n_nodes - 1) / 2 AND n_classes = (SELECT count(*) FROM cols)")
-def retrieve_tc_only(spark, sf):
-    return _matrix(Q.retrieve(A.edges(spark, sf), A.genomes(spark, sf), ["brand#1", "brand#12"], tc_only=True))
+def retrieve_tc_only(spark, sf, upper=None):
+    return _matrix(Q.retrieve(A.edges(spark, sf, upper=upper), A.genomes(spark, sf), ["brand#1", "brand#12"], tc_only=True))
 
 
 _BROWSE_SQL = "(qdb = 'Brand#10' OR sdb = 'Brand#10') AND (qdb IN ('Brand#2', 'Brand#20', 'Brand#5') OR sdb IN ('Brand#2', 'Brand#20', 'Brand#5'))"
 
 
 @query(f"{_restricted(_BROWSE_SQL)} SELECT cid, genome, gene FROM members")
-def browse_clusters(spark, sf):
+def browse_clusters(spark, sf, upper=None):
     sequences = A.genes(spark, sf)
-    return Q.browse(A.edges(spark, sf), A.genomes(spark, sf), sequences, "brand#10", ["brand#2", "brand#20", "brand#5"]).members
+    return Q.browse(A.edges(spark, sf, upper=upper), A.genomes(spark, sf), sequences, "brand#10", ["brand#2", "brand#20", "brand#5"]).members
 
 
 _NAMED_SQL = _BROWSE_SQL + " AND (q IN (SELECT p_partkey FROM part WHERE p_name LIKE 'cold%' AND p_brand = 'Brand#10') OR s IN (SELECT p_partkey FROM part WHERE p_name LIKE 'cold%' AND p_brand = 'Brand#10'))"
 
 
 @query(f"{_restricted(_NAMED_SQL)} SELECT cid, genome, gene FROM members")
-def browse_gene_ids(spark, sf):
+def browse_gene_ids(spark, sf, upper=None):
     own = A.genes(spark, sf).where("genome = 'Brand#10' and gene_name like 'cold%'").select("gene")
-    return Q.orthology_query(A.edges(spark, sf), genome="Brand#10", limit_genomes=["Brand#2", "Brand#20", "Brand#5"], seq_ids=own).members
+    return Q.orthology_query(A.edges(spark, sf, upper=upper), genome="Brand#10", limit_genomes=["Brand#2", "Brand#20", "Brand#5"], seq_ids=own).members
 
 
 @query(f"{C_SQL} {_MATRIX}")
-def cluster_matrix(spark, sf, upper=A.UPPER):
+def cluster_matrix(spark, sf, upper=None):
     return _matrix(_result(spark, sf, upper))
 
 
 @query(f"{C_SQL} SELECT cid, array_to_string(profile, '') AS profile FROM prof")
-def profile_rows(spark, sf, upper=A.UPPER):
+def profile_rows(spark, sf, upper=None):
     return _result(spark, sf, upper).profiles().select("cid", F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"))
 
 
 @query(f"""{C_SQL} SELECT cols.genome, string_agg(CASE WHEN m.genome IS NULL THEN '0' ELSE '1' END, '' ORDER BY c.cid) AS profile FROM cols CROSS JOIN (SELECT DISTINCT cid FROM comp) c
 LEFT JOIN (SELECT DISTINCT cid, genome FROM members) m ON m.cid = c.cid AND m.genome = cols.genome GROUP BY cols.genome""")
-def transposed_profiles(spark, sf, upper=A.UPPER):
+def transposed_profiles(spark, sf, upper=None):
     r = _result(spark, sf, upper)
     rows = profiles.transposed_profiles(r.members, r.stats, r.genomes)
     return rows.select("genome", F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"))
 
 
 @query(f"{C_SQL} SELECT array_to_string(profile, '') AS profile, count(*) AS n, string_agg(CAST(cid AS VARCHAR), ',' ORDER BY cid) AS clusters FROM prof GROUP BY 1")
-def profile_counts(spark, sf, upper=A.UPPER):
+def profile_counts(spark, sf, upper=None):
     p = _result(spark, sf, upper).profiles()
     rows = profiles.profile_counts(p, p.select("cid", F.col("cid").alias("info")))
     return rows.select(F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"), "n", F.array_join(F.col("infos").cast("array<string>"), ",").alias("clusters"))
 
 
 @query(f"{C_SQL} SELECT cid, string_agg(term, ',' ORDER BY term) AS terms FROM ct GROUP BY cid")
-def cluster_terms(spark, sf, upper=A.UPPER):
+def cluster_terms(spark, sf, upper=None):
     own = profiles.cluster_terms(_result(spark, sf, upper).members, A.terms(spark, sf))
     return own.groupBy("cid").agg(F.array_join(F.array_sort(F.collect_list("term")), ",").alias("terms"))
 
@@ -254,14 +296,14 @@ _PAIRWISE = "SELECT term, count(DISTINCT c1) AS n_clusters, round(coalesce(sum(C
 
 
 @query(f"{C_SQL} {_PAIRWISE}")
-def terms_summary(spark, sf, upper=A.UPPER):
+def terms_summary(spark, sf, upper=None):
     return Q.terms_summary(_result(spark, sf, upper), A.terms(spark, sf))
 
 
 @query(f"""{C_SQL}, t AS (SELECT term, count(*) n FROM ct GROUP BY term), pick AS (SELECT term FROM t WHERE n <= 100 ORDER BY n DESC, term LIMIT 1), mean AS ({_PAIRWISE})
 SELECT cid, term, n_clusters, mean_hamming, n_nodes FROM ct JOIN pick USING (term) JOIN mean USING (term) JOIN stats USING (cid)""")
-def term_view(spark, sf):
-    r, terms = _result(spark, sf), A.terms(spark, sf)
+def term_view(spark, sf, upper=None):
+    r, terms = _result(spark, sf, upper), A.terms(spark, sf)
     counts = profiles.cluster_terms(r.members, terms).groupBy("term").agg(F.count("*").alias("n")).where("n <= 100")
     first = counts.orderBy(F.desc("n"), "term").first()
     return Q.term_view(r, terms, first["term"] if first else "")
@@ -271,66 +313,88 @@ def term_view(spark, sf):
 own AS (SELECT ct.term, x.d, ct.cid FROM ct JOIN (SELECT term FROM ct WHERE cid = (FROM pick)) USING (term)
         JOIN (SELECT y.cid, list_sum(list_transform(list_zip(y.profile, z.profile), lambda w: CASE WHEN w[1] <> w[2] THEN 1 ELSE 0 END)) d FROM prof y, prof z WHERE z.cid = (FROM pick)) x ON x.cid = ct.cid)
 SELECT term, many.n AS n_clusters, mean_hamming, round(sum(d) / count(*), 6) AS mean_from FROM own JOIN many USING (term) LEFT JOIN mean USING (term) GROUP BY ALL""")
-def gene_view(spark, sf, upper=A.UPPER):
+def gene_view(spark, sf, upper=None):
     r = _result(spark, sf, upper)
     first = r.stats.orderBy(F.desc("n_nodes"), "cid").first()
     return Q.gene_view(r, A.terms(spark, sf), first["cid"] if first else -1)
 
 
+@query(f"""{C_SQL}, pick AS (SELECT cid FROM stats ORDER BY n_nodes DESC, cid LIMIT 1) SELECT genome, gene, '>' || p_brand || '|' || gene || chr(10) || upper(p_type) AS value FROM members JOIN part ON p_partkey = gene WHERE cid = (FROM pick)""")
+def gene_view_sequences(spark, sf, upper=None):
+    r = _result(spark, sf, upper)
+    first = r.stats.orderBy(F.desc("n_nodes"), "cid").first()
+    part = read_table(spark, sf, "part")
+    sequences = part.select(F.col("p_partkey").alias("gene"), F.concat(F.lit(">"), F.concat_ws("|", "p_brand", F.col("p_partkey").cast("string"))).alias("nameline"), F.upper("p_type").alias("sequence"))
+    return Q.gene_sequences(r, sequences, first["cid"] if first else -1)
+
+
+@query(f"""{C_SQL}, pick AS (SELECT cid FROM stats ORDER BY n_nodes DESC, cid LIMIT 1) SELECT q, qdb, s, sdb, dist FROM edges JOIN comp ON n = q WHERE cid = (FROM pick)""")
+def gene_view_edges(spark, sf, upper=None):
+    r = _result(spark, sf, upper)
+    first = r.stats.orderBy(F.desc("n_nodes"), "cid").first()
+    return Q.gene_edges(r, first["cid"] if first else -1)
+
+
 @query(f"""{C_SQL}, named AS (SELECT cid, first(p_name ORDER BY CASE genome WHEN 'Brand#5' THEN 1 WHEN 'Brand#11' THEN 2 ELSE 3 END, genome, gene) gene_name FROM members JOIN part ON p_partkey = gene WHERE p_name <> '' GROUP BY cid)
 SELECT cid, gene_name, avg_dist, (SELECT count(*) FROM ct WHERE ct.cid = stats.cid) AS n_terms, array_to_string(profile, '') AS profile, n_nodes AS n_genes FROM stats JOIN named USING (cid) JOIN prof USING (cid)""")
-def genes_summary(spark, sf):
-    return Q.genes_summary(_result(spark, sf), A.names(spark, sf), A.terms(spark, sf), ["Brand#5", "Brand#11"])
+def genes_summary(spark, sf, upper=None):
+    return Q.genes_summary(_result(spark, sf, upper), A.names(spark, sf), A.terms(spark, sf), ["Brand#5", "Brand#11"])
 
 
 @query(f"""{C_SQL}, info AS (SELECT cid, gene, concat_ws(' ', gene, p_name, (SELECT min(term) FROM terms WHERE terms.gene = members.gene)) info FROM members JOIN part ON p_partkey = gene)
 SELECT array_to_string(profile, '') AS profile, count(DISTINCT cid) AS n, first(info ORDER BY gene) AS info FROM prof JOIN info USING (cid) GROUP BY 1""")
-def hamming_profile(spark, sf):
-    return Q.hamming_profile(_result(spark, sf), A.names(spark, sf), A.terms(spark, sf))
+def hamming_profile(spark, sf, upper=None):
+    return Q.hamming_profile(_result(spark, sf, upper), A.names(spark, sf), A.terms(spark, sf))
 
 
-@query(f"""{C_SQL}, m AS ({_MATRIX}) SELECT cid, cells, avg_dist FROM m ORDER BY cid LIMIT 10 OFFSET 10""")
+@query(f"""{_restricted('true', A.WITHIN)}, m AS ({_MATRIX}) SELECT cid, cells, avg_dist FROM m ORDER BY cid LIMIT 10 OFFSET 10""")
 def page_clusters(spark, sf):
-    return profiles.page(_matrix(_result(spark, sf)), "cid", 2, 10)
+    """The second page of the clusters within a distance."""
+    return profiles.page(_matrix(_result(spark, sf, A.WITHIN)), "cid", 2, 10)
 
 
-@query(f"""{C_SQL}, top AS (SELECT cid FROM stats ORDER BY cid LIMIT 5)
-SELECT cid, array_to_string(profile, '') AS profile, (SELECT string_agg(term, ',' ORDER BY term) FROM ct WHERE ct.cid = prof.cid) AS terms FROM prof JOIN top USING (cid)""")
-def clusters_view(spark, sf):
-    rows = Q.clusters_view(_result(spark, sf), A.names(spark, sf), A.terms(spark, sf), 1, 5)
-    return rows.select("cid", F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"), F.array_join("terms", ",").alias("terms"))
+@query(f"""{C_SQL}, top AS (SELECT cid FROM stats ORDER BY cid LIMIT 5), m AS ({_MATRIX})
+SELECT cid, cells, avg_dist, array_to_string(profile, '') AS profile, (SELECT string_agg(term, ',' ORDER BY term) FROM ct WHERE ct.cid = prof.cid) AS terms FROM prof JOIN top USING (cid) JOIN m USING (cid)""")
+def clusters_view(spark, sf, upper=None):
+    rows = Q.clusters_view(_result(spark, sf, upper), A.names(spark, sf), A.terms(spark, sf), 1, 5)
+    cells = F.array_join(F.transform("cells", lambda c: F.array_join(c.cast("array<string>"), ",")), ";")
+    return rows.select("cid", cells.alias("cells"), "avg_dist", F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"), F.array_join("terms", ",").alias("terms"))
 
 
 @query(f"""{C_SQL}, i AS (SELECT cid, genome, string_agg(CAST(gene AS VARCHAR), ', ' ORDER BY CAST(gene AS VARCHAR)) ids FROM members GROUP BY ALL)
 SELECT p.cid, concat_ws(chr(9), array_to_string(profile, chr(9)), (SELECT string_agg(ids, '; ' ORDER BY genome) FROM i WHERE i.cid = p.cid),
- (SELECT string_agg(DISTINCT p_name, ' | ' ORDER BY p_name) FROM members m JOIN part ON p_partkey = gene WHERE m.cid = p.cid), (SELECT string_agg(term, ' | ' ORDER BY term) FROM ct WHERE ct.cid = p.cid)) AS value FROM prof p""")
-def profile_matrix_text(spark, sf, upper=A.UPPER):
+ (SELECT string_agg(DISTINCT p_name, ' | ' ORDER BY p_name) FROM members m JOIN part ON p_partkey = gene WHERE m.cid = p.cid), (SELECT string_agg(term, ' | ' ORDER BY term) FROM ct WHERE ct.cid = p.cid)) AS value FROM prof p
+UNION ALL SELECT NULL, (SELECT string_agg(genome, chr(9) ORDER BY genome) FROM cols) || chr(9) || 'Ids' || chr(9) || 'Names' || chr(9) || 'Terms'""")
+def profile_matrix_text(spark, sf, upper=None):
     r = _result(spark, sf, upper)
     return sinks.profile_matrix_text(r.members, r.genomes, A.names(spark, sf), A.terms(spark, sf))
 
 
 @query(f"""{C_SQL}, f AS (SELECT c.cid, cols.genome, m.gene FROM (SELECT DISTINCT cid FROM comp) c CROSS JOIN cols LEFT JOIN members m ON m.cid = c.cid AND m.genome = cols.genome)
-SELECT cid, genome, gene, concat_ws(chr(9), coalesce(CAST(gene AS VARCHAR), '-'), genome, coalesce(p_name, '-'), coalesce((SELECT string_agg(term, ', ' ORDER BY term) FROM terms WHERE terms.gene = f.gene), '-')) AS value
+SELECT NULL AS cid, 0 AS part, NULL AS genome, NULL AS gene, CASE WHEN count(*) = 0 THEN 'No results found' WHEN count(*) = 1 THEN '1 result found' ELSE count(*) || ' results found' END AS value FROM stats
+UNION ALL SELECT cid, 0, NULL, NULL, 'Gene Cluster #' || row_number() OVER (ORDER BY cid) || ' | Average Evolutionary Distance: ' || CAST(avg_dist AS DECIMAL(18, 6)) FROM stats
+UNION ALL SELECT cid, 1, NULL, NULL, concat_ws(chr(9), 'Id', 'Genome', 'Gene Name', 'Terms') FROM stats
+UNION ALL SELECT cid, 2, genome, gene, concat_ws(chr(9), coalesce(CAST(gene AS VARCHAR), '-'), genome, coalesce(p_name, '-'), coalesce((SELECT string_agg(term, ', ' ORDER BY term) FROM terms WHERE terms.gene = f.gene), '-')) AS value
 FROM f LEFT JOIN part ON p_partkey = gene""")
-def result_text(spark, sf):
-    r = _result(spark, sf)
+def result_text(spark, sf, upper=None):
+    r = _result(spark, sf, upper)
     listed = spark.createDataFrame([(g,) for g in r.genomes], "genome string")
-    return sinks.result_text(r.members, listed, A.names(spark, sf), A.terms(spark, sf))
+    return sinks.result_lines(r.members, r.stats, listed, A.names(spark, sf), A.terms(spark, sf))
 
 
 _LINES = "t AS (SELECT cols.genome, list(CASE WHEN m.genome IS NULL THEN 0 ELSE 1 END ORDER BY c.cid) profile FROM cols CROSS JOIN (SELECT DISTINCT cid FROM comp) c LEFT JOIN (SELECT DISTINCT cid, genome FROM members) m ON m.cid = c.cid AND m.genome = cols.genome GROUP BY cols.genome)"
 
 
 @query(f"{C_SQL}, {_LINES} SELECT 0 AS line_no, (SELECT count(*) || ' ' || max(len(profile)) FROM t) AS value UNION ALL SELECT 1, rpad(substr(genome, 1, 10), 10, ' ') || array_to_string(profile, ' ') FROM t")
-def phylip_matrix(spark, sf):
-    r = _result(spark, sf)
+def phylip_matrix(spark, sf, upper=None):
+    r = _result(spark, sf, upper)
     return sinks.phylip_matrix(profiles.transposed_profiles(r.members, r.stats, r.genomes))
 
 
 @query(f"""{C_SQL}, {_LINES} SELECT 0 AS line_no, '#Nexus' AS value UNION ALL SELECT 1, 'Begin data;' UNION ALL SELECT 2, 'Dimensions ntax=' || count(*) || ' nchar=' || max(len(profile)) || ';' FROM t
 UNION ALL SELECT 3, 'Format datatype=standard symbols="01";' UNION ALL SELECT 4, 'Matrix' UNION ALL SELECT 5, genome || ' ' || array_to_string(profile, '') FROM t UNION ALL SELECT 6, ';' || chr(10) || 'End;'""")
-def nexus_matrix(spark, sf):
-    r = _result(spark, sf)
+def nexus_matrix(spark, sf, upper=None):
+    r = _result(spark, sf, upper)
     return sinks.nexus_matrix(profiles.transposed_profiles(r.members, r.stats, r.genomes))
 
 
@@ -338,25 +402,35 @@ def _numbered(spark, sf, members):
     return ranking.dense_ids(members.select("gene", "genome").distinct(), "genome", "gene", name="num")
 
 
-@query(f"""{C_SQL}, num AS (SELECT gene, genome, row_number() OVER (ORDER BY genome, gene) num FROM (SELECT DISTINCT gene, genome FROM members))
-SELECT cid, (SELECT string_agg(CAST(num AS VARCHAR), ',' ORDER BY num) FROM members m JOIN num USING (gene) WHERE m.cid = stats.cid) AS refs FROM stats""")
-def orthoxml_groups(spark, sf):
-    r = _result(spark, sf)
+def _xml_sql(score: str, groups: str) -> str:
+    """All lines of a document, with the values of its scores as numbers beside them; num and groups are at hand."""
+    return f"""SELECT section, ord, value, score FROM (SELECT 0 AS section, '' AS ord, '<orthoXML xmlns="http://orthoXML.org/2011/" version="0.3">' AS value, CAST(NULL AS DOUBLE) AS score
+UNION ALL SELECT 1, genome, '<species name="' || genome || '"><database><genes>' || string_agg('<gene id="' || num || '" protId="' || gene || '"/>', '' ORDER BY num) || '</genes></database></species>', NULL FROM num GROUP BY genome
+UNION ALL SELECT 2, '', '<scores><scoreDef id="{score}" desc="distance"/></scores>', NULL UNION ALL SELECT 3, '', '<groups>', NULL UNION ALL SELECT 5, '', '</groups></orthoXML>', NULL
+UNION ALL {groups})"""
+
+
+def _xml_lines(xml: DataFrame) -> DataFrame:
+    number = F.nullif(F.regexp_extract("value", '<score [^>]* value="([^"]*)"', 1), F.lit("")).cast("double")
+    return xml.select("section", "ord", F.regexp_replace("value", '(<score [^>]*) value="[^"]*"', "$1").alias("value"), F.round(number, 6).alias("score"))
+
+
+@query(f"""{C_SQL}, num AS (SELECT gene, genome, row_number() OVER (ORDER BY genome, gene) num FROM (SELECT DISTINCT gene, genome FROM members)) """ + _xml_sql("avgdist", """SELECT 4, lpad(cid::VARCHAR, 20, '0'),
+'<orthologGroup id="' || cid || '"><score id="avgdist"/>' || (SELECT string_agg('<geneRef id="' || num || '"/>', '' ORDER BY num) FROM members m JOIN num USING (gene) WHERE m.cid = stats.cid) || '</orthologGroup>', avg_dist FROM stats"""))
+def orthoxml_groups(spark, sf, upper=None):
+    r = _result(spark, sf, upper)
     genes = stage(_numbered(spark, sf, r.members), "numbered")
-    xml = sinks.orthoxml_groups(r.members.select("cid", "gene"), r.stats.select("cid", "avg_dist"), genes).where("section = 4")
-    return xml.select(F.regexp_extract("value", 'orthologGroup id="([0-9]+)"', 1).cast("long").alias("cid"), F.array_join(F.regexp_extract_all("value", F.lit('geneRef id="([0-9]+)"'), 1), ",").alias("refs"))
+    return _xml_lines(sinks.orthoxml_groups(r.members.select("cid", "gene"), r.stats.select("cid", "avg_dist"), genes))
 
 
-@query(f"""WITH {E_SQL}, g AS (SELECT DISTINCT q gene, qdb genome FROM edges UNION SELECT s, sdb FROM edges), num AS (SELECT gene, row_number() OVER (ORDER BY genome, gene) num FROM g)
-SELECT a.num AS first_ref, b.num AS second_ref FROM edges JOIN num a ON a.gene = q JOIN num b ON b.gene = s""")
-def orthoxml_pairs(spark, sf, upper=A.UPPER):
-    own = stage(A.edges(spark, sf, upper=upper), "edges")
+@query(f"""WITH {E_SQL}, g AS (SELECT DISTINCT q gene, qdb genome FROM edges UNION SELECT s, sdb FROM edges), num AS (SELECT gene, genome, row_number() OVER (ORDER BY genome, gene) num FROM g) """ + _xml_sql("dist", """SELECT 4, q || '|' || s || '|0.8|1e-5',
+'<orthologGroup><score id="dist"/><geneRef id="' || a.num || '"/><geneRef id="' || b.num || '"/></orthologGroup>', dist FROM edges JOIN num a ON a.gene = q JOIN num b ON b.gene = s"""))
+def orthoxml_pairs(spark, sf):
+    own = stage(A.edges(spark, sf), "edges")
     ends = own.select(F.col("q").alias("gene"), F.col("qdb").alias("genome")).union(own.select("s", "sdb"))
     genes = stage(_numbered(spark, sf, ends), "numbered")
     rows = own.select(F.col("q").alias("qid"), F.col("s").alias("sid"), F.lit("0.8").alias("div"), F.lit("1e-5").alias("evalue"), "dist")
-    xml = sinks.orthoxml_pairs(rows, genes).where("section = 4")
-    refs = F.regexp_extract_all("value", F.lit('geneRef id="([0-9]+)"'), 1)
-    return xml.select(refs[0].cast("long").alias("first_ref"), refs[1].cast("long").alias("second_ref"))
+    return _xml_lines(sinks.orthoxml_pairs(rows, genes))
 
 
 # Reciprocal smallest distance
@@ -374,13 +448,13 @@ SELECT {keys}qdb, sdb, qid, sid, dist FROM f WHERE rf = 1 AND rr = 1"""
 rev AS (SELECT qid, sid FROM (SELECT *, row_number() OVER (PARTITION BY sid, qdb ORDER BY dist, qid) n FROM hits WHERE dist <= 1.18) WHERE n = 1) SELECT fwd.qid, fwd.sid, dist FROM fwd JOIN rev USING (qid, sid)""")
 def rsd_two_hit_lists(spark, sf):
     """Backward hits from a shorter list than the forward ones."""
-    hits = stage(rsd.vector_hits(A.vectors(spark, sf)).where("qdb < sdb"), "hits")
+    hits = stage(rsd.vector_hits(A.vectors(spark, sf)), "hits")
     return rsd.reciprocal_smallest_distance(hits, hits.where("dist <= 1.18")).select("qid", "sid", "dist")
 
 
 @query(f"WITH {_HITS_SQL}, {_mutual_sql('', 'hits')}")
 def rsd_vectors(spark, sf):
-    return rsd.reciprocal_smallest_distance(stage(rsd.vector_hits(A.vectors(spark, sf)).where("qdb < sdb"), "hits"))
+    return rsd.reciprocal_smallest_distance(stage(rsd.vector_hits(A.vectors(spark, sf)), "hits"))
 
 
 _LIMITS = [(d, e, round(1.05 + 0.25 * float(d) - 0.004 * int(e[3:]), 6)) for d in model.DIVERGENCES for e in model.EVALUES]
@@ -390,7 +464,7 @@ _LIMITS = [(d, e, round(1.05 + 0.25 * float(d) - 0.004 * int(e[3:]), 6)) for d i
 h AS (SELECT div, evalue, hits.* FROM hits JOIN grid ON dist <= lim), {_mutual_sql('div, evalue, ', 'h')}""")
 def rsd_param_grid(spark, sf):
     grid = spark.createDataFrame(_LIMITS, 'div string, evalue string, `limit` double')
-    return rsd.rsd_grid(stage(rsd.vector_hits(A.vectors(spark, sf)).where("qdb < sdb"), "hits"), grid).select("div", "evalue", "qdb", "sdb", "qid", "sid", "dist")
+    return rsd.rsd_grid(stage(rsd.vector_hits(A.vectors(spark, sf)), "hits"), grid).select("div", "evalue", "qdb", "sdb", "qid", "sid", "dist")
 
 
 @query(f"""WITH {A.EVIDENCE_SQL}, {_GRID}, h AS (SELECT div, evalue, q qid, s sid, qdb, sdb, min(dist) dist FROM evidence JOIN grid ON dneed <= dmax AND ek >= k GROUP BY ALL), {_mutual_sql('div, evalue, ', 'h')}""")
@@ -458,11 +532,13 @@ def _records(spark, sf):
 
 _CENSUS_SQL = f"""WITH {_RECORDS_SQL}, census AS (SELECT genome, count(*) AS count, count(*) FILTER (complete) AS complete, count(*) FILTER (reference) AS reference, count(*) FILTER (ns = 'sp') AS sprot,
  count(*) FILTER (ns <> 'sp') AS trembl, count(DISTINCT org_name) n_org_name, min(org_name) org_name, count(DISTINCT taxon) n_taxon, min(taxon) taxon, count(DISTINCT org_code) n_org_code, min(org_code) org_code FROM rec GROUP BY genome),
-taxa AS (SELECT CAST(n_nationkey AS VARCHAR) taxon, substr('ABEVU', n_regionkey + 1, 1) cat_code FROM nation WHERE n_nationkey % 7 <> 3)"""
+taxa AS (SELECT CAST(n_nationkey AS VARCHAR) taxon, substr('ABEVU', n_regionkey + 1, 1) cat_code FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000))"""
 
 
 def _taxa(spark, sf):
-    n = read_table(spark, sf, "nation").where("n_nationkey % 7 <> 3")
+    """Nations with a supplier in credit; the others' genomes miss their taxon."""
+    known = read_table(spark, sf, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("n_nationkey"))
+    n = read_table(spark, sf, "nation").join(known, "n_nationkey", "left_semi")
     return n.select(F.col("n_nationkey").cast("string").alias("taxon"), F.expr("substr('ABEVU', n_regionkey + 1, 1)").alias("cat_code"))
 
 
@@ -500,15 +576,15 @@ def counts_report(spark, sf):
     return sinks.counts_report(census.genome_census(_records(spark, sf)))
 
 
-@query(f"WITH {_RECORDS_SQL} SELECT count(*) AS n, sum(length(genome)) AS len FROM rec WHERE complete AND genome IN ('1', '2', '5', '8') AND org_code NOT LIKE '9%'")
+@query(f"WITH {_RECORDS_SQL.replace('SELECT CAST', 'SELECT c_custkey acc, CAST', 1)} SELECT acc, genome, ns, complete, reference, org_name, taxon, org_code FROM rec WHERE complete AND genome IN ('1', '2', '5', '8') AND org_code NOT LIKE '9%'")
 def extract_genes(spark, sf):
     chosen = spark.createDataFrame([("1",), ("2",), ("5",), ("8",)], "genome string")
     kept = census.complete_only(census.drop_collective_orgs(_records(spark, sf)), chosen)
-    return kept.agg(F.count("*").alias("n"), F.sum(F.length("genome")).alias("len"))
+    return kept.select("acc", "genome", "ns", "complete", "reference", "org_name", "taxon", "org_code")
 
 
 @query(f"WITH {E_SQL} SELECT (SELECT count(DISTINCT p_brand) FROM part) AS num_genomes, (SELECT count(DISTINCT p_brand) * (count(DISTINCT p_brand) - 1) // 2 FROM part) AS num_pairs, count(*) AS num_orthologs FROM edges")
-def dataset_stats(spark, sf, upper=A.UPPER):
+def dataset_stats(spark, sf, upper=None):
     return census.dataset_stats(A.genomes(spark, sf), A.edges(spark, sf, upper=upper))
 
 
@@ -586,21 +662,22 @@ def gene_ids_for_name(spark, sf):
     return dims.seq_ids_for_gene_name(_sequences(spark, sf), _genome_ids(spark, sf), "cold widget", "Brand#13")
 
 
-# Changes between releases: brands by order year
+# Changes between releases: customers by the years of their orders
 
-_RELEASE_SQL = """g AS (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS release, CAST(c_custkey % 40 AS VARCHAR) taxon, c_mktsegment || ' x ' || (c_custkey % 40) AS name, c_mktsegment || ' x' species, substr('ABEVU', 1 + c_custkey % 5, 1) category
- FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 37 = year(o_orderdate) % 37),
+_RELEASE_SQL = """g AS (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS release, CAST(c_custkey AS VARCHAR) taxon, c_mktsegment || ' x' || (c_custkey // 3) || ' ' || c_custkey AS name, c_mktsegment || ' x' || (c_custkey // 3) species, substr('ABEVU', 1 + c_custkey % 5, 1) category
+ FROM orders JOIN customer ON c_custkey = o_custkey),
 multi AS (SELECT release, species FROM g GROUP BY ALL HAVING count(DISTINCT name) > 1),
 items AS (SELECT DISTINCT * FROM (SELECT release, 'taxons' kind, taxon item FROM g UNION ALL SELECT release, 'taxonSpecies', species FROM g UNION ALL SELECT release, 'euks', taxon FROM g WHERE category = 'E'
  UNION ALL SELECT release, 'eukSpecies', species FROM g WHERE category = 'E' UNION ALL SELECT release, 'multiTaxonSpecies', species FROM multi UNION ALL SELECT g.release, 'multiEukSpecies', g.species FROM g JOIN multi USING (release, species) WHERE category = 'E'))"""
 
 
 def _releases(spark, sf):
-    """Of one order in 37, as in the SQL; uncut.releases() takes all."""
-    o, c = read_table(spark, sf, "orders"), read_table(spark, sf, "customer")
-    j = o.where("o_orderkey % 37 = year(o_orderdate) % 37").join(c, F.col("c_custkey") == F.col("o_custkey"))
-    k = F.col("c_custkey") % 40
-    return j.select(F.year("o_orderdate").cast("string").alias("release"), k.cast("string").alias("taxon"), F.concat_ws(" ", "c_mktsegment", F.lit("x"), k.cast("string")).alias("name"), F.expr("substr('ABEVU', int(1 + c_custkey % 5), 1)").alias("category")).distinct()
+    """release, taxon, name, category: one row for each customer and year with an order; three
+    customers of a segment make a species."""
+    c, k = read_table(spark, sf, "customer"), F.col("c_custkey")
+    o = read_table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").cast("string").alias("release")).distinct()
+    name = F.concat_ws(" ", "c_mktsegment", F.concat(F.lit("x"), F.floor(k / 3).cast("string")), k.cast("string"))
+    return o.join(c, k == F.col("o_custkey")).select("release", k.cast("string").alias("taxon"), name.alias("name"), F.expr("substr('ABEVU', int(1 + c_custkey % 5), 1)").alias("category")).distinct()
 
 
 @query(f"WITH {_RELEASE_SQL} SELECT a.release AS release_a, b.release AS release_b, kind, item FROM items a, (SELECT DISTINCT release FROM items) b WHERE a.release <> b.release AND NOT EXISTS (SELECT 1 FROM items c WHERE c.release = b.release AND c.kind = a.kind AND c.item = a.item)")
@@ -608,6 +685,11 @@ def change_log_diff(spark, sf):
     return changes.change_log_diff(stage(changes.change_items(_releases(spark, sf)), "items"))
 
 
+@query(f"WITH {_RELEASE_SQL} SELECT DISTINCT a.release AS release_a, b.release AS release_b, taxon, name FROM g a, (SELECT DISTINCT release FROM g) b WHERE a.release <> b.release AND category = 'E' AND NOT EXISTS (SELECT 1 FROM g c WHERE c.release = b.release AND c.category = 'E' AND c.taxon = a.taxon)")
+def change_log_names(spark, sf):
+    return changes.change_log_names(stage(_releases(spark, sf), "genomes"))
+
+
 @query(f"WITH {_RELEASE_SQL} SELECT release, kind, count(*) AS n FROM items GROUP BY ALL")
 def change_log_sizes(spark, sf):
     return changes.change_log_sizes(changes.change_items(_releases(spark, sf)))
@@ -669,7 +751,7 @@ def sequence_terms(spark, sf):
 _ENC = f"enc AS (SELECT gq.id query_db, gs.id subject_db, 1 AS divergence, 2 AS evalue, a.id q, b.id s, dist FROM edges JOIN gd gq ON gq.acc = qdb JOIN gd gs ON gs.acc = sdb JOIN sd a ON a.external_sequence_id = q JOIN sd b ON b.external_sequence_id = edges.s)"
 
 
-def _encoded(spark, sf, upper=A.UPPER):
+def _encoded(spark, sf, upper=None):
     genomes = stage(_genome_table(spark, sf), "genomes")
     sequences = stage(dims.sequence_dimension(_gene_rows(spark, sf), genomes), "sequences")
     rows = A.edges(spark, sf, upper=upper).select("qdb", "sdb", F.lit("0.8").alias("div"), F.lit("1e-10").alias("evalue"), F.col("q").alias("qid"), F.col("s").alias("sid"), "dist")
@@ -679,7 +761,7 @@ def _encoded(spark, sf, upper=A.UPPER):
 
 
 @query(f"WITH {E_SQL}, {_SEQ_SQL}, {_ENC} SELECT * FROM enc")
-def encode_edges(spark, sf, upper=A.UPPER):
+def encode_edges(spark, sf, upper=None):
     return _encoded(spark, sf, upper)[0]
 
 
@@ -689,25 +771,34 @@ def edges_with_sequences(spark, sf):
     return dims.with_sequences(coded.select("q", "s", "dist"), sequences)
 
 
-@query(f"""WITH {E_SQL}, {_SEQ_SQL}, {_ENC}, {_KNOWN}, gone AS (SELECT id FROM gd WHERE acc = 'Brand#7')
-SELECT 'genomes' AS tbl, count(*) AS n FROM gd WHERE acc <> 'Brand#7' UNION ALL SELECT 'sequence', count(*) FROM sd WHERE genome_id NOT IN (FROM gone)
-UNION ALL SELECT 'bridge', count(*) FROM sd WHERE genome_id NOT IN (FROM gone) UNION ALL SELECT 'results', count(*) FROM enc WHERE query_db NOT IN (FROM gone) AND subject_db NOT IN (FROM gone)""")
+def _texts(name: str, df: DataFrame) -> DataFrame:
+    """Whole rows as text, numbers with a fraction in millionths."""
+    cells = [F.round(F.col(c) * 1000000).cast("long") if t == "double" else F.col(c) for c, t in df.dtypes]
+    return df.select(F.lit(name).alias("tbl"), F.concat_ws("|", *(c.cast("string") for c in cells)).alias("row"))
+
+
+@query(f"""WITH {E_SQL}, {_SEQ_SQL}, {_ENC}, {_KNOWN}, gone AS (SELECT id FROM gd WHERE acc = 'Brand#7'),
+bridge AS (SELECT row_number() OVER (ORDER BY sd.id, k.acc) id, sd.id sequence_id, sd.genome_id, k.acc, name, type FROM sd JOIN part ON p_partkey = external_sequence_id JOIN k ON k.acc = p_type)
+SELECT DISTINCT 'genomes' AS tbl, concat_ws('|', gd.id, gd.acc, lower(gd.acc), gd.acc, lower(gd.acc), {A.CATEGORY_SQL}, 'x', num_seqs) AS row FROM gd JOIN part ON p_brand = gd.acc WHERE gd.acc <> 'Brand#7'
+UNION ALL SELECT 'sequence', concat_ws('|', id, external_sequence_id, genome_id, gene_name, gene_id) FROM sd WHERE genome_id NOT IN (FROM gone)
+UNION ALL SELECT 'bridge', concat_ws('|', id, sequence_id, acc, name, type) FROM bridge WHERE genome_id NOT IN (FROM gone)
+UNION ALL SELECT 'results', concat_ws('|', query_db, subject_db, divergence, evalue, q, s, CAST(round(dist * 1000000) AS BIGINT)) FROM enc WHERE query_db NOT IN (FROM gone) AND subject_db NOT IN (FROM gone)""")
 def delete_genome(spark, sf):
     coded, genomes, sequences = _encoded(spark, sf)
     bridge = dims.gene_term_bridge(_gene_rows(spark, sf), sequences, _known_terms(spark, sf))
     left = dims.delete_genome("Brand#7", genomes, sequences, bridge, coded)
-    count = lambda name, df: df.agg(F.lit(name).alias("tbl"), F.count("*").alias("n"))
-    out = count("genomes", left[0])
+    out = _texts("genomes", left[0])
     for name, df in zip(("sequence", "bridge", "results"), left[1:]):
-        out = out.unionByName(count(name, df))
+        out = out.unionByName(_texts(name, df))
     return out
 
 
-@query("SELECT p_brand AS genome, count(*) AS n FROM part WHERE p_brand <> 'Brand#7' GROUP BY 1 UNION ALL SELECT 'Brand#7', count(*) FROM part WHERE p_brand = 'Brand#8'")
+@query("""SELECT 'genes' AS tbl, p_partkey || '|' || p_brand AS row FROM part WHERE p_brand <> 'Brand#7' UNION ALL SELECT 'genes', p_partkey || '|Brand#7' FROM part WHERE p_brand = 'Brand#8'
+UNION ALL SELECT DISTINCT 'genomes', CASE WHEN p_brand = 'Brand#7' THEN 'Brand#7|brand seven|7' ELSE p_brand || '|' || lower(p_brand) || '|' || p_brand END FROM part""")
 def replace_genome(spark, sf):
     genes, g = A.genes(spark, sf).select("gene", "genome"), A.genomes(spark, sf).select("genome", "name", F.col("genome").alias("taxon"))
-    new, _ = dims.replace_genome(genes, g, "Brand#7", genes.where("genome = 'Brand#8'"), "brand seven", "7")
-    return new.groupBy("genome").agg(F.count("*").alias("n"))
+    new, listed = dims.replace_genome(genes, g, "Brand#7", genes.where("genome = 'Brand#8'"), "brand seven", "7")
+    return _texts("genes", new.select("gene", "genome")).unionByName(_texts("genomes", listed))
 
 
 @query("SELECT o_custkey AS qdb, o_orderstatus AS sdb, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) r FROM orders) WHERE r = 1 GROUP BY ALL")
@@ -791,7 +882,7 @@ def fasta_head(spark, sf):
 
 
 @query("""SELECT 'P' || p_partkey AS acc, CASE WHEN p_size % 2 = 0 THEN 'sp' ELSE 'tr' END AS ns, 'ORG' || p_size AS org_code, p_brand AS org_name, CAST(p_size AS VARCHAR) AS taxon, p_name AS gene_name, p_type AS gene_desc,
-p_size % 3 = 0 AS complete, CAST(p_partkey % 5 + 1 AS VARCHAR) AS evidence, 'GO:' || p_size AS terms, upper(replace(p_name, ' ', '')) AS sequence FROM part""")
+p_size % 3 = 0 AS complete, CAST(p_partkey % 5 + 1 AS VARCHAR) AS evidence, 'GO:' || p_size AS terms, upper(replace(p_name, ' ', '')) AS sequence, concat_ws(',', CASE WHEN p_partkey % 11 = 0 THEN 'many_ox' END, CASE WHEN p_partkey % 13 = 0 THEN 'many_pe' END) AS anomalies FROM part""")
 def dat_parse(spark, sf):
     p, s = read_table(spark, sf, "part"), lambda c: F.col(c).cast("string")
     line = lambda code, *parts: F.concat(F.lit(f"{code}   "), *(x if not isinstance(x, str) else F.lit(x) for x in parts))
@@ -800,14 +891,14 @@ def dat_parse(spark, sf):
         "\n",
         line("ID", F.concat(F.lit("E"), s("p_partkey"), F.lit("_ORG"), size), F.when(F.col("p_size") % 2 == 0, "            Reviewed;").otherwise("            Unreviewed;"), "         365 AA."),
         line("AC", F.lit("P"), s("p_partkey"), "; Q0; O0;"), line("DT", "01-DEC-2001, sequence version 1."), line("DE", "RecName: Full=", F.col("p_type"), ";"),
-        line("GN", "Name=", F.col("p_name"), "; ORFNames=x;"), line("OS", F.col("p_brand"), "."), line("OX", "NCBI_TaxID=", size, ";"), line("PE", (F.col("p_partkey") % 5 + 1).cast("string"), ": Evidence;"),
+        line("GN", "Name=", F.col("p_name"), "; ORFNames=x;"), line("OS", F.col("p_brand"), "."), line("OX", "NCBI_TaxID=", size, ";"), F.when(F.col("p_partkey") % 11 == 0, "OX   NCBI_TaxID=1;"), F.when(F.col("p_partkey") % 13 == 0, "PE   9: Evidence;"), line("PE", (F.col("p_partkey") % 5 + 1).cast("string"), ": Evidence;"),
         line("KW", F.when(F.col("p_size") % 3 == 0, "Complete proteome; x.").otherwise("x.")), line("DR", "GO; GO:", size, "; P:x."), line("DR", "GeneID; 1; -."), F.lit("SQ   SEQUENCE   3 AA;"),
         F.concat(F.lit("     "), F.upper("p_name")),
     ).alias("value"))
     path = _scratch(spark, "dat")
     rows.write.option("lineSep", "\n//\n").text(path)
     back = readers.read_dat(spark, path)
-    return back.select("acc", "ns", "org_code", "org_name", "taxon", "gene_name", "gene_desc", "complete", "evidence", F.array_join("go_terms", ",").alias("terms"), "sequence")
+    return back.select("acc", "ns", "org_code", "org_name", "taxon", "gene_name", "gene_desc", "complete", "evidence", F.array_join("go_terms", ",").alias("terms"), "sequence", F.array_join("anomalies", ",").alias("anomalies"))
 
 
 @query("SELECT p_partkey, 'sp' AS ns, 'P' || p_partkey AS acc, 'G_' || p_size AS entry_id, p_type AS gene_desc, p_brand AS org_name, p_name AS gene_name, CAST(p_size AS VARCHAR) AS org_code FROM part")
@@ -868,7 +959,8 @@ def _typed(name: str, **kinds: str) -> None:
 _typed("cluster_stats", n_classes="INT")
 _typed("clustering_summary", min_n_classes="INT", max_n_classes="INT")
 _typed("threshold_sweep", min_n_classes="INT", max_n_classes="INT")
-_typed("extract_genes", len="BIGINT")
+_typed("clustering_summary_of_classes", min_n_classes="INT", max_n_classes="INT")
+_typed("summary_of_every_nth_edge", min_n_classes="INT", max_n_classes="INT")
 _typed("genome_dimension", id="INT")
 _typed("sequence_dimension", genome_id="INT")
 _typed("encode_edges", query_db="INT", subject_db="INT")

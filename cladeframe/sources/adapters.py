@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cladeframe.session import read_table
 
-UPPER = 0.05  # the edges of most queries, so that their recursive SQL ends; cladeframe.uncut has no limit
+WITHIN = 0.05  # the distance of the queries whose feature is a limit on it
 
 EVIDENCE_SQL = """
 evidence AS (
@@ -21,17 +21,23 @@ evidence AS (
  WHERE p1.p_brand < p2.p_brand)"""
 
 
-def edges_sql(max_div: int = 8, min_exponent: int = 5, upper: float = 0.05, name: str = "edges") -> str:
+def edges_sql(max_div: int = 8, min_exponent: int = 5, upper: float | None = None, where: str = "true") -> str:
+    limit = "" if upper is None else f" AND min(dist) <= {upper}"
     return f"""{EVIDENCE_SQL},
-{name} AS (SELECT q, s, qdb, sdb, min(dist) dist FROM evidence WHERE dneed <= {max_div} AND ek >= {min_exponent} GROUP BY q, s, qdb, sdb HAVING min(dist) <= {upper})"""
+edges AS (SELECT q, s, qdb, sdb, min(dist) dist FROM evidence WHERE dneed <= {max_div} AND ek >= {min_exponent} GROUP BY q, s, qdb, sdb HAVING {where}{limit})"""
 
 
-def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(q, s, qdb, sdb, dneed, ek, dist) of pairs of lines of one order."""
+def evidence(spark: SparkSession, sf_dir: str, max_div: int | None = None, min_exponent: int | None = None) -> DataFrame:
+    """(q, s, qdb, sdb, dneed, ek, dist) of pairs of lines of one order, of those that pass the
+    parameters; these hold for each line of a pair, so lines are filtered before they are joined."""
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     line = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.round(F.col("l_discount") * 100).cast("int").alias("d"), "l_quantity", cents.alias("c"))
     line = line.join(part, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
+    if max_div is not None:
+        line = line.where(F.col("d") <= max_div)
+    if min_exponent is not None:
+        line = line.where(F.col("l_quantity").cast("int") >= min_exponent)
     a = line.toDF("o", "q", "d1", "n1", "c1", "qdb")
     b = line.toDF("o", "s", "d2", "n2", "c2", "sdb")
     both = a.join(b, "o").where("q <> s and qdb < sdb")
@@ -39,12 +45,12 @@ def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("q", "s", "qdb", "sdb", F.greatest("d1", "d2").alias("dneed"), F.least("n1", "n2").cast("int").alias("ek"), dist.alias("dist"))
 
 
-def edges(spark: SparkSession, sf_dir: str, max_div: int = 8, min_exponent: int = 5, upper: float | None = UPPER, lower: float | None = None) -> DataFrame:
+def edges(spark: SparkSession, sf_dir: str, max_div: int = 8, min_exponent: int = 5, upper: float | None = None, lower: float | None = None) -> DataFrame:
     """(q, s, qdb, sdb, dist) at one parameter set: the least distance of each pair of genes."""
-    some = evidence(spark, sf_dir).where((F.col("dneed") <= max_div) & (F.col("ek") >= min_exponent))
+    some = evidence(spark, sf_dir, max_div, min_exponent)
+    if upper is not None:  # a least distance within the limit is the least of those within it
+        some = some.where(F.col("dist") <= upper)
     out = some.groupBy("q", "s", "qdb", "sdb").agg(F.min("dist").alias("dist"))
-    if upper is not None:
-        out = out.where(F.col("dist") <= upper)
     return out if lower is None else out.where(F.col("dist") >= lower)
 
 

@@ -3,6 +3,9 @@ splittable; compressed files are read as they are, one task each."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,21 +59,37 @@ def read_dat(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
+def _mark_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds whether a record is its file's first: of the rows of one block, which come one after
+    the other, the first one, where the block begins the file."""
+    last = None
+    for b in batches:
+        key = [*zip(b.column("path").to_pylist(), b.column("at").to_pylist())]
+        first = [k != before and k[1] == 0 for k, before in zip(key, [last, *key])]
+        last = key[-1] if key else last
+        yield b.append_column("first", pa.array(first, pa.bool_()))
+
+
 def read_fasta(spark: SparkSession, paths: str | list[str], mode: str = "drop") -> DataFrame:
     """nameline, id, seq, status, path of FASTA records.
 
-    Malformed are records without a name line or a sequence line, or with a blank line.
-    mode: 'drop' leaves them out, 'keep' keeps them with their status, 'strict' raises.
+    Malformed are lines before a file's first name line (no_nameline, one record with an empty
+    name line), name lines without any line after them (no_sequence), and records with a blank
+    line. mode: 'drop' leaves them out, 'keep' keeps them with their status, 'strict' raises.
     """
+    if mode not in ("drop", "keep", "strict"):
+        raise ValueError(f"unknown mode {mode!r}")
     text = spark.read.option("lineSep", "\n>").text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    text = text.mapInArrow(_mark_first, "value string, path string, at long, first boolean")
     value = F.regexp_replace(F.regexp_replace("value", r"\n\z", ""), r"\r", "")
-    body = F.regexp_replace(value, "^>", "")
+    # The separator took the '>' of all records but a file's first one.
+    headless = F.col("first") & ~value.startswith(">")
+    body = F.when(headless, F.concat(F.lit("\n"), value)).when(F.col("first"), F.substring(value, 2, 1 << 30)).otherwise(value)
     name, seq = F.regexp_extract(body, r"^([^\n]*)", 1), F.regexp_extract(body, r"(?s)^[^\n]*\n(.*)$", 1)
-    # Only a file's first record keeps its '>', so a first one without it is data before any name.
-    headless = (F.col("at") == 0) & ~value.startswith(">") & F.col("first")
-    status = F.when(headless | (F.trim(name) == ""), "no_nameline").when(F.trim(seq) == "", "no_sequence").when(seq.rlike(r"(?m)^\s*$"), "blank_line").otherwise("ok")
-    rows = text.withColumn("first", F.monotonically_increasing_id() % (1 << 33) == 0)
-    rows = rows.select(F.concat(F.lit(">"), name).alias("nameline"), F.regexp_replace(seq, r"\s", "").alias("seq"), status.alias("status"), "path")
+    blank = F.exists(F.split(seq, "\n"), lambda x: F.trim(x) == "")
+    status = F.when(headless, "no_nameline").when(~body.contains("\n"), "no_sequence").when(blank, "blank_line").otherwise("ok")
+    nameline = F.when(headless, F.lit("")).otherwise(F.concat(F.lit(">"), F.rtrim(name)))
+    rows = text.select(nameline.alias("nameline"), F.regexp_replace(seq, r"\s", "").alias("seq"), status.alias("status"), "path")
     if mode == "strict":
         rows = rows.withColumn("seq", F.when(F.col("status") == "ok", F.col("seq")).otherwise(F.raise_error(F.concat(F.lit("malformed record: "), "status")).cast("string")))
     elif mode == "drop":
@@ -87,9 +106,12 @@ def read_namelines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_genome_dir(spark: SparkSession, path: str) -> DataFrame:
-    """FASTA records of the files <digits>.fasta in a directory; genome is the number."""
-    found = read_fasta(spark, path).withColumn("genome", F.regexp_extract("path", r"/(\d+)\.fasta$", 1))
-    return found.where("genome <> ''").select("genome", "nameline", "id", "seq")
+    """FASTA records of a directory: of files <digits>.fasta, whose genome is the number, or of
+    folders genome=<id>, as write_genome_fasta() leaves them."""
+    found = read_fasta(spark, path)
+    folder = F.try_url_decode(F.try_url_decode(F.regexp_extract("path", r"/genome=([^/]+)/[^/]+$", 1)))
+    genome = F.coalesce(F.nullif(folder, F.lit("")), F.regexp_extract("path", r"/(\d+)\.fasta$", 1))
+    return found.withColumn("genome", genome).where("genome <> ''").select("genome", "nameline", "id", "seq")
 
 
 def orthdata_blocks(text: DataFrame) -> DataFrame:

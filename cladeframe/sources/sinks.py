@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cladeframe.functions.scalars import wrap_seq
 from cladeframe.model import nest
+from cladeframe.operators.ranking import dense_ids
 
 
 def xml_escape(c: Column) -> Column:
@@ -33,11 +34,19 @@ def write_ortholog_tsv(orthologs: DataFrame, path: str, version: int = 2) -> Non
     orthologs.select(*(("sid", "qid") if version == 1 else ("qid", "sid")), "dist").write.csv(path, sep="\t", quote="")
 
 
+def _salt(df: DataFrame, *columns: str) -> Column:
+    """A number that deals the rows of a few large keys over all tasks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return F.pmod(F.xxhash64(*columns), F.lit(n))
+
+
 def collate_orthologs(nested: DataFrame, path: str, div_evalues: DataFrame | None = None, compression: str | None = None) -> None:
-    """One folder of PA/OR text per (div, evalue), of all or of the given ones."""
+    """One folder of PA/OR text per (div, evalue), of all or of the given ones; pairs are dealt
+    over as many files as there are shuffle partitions."""
     if div_evalues is not None:
         nested = nested.join(div_evalues.select("div", "evalue"), ["div", "evalue"], "left_semi")
-    out = orthdata_text(nested).select("div", "evalue", "value").repartition("div", "evalue").write.partitionBy("div", "evalue").option("lineSep", "\n//\n")
+    rows = orthdata_text(nested).withColumn("salt", _salt(nested, "qdb", "sdb"))
+    out = rows.repartition("div", "evalue", "salt").select("div", "evalue", "value").write.partitionBy("div", "evalue").option("lineSep", "\n//\n")
     (out.option("compression", compression) if compression else out).text(path)
 
 
@@ -46,9 +55,10 @@ def fasta_text(nameline: str = "nameline", seq: str = "sequence", width: int = 6
 
 
 def write_genome_fasta(genes: DataFrame, path: str, width: int = 60) -> None:
-    """FASTA in a folder per genome; rows of one genome may fill several files."""
-    rows = genes.select("genome", fasta_text(width=width).alias("value"))
-    rows.repartition("genome").write.partitionBy("genome").text(path)
+    """FASTA in a folder genome=<id> per genome, which read_genome_dir() reads; rows of one genome
+    fill up to eight files."""
+    rows = genes.select("genome", fasta_text(width=width).alias("value"), (_salt(genes, "nameline") % 8).alias("salt"))
+    rows.repartition("genome", "salt").select("genome", "value").write.partitionBy("genome").text(path)
 
 
 def pairs_for_upload(orthologs: DataFrame) -> DataFrame:
@@ -111,7 +121,8 @@ def _xml_document(genes: DataFrame, groups: DataFrame, score: str) -> DataFrame:
 
 
 def profile_matrix_text(members: DataFrame, genomes: list[str], names: DataFrame, terms: DataFrame) -> DataFrame:
-    """(cid, value): 0/1 per genome, ids, distinct names and distinct terms, joined by tabs.
+    """(cid, value): 0/1 per genome, ids, distinct names and distinct terms, joined by tabs; the
+    column heads in a row without a cid, which comes first in order.
 
     members (cid, genome, gene); names (gene, gene_name); terms (gene, term)."""
     per = members.groupBy("cid", "genome").agg(F.array_join(F.array_sort(F.collect_list(F.col("gene").cast("string"))), ", ").alias("ids"))
@@ -120,7 +131,9 @@ def profile_matrix_text(members: DataFrame, genomes: list[str], names: DataFrame
     rows = cells.join(joined(names, "gene_name"), "cid", "left").join(joined(terms, "term"), "cid", "left")
     flags = [F.map_contains_key("by_genome", F.lit(g)).cast("int").cast("string") for g in genomes]
     ids = F.array_join(F.array_compact(F.array(*(F.element_at("by_genome", F.lit(g)) for g in genomes))), "; ")
-    return rows.select("cid", F.concat_ws("\t", *flags, ids, F.coalesce("gene_name", F.lit("")), F.coalesce("term", F.lit(""))).alias("value"))
+    body = rows.select("cid", F.concat_ws("\t", *flags, ids, F.coalesce("gene_name", F.lit("")), F.coalesce("term", F.lit(""))).alias("value"))
+    head = "\t".join([*genomes, "Ids", "Names", "Terms"])
+    return members.sparkSession.createDataFrame([(head,)], "value string").select(F.lit(None).cast(members.schema["cid"].dataType).alias("cid"), "value").unionByName(body)
 
 
 def result_text(members: DataFrame, genomes: DataFrame, names: DataFrame, terms: DataFrame) -> DataFrame:
@@ -132,12 +145,37 @@ def result_text(members: DataFrame, genomes: DataFrame, names: DataFrame, terms:
     return rows.select("cid", "genome", "gene", F.concat_ws("\t", cell("gene"), "genome", cell("gene_name"), cell("terms")).alias("value"))
 
 
+def result_lines(members: DataFrame, stats: DataFrame, genomes: DataFrame, names: DataFrame, terms: DataFrame) -> DataFrame:
+    """(cid, part, genome, gene, value): result_text() as a whole document. The number of clusters
+    comes first (cid null), then of each cluster its number with its average distance (part 0),
+    the column heads (1) and the lines (2), in the order of these columns."""
+    cluster = stats.select("cid", F.round("avg_dist", 6).alias("avg_dist"))
+    numbered = dense_ids(cluster, "cid", name="nth")
+    none = [F.lit(None).cast("string").alias("genome"), F.lit(None).cast(members.schema["gene"].dataType).alias("gene")]
+    # The headings of the text format.
+    n = F.count("*")
+    said = F.when(n == 0, "No results found").when(n == 1, "1 result found").otherwise(F.concat(n.cast("string"), F.lit(" results found")))
+    total = cluster.agg(said.alias("value")).select(F.lit(None).cast(members.schema["cid"].dataType).alias("cid"), F.lit(0).alias("part"), *none, "value")
+    title = numbered.select("cid", F.lit(0).alias("part"), *none, F.concat(F.lit("Gene Cluster #"), F.col("nth").cast("string"), F.lit(" | Average Evolutionary Distance: "), F.col("avg_dist").cast("decimal(18,6)").cast("string")).alias("value"))
+    heads = cluster.select("cid", F.lit(1).alias("part"), *none, F.lit("Id\tGenome\tGene Name\tTerms").alias("value"))
+    lines = result_text(members, genomes, names, terms).select("cid", F.lit(2).alias("part"), "genome", "gene", "value")
+    return total.unionByName(title).unionByName(heads).unionByName(lines)
+
+
 def raw_pair_text(orthologs: DataFrame, nested_only: bool = False) -> DataFrame:
     """One pair's orthologs as PA/OR text, in external ids."""
     return orthdata_text(orthologs if nested_only else nest(orthologs))
 
 
-def write_text(lines: DataFrame, path: str, order: list[str], compression: str | None = None) -> None:
-    """Rows' value in order, as parts that are read one after the other."""
-    out = lines.orderBy(*order).select("value").write
+def write_text(lines: DataFrame, path: str, order: list[str], compression: str | None = None) -> bool:
+    """Rows' value in order, as parts that are read one after the other. Parts that are there
+    already stay: returns whether it wrote."""
+    try:
+        if lines.sparkSession.read.text(path).inputFiles():
+            return False
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    out = lines.orderBy(*order).select("value").write.mode("overwrite")
     (out.option("compression", compression) if compression else out).text(path)
+    return True

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +46,41 @@ def test_fasta_shapes(spark, tmp_path, text, status):
             readers.read_fasta(spark, path, "strict").select("seq").collect()
 
 
+def test_malformed_records_of_many_files(spark, tmp_path):
+    """Files that share a partition, and blocks of one file."""
+    for i in range(60):
+        write(tmp_path, f"{i}.fasta", f"MV\nLL\n>n|{i}\nAA\nCC\n>n|{i}b\n" if i % 2 else f">n|{i}\nAA\n>\nGG\n>n|x\n\nTT\n")
+    found = readers.read_fasta(spark, str(tmp_path), "keep")
+    assert found.rdd.getNumPartitions() < 60
+    got = Counter((r.nameline, r.seq, r.status) for r in found.collect())
+    assert sum(n for (_, _, s), n in got.items() if s == "no_nameline") == 30 == got["", "MVLL", "no_nameline"]
+    assert all(got[f">n|{i}", "AACC" if i % 2 else "AA", "ok"] == 1 for i in range(60))
+    assert got[">", "GG", "ok"] == got[">n|x", "TT", "blank_line"] == 30 and sum(s == "no_sequence" for _, _, s in got) == 30
+    assert readers.read_genome_dir(spark, str(tmp_path)).count() == 90
+    write(tmp_path, "big", "JUNK\n" + "".join(f">n|{i}\n{'MVLK' * 10}\n" for i in range(4000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        big = readers.read_fasta(spark, str(tmp_path / "big"), "keep")
+        assert big.rdd.getNumPartitions() > 5 and Counter(r.status for r in big.collect()) == {"ok": 4000, "no_nameline": 1}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_genome_dir_round_trip(spark, tmp_path):
+    rows = [(g, f">n|{g}{i}", "MVL" * 30) for g in ("7", "Brand#1", "a b/c") for i in range(40)]
+    genes = spark.createDataFrame(rows, "genome string, nameline string, sequence string")
+    sinks.write_genome_fasta(genes, str(tmp_path / "out"))
+    assert sorted(map(tuple, readers.read_genome_dir(spark, str(tmp_path / "out")).select("genome", "nameline", "seq").collect())) == sorted(rows)
+
+
+def test_text_is_written_once(spark, tmp_path):
+    lines = spark.range(5).select(F.col("id").cast("string").alias("value"))
+    path = str(tmp_path / "t")
+    assert sinks.write_text(lines, path, ["value"], "gzip") and not sinks.write_text(lines, path, ["value"], "gzip")
+    assert spark.read.text(path).count() == 5
+
+
 def test_genome_dir(spark, tmp_path):
     write(tmp_path, "9606.fasta", ">ns|a x\nMV\n>ns|b\nLL\n")
     write(tmp_path, "readme.fasta", ">c\nMV\n")

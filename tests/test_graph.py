@@ -52,6 +52,29 @@ def test_transitively_closed(spark):
     assert (s.n_clusters, s.sum_nodes, s.sum_edges, s.global_tcc, s.bogus) == (1, 3, 3, 1.0, False)
 
 
+def test_nodes_without_a_class(spark):
+    e = [("a", "b", 1.0), ("b", "c", 2.0), ("x", "y", 4.0)]
+    some = clusters(spark, e, {"a": "1", "b": "1", "x": "1", "y": "2"})
+    assert {r.cid: (r.n_classes, r.unclassified) for r in some.collect()} == {"a": (2, True), "x": (2, False)}
+    s = graph.clustering_summary(some).first()
+    assert s.bogus and (s.min_avg_dist, s.max_avg_dist, s.avg_avg_dist) == (1.5, 4.0, 2.75)
+    edges = spark.createDataFrame(e, "a string, b string, dist double")
+    plain = graph.cluster_stats(edges, graph.connected_components(edges))
+    assert {r.n_classes for r in plain.collect()} == {1} and not graph.clustering_summary(plain).first().bogus
+
+
+def test_summary_of_every_nth_edge(spark):
+    edges = spark.createDataFrame([(i, i + 1, i / 10) for i in range(7)], "a long, b long, dist double")
+    got = graph.sampled_summaries(edges, None, 3, "dist").orderBy("n_seen").collect()
+    assert [(r.n_seen, r.distance, r.sum_nodes, r.n_clusters) for r in got] == [(3, 0.2, 4, 1), (6, 0.5, 7, 1)]
+    assert graph.sampled_summaries(edges, None, 8, "dist").count() == 0
+
+
+def test_all_rows_stay_where_they_are(spark):
+    plan = profiles.page(spark.range(50), "id", 1, 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Limit" not in plan and "Offset" not in plan
+
+
 def members(spark, profs):
     rows = [(c, f"g{i}", f"{c}.{i}") for c, p in enumerate(profs) for i, x in enumerate(p) if x == "1"]
     return spark.createDataFrame(rows, "cid int, genome string, gene string")

@@ -49,6 +49,7 @@ def test_small_ones(spark):
         scalars.wrap_seq(F.col("x"), 0)
     assert one(spark, scalars.species_of, " Homo sapiens neanderthalensis") == "Homo sapiens"
     assert one(spark, scalars.genome_display_name, "Homo_sapiens.aa", None) == "Homo sapiens"
-    assert one(spark, scalars.class_from_prefix, "At3g1") == "At"
+    for gene, organism in (("At3g1", "ath"), ("CE01", "cel"), ("Hs12", "hsa"), ("SPAC", "spo"), ("EC7", "ecu"), ("YAL1", "sce"), ("12345", "dme"), ("7", "dme"), ("1a2", None), ("", None)):
+        assert one(spark, scalars.class_from_prefix, gene) == organism, gene
     assert one(spark, scalars.class_from_prefix, "zz") is None
     assert one(spark, lambda a, b: scalars.hamming(F.split(a, ","), F.split(b, ",")), "1,1,0", "0,1,1") == 2
