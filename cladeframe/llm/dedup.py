@@ -6,7 +6,8 @@ branches by two further minwise tokens that a hash of the node chooses, so a pai
 similarity s stays together in some branch with high probability at any depth. Nodes
 that are small are compared exhaustively: first by agreement of minwise tokens, then,
 for pairs not linked yet, on full shingle sets. Nodes still large at the last depth
-are cut into blocks and every pair of blocks is compared, so nothing is left out.
+are cut into blocks; each is compared by itself, then members of different blocks that are
+no component yet, so nothing is left out.
 A pair of similarity 0.85 shares a first node of one tree with that probability, of six
 trees with 0.99999; links within a group are redundant besides.
 
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeframe.llm import textops
@@ -117,11 +118,12 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out if way == 1 else out.filter(pa.array(textops.mix(h + _U(1)) % _U(100) < _U(int(100 * SECOND))))
 
 
-def small_nodes(sets: DataFrame) -> DataFrame:
+def small_nodes(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(unit, rep, tree): the members of every node to compare, of two representatives at
-    least and small enough for one task."""
+    least and small enough for one task; and the rows of nodes still large at the last
+    depth, of which each block is a unit (None if there are none)."""
     level = sets.select(F.posexplode("nodes").alias("tree", "unit"), "rep", "n_shingles").select("unit", "rep", "n_shingles", "tree")
-    found = []
+    found, rest = [], None
     for depth in range(DEPTH + 1):
         sizes = level.groupBy("unit").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("w")).where("m > 1")
         live = stage(level.join(sizes, "unit"), "nodes")
@@ -134,15 +136,46 @@ def small_nodes(sets: DataFrame) -> DataFrame:
             members = large.select("unit", "rep", "n_shingles", "tree").join(sets.select("rep", "sig"), "rep")
             level = members.mapInArrow(_branch, "unit long, rep long, n_shingles long, tree int")
         else:
-            n = F.ceil(F.greatest(2 * F.col("m") / LEAF_ROWS, 2 * F.col("w") / LEAF_SHINGLES))
-            block = F.pmod(F.xxhash64("rep"), n)
-            other = F.explode(F.sequence(F.lit(0), n - 1))
-            blocks = large.select("unit", "rep", "tree", block.alias("i"), other.alias("j"))
-            found.append(blocks.select(F.xxhash64("unit", F.least("i", "j"), F.greatest("i", "j")).alias("unit"), "rep", "tree"))
+            rest = large.select("unit", "rep", "n_shingles")
+            found.append(large.select(F.xxhash64("unit", _block("rep", _blocks("m", "w"))).alias("unit"), "rep", "tree"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    return out, rest
+
+
+def _blocks(rows: str, shingles: str) -> Column:
+    """How many blocks half the size of a leaf hold so many rows and shingles."""
+    return F.ceil(F.greatest(2 * F.col(rows) / LEAF_ROWS, 2 * F.col(shingles) / LEAF_SHINGLES, F.lit(1.0)))
+
+
+def _block(rep: str, n: Column) -> Column:
+    return F.pmod(F.xxhash64(rep), n)
+
+
+def across_blocks(rest: DataFrame, components: DataFrame) -> DataFrame:
+    """(unit, rep): units in which every two members of a large node meet whose components differ.
+
+    Blocks have been compared by themselves. A node whose members are one component by then, as
+    the copies of one text are, needs no more. Of the others, members outside of the node's
+    largest component meet its blocks and each other, so that the many rows of that component
+    are repeated once for every block of the rest, mostly one."""
+    named = components.withColumnRenamed("node", "rep")
+    rows = rest.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    sizes = rows.groupBy("unit", "component").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("w"))
+    whole = sizes.groupBy("unit").agg(
+        F.count("*").alias("n"), F.max_by(F.struct("component", "m", "w"), F.struct("m", "component")).alias("most"), F.sum("m").alias("m"), F.sum("w").alias("w")
+    ).where("n > 1")
+    whole = whole.select("unit", "most.component", F.col("most.m").alias("m1"), F.col("most.w").alias("w1"), (F.col("m") - F.col("most.m")).alias("m2"), (F.col("w") - F.col("most.w")).alias("w2"))
+    whole = whole.select("unit", F.col("component").alias("main"), _blocks("m1", "w1").alias("n1"), _blocks("m2", "w2").alias("n2"))
+    rows = stage(rows.join(whole, "unit"), "across")
+    main = F.col("component") == F.col("main")
+    of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    a = rows.where(main).select("unit", "rep", _block("rep", F.col("n1")).alias("i"), of("n2").alias("j"))
+    b = rows.where(~main).select("unit", "rep", of("n1").alias("i"), _block("rep", F.col("n2")).alias("j"))
+    c = rows.where(~main & (F.col("n2") > 1)).select("unit", "rep", of("n2").alias("i"), _block("rep", F.col("n2")).alias("j")).where("i <> j")
+    units = a.unionByName(b).select(F.xxhash64("unit", "i", "j").alias("unit"), "rep")
+    return units.unionByName(c.select(F.xxhash64("unit", F.least("i", "j"), F.greatest("i", "j"), F.lit(1)).alias("unit"), "rep"))
 
 
 def _agreeing(sig: np.ndarray, least: int) -> np.ndarray:
@@ -235,12 +268,23 @@ def _grouped(docs: DataFrame, num: int, den: int) -> DataFrame:
     prints = stage(fingerprints(docs), "fingerprints")
     known = prints.where("n_shingles > 0 and doc_id is not null")
     sets = stage(known.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("nodes").alias("nodes")), "sets")
-    members = by_unit(small_nodes(sets).join(sets.select("rep", "sig"), "rep"))
-    pairs = stage(members.mapInArrow(_candidates(least), "unit long, rep long, tree int"), "candidates")
-    wanted = pairs.select("rep").distinct().join(sets.select("rep", "sig"), "rep")
-    texts = stage(docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(wanted, "rep"), "texts")
+    nodes, rest = small_nodes(sets)
+
+    def candidates(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members of units that agree well with another one, and the texts of these."""
+        members = by_unit(units.join(sets.select("rep", "sig"), "rep"))
+        pairs = stage(members.mapInArrow(_candidates(least), "unit long, rep long, tree int"), "candidates")
+        wanted = pairs.select("rep").distinct().join(sets.select("rep", "sig"), "rep")
+        return pairs, stage(docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(wanted, "rep"), "texts")
+
+    pairs, texts = candidates(nodes)
     links = None
-    for some in (F.col("tree") == 0, F.col("tree") > 0):
+    for some in (F.col("tree") == 0, F.col("tree") > 0, None):
+        if some is None:
+            if rest is None:
+                break
+            pairs, texts = candidates(across_blocks(rest, components).withColumn("tree", F.lit(0)))  # noqa: F821
+            some = F.lit(True)
         rows = pairs.where(some).select("unit", "rep")
         if links is None:
             rows = rows.withColumn("component", F.col("rep"))

@@ -59,3 +59,24 @@ def test_odd_rows(docs, odd, spark):
     null = dedup.near_duplicates(odd).where("doc_id is null").first()
     assert null.component_id is None and null.kept
     assert dedup.near_duplicates(docs().limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("leaf", [4096, 6, 3])
+def test_nodes_that_stay_large(docs, monkeypatch, leaf):
+    """Most words in common to all documents, so that nodes hold many groups down to the last depth; one group is large."""
+    monkeypatch.setattr(dedup, "LEAF_ROWS", leaf)
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(4))
+    shared, rows = [word() for _ in range(120)], []
+    for group in range(10):
+        own = [word() for _ in range(45)]
+        for _ in range(40 if group == 3 else r.choice([1, 2, 5])):
+            text = shared + own
+            for _ in range(r.randrange(4)):
+                text[r.randrange(len(text))] = word()
+            rows.append(" ".join(text))
+    r.shuffle(rows)
+    rows = [(i * 2 + 1, t) for i, t in enumerate(rows)]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in dedup.near_duplicates(docs(*rows)).collect()}
+    want = exact(rows)
+    assert got == want and len({c for _, c in want.values()}) > 8
