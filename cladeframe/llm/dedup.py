@@ -178,9 +178,10 @@ def across_blocks(rest: DataFrame, components: DataFrame) -> DataFrame:
     return units.unionByName(c.select(F.xxhash64("unit", F.least("i", "j"), F.greatest("i", "j"), F.lit(1)).alias("unit"), "rep"))
 
 
-def _agreeing(sig: np.ndarray, least: int) -> np.ndarray:
-    """Pairs i < j whose minwise tokens agree in at least `least` places, best first."""
-    pairs, step = [], max(1, 200_000 // len(sig))
+def _agreeing(sig: np.ndarray, least: int) -> Iterator[np.ndarray]:
+    """Pairs i < j whose minwise tokens agree in at least `least` places: those of some rows at a
+    time with all others, the best of them first."""
+    step = max(1, 200_000 // len(sig))
     for i in range(0, len(sig), step):
         some = sig[i : i + step]
         same = np.zeros((len(some), len(sig)), np.uint8)
@@ -188,9 +189,9 @@ def _agreeing(sig: np.ndarray, least: int) -> np.ndarray:
             same += some[:, c, None] == sig[None, :, c]
         a, b = np.nonzero(same >= least)
         keep = a + i < b
-        pairs.append(np.stack([same[a[keep], b[keep]], a[keep] + i, b[keep]], 1).astype(np.int32))
-    pairs = np.concatenate(pairs)
-    return pairs[np.argsort(-pairs[:, 0], kind="stable"), 1:]
+        a, b = a[keep], b[keep]
+        order = np.argsort(-same[a, b].astype(np.int16), kind="stable")
+        yield np.stack([a[order] + i, b[order]], 1)
 
 
 def _candidates(least: int):
@@ -204,12 +205,20 @@ def _candidates(least: int):
             near = (sig[two] == sig[two + 1]).sum(1) >= least
             keep[two[near]] = keep[two[near] + 1] = True
             for a, n in zip(first[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-                keep[a + np.unique(_agreeing(sig[a : a + n], least))] = True
+                for pairs in _agreeing(sig[a : a + n], least):
+                    keep[a + pairs.ravel()] = True
             yield from t.filter(pa.array(keep)).select(["unit", "rep", "tree"]).combine_chunks().to_batches()
 
     return run
 
 
+def _linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    if den * min(len(x), len(y)) < num * max(len(x), len(y)):
+        return False
+    same = len(np.intersect1d(x, y, assume_unique=True))
+    return den * same >= num * (len(x) + len(y) - same)
+
+
 def _verify(num: int, den: int, least: int):
     """Components within nodes by links on full sets, as links to each one's least member."""
 
@@ -219,27 +228,22 @@ def _verify(num: int, den: int, least: int):
             sets = [s for chunk in t.column("text").chunks for s in shingle_sets(chunk)]
             links = []
             for a, e in zip(first[:-1].tolist(), first[1:].tolist()):
-                if len(set(comp[a:e].tolist())) < 2:
+                names, label = np.unique(comp[a:e], return_inverse=True)  # in the order of their ids
+                if len(names) < 2:
                     continue
-                root = {c: c for c in comp[a:e].tolist()}
-
-                def find(x, root=root):
-                    while root[x] != x:
-                        root[x] = x = root[root[x]]
-                    return x
-
-                for i, j in _agreeing(sig[a:e], least).tolist():
-                    i, j = a + i, a + j
-                    x, y = find(int(comp[i])), find(int(comp[j]))
-                    if x == y:
-                        continue
-                    p, q = len(sets[i]), len(sets[j])
-                    if den * min(p, q) < num * max(p, q):
-                        continue
-                    same = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if den * same >= num * (p + q - same):
-                        root[max(x, y)] = min(x, y)
-                links += [(c, find(c)) for c in root if find(c) != c]
+                own, left = label.copy(), len(names)
+                for pairs in _agreeing(sig[a:e], least):
+                    if left == 1:
+                        break
+                    for k in range(0, len(pairs), 1024):
+                        some = pairs[k : k + 1024]
+                        for i, j in some[label[some[:, 0]] != label[some[:, 1]]].tolist():
+                            if label[i] == label[j] or not _linked(sets[a + i], sets[a + j], num, den):
+                                continue
+                            label[label == max(label[i], label[j])] = min(label[i], label[j])
+                            left -= 1
+                moved = np.unique(np.stack([own, label], 1)[own != label], axis=0)
+                links += zip(names[moved[:, 0]].tolist(), names[moved[:, 1]].tolist())
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return run
