@@ -261,8 +261,9 @@ UNION ALL SELECT 'genes', NULL, count(*) FROM rec WHERE complete AND genome IN (
 UNION ALL SELECT 'steps', event_type, count(*) FROM (SELECT DISTINCT event_type, user_id FROM events) GROUP BY ROLLUP (event_type)
 UNION ALL SELECT 'items', 'taxons', count(*) FROM named HAVING count(*) > 0 UNION ALL SELECT 'items', 'taxonSpecies', count(DISTINCT species) FROM sp HAVING count(*) > 0
 UNION ALL SELECT 'items', 'euks', n FROM (SELECT count(*) n FROM sp WHERE cat_code = 'E') WHERE n > 0 UNION ALL SELECT 'items', 'eukSpecies', n FROM (SELECT count(DISTINCT species) n FROM sp WHERE cat_code = 'E') WHERE n > 0
-UNION ALL SELECT 'gone', 'taxons', n FROM (SELECT count(*) n FROM taxa WHERE taxon NOT IN (SELECT genome FROM named)) WHERE n > 0""")
+UNION ALL SELECT 'gone', 'taxons', n FROM (SELECT count(*) n FROM taxa WHERE taxon NOT IN (SELECT genome FROM named)) WHERE n > 0 AND EXISTS (SELECT 1 FROM named)""")
 def release_build(spark, sf):
+    """A release of no genomes has no items, and so is none that others are compared with."""
     r = _build(spark, sf)
     none = F.lit(None).cast("string").alias("part")
     stats = r.stats.select(F.explode(F.array(*(F.struct(F.lit(k).alias("what"), none, F.col(f"num_{k}").alias("n")) for k in ("genomes", "pairs", "orthologs")))).alias("x")).select("x.*")
