@@ -8,8 +8,10 @@ that are small are compared exhaustively: first by agreement of minwise tokens,
 for pairs not linked yet, on full shingle sets. Nodes still large at the last depth
 are cut into blocks; each is compared by itself, then members of different blocks that are
 no component yet, so nothing is left out.
-A pair of similarity 0.85 shares a first node of one tree with that probability, of six
-trees with 0.99999; links within a group are redundant besides.
+There are as many trees as it takes for a pair at the limit of similarity to meet with a
+probability of TARGET_RECALL even if all of its nodes branch down to the last depth (six at
+0.85; in first nodes alone such a pair meets with 0.99999). Links within a group are
+redundant besides.
 
 Node sizes are counted with map-side combine; the rows of a node come together only
 once it is known to be small. Links of a first tree are made into components before
@@ -18,6 +20,7 @@ the others run, which then compare only across components.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +33,9 @@ from cladeframe.operators.graph import connected_components
 from cladeframe.session import read_table, stage
 
 SHINGLE = 5
-TREES, COORDINATES = 6, 96
+COORDINATES = 96
+#: Share of the pairs at the limit of similarity that have to meet in a node, whatever sizes nodes have.
+TARGET_RECALL = 0.997
 LEAF_ROWS, LEAF_SHINGLES = 4096, 4_000_000
 #: Nodes that choose a second token to branch by: pairs of similarity s meet in (1 + SECOND) * s children.
 SECOND = 0.35
@@ -45,6 +50,23 @@ _MULT, _ADD = _SEEDS[0] * _U(2) + _U(1), _SEEDS[1]
 _FP = "doc_id long, n_shingles long, key1 long, key2 long, sig binary, nodes array<long>, text_hash long"
 
 
+def meeting(similarity: float, depth: int = DEPTH) -> float:
+    """The probability that a pair meets in some node of a tree whose nodes all branch `depth` times."""
+    p = 1.0
+    for _ in range(depth):
+        p = 1 - (1 - similarity * p) * (1 - SECOND * similarity * p)
+    return similarity * p
+
+
+def trees_for(similarity: float, recall: float = TARGET_RECALL) -> int:
+    """How many independent trees it takes for such pairs to meet with this probability."""
+    miss = 1 - meeting(similarity)
+    n = 1 if miss <= 0 else math.ceil(math.log(1 - recall) / math.log(miss))
+    if n > COORDINATES // 2:
+        raise ValueError(f"a similarity of {similarity} takes {n} trees, more than half of the minwise tokens")
+    return n
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """(rows, first rows of the groups and their end) of a stream sorted by key; no group is cut."""
     held: list[pa.RecordBatch] = []
@@ -81,7 +103,7 @@ def shingle_sets(text: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, trees: int) -> DataFrame:
     """Set size, a 128-bit key of the set, minwise tokens, the first node in each tree, and a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +117,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 for c in range(COORDINATES):
                     sig[:, c] = textops.per_row(np.minimum, (h * _MULT[c] + _ADD[c]) >> _U(32), first, 0)
                 keys = [textops.per_row(np.add, x, first, 0).view(np.int64) for x in (h, textops.mix(h ^ _ADD[0]))]
-                nodes = textops.mix((sig[:, :TREES].astype(np.uint64) << _U(8)) + np.arange(TREES, dtype=np.uint64)).view(np.int64)
+                nodes = textops.mix((sig[:, :trees].astype(np.uint64) << _U(8)) + np.arange(trees, dtype=np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array(n), *map(pa.array, keys), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(nodes.tolist(), pa.list_(pa.int64())), b.column(2).slice(i, j - i)],
                     names=["doc_id", "n_shingles", "key1", "key2", "sig", "nodes", "text_hash"],
@@ -105,20 +127,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text)).mapInArrow(run, _FP)
 
 
-def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _branch(trees: int):
     """Each row to one or two child nodes, by minwise tokens that the node chooses."""
-    for b in batches:
-        sig = _signatures(b.column("sig"))
-        unit = b.column("unit").to_numpy().view(np.uint64)
-        for way in (1, 2):
-            h = textops.mix(unit + _U(way * textops._M1 % 2**64))
-            c = TREES + (h % _U(COORDINATES - TREES)).astype(np.int64)
-            child = textops.mix(h ^ (sig[np.arange(len(c)), c].astype(np.uint64) << _U(20))).view(np.int64)
-            out = pa.RecordBatch.from_arrays([pa.array(child), *(b.column(x) for x in ("rep", "n_shingles", "tree"))], names=["unit", "rep", "n_shingles", "tree"])
-            yield out if way == 1 else out.filter(pa.array(textops.mix(h + _U(1)) % _U(100) < _U(int(100 * SECOND))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sig = _signatures(b.column("sig"))
+            unit = b.column("unit").to_numpy().view(np.uint64)
+            for way in (1, 2):
+                h = textops.mix(unit + _U(way * textops._M1 % 2**64))
+                c = trees + (h % _U(COORDINATES - trees)).astype(np.int64)
+                child = textops.mix(h ^ (sig[np.arange(len(c)), c].astype(np.uint64) << _U(20))).view(np.int64)
+                out = pa.RecordBatch.from_arrays([pa.array(child), *(b.column(x) for x in ("rep", "n_shingles", "tree"))], names=["unit", "rep", "n_shingles", "tree"])
+                yield out if way == 1 else out.filter(pa.array(textops.mix(h + _U(1)) % _U(100) < _U(int(100 * SECOND))))
+
+    return run
 
 
-def small_nodes(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def small_nodes(sets: DataFrame, trees: int) -> tuple[DataFrame, DataFrame | None]:
     """(unit, rep, tree): the members of every node to compare, of two representatives at
     least and small enough for one task; and the rows of nodes still large at the last
     depth, of which each block is a unit (None if there are none)."""
@@ -134,7 +160,7 @@ def small_nodes(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             break
         if depth < DEPTH:
             members = large.select("unit", "rep", "n_shingles", "tree").join(sets.select("rep", "sig"), "rep")
-            level = members.mapInArrow(_branch, "unit long, rep long, n_shingles long, tree int")
+            level = members.mapInArrow(_branch(trees), "unit long, rep long, n_shingles long, tree int")
         else:
             rest = large.select("unit", "rep", "n_shingles")
             found.append(large.select(F.xxhash64("unit", _block("rep", _blocks("m", "w"))).alias("unit"), "rep", "tree"))
@@ -269,10 +295,11 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
 def _grouped(docs: DataFrame, num: int, den: int) -> DataFrame:
     """near_duplicates(), with the xxhash64 of each row's text as text_hash."""
     least = int(np.ceil(COORDINATES * (num / den - SLACK)))
-    prints = stage(fingerprints(docs), "fingerprints")
+    trees = trees_for(num / den)
+    prints = stage(fingerprints(docs, trees), "fingerprints")
     known = prints.where("n_shingles > 0 and doc_id is not null")
     sets = stage(known.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("nodes").alias("nodes")), "sets")
-    nodes, rest = small_nodes(sets)
+    nodes, rest = small_nodes(sets, trees)
 
     def candidates(units: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members of units that agree well with another one, and the texts of these."""

@@ -80,3 +80,30 @@ def test_nodes_that_stay_large(docs, monkeypatch, leaf):
     got = {x.doc_id: (x.n_shingles, x.component_id) for x in dedup.near_duplicates(docs(*rows)).collect()}
     want = exact(rows)
     assert got == want and len({c for _, c in want.values()}) > 8
+
+
+def test_trees_for_a_target_recall():
+    assert dedup.trees_for(0.85) == 6 and dedup.trees_for(1.0) == 1
+    for s in (0.8, 0.85, 0.95):
+        n = dedup.trees_for(s)
+        assert 1 - (1 - dedup.meeting(s)) ** n >= dedup.TARGET_RECALL > 1 - (1 - dedup.meeting(s)) ** (n - 1)
+    with pytest.raises(ValueError):
+        dedup.trees_for(0.3)
+
+
+def test_recall_where_all_nodes_branch(docs, monkeypatch):
+    """Pairs just at the limit, without other links, among texts that have most words in common:
+    their nodes are large at all depths, and what meets there is compared."""
+    monkeypatch.setattr(dedup, "LEAF_ROWS", 8)
+    r = random.Random(9)
+    some = lambda n: ["".join(r.choice("abcdefghijkl") for _ in range(5)) for _ in range(n)]
+    shared, rows = some(60), []
+    for _ in range(400):
+        own = some(36)
+        rows += [" ".join(shared + own + some(8)) for _ in range(2)]  # 92 of 108 shingles
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in dedup.near_duplicates(docs(*enumerate(rows))).collect()}
+    assert all(n == 100 for n, _ in got.values())
+    assert all(c in (i, i - i % 2) for i, (_, c) in got.items())
+    found = sum(got[i][1] == i - 1 for i in range(1, 800, 2))
+    print("pairs found of 400:", found)
+    assert found >= 396
