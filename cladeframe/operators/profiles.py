@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeframe.operators.ranking import dense_ids
+from cladeframe.session import stage
+
 MANY_CLUSTERS = 100  # terms of more clusters have no mean distance
 
 
@@ -50,6 +53,29 @@ def transposed_profiles(members: DataFrame, clusters: DataFrame, genomes: list[s
     return grid.groupBy("genome").agg(ordered.alias("profile")).withColumn("genome", F.regexp_replace("genome", r"\.aa$", ""))
 
 
+def transposed_blocks(members: DataFrame, clusters: DataFrame, genomes: list[str], size: int = 10_000) -> DataFrame:
+    """(genome, block, part): transposed_profiles() as text of 0 and 1, in rows of `size` clusters
+    that follow each other by cid, numbered from 0, so that no row grows with the clusters."""
+    if size < 1:
+        raise ValueError("blocks need a size")
+    numbered = stage(dense_ids(clusters.select("cid"), "cid", name="n"), "numbered-clusters")
+    numbered = numbered.select("cid", F.floor((F.col("n") - 1) / size).alias("block"), F.pmod(F.col("n") - 1, F.lit(size)).cast("int").alias("place"))
+    sizes = numbered.groupBy("block").agg(F.count("*").cast("int").alias("n"))
+    listed = members.sparkSession.createDataFrame([(g,) for g in genomes], "genome string")
+    present = members.select("cid", "genome").distinct().join(numbered, "cid").groupBy("block", "genome").agg(F.array_sort(F.collect_list("place")).alias("places"))
+    rows = sizes.join(F.broadcast(listed)).join(present, ["block", "genome"], "left")  # a row per block and genome
+    ones = F.transform("places", lambda x, i: F.concat(F.repeat(F.lit("0"), x - F.coalesce(F.get("places", i - 1), F.lit(-1)) - 1), F.lit("1")))
+    part = F.rpad(F.coalesce(F.array_join(ones, ""), F.lit("")), F.col("n"), F.lit("0"))
+    return rows.select(F.regexp_replace("genome", r"\.aa$", "").alias("genome"), "block", part.alias("part"))
+
+
+def profile_members(profiles_: DataFrame, infos: DataFrame) -> DataFrame:
+    """(profile, n, info): profile_counts() with a row for each info, so that a profile of many
+    clusters stays many rows; n counts its clusters. Clusters without an info have a null."""
+    sizes = profiles_.groupBy("profile").agg(F.count("*").alias("n"))
+    return profiles_.join(infos, "cid", "left").join(sizes, "profile").select("profile", "n", "info")
+
+
 def profile_counts(profiles_: DataFrame, infos: DataFrame) -> DataFrame:
     """(profile, n, infos) of distinct profiles; infos (cid, info)."""
     return profiles_.join(infos, "cid", "left").groupBy("profile").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("info")).alias("infos"))

@@ -286,6 +286,20 @@ def profile_counts(spark, sf, upper=None):
     return rows.select(F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"), "n", F.array_join(F.col("infos").cast("array<string>"), ",").alias("clusters"))
 
 
+@query(f"""{C_SQL}, k AS (SELECT cid, row_number() OVER (ORDER BY cid) - 1 p FROM (SELECT DISTINCT cid FROM comp)) SELECT cols.genome, p // 20 AS block,
+string_agg(CASE WHEN m.genome IS NULL THEN '0' ELSE '1' END, '' ORDER BY k.cid) AS part FROM cols CROSS JOIN k LEFT JOIN (SELECT DISTINCT cid, genome FROM members) m ON m.cid = k.cid AND m.genome = cols.genome GROUP BY ALL""")
+def transposed_profile_blocks(spark, sf, upper=None):
+    r = _result(spark, sf, upper)
+    return profiles.transposed_blocks(r.members, r.stats, r.genomes, 20)
+
+
+@query(f"{C_SQL} SELECT array_to_string(profile, '') AS profile, count(*) OVER (PARTITION BY profile) AS n, cid FROM prof")
+def profile_clusters(spark, sf, upper=None):
+    p = _result(spark, sf, upper).profiles()
+    rows = profiles.profile_members(p, p.select("cid", F.col("cid").alias("info")))
+    return rows.select(F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"), "n", F.col("info").alias("cid"))
+
+
 @query(f"{C_SQL} SELECT cid, string_agg(term, ',' ORDER BY term) AS terms FROM ct GROUP BY cid")
 def cluster_terms(spark, sf, upper=None):
     own = profiles.cluster_terms(_result(spark, sf, upper).members, A.terms(spark, sf))

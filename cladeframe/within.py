@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cladeframe import queries
 from cladeframe.sources.adapters import WITHIN
 
-NAMES = """components cluster_stats clustering_summary cluster_edges cluster_matrix profile_rows transposed_profiles profile_counts cluster_terms profile_matrix_text terms_summary
+NAMES = """components cluster_stats clustering_summary cluster_edges cluster_matrix profile_rows transposed_profiles profile_counts transposed_profile_blocks profile_clusters cluster_terms profile_matrix_text terms_summary
 gene_view gene_view_sequences gene_view_edges retrieve_clusters retrieve_tc_only browse_clusters browse_gene_ids term_view genes_summary hamming_profile clusters_view result_text
 phylip_matrix nexus_matrix orthoxml_groups""".split()
 
