@@ -1,7 +1,8 @@
 """Toxicity by noisy-channel deobfuscation (operator 4).
 
 A word that may be disguised is a lattice: each character stands for itself, for the
-letters it imitates, or for nothing (separators, repeats). Viterbi decoding under a
+letters it imitates, or for nothing (separators, repeats), and some signs together for
+one letter (GLYPHS). Viterbi decoding under a
 character bigram model, counted over the whole corpus, restores the likeliest letters;
 numpy decodes all words of a batch at once. Words of letters only need no lattice: where
 letters are doubled, their readings with single ones are looked up too. A lexicon and its weights are learned from
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,12 +39,19 @@ IMITATES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "*": "aeiou", "#": "aeiou", "(": "c", "€": "e", "£": "l",
     ".": "", "-": "", "_": "", " ": "", "~": "", "^": "", "'": "", "/": "", "\\": "", ",": "", ":": "", ";": "",
 }
+# Letters drawn with several signs.
+GLYPHS = {
+    "/\\": "a", "/-\\": "a", "|)": "d", "|-|": "h", "|<": "k", "|\\/|": "m", "|\\|": "n", "()": "o",
+    "|_|": "u", "\\/": "v", "\\/\\/": "w", "><": "x",
+}
 COST_IMITATE, COST_DROP_SIGN, COST_DROP_MARK, COST_DROP_REPEAT = 0.5, 3.0, 0.1, 1.0
 
 #: Single characters apart by blanks: a word spaced out.
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]+\S){2,}(?!\S)")
 _EDGE = "".join(c for c, to in IMITATES.items() if not to) + "\"?()[]{}<>«»“”…"
 _MARKS = _EDGE.replace("(", "")  # those that imitate no letter
+_POINTS = ".,:;\"?!"  # those that no glyph has
+_GLYPH = re.compile("|".join(re.escape(g) for g in sorted(GLYPHS, key=len, reverse=True)))
 #: A number as it is written: nothing to decode.
 _NUMBER = re.compile(r"[+$€£#~-]*[0-9][0-9.,:/-]*[%+]?")
 _TRIPLE = re.compile(r"(.)\1\1")
@@ -134,7 +142,11 @@ class Channel:
         best[np.arange(n), begin] = 0.0
         back = np.zeros((width, n, 27), np.int8)
         rows = np.arange(n)
+        drawn = _drawn(words)
+        span = np.ones((width, n, 27), np.int8) if drawn else None  # characters that a letter takes
+        past: deque[np.ndarray] = deque(maxlen=max(map(len, GLYPHS)))
         for t in range(width):
+            past.append(best)
             c = text[:, t]
             cost = drop[c].copy()
             if t:
@@ -152,18 +164,38 @@ class Channel:
                     better = value > new[some, to]
                     new[some[better], to[better]] = value[better]
                     back[t, some[better], to[better]] = prev[better]
+            for r, size, to in drawn.get(t, ()):
+                from_ = past[-size][r] + self.log_p[:, to]
+                if (value := from_.max() - COST_IMITATE) > new[r, to]:
+                    new[r, to], back[t, r, to], span[t, r, to] = value, from_.argmax(), size
             best = new
         state = (best + np.where(np.array(last)[:, None], self.log_p[:, 0], 0.0)).argmax(1)
         made = np.zeros((width, n), np.uint8)
+        ahead = np.full(n, width)  # where the part that is read begins
         for t in range(width - 1, -1, -1):
             prev = back[t, rows, state]
-            put = prev >= 0
+            put = (prev >= 0) & (t < ahead)
             made[t, put] = state[put] + 96
+            if span is not None:
+                ahead = np.where(put, t + 1 - span[t, rows, state].astype(int), ahead)
             state = np.where(put, prev, state)
         for col in np.ascontiguousarray(made.T):
             yield col[col > 0].tobytes().decode()
 
 
+def _drawn(words: tuple[str, ...]) -> dict[int, list[tuple[int, int, int]]]:
+    """Position of its last character -> (word, characters, letter) of every glyph."""
+    found: dict[int, list[tuple[int, int, int]]] = {}
+    for r, w in enumerate(words):
+        if _GLYPH.search(w):
+            for g, to in GLYPHS.items():
+                at = w.find(g)
+                while at >= 0:
+                    found.setdefault(at + len(g) - 1, []).append((r, len(g), _code(to)))
+                    at = w.find(g, at + 1)
+    return found
+
+
 def _core(token: str) -> str:
     """A token without the marks at its edges."""
     return token.strip(_EDGE)
@@ -207,7 +239,7 @@ class Restorer:
     def prepare(self, tokens: set[str]) -> None:
         if len(self.words) > _CACHE_WORDS:
             self.words.clear()
-        odd, edged = [], []
+        odd, edged = [], []  # edged: tokens with another core
         for token in tokens.difference(self.words):
             core = _core(token)
             if core.isalpha() and not _TRIPLE.search(core):
@@ -216,12 +248,11 @@ class Restorer:
                 odd.append(token)
             else:
                 self.words[token] = core
-            if "(" in token and token.strip(_MARKS) != core:
-                edged.append(token)
+            edged += [(token, x) for x in {token.strip(_MARKS), *([token.strip(_POINTS)] if _GLYPH.search(token) else [])} if x != core and ("(" in token or _GLYPH.search(x))]
         for token, word in zip(odd, self.channel.decode([_core(x) for x in odd])):
             self.words[token] = self.single.get(_once(word), word)
-        # A bracket at an edge is a letter where that makes a word of the lexicon, and a mark otherwise.
-        for token, word in zip(edged, self.channel.decode([x.strip(_MARKS) for x in edged])):
+        # A bracket or glyph at an edge is a letter where that makes a word of the lexicon, and a mark otherwise.
+        for (token, _), word in zip(edged, self.channel.decode([x for _, x in edged])):
             word = self.single.get(_once(word), word)
             if word in self.lexicon:
                 self.words[token] = word

@@ -17,10 +17,50 @@ def test_words_without_any_letter():
     r = toxicity.Restorer(counts.ravel(), ("ass", "shit", "slut", "cunt"))
     tokens = ["@$$", "4$$", "$|!+", "51|_|+", "(unt", "(see", "$100", "2020-01-01", "+1-555", "50%", "ass,"]
     r.prepare(set(tokens))
-    assert [r.words[t] for t in tokens[:2]] == ["ass", "ass"] and r.words["(unt"] == "cunt" and r.words["ass,"] == "ass"
+    assert [r.words[t] for t in (*tokens[:2], tokens[3])] == ["ass", "ass", "slut"] and r.words["(unt"] == "cunt" and r.words["ass,"] == "ass"
     assert [r.words[t] for t in tokens[5:10]] == ["see", "$100", "2020-01-01", "+1-555", "50%"]
 
 
 def test_readings_of_doubled_letters():
     assert toxicity.reduced("asshoole") == ["asshole", "ashoole", "ashole"] and toxicity.reduced("heel") == ["hel"] and toxicity.reduced("plain") == []
     assert toxicity.reduced("aabbccddee") == ["abcde"]
+
+
+@pytest.mark.parametrize("text", ["st|_|pid", "$+|_|p1|)", "()idiot", "m()r()n", "\\/\\/orthless", "1|)1()t", "(st|_|pid),", "|\\/|oron", "woRT|-|less"])
+def test_letters_of_several_signs(trained, text):  # noqa: F811
+    assert trained.score([text], trained.restorer())[0] >= 0.7
+
+
+@pytest.mark.parametrize("text", ["|---|---|", "a/b", "f()", "/usr/an/er", "<br/>", "||", "\\/\\/\\/", "/\\" * 3000])
+def test_signs_that_are_no_word(trained, text):  # noqa: F811
+    assert trained.score([text], trained.restorer())[0] < 0.5
+
+
+def test_glyphs_on_the_best_path(trained):  # noqa: F811
+    """Against all ways to cut short words into characters and glyphs."""
+    import numpy as np
+
+    channel = trained.restorer().channel
+
+    def paths(word, i):
+        if i == len(word):
+            yield "", 0.0
+            return
+        c = word[i]
+        to = c if c.isalpha() else toxicity.IMITATES.get(c, "")
+        cost = np.inf if c.isalpha() else toxicity.COST_DROP_SIGN if to else toxicity.COST_DROP_MARK
+        if i and word[i - 1] == c:
+            cost = min(cost, toxicity.COST_DROP_REPEAT)
+        steps = [(x, 0.0 if c.isalpha() else toxicity.COST_IMITATE, 1) for x in to] + [("", cost, 1)]
+        steps += [(x, toxicity.COST_IMITATE, len(g)) for g, x in toxicity.GLYPHS.items() if word.startswith(g, i)]
+        for x, price, n in steps:
+            if np.isfinite(price):
+                for rest, value in paths(word, i + n):
+                    yield x + rest, value - price
+
+    def value_of(text, value):
+        ends = [0, *(ord(x) - 96 for x in text), 0]
+        return value + sum(channel.log_p[a, b] for a, b in zip(ends, ends[1:]))
+
+    words = ["s|_|t", "|-|a", "\\/\\/e", "/\\/\\", "|\\/|o", "|\\|()", "t/-\\n", "1|)|_|", "plain", "><|<", "()()"]
+    assert channel.decode(words) == [max(paths(w, 0), key=lambda p: value_of(*p))[0] for w in words]
