@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cladeframe.llm import dedup, licenses, media, mixing, packing, pii, quality, substrings, toxicity, warc
+from cladeframe.llm import centroids, dedup, licenses, media, mixing, neighbours, packing, pii, quality, substrings, toxicity, warc, whitening
 
-MODULES = (dedup, quality, licenses, toxicity, mixing, pii, warc, media, substrings, packing)
+MODULES = (dedup, quality, licenses, toxicity, mixing, pii, warc, media, substrings, packing, neighbours, whitening, centroids)
 
 
 def queries() -> dict:
