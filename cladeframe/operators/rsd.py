@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladeframe.session import stage
@@ -89,16 +89,48 @@ def match_best_hits(forward: DataFrame, backward: DataFrame) -> DataFrame:
     return forward.join(backward.select("qid", "sid", "div", "evalue"), ["qid", "sid", "div", "evalue"], "left_semi")
 
 
-def lookup_sequence(queries: DataFrame, genes: DataFrame, k: int = 6) -> DataFrame:
+COMMON = 256  # genes beyond which a k-mer says little about one of them
+
+
+def _kmers(df: DataFrame, key: str, k: int) -> DataFrame:
+    """(key, kmers): the sorted distinct k-mers of seq, of rows that have any."""
+    long = df.where(F.length("seq") >= k)
+    all_of = F.transform(F.sequence(F.lit(1), F.length("seq") - k + 1), lambda i: F.substr("seq", i, F.lit(k)))
+    return long.select(key, F.array_sort(F.array_distinct(all_of)).alias("kmers"))
+
+
+def lookup_sequence(queries: DataFrame, genes: DataFrame, k: int = 6, common: int = COMMON) -> DataFrame:
     """(query, gene): the gene of the same sequence, else the one with most k-mers in common;
     ties go to the smaller id, queries that share none are left out.
 
-    queries (query, seq), genes (gene, seq). Common k-mers are counted per pair with map-side
-    combine; nothing is gathered per k-mer."""
+    queries (query, seq), genes (gene, seq). Sequences of the same k-mers are compared as one.
+    k-mers of at most `common` genes are looked up first: a query meets at most so many genes
+    by each, and these genes' common k-mers are then counted in full. A gene met by none of
+    them shares common k-mers alone, so at most as many as the query has; where the best one
+    met has more, it is proven. What is left compares sets of common k-mers, each set once,
+    however many genes or queries have it."""
     same = queries.join(genes.select("gene", F.col("seq").alias("g_seq")), F.sha1("seq") == F.sha1("g_seq")).groupBy("query").agg(F.min("gene").alias("gene"))
-    kmers = lambda df, c: df.where(F.length("seq") >= k).select(c, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("seq") - k + 1), lambda i: F.substr("seq", i, F.lit(k))))).alias("kmer"))
-    rest = queries.join(same, "query", "left_anti")
-    shared = kmers(rest, "query").join(kmers(genes, "gene"), "kmer").groupBy("query", "gene").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("query").orderBy(F.desc("n"), "gene")
-    best = shared.withColumn("r", F.row_number().over(w)).where("r = 1").select("query", "gene")
-    return same.unionByName(best)
+    own = stage(_kmers(genes, "gene", k).groupBy("kmers").agg(F.min("gene").alias("gene")), "gene-kmers")
+    frequency = stage(own.select(F.explode("kmers").alias("kmer")).groupBy("kmer").agg(F.count("*").alias("df")), "kmer-frequencies")
+    rare = frequency.where(F.col("df") <= common)
+    asked = stage(_kmers(queries.join(same, "query", "left_anti"), "query", k).withColumn("q", F.sha2(F.array_join("kmers", ","), 256)), "query-kmers")
+    q = asked.groupBy("q").agg(F.first("kmers").alias("kmers"))
+    rows = lambda df, key: df.select(key, F.explode("kmers").alias("kmer"))
+    hot = lambda df, key: rows(df, key).join(frequency.where(F.col("df") > common), "kmer").groupBy(key).agg(F.array_sort(F.collect_list("kmer")).alias("hot"))
+    hot_g, hot_q = stage(hot(own, "gene"), "common-of-genes"), stage(hot(q, "q"), "common-of-queries")
+    # Genes met by rare k-mers, with all that they share.
+    met = rows(q, "q").join(rare, "kmer").join(rows(own, "gene"), "kmer").groupBy("q", "gene").agg(F.count("*").alias("n"))
+    with_hot = met.join(hot_q, "q", "left").join(hot_g.withColumnRenamed("hot", "g_hot"), "gene", "left")
+    none = F.array().cast("array<string>")
+    shared = F.size(F.array_intersect(F.coalesce("hot", none), F.coalesce("g_hot", none)))
+    best = lambda df: df.groupBy("q").agg(F.max(F.struct("n", (-F.col("gene").cast("long")).alias("least"))).alias("b")).select("q", "b.n", (-F.col("b.least")).cast(genes.schema["gene"].dataType).alias("gene"))
+    first = stage(best(with_hot.select("q", "gene", (F.col("n") + shared).alias("n"))), "best-by-rare")
+    # Queries whose common k-mers alone could do as well or better.
+    open_ = hot_q.join(first.select("q", F.col("n").alias("had")), "q", "left").where("had is null or had <= size(hot)").select("q", "hot")
+    sets_q = stage(open_.withColumn("hq", F.sha2(F.array_join("hot", ","), 256)), "open-queries")
+    sets_g = hot_g.groupBy("hot").agg(F.min("gene").alias("gene"))
+    by_set = sets_q.groupBy("hq").agg(F.first("hot").alias("hot")).select("hq", F.explode("hot").alias("kmer")).join(sets_g.select("gene", F.explode("hot").alias("kmer")), "kmer")
+    second = best(by_set.groupBy(F.col("hq").alias("q"), "gene").agg(F.count("*").alias("n"))).withColumnRenamed("q", "hq")
+    second = sets_q.select("q", "hq").join(second, "hq").select("q", "n", "gene")
+    found = asked.select("query", "q").join(best(first.unionByName(second)), "q").select("query", "gene")
+    return same.unionByName(found)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cladeframe.model import DEFAULT_DIVERGENCE, DEFAULT_EVALUE
 from cladeframe.operators import census, dims, graph, pairs, profiles, ranking
-from cladeframe.session import shared_dir, stage
+from cladeframe.session import publish, shared_dir, stage
 from cladeframe.sources import sinks
 
 
@@ -189,14 +189,10 @@ def query_fingerprint(**query) -> str:
 
 
 def reuse(spark: SparkSession, make, **query) -> DataFrame:
-    """The saved result of an equal query in the shared folder, made and saved if there is none."""
+    """The saved result of an equal query in the shared folder, made and saved if there is none
+    that is whole; a writer that was killed leaves nothing that is taken for one."""
     path = f"{shared_dir(spark)}/results/{query_fingerprint(**query)}"
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    make().write.mode("ignore").parquet(path)
+    publish(spark, path, lambda folder: make().write.parquet(folder))
     return spark.read.parquet(path)
 
 

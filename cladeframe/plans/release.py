@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cladeframe import model
 from cladeframe.operators import census, changes, dims, pairs, ranking, rsd
-from cladeframe.session import stage
+from cladeframe.session import publish, stage
 from cladeframe.sources import readers, sinks
 from cladeframe.streaming.load import stream_load_orthologs
 
@@ -71,29 +71,19 @@ def export_release(genes: DataFrame, genomes: DataFrame, orthologs: DataFrame, p
     """A release's downloads below path: FASTA by genome, PA/OR text by parameter set, and an OrthoXML
     document, of all orthologs (qdb, sdb, div, evalue, qid, sid, dist) or of the given sets.
 
-    genes (acc, genome, nameline, sequence). Returns the folder of each; what is there stays."""
+    genes (acc, genome, nameline, sequence). Returns the folder of each; what is there as a whole stays, and what a killed run left is made anew."""
     if div_evalues is not None:
         orthologs = orthologs.join(div_evalues.select("div", "evalue"), ["div", "evalue"], "left_semi")
     own = genes.join(genomes.select("genome"), "genome", "left_semi")
     paths = {kind: f"{path}/{kind}" for kind in ("fasta", "orthologs", "orthoxml")}
-    if not _there(genes.sparkSession, paths["fasta"]):
-        sinks.write_genome_fasta(own, paths["fasta"])
-    if not _there(genes.sparkSession, paths["orthologs"]):
-        sinks.collate_orthologs(model.nest(orthologs), paths["orthologs"], compression=compression)
+    spark = genes.sparkSession
+    publish(spark, paths["fasta"], lambda folder: sinks.write_genome_fasta(own, folder))
+    publish(spark, paths["orthologs"], lambda folder: sinks.collate_orthologs(model.nest(orthologs), folder, compression=compression))
     numbered = stage(ranking.dense_ids(own.select(F.col("acc").alias("gene"), "genome"), "genome", "gene", name="num"), "numbered")
     sinks.write_text(sinks.orthoxml_pairs(orthologs, numbered), paths["orthoxml"], ["section", "ord"], compression)
     return paths
 
 
-def _there(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.text(path).inputFiles())
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return False
-
-
 def build_reference_set(genes: DataFrame, taxa: DataFrame, hits: DataFrame, limit: float) -> tuple[DataFrame, DataFrame]:
     """(genomes, orthologs) of a directory of genomes at one parameter set."""
     genomes = genome_names(genes.select("genome").distinct(), taxa)
@@ -113,12 +103,20 @@ def reference_set_from_dir(spark: SparkSession, source: str, taxa: DataFrame, hi
     return genomes, orthologs
 
 
-def load_release(tables: dict[str, DataFrame], database: str, release: str) -> None:
-    """Save a release's tables as <database>.<release>_<table>, over what is there."""
+def load_release(tables: dict[str, DataFrame], database: str, release: str, path: str | None = None) -> None:
+    """Save a release's tables as <database>.release_<release>_<table>, over what is there (below path,
+    if given, else in the warehouse), and make the views <database>.current_<table> show them.
+
+    The views are replaced last, when all tables are whole: until then readers see the release
+    before, and a load that failed is run again."""
     spark = next(iter(tables.values())).sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{path}'" if path else ""))
+    saved = {name: f"{database}.release_{release}_{name}" for name in tables}
     for name, table in tables.items():
-        table.write.mode("overwrite").saveAsTable(f"{database}.{release}_{name}")
+        out = table.write.mode("overwrite")
+        (out.option("path", f"{path}/release_{release}_{name}") if path else out).saveAsTable(saved[name])
+    for name, full in saved.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.current_{name} AS SELECT * FROM {full}")
 
 
 def release_dimensions(genes: DataFrame, names: DataFrame, taxa: DataFrame, terms: DataFrame) -> dict[str, DataFrame]:

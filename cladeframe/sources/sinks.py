@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cladeframe.functions.scalars import wrap_seq
 from cladeframe.model import nest
 from cladeframe.operators.ranking import dense_ids
+from cladeframe.session import publish
 
 
 def xml_escape(c: Column) -> Column:
@@ -168,14 +169,11 @@ def raw_pair_text(orthologs: DataFrame, nested_only: bool = False) -> DataFrame:
 
 
 def write_text(lines: DataFrame, path: str, order: list[str], compression: str | None = None) -> bool:
-    """Rows' value in order, as parts that are read one after the other. Parts that are there
-    already stay: returns whether it wrote."""
-    try:
-        if lines.sparkSession.read.text(path).inputFiles():
-            return False
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    out = lines.orderBy(*order).select("value").write.mode("overwrite")
-    (out.option("compression", compression) if compression else out).text(path)
-    return True
+    """Rows' value in order, as parts that are read one after the other. A folder that is whole
+    stays, and one that a killed run left is made anew: returns whether it wrote."""
+
+    def write(folder: str) -> None:
+        out = lines.orderBy(*order).select("value").write
+        (out.option("compression", compression) if compression else out).text(folder)
+
+    return publish(lines.sparkSession, path, write)
