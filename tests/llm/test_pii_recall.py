@@ -1,10 +1,14 @@
 """Recall and precision on spellings that training never sees."""
 
+import os
 import random
 
 import pytest
 
 from cladeframe.llm import pii
+from cladeframe.session import read_table
+
+SF = "/root/testdata/sf0.01"
 
 
 def _card(r, start, n):
@@ -27,8 +31,9 @@ PLANTED = {
         lambda r: f"{r.choice(NAMES)}_{r.randrange(99)}[ at ]{r.choice(HOSTS)}[ dot ]{r.choice(ENDS)}",
         lambda r: f"{r.choice(NAMES).upper()} AT {r.choice(HOSTS).upper()} DOT {r.choice(ENDS).upper()}",
         lambda r: f"{r.choice(NAMES)}+news (at) {r.choice(HOSTS)}.{r.choice(ENDS)}",
+        lambda r: f"{r.choice(NAMES)} at {r.choice(HOSTS)}.{r.choice(ENDS)}", lambda r: f"{r.choice(NAMES)} @ {r.choice(HOSTS)} . {r.choice(['org', 'net', 'de'])}",
     ],
-    "ip": [lambda r: "(dot)".join(str(r.randrange(256)) for _ in range(4)), lambda r: "{}[.]{}(.){}[.]{}".format(*(r.randrange(256) for _ in range(4)))],
+    "ip": [lambda r: "(dot)".join(str(r.randrange(256)) for _ in range(4)), lambda r: "{}[.]{}(.){}[.]{}".format(*(r.randrange(256) for _ in range(4))), lambda r: " dot ".join(str(r.randrange(256)) for _ in range(4))],
     "card": [
         lambda r: _cut(_card(r, "37", 15), 4, 6, 5, sep="."), lambda r: _cut(_card(r, "4", 16), 4, 4, 4, 4, sep=" – "),
         lambda r: _cut(_card(r, "5", 16), 4, 4, 4, 4, sep="- "), lambda r: _cut(_card(r, "6", 19), 4, 4, 4, 7, sep="_"),
@@ -47,9 +52,23 @@ CLEAN = [
 FRAMES = ["{}", "you can use {} for it", "old notes: {}, and so on", "ask for {} today.", "({})"]
 
 
-@pytest.fixture(scope="module")
-def model(docs):
-    """Trained on documents that have the fixed formats alone."""
+#: Numbers in the shapes of personal data that are those of things, by words that the library lists and by plain sense.
+THINGS = [
+    lambda r: f"{r.choice(['lot', 'Part no.', 'order', 'invoice', 'SKU', 'ticket', 'ref:'])} {r.randrange(100, 999)}-{r.randrange(100, 999)}-{r.randrange(1000, 9999)}",
+    lambda r: f"isbn 978-{r.randrange(100, 999)}-{r.randrange(1000, 9999)}", lambda r: f"part {r.randrange(100, 999)} {r.randrange(100, 999)} {r.randrange(1000, 9999)}",
+    lambda r: f"order {r.randrange(200, 999)}-555-{r.randrange(1000, 9999)} shipped", lambda r: f"serial {_cut(_card(r, '4', 16), 4, 4, 4, 4, sep='.')}",
+    lambda r: f"batch no. {_cut(_card(r, '5', 16), 4, 4, 4, 4, sep='_')}", lambda r: f"version {r.randrange(9)}[.]{r.randrange(9)}[.]{r.randrange(99)}[.]{r.randrange(99)}",
+    lambda r: f"section {r.randrange(9)} dot {r.randrange(9)} dot {r.randrange(9)} dot {r.randrange(9)}", lambda r: f"record {r.randrange(10**9, 10**10)}", lambda r: f"it has {r.randrange(10**9, 10**10)} of them",
+]
+
+
+@pytest.fixture(scope="module", params=["made up", "given"])
+def model(request, docs, spark):
+    """Trained on the given documents, or on documents that have the fixed formats alone."""
+    if request.param == "given":
+        if not os.path.isdir(SF):
+            pytest.skip("no test tables")
+        return pii.train(read_table(spark, SF, "documents"))
     r = random.Random(12)
     rows = []
     for i in range(300):
@@ -65,11 +84,35 @@ def test_recall_and_precision(model, docs):
         texts = [(own := f(r), r.choice(FRAMES).format(own)) for f in forms for _ in range(60)]
         found = [[t[s:e] for k, s, e in pii.spans_of(t, model)[1] if k == kind] for _, t in texts]
         hit = sum(own in got for (own, _), got in zip(texts, found))
-        assert hit >= 0.9 * len(texts), (kind, hit, len(texts), [o for (o, _), g in zip(texts, found) if o not in g][:5])
+        for k in range(len(forms)):  # every form by itself
+            part = [own in got for (own, _), got in zip(texts, found)][60 * k : 60 * k + 60]
+            assert sum(part) >= 54, (kind, k, sum(part), texts[60 * k])
         right, wrong = right + hit, wrong + sum(len(g) for g in found) - hit
-    clean = [r.choice(FRAMES).format(f(r)) for f in CLEAN for _ in range(60)]
+    clean = [r.choice(FRAMES).format(f(r)) for f in CLEAN + THINGS for _ in range(60)]
     wrong += sum(len(pii.spans_of(t, model)[1]) for t in clean)
     assert wrong <= 0.05 * right, (right, wrong)
     table = docs(*enumerate(r.choice(FRAMES).format(f(r)) for forms in PLANTED.values() for f in forms for _ in range(5)))
     added = pii.digest(pii.find(table, model)).groupBy().sum("n_added").first()[0]
     assert added >= 0.9 * table.count()
+
+
+def by_shape(text, span):
+    """What a hand rule sees of a candidate: its form, not what is around it."""
+    kind, s = span[0], text[span[1] : span[2]]
+    digits = "".join(c for c in s if c in "0123456789")
+    return kind in ("phone", "email") or (pii.luhn(digits) if kind == "card" else all(int(x) <= 255 for x in "".join(c if c in "0123456789" else " " for c in s).split()))
+
+
+def test_trees_decide(model):
+    """The same numbers go or stay by what they are called, which no rule of their form can tell."""
+    pairs = [("call 415-555-0132 today", "order 415-555-0132 shipped"), ("text me at 4155550132", "the id 4155550132 is new"), ("host 10[.]1[.]2[.]3 is up", "version 10[.]1[.]2[.]3 is out"), ("pay with 4111.1111.1111.1111 now", "serial 4111.1111.1111.1111 on it")]
+    for yes, no in pairs:
+        assert pii.spans_of(yes, model)[1] and not pii.spans_of(no, model)[1], (yes, no)
+        assert all(by_shape(t, s) for t in (yes, no) for s in pii.wider_spans(t)) and pii.wider_spans(no)
+        assert pii.spans_of(yes, pii.Model(None, {}))[1] == []
+    assert len(set(model.thresholds.values())) == len(pii.KINDS) and all(0 < t < 1 for t in model.thresholds.values())
+
+
+def test_a_phone_that_passes_as_a_card_is_both(model):
+    text = next(t for t in (f"001 348 945 {i:04}" for i in range(10_000)) if pii.luhn(t.replace(" ", "")))
+    assert {k for k, s, e in pii.spans_of(f"call {text} now", model)[1] if (s, e) == (5, 5 + len(text))} == {"card", "phone"}
