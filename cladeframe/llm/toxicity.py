@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter, deque
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,8 +48,17 @@ GLYPHS = {
 }
 COST_IMITATE, COST_DROP_SIGN, COST_DROP_MARK, COST_DROP_REPEAT = 0.5, 3.0, 0.1, 1.0
 
-#: Single characters apart by blanks: a word spaced out.
-_SPACED = re.compile(r"(?<!\S)\S(?:[ \t]+\S){2,}(?!\S)")
+# Letters of other alphabets that look like those of this one.
+LOOKALIKES = {
+    "\u0430": "a", "\u0432": "b", "\u0435": "e", "\u0456": "i", "\u0458": "j", "\u043a": "k", "\u043c": "m", "\u043d": "h", "\u043e": "o", "\u0440": "p",
+    "\u0441": "c", "\u0442": "t", "\u0443": "y", "\u0445": "x", "\u0455": "s", "\u0501": "d", "\u04bb": "h", "\u051b": "q", "\u051d": "w",
+    "\u03b1": "a", "\u03b5": "e", "\u03b9": "i", "\u03ba": "k", "\u03bd": "v", "\u03bf": "o", "\u03c1": "p", "\u03c4": "t", "\u03c5": "u", "\u03c7": "x",
+    "\u0131": "i", "\u0142": "l", "\u00f8": "o", "\u0111": "d", "\u0261": "g", "\u00df": "ss",
+}
+#: Single characters apart by blanks of any kind: a word spaced out.
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+_COMBINING = re.compile("[\u0300-\u036f\u200b-\u200d\u2060\ufeff\u00ad]+")
+_LOOK = re.compile("|".join(LOOKALIKES))
 _EDGE = "".join(c for c, to in IMITATES.items() if not to) + "\"?()[]{}<>«»“”…"
 _MARKS = _EDGE.replace("(", "")  # those that imitate no letter
 _POINTS = ".,:;\"?!"  # those that no glyph has
@@ -60,6 +71,14 @@ _RUN = re.compile(r"(.)\1*")
 _LONG_RUN = re.compile(r"(.)\1{3,}")
 
 
+def fold(text: str) -> str:
+    """Lower-cased text with wide and other compatible forms, accents and look-alikes as plain
+    letters, and without characters of no width."""
+    if text.isascii():
+        return text
+    return _LOOK.sub(lambda m: LOOKALIKES[m[0]], _COMBINING.sub("", unicodedata.normalize("NFKD", text)).lower())
+
+
 def _code(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 0
 
@@ -164,10 +183,13 @@ class Channel:
                     better = value > new[some, to]
                     new[some[better], to[better]] = value[better]
                     back[t, some[better], to[better]] = prev[better]
-            for r, size, to in drawn.get(t, ()):
-                from_ = past[-size][r] + self.log_p[:, to]
-                if (value := from_.max() - COST_IMITATE) > new[r, to]:
-                    new[r, to], back[t, r, to], span[t, r, to] = value, from_.argmax(), size
+            for size, (r, to) in drawn.get(t, {}).items():
+                from_ = past[-size][r] + self.log_p.T[to]
+                prev = from_.argmax(1)
+                value = from_[np.arange(len(r)), prev] - COST_IMITATE
+                better = value > new[r, to]
+                r, to = r[better], to[better]
+                new[r, to], back[t, r, to], span[t, r, to] = value[better], prev[better], size
             best = new
         state = (best + np.where(np.array(last)[:, None], self.log_p[:, 0], 0.0)).argmax(1)
         made = np.zeros((width, n), np.uint8)
@@ -183,17 +205,88 @@ class Channel:
             yield col[col > 0].tobytes().decode()
 
 
-def _drawn(words: tuple[str, ...]) -> dict[int, list[tuple[int, int, int]]]:
-    """Position of its last character -> (word, characters, letter) of every glyph."""
-    found: dict[int, list[tuple[int, int, int]]] = {}
+def _drawn(words: tuple[str, ...]) -> dict[int, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """Position of its last character -> its characters -> (words, letters) of all glyphs. No two
+    of one size end at one place."""
+    found: dict[int, dict[int, tuple[list, list]]] = {}
     for r, w in enumerate(words):
         if _GLYPH.search(w):
             for g, to in GLYPHS.items():
                 at = w.find(g)
                 while at >= 0:
-                    found.setdefault(at + len(g) - 1, []).append((r, len(g), _code(to)))
+                    own = found.setdefault(at + len(g) - 1, {}).setdefault(len(g), ([], []))
+                    own[0].append(r)
+                    own[1].append(_code(to))
                     at = w.find(g, at + 1)
-    return found
+    return {t: {size: (np.array(r), np.array(to)) for size, (r, to) in own.items()} for t, own in found.items()}
+
+
+#: The one letter by which a character is looked for across blanks: letters that one character may stand for are alike.
+_ALIKE = np.zeros(256, np.uint8)
+for _c in map(chr, range(97, 123)):
+    _ALIKE[ord(_c)] = ord({"l": "i", "b": "g"}.get(_c, _c))
+for _c, _to in IMITATES.items():
+    if _to and _c.isascii() and len(_to) < 3:
+        _ALIKE[ord(_c)] = _ALIKE[ord(_to[0])]
+_ALIKE[0] = 1  # between texts
+_BLANK = np.zeros(256, bool)
+_BLANK[[0, 9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+
+
+class Across:
+    """Where words of the lexicon may stand with blanks in them: in the letters of all texts without
+    blanks, marks and repeats, from the start of one token to the end of a later one; in texts
+    with other than ASCII characters, also of the same one. Words of four letters or more
+    (repeats once) are looked for; not those in whose place a sign for any vowel stands."""
+
+    def __init__(self, words: list[str]):
+        self.automaton, own = ahocorasick.Automaton(), {}
+        for w in words:
+            key, at, run = self._letters(np.frombuffer(w.encode("ascii", "replace"), np.uint8))
+            if w.isascii() and len(key) >= 4:
+                size = np.diff(np.append(run, len(at)))
+                own[key] = np.minimum(own.get(key, size), size)  # repeats that a word has itself must be there
+        for key, size in own.items():
+            self.automaton.add_word(key, (len(key), size))
+        if len(self.automaton):
+            self.automaton.make_automaton()
+
+    @staticmethod
+    def _letters(buf: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:
+        """(letters, without repeats; places of all; where each run of repeats begins)."""
+        kind = _ALIKE[buf]
+        at = np.flatnonzero(kind)
+        own = kind[at]
+        run = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, int)
+        return own[run].tobytes().decode("latin-1"), at, run
+
+    def windows(self, texts: list[str]) -> list[list[str]]:
+        """Per text, its folded parts that may be a word of the lexicon with blanks in it, or in other letters."""
+        plain = [t.isascii() for t in texts]
+        texts = [fold(t) for t in texts]
+        out: list[list[str]] = [[] for _ in texts]
+        if not len(self.automaton):
+            return out
+        whole = "\0".join(texts).encode("ascii", "replace").decode()
+        buf = np.frombuffer(whole.encode(), np.uint8)
+        letters, at, run = self._letters(buf)
+        if not len(run):
+            return out
+        token = np.cumsum(_BLANK[buf])[at]
+        new = np.concatenate([[True], (token[1:] != token[:-1]) | (buf[at[:-1]] == 0)])
+        ends = np.concatenate([new[1:], [True]])
+        begins, stops = np.logical_or.reduceat(new, run), np.logical_or.reduceat(ends, run)
+        last = np.append(run[1:], len(at))
+        first_text = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        for e, (size, repeats) in self.automaton.iter(letters):
+            b = e - size + 1
+            if begins[b] and stops[e] and (last[b : e + 1] - run[b : e + 1] >= repeats).all():
+                a = run[b] + int(np.flatnonzero(new[run[b] : last[b]])[-1])
+                z = run[e] + int(np.flatnonzero(ends[run[e] : last[e]])[0])
+                t = int(np.searchsorted(first_text, at[a], "right")) - 1
+                if token[a] < token[z] or not plain[t]:
+                    out[t].append(whole[at[a] : at[z] + 1])
+        return out
 
 
 def _core(token: str) -> str:
@@ -227,6 +320,8 @@ class Restorer:
         self.marks: dict[str, tuple[str, ...]] = {}
         self.single = {_once(w): w for w in lexicon}  # decoding may drop one of two equal letters
         self.lexicon = frozenset(lexicon)
+        self.across = Across(list(lexicon))
+        self.windows: dict[str, str | None] = {}
 
     def readings(self, word: str) -> list[str]:
         """The word as it is; where letters are doubled and it is no word of the lexicon, also
@@ -241,6 +336,9 @@ class Restorer:
             self.words.clear()
         odd, edged = [], []  # edged: tokens with another core
         for token in tokens.difference(self.words):
+            if token.isascii() and token.isalpha() and not _TRIPLE.search(token):
+                self.words[token] = token
+                continue
             core = _core(token)
             if core.isalpha() and not _TRIPLE.search(core):
                 self.words[token] = core  # doubled letters: Scorer.inputs reads them both ways
@@ -249,7 +347,7 @@ class Restorer:
             else:
                 self.words[token] = core
             edged += [(token, x) for x in {token.strip(_MARKS), *([token.strip(_POINTS)] if _GLYPH.search(token) else [])} if x != core and ("(" in token or _GLYPH.search(x))]
-        for token, word in zip(odd, self.channel.decode([_core(x) for x in odd])):
+        for token, word in zip(odd, self.channel.decode([_core(fold(x)) for x in odd])):
             self.words[token] = self.single.get(_once(word), word)
         # A bracket or glyph at an edge is a letter where that makes a word of the lexicon, and a mark otherwise.
         for (token, _), word in zip(edged, self.channel.decode([x for _, x in edged])):
@@ -258,13 +356,26 @@ class Restorer:
                 self.words[token] = word
 
     def restore(self, texts: list[str]) -> list[tuple[set[str], list[str]]]:
-        """Per text: its restored words, and the spaced-out runs put together."""
-        split = [set(t.lower().split()) for t in texts]
-        runs = [[m[0] for m in _SPACED.finditer(t.lower())] for t in texts]
+        """Per text: its restored words, and the spaced-out runs and words across blanks put together."""
+        lower = [t.lower() for t in texts]
+        split = [set(t.split()) for t in lower]
+        runs = [[m[0] for m in _SPACED.finditer(t)] for t in lower]
         self.prepare(set().union(*split))
-        joined = list({r for x in runs for r in x if sum("a" <= c <= "z" or c in IMITATES for c in r) > 2})
-        back = dict(zip(joined, self.channel.decode(["".join(r.split()) for r in joined])))
-        return [({self.words[t] for t in s}, [back[r] for r in x if r in back]) for s, x in zip(split, runs)]
+        joined = list({r for x in runs for r in x if sum("a" <= c <= "z" or c in IMITATES or not c.isascii() for c in r) > 2})
+        back = dict(zip(joined, self.channel.decode(["".join(fold(r).split()) for r in joined])))
+        broken = self.across.windows(lower)
+        self._read({w for x in broken for w in x})
+        found = [[y for w in x if (y := self.windows[w])] for x in broken]
+        return [({self.words[t] for t in s}, [back[r] for r in x if r in back] + y) for s, x, y in zip(split, runs, found)]
+
+    def _read(self, windows: set[str]) -> None:
+        """Decode windows of several tokens, a blank being a mark that drops: the word of the
+        lexicon that one is, or None."""
+        if len(self.windows) > _CACHE_WORDS:
+            self.windows.clear()
+        new = sorted(windows.difference(self.windows))
+        for w, word in zip(new, self.channel.decode([" ".join(w.split()) for w in new])):
+            self.windows[w] = self.single.get(_once(word))
 
 
 def character_counts(docs: DataFrame) -> np.ndarray:
@@ -337,7 +448,8 @@ def marks(words: set[str], runs: list[str]) -> list[str]:
 class Scorer:
     """Boosted trees over what the marks of a document weigh: the largest weight, their sum,
     how many words and stems of many words there are, and the number of words. A spaced-out
-    run counts as a word, and as the lexicon's words of four letters or more in it."""
+    run counts as a word, and as the lexicon's words of four letters or more in it; a word of
+    four letters or more that blanks or line breaks cut at any place counts as itself."""
 
     def __init__(self, counts: np.ndarray, lexicon: dict[str, float], trees: BoostedTrees):
         self.counts, self.lexicon, self.trees = counts, lexicon, trees
@@ -345,6 +457,9 @@ class Scorer:
         for x in lexicon:
             if x[0] != "w":
                 self.stems.setdefault(x[2:], []).append(x)
+        # Beginnings that words with a mark have, as they are and with single letters.
+        self.heads = {x[2:][: STEMS[0]] for x in lexicon}
+        self.single_heads = {_once(x[2:])[:k] for x in lexicon for k in range(1, 4) if k == 3 or len(_once(x[2:])) == k}
 
     def restorer(self) -> Restorer:
         return Restorer(self.counts, tuple(x[2:] for x in self.lexicon if x[0] == "w"))
@@ -353,12 +468,23 @@ class Scorer:
         """The marks of the lexicon that a word has in any of its readings."""
         found: list[str] = []
         for w in readings:
+            if w[: STEMS[0]] not in self.heads:
+                continue
             if f"w:{w}" in self.lexicon:
                 found.append(f"w:{w}")
             for k in STEMS[: max(0, len(w) - STEMS[0])]:
                 found += self.stems.get(w[:k], ())
         return tuple(dict.fromkeys(found))
 
+    def may_have(self, word: str) -> bool:
+        """Whether a reading of the word may begin like a mark."""
+        if word[: STEMS[0]] in self.heads:
+            return True
+        if not _DOUBLE.search(word):
+            return False
+        own = _once(word)
+        return own[:3] in self.single_heads or own[:2] in self.single_heads or own[:1] in self.single_heads
+
     def inputs(self, texts: list[str], restorer: Restorer) -> np.ndarray:
         long = [x[2:] for x in self.lexicon if x[0] == "w" and len(x) >= 6]
         known, out = restorer.marks, []
@@ -367,7 +493,7 @@ class Scorer:
             for word in words.union(runs, (w for run in runs for w in long if w in run)):
                 found = known.get(word)
                 if found is None:
-                    found = known[word] = self.marks_of(restorer.readings(word))
+                    found = known[word] = self.marks_of(restorer.readings(word) if self.may_have(word) else [])
                 hits += found
             many = Counter(x for x in hits if x[0] == "m")
             weights = [self.lexicon[x] for x in {x for x in hits if x[0] != "m" or many[x] >= MANY}]

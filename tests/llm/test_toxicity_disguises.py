@@ -64,3 +64,37 @@ def test_glyphs_on_the_best_path(trained):  # noqa: F811
 
     words = ["s|_|t", "|-|a", "\\/\\/e", "/\\/\\", "|\\/|o", "|\\|()", "t/-\\n", "1|)|_|", "plain", "><|<", "()()"]
     assert channel.decode(words) == [max(paths(w, 0), key=lambda p: value_of(*p))[0] for w in words]
+
+
+SPLIT = ["mo ron", "m oron", "mor on", "st up id", "wor thl ess", "m\no\nr\no\nn", "id\niot", "m\u00a0o\u00a0r\u00a0o\u00a0n", "stu\u2003pid", "an er mo ron, th", "sstu ppid", "st. up. id", "1di ot", "w 0 r t h l 3 s s"]
+OTHER = ["\uff4d\uff4f\uff52\uff4f\uff4e", "\uff29\uff24\uff29\uff2f\uff34", "m\u043er\u043en", "m\u00f6r\u00f6n", "st\u00fap\u00efd!", "w\u043erthl\u0435ss", "i\u200bdiot", "\u0455tupid", "st\u00fc pid"]
+
+
+@pytest.mark.parametrize("text", SPLIT + OTHER)
+def test_blanks_anywhere_and_other_letters(trained, text):  # noqa: F811
+    assert trained.score([text], trained.restorer())[0] >= 0.7
+
+
+@pytest.mark.parametrize("text", ["m oronan", "anmo ron", "mo an ron", "mo\u00e9 ron", "wo rth", "mor an on", "id io", "mor", "st ap id", "an er th \u00e9reti"])
+def test_what_is_no_word_of_the_lexicon(trained, text):  # noqa: F811
+    assert trained.score([text], trained.restorer())[0] < 0.5
+
+
+def test_windows_are_all_places(trained):  # noqa: F811
+    """Against a search token by token, in texts of short pieces."""
+    import random
+
+    r, words = random.Random(6), ["moron", "idiot", "stupid"]
+    across = toxicity.Across(words)
+    texts = [" ".join(r.choice(["mo", "ron", "m", "o", "r", "n", "id", "iot", "i", "d", "t", "stu", "pid", "an", "x"]) for _ in range(r.randrange(0, 60))) for _ in range(200)]
+    for text, got in zip(texts, across.windows(texts)):
+        tokens = text.split()
+        once = lambda x: toxicity._once(x)
+        want = set()
+        for a in range(len(tokens)):
+            for z in range(a + 1, len(tokens)):
+                whole = "".join(tokens[a : z + 1])
+                # No repeat at an edge could be left out: then a shorter window is the word.
+                if once(whole) in words and once("".join(tokens[a + 1 : z + 1])) != once(whole) and once("".join(tokens[a:z])) != once(whole):
+                    want.add(" ".join(tokens[a : z + 1]))
+        assert want == set(got), text
