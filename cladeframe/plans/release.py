@@ -104,17 +104,17 @@ def reference_set_from_dir(spark: SparkSession, source: str, taxa: DataFrame, hi
 
 
 def load_release(tables: dict[str, DataFrame], database: str, release: str, path: str | None = None) -> None:
-    """Save a release's tables as <database>.release_<release>_<table>, over what is there (below path,
-    if given, else in the warehouse), and make the views <database>.current_<table> show them.
+    """Save a release's tables as <database>.<release>_<table>, over what is there (below path, if
+    given, else in the warehouse), and make the views <database>.current_<table> show them.
 
     The views are replaced last, when all tables are whole: until then readers see the release
     before, and a load that failed is run again."""
     spark = next(iter(tables.values())).sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{path}'" if path else ""))
-    saved = {name: f"{database}.release_{release}_{name}" for name in tables}
+    saved = {name: f"{database}.`{release}_{name}`" for name in tables}
     for name, table in tables.items():
         out = table.write.mode("overwrite")
-        (out.option("path", f"{path}/release_{release}_{name}") if path else out).saveAsTable(saved[name])
+        (out.option("path", f"{path}/{release}_{name}") if path else out).saveAsTable(saved[name])
     for name, full in saved.items():
         spark.sql(f"CREATE OR REPLACE VIEW {database}.current_{name} AS SELECT * FROM {full}")
 

@@ -114,12 +114,12 @@ def read_genome_dir(spark: SparkSession, path: str) -> DataFrame:
     return found.withColumn("genome", genome).where("genome <> ''").select("genome", "nameline", "id", "seq")
 
 
-def orthdata_blocks(text: DataFrame) -> DataFrame:
-    """PA/OR blocks (column value) to one row per parameter set; empty ones stay."""
-    block = text.select(F.regexp_replace("value", r"\n?//\s*$", "").alias("b")).where(F.trim("b") != "").select(F.split("b", "\n").alias("lines"))
+def orthdata_blocks(text: DataFrame, keep_text: bool = False) -> DataFrame:
+    """PA/OR blocks (column value) to one row per parameter set; empty ones stay. With its text as value, if wanted."""
+    block = text.select("value", F.regexp_replace("value", r"\n?//\s*$", "").alias("b")).where(F.trim("b") != "").select("value", F.split("b", "\n").alias("lines"))
     head = F.split(F.filter("lines", lambda x: x.startswith("PA\t"))[0], "\t")
     rows = F.transform(F.transform(F.filter("lines", lambda x: x.startswith("OR\t")), lambda x: F.split(x, "\t")), lambda x: F.struct(x[1].alias("qid"), x[2].alias("sid"), x[3].cast("double").alias("dist")))
-    return block.select(*(head[i].alias(c) for i, c in enumerate(("qdb", "sdb", "div", "evalue"), 1)), rows.alias("orthologs"))
+    return block.select(*(head[i].alias(c) for i, c in enumerate(("qdb", "sdb", "div", "evalue"), 1)), rows.alias("orthologs"), *(["value"] if keep_text else []))
 
 
 def read_orthdata(spark: SparkSession, paths: str | list[str]) -> DataFrame:

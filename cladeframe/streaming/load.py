@@ -2,29 +2,52 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from typing import Any
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cladeframe.operators.dims import load_results
+from cladeframe.session import folders
 from cladeframe.sources.readers import orthdata_blocks
 
+KEYS = ["qdb", "sdb", "div", "evalue"]
+
+
+def _first_seen(key: tuple, blocks: Iterator[pd.DataFrame], seen: Any) -> Iterator[pd.DataFrame]:
+    """The block of a parameter set that the stream sees for the first time: of several in one
+    batch the one with most orthologs, then of the least hash. The state is a mark per set."""
+    if seen.exists:
+        return
+    best = min((-n, tie, text) for b in blocks for n, tie, text in zip(b["n"], b["tie"], b["value"]))
+    seen.update((True,))
+    yield pd.DataFrame({"value": [best[2]]})
+
 
 def stream_load_orthologs(spark: SparkSession, source: str, table: str, checkpoint: str) -> int:
     """Load the PA/OR files under source that the checkpoint doesn't know yet; returns how many
-    batches ran. A batch only adds parameter sets that the table lacks, so one that is run
-    again after a failure adds nothing twice."""
+    batches ran. Only parameter sets that are new get in, with num_orthologs, run and batch.
+
+    Which sets were seen is the stream's own keyed state, in its state store, so that a batch
+    costs what it holds, however large the table is. A batch has a partition of its own in
+    the table and replaces it when it is run again after a failure. A table that other
+    checkpoints have loaded is read for its sets alone, and only those runs of it."""
+    run = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
     text = spark.readStream.option("lineSep", "\n//\n").text(source)
+    blocks = orthdata_blocks(text, keep_text=True).select(*KEYS, F.size("orthologs").alias("n"), F.xxhash64("orthologs").alias("tie"), "value")
+    fresh = blocks.groupBy(*KEYS).applyInPandasWithState(_first_seen, "value string", "seen boolean", "append", "NoTimeout")
 
-    def add(batch: DataFrame, _: int) -> None:
+    def add(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        try:
-            had = session.read.parquet(table)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            had = None
-        load_results(orthdata_blocks(batch), had).write.mode("append").parquet(table)
-
-    query = text.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        rows = orthdata_blocks(batch).withColumn("num_orthologs", F.size("orthologs"))
+        if others := [f"{table}/{x}" for x in folders(session, table) if x != f"run={run}"]:
+            rows = rows.join(session.read.option("basePath", table).parquet(*others).select(KEYS), KEYS, "left_anti")
+        out = rows.withColumns({"run": F.lit(run), "batch": F.lit(number)}).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out.partitionBy("run", "batch").parquet(table)
+
+    query = fresh.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return len(query.recentProgress)
 
