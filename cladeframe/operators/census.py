@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cladeframe.session import folders, is_published, publish, stage
+
 LEAST_SEQUENCES = 200
 CATEGORIES = ("A", "B", "E")
 
@@ -60,6 +62,35 @@ def count_sequences(genes: DataFrame) -> DataFrame:
     return genes.groupBy("genome").agg(F.count("*").alias("num_seqs"))
 
 
+def refresh_counts(spark: SparkSession, source: str, table: str) -> tuple[DataFrame, int]:
+    """(genome, num_seqs) of FASTA files in folders genome=<id> below source, and how many files were read.
+
+    table keeps each file's count with its path, time and length, in versions of which the
+    last whole one counts. Files that are as they were aren't opened; new and changed ones
+    are counted, and those that are gone go. Empty files don't count as any. The list of files, a row each, is Spark's own."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "[!_.]*").load(source)
+    files = files.select("path", F.col("modificationTime").alias("modified"), "length", F.regexp_extract("path", "/genome=([^/]*)/", 1).alias("genome"))
+    files = stage(files.where("genome <> ''"), "fasta-files")
+    same = ["path", "modified", "length"]
+    versions = [v for v in folders(spark, table) if is_published(spark, f"{table}/{v}")]
+    last = max((int(v.split("=")[1]) for v in versions), default=0)
+    had = spark.read.parquet(f"{table}/version={last}") if last else None
+    new = files if had is None else files.join(had.select(same), same, "left_anti")
+    paths = [r["path"] for r in new.select("path").collect()]  # names of changed files
+    counts = new.select(*same, "genome", F.lit(0).cast("long").alias("num_seqs"))
+    if paths:
+        heads = spark.read.text(paths).where(F.col("value").startswith(">")).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+        local = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  two spellings of a local path
+        plain = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))  # the one has escapes of its own
+        counts = new.join(heads.select(local(plain).alias("_path"), "n"), local(F.col("path")) == F.col("_path"), "left").select(*same, "genome", F.coalesce("n", F.lit(0)).alias("num_seqs"))
+    kept = counts if had is None else counts.unionByName(had.join(files.select(same), same, "left_semi").select(counts.columns))
+    if paths or had is None or had.count() != files.count():
+        publish(spark, f"{table}/version={last + 1}", lambda folder: kept.write.parquet(folder))
+        last += 1
+    whole = spark.read.parquet(f"{table}/version={last}")
+    return whole.groupBy("genome").agg(F.sum("num_seqs").alias("num_seqs")), len(paths)
+
+
 def fasta_chars(records: DataFrame) -> DataFrame:
     return records.groupBy("genome").agg(F.sum(F.length("seq")).alias("n_chars"), F.count("*").alias("n_records"))
 

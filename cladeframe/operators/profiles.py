@@ -140,22 +140,48 @@ def best_info(info: Column, order: Column) -> Column:
     return F.min_by(info, F.struct(-info_place(info), order))
 
 
+class Pages:
+    """Rows dealt once into ranges of their order, of which a page reads the one or two that it
+    lies in: what a page costs doesn't depend on its number."""
+
+    def __init__(self, rows: DataFrame, order: str, ranges: int | None = None):
+        self.order, self.columns = order, rows.columns
+        ranged = rows.repartitionByRange(*([ranges] if ranges else []), order)  # else Spark joins small ones
+        self.dealt = stage(ranged.withColumn("_part", F.spark_partition_id()).sortWithinPartitions(order), "pages")
+        self.sizes = sorted((r["_part"], r["n"]) for r in self.dealt.groupBy("_part").agg(F.count("*").alias("n")).collect())  # a row per partition
+        self.total = sum(n for _, n in self.sizes)
+
+    def rows(self, first: int, count: int) -> DataFrame:
+        """`count` rows in order after the `first` ones."""
+        parts, before, skip = [], 0, None
+        for part, n in self.sizes:
+            if before < first + count and before + n > first:
+                skip = before if skip is None else skip
+                parts.append(part)
+            before += n
+        some = self.dealt.where(F.col("_part").isin(parts)) if parts else self.dealt.limit(0)
+        return some.orderBy(self.order).offset(max(0, first - (skip or 0))).limit(count).select(self.columns)
+
+    def page(self, page_num=1, page_size=None, default: int = 100) -> DataFrame:
+        """One page: sizes that aren't numbers mean the default, sizes under 1 or over the number
+        of rows all; page numbers are held to those there are."""
+        try:
+            size = int(page_size) if page_size is not None else default
+        except (TypeError, ValueError):
+            size = default
+        if size < 1 or size >= self.total:
+            return self.dealt.orderBy(self.order).select(self.columns)  # all rows stay in their partitions
+        pages = max(1, -(-self.total // size))
+        try:
+            number = min(max(int(page_num), 1), pages)
+        except (TypeError, ValueError):
+            number = 1
+        return self.rows((number - 1) * size, size)
+
+
 def page(rows: DataFrame, order: str, page_num=1, page_size=None, default: int = 100) -> DataFrame:
-    """One page of rows: sizes that aren't numbers mean the default, sizes under 1 or over the
-    number of rows all; page numbers are held to those there are."""
-    total = rows.count()
-    try:
-        size = int(page_size) if page_size is not None else default
-    except (TypeError, ValueError):
-        size = default
-    if size < 1 or size >= total:
-        return rows.orderBy(order)  # all rows stay in their partitions
-    pages = max(1, -(-total // size))
-    try:
-        number = min(max(int(page_num), 1), pages)
-    except (TypeError, ValueError):
-        number = 1
-    return rows.orderBy(order).offset((number - 1) * size).limit(size)
+    """One page of rows, as Pages has it; keep a Pages for more than one."""
+    return Pages(rows, order).page(page_num, page_size, default)
 
 
 def first_hit(hits: DataFrame, query: str, *order) -> DataFrame:

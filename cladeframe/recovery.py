@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from cladeframe import queries
-from cladeframe.operators import dims, pairs, tables
+from cladeframe.operators import census, dims, pairs, profiles, tables
 from cladeframe.plans import query as Q
 from cladeframe.plans import release
 from cladeframe.queries import E_SQL, _scratch
@@ -137,3 +137,26 @@ def current_release_views(spark, sf):
     return view("genomes").join(counted, "id").join(F.broadcast(view("release"))).select("release", "acc", "sequences")  # one row
 
 
+
+
+@query("""SELECT p_brand AS genome, count(*) + count(*) FILTER (p_brand = 'Brand#7') AS num_seqs FROM part WHERE p_brand <> 'Brand#9' GROUP BY 1
+UNION ALL SELECT 'read again', 1""")
+def refreshed_counts(spark, sf):
+    """Counts of sequences, after a file came to one genome and another genome went: one file is read."""
+    path = _scratch(spark, "fasta")
+    genes = A.genes(spark, sf).select("genome", F.concat_ws("|", F.lit(">lcl"), F.col("gene").cast("string"), "gene_name").alias("nameline"), F.lit("ACDE").alias("sequence"))
+    sinks.write_genome_fasta(genes, f"{path}/in")
+    census.refresh_counts(spark, f"{path}/in", f"{path}/counts")
+    own = genes.where("genome = 'Brand#7'").select(F.concat_ws("\n", "nameline", "sequence").alias("value"))
+    own.coalesce(1).write.mode("append").text(f"{path}/in/genome=Brand%237")
+    remove(spark, f"{path}/in/genome=Brand%239")
+    counts, opened = census.refresh_counts(spark, f"{path}/in", f"{path}/counts")
+    counts = counts.select(F.regexp_replace("genome", "%23", "#").alias("genome"), "num_seqs")
+    return counts.unionByName(spark.createDataFrame([("read again", opened)], "genome string, num_seqs long"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 100 * ((SELECT count(*) FROM orders) // 100 - 2)")
+def deep_page_of_orders(spark, sf):
+    """The last full page but one of all orders, from the range that it lies in."""
+    pages = profiles.Pages(read_table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+    return pages.page(pages.total // 100 - 1, 100)
