@@ -92,3 +92,24 @@ def class_from_prefix(gene: Column) -> Column:
 def hamming(a: Column, b: Column) -> Column:
     """How many positions of two profiles of one length differ."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x != y).cast("int")), F.lit(0), lambda acc, x: acc + x)
+
+
+def hamming_packed(a: Column, b: Column) -> Column:
+    """hamming() of two profiles packed into longs: 64 positions a step."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+
+
+def pack(profile: Column) -> Column:
+    """A profile of 0 and 1 as longs: position i is bit i mod 64 of long i div 64, counted from 0."""
+    longs = F.sequence(F.lit(0), F.ceil(F.size(profile) / 64).cast("int") - 1)
+    bit = lambda x, i: F.when(x == 1, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
+    one = lambda w: F.aggregate(F.transform(F.slice(profile, w * 64 + 1, F.lit(64)), bit), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(x))
+    return F.when(F.size(profile) == 0, F.array().cast("array<long>")).otherwise(F.transform(longs, one))
+
+
+def unpack(longs: Column, size: int) -> Column:
+    """The 0/1 profile of that many positions."""
+    if not size:
+        return F.array().cast("array<int>")
+    at = lambda i: F.get(longs, F.floor(i / 64).cast("int"))
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.call_function("shiftrightunsigned", at(i), i % 64).bitwiseAND(F.lit(1).cast("long")).cast("int"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeframe.functions.scalars import unpack
 from cladeframe.operators.ranking import dense_ids
 from cladeframe.session import stage
 
@@ -39,10 +40,23 @@ def cluster_pivot(members: DataFrame, genomes: list[str]) -> DataFrame:
     return members.groupBy("cid").pivot("genome", genomes).agg(F.array_sort(F.collect_list("gene")))
 
 
+def packed_profiles(members: DataFrame, genomes: list[str]) -> DataFrame:
+    """(cid, longs): a bit for each genome, in order, that the cluster has genes of: 2,000 genomes
+    are 32 longs. Bits are combined by cluster and long before they are shuffled."""
+    spark = members.sparkSession
+    places = spark.createDataFrame([(g, i // 64, i % 64) for i, g in enumerate(genomes)], "genome string, word int, bit int")
+    bits = members.select("cid", "genome").join(F.broadcast(places), "genome", "left")  # a result's columns
+    own = bits.groupBy("cid", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("long"))
+    by = own.groupBy("cid").agg(F.map_from_entries(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("word", "long")))).alias("m"))
+    if not genomes:
+        return by.select("cid", F.array().cast("array<long>").alias("longs"))
+    words = F.sequence(F.lit(0), F.lit((len(genomes) - 1) // 64))
+    return by.select("cid", F.transform(words, lambda w: F.coalesce(F.element_at("m", w), F.lit(0).cast("long"))).alias("longs"))
+
+
 def profiles(members: DataFrame, genomes: list[str]) -> DataFrame:
     """(cid, profile): 1 for each genome, in order, that the cluster has genes of."""
-    own = members.groupBy("cid").agg(F.collect_set("genome").alias("present"))
-    return own.select("cid", F.transform(_listed(genomes), lambda g: F.array_contains("present", g).cast("int")).alias("profile"))
+    return packed_profiles(members, genomes).select("cid", unpack(F.col("longs"), len(genomes)).alias("profile"))
 
 
 def transposed_profiles(members: DataFrame, clusters: DataFrame, genomes: list[str]) -> DataFrame:

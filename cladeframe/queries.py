@@ -375,19 +375,21 @@ def clusters_view(spark, sf, upper=None):
     return rows.select("cid", cells.alias("cells"), "avg_dist", F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"), F.array_join("terms", ",").alias("terms"))
 
 
-@query(f"""{C_SQL}, i AS (SELECT cid, genome, string_agg(CAST(gene AS VARCHAR), ', ' ORDER BY CAST(gene AS VARCHAR)) ids FROM members GROUP BY ALL)
-SELECT p.cid, concat_ws(chr(9), array_to_string(profile, chr(9)), (SELECT string_agg(ids, '; ' ORDER BY genome) FROM i WHERE i.cid = p.cid),
- (SELECT string_agg(DISTINCT p_name, ' | ' ORDER BY p_name) FROM members m JOIN part ON p_partkey = gene WHERE m.cid = p.cid), (SELECT string_agg(term, ' | ' ORDER BY term) FROM ct WHERE ct.cid = p.cid)) AS value FROM prof p
-UNION ALL SELECT NULL, (SELECT string_agg(genome, chr(9) ORDER BY genome) FROM cols) || chr(9) || 'Ids' || chr(9) || 'Names' || chr(9) || 'Terms'""")
+@query(f"""{C_SQL}, i AS (SELECT cid, genome, string_agg(CAST(gene AS VARCHAR), ', ' ORDER BY CAST(gene AS VARCHAR)) ids FROM members GROUP BY ALL),
+x AS (SELECT c.cid, string_agg(coalesce(ids, ''), '; ' ORDER BY cols.genome) ids FROM (SELECT DISTINCT cid FROM comp) c CROSS JOIN cols LEFT JOIN i ON i.cid = c.cid AND i.genome = cols.genome GROUP BY c.cid)
+SELECT p.cid, array_to_string(profile, chr(9)) || chr(9) || concat_ws(' | ', ids, coalesce((SELECT string_agg(DISTINCT p_name, ', ' ORDER BY p_name) FROM members m JOIN part ON p_partkey = gene WHERE m.cid = p.cid), ''),
+ coalesce((SELECT string_agg(term, ', ' ORDER BY term) FROM ct WHERE ct.cid = p.cid), '')) AS value FROM prof p JOIN x USING (cid)
+UNION ALL SELECT NULL, (SELECT string_agg(genome, chr(9) ORDER BY genome) FROM cols) || chr(9) || 'Cluster_Info=gene, ids; per; genome | gene, names | go, terms'""")
 def profile_matrix_text(spark, sf, upper=None):
     r = _result(spark, sf, upper)
     return sinks.profile_matrix_text(r.members, r.genomes, A.names(spark, sf), A.terms(spark, sf))
 
 
 @query(f"""{C_SQL}, f AS (SELECT c.cid, cols.genome, m.gene FROM (SELECT DISTINCT cid FROM comp) c CROSS JOIN cols LEFT JOIN members m ON m.cid = c.cid AND m.genome = cols.genome)
-SELECT NULL AS cid, 0 AS part, NULL AS genome, NULL AS gene, CASE WHEN count(*) = 0 THEN 'No results found' WHEN count(*) = 1 THEN '1 result found' ELSE count(*) || ' results found' END AS value FROM stats
+SELECT NULL AS cid, 0 AS part, NULL AS genome, NULL AS gene, 'Orthology Search Results' AS value UNION ALL SELECT NULL, 1, NULL, NULL, '' UNION ALL SELECT NULL, 3, NULL, NULL, ''
+UNION ALL SELECT NULL, 2, NULL, NULL, CASE WHEN count(*) = 0 THEN 'No results' WHEN count(*) = 1 THEN '1 result' ELSE count(*) || ' results' END || ' found for your search.' FROM stats
 UNION ALL SELECT cid, 0, NULL, NULL, 'Gene Cluster #' || row_number() OVER (ORDER BY cid) || ' | Average Evolutionary Distance: ' || CAST(avg_dist AS DECIMAL(18, 6)) FROM stats
-UNION ALL SELECT cid, 1, NULL, NULL, concat_ws(chr(9), 'Id', 'Genome', 'Gene Name', 'Terms') FROM stats
+UNION ALL SELECT cid, 1, NULL, NULL, concat_ws(chr(9), 'Id', 'Genome', 'Gene Name', 'GO Terms') FROM stats UNION ALL SELECT cid, 3, NULL, NULL, '' FROM stats
 UNION ALL SELECT cid, 2, genome, gene, concat_ws(chr(9), coalesce(CAST(gene AS VARCHAR), '-'), genome, coalesce(p_name, '-'), coalesce((SELECT string_agg(term, ', ' ORDER BY term) FROM terms WHERE terms.gene = f.gene), '-')) AS value
 FROM f LEFT JOIN part ON p_partkey = gene""")
 def result_text(spark, sf, upper=None):

@@ -144,6 +144,14 @@ def hamming_of_neighbours(spark, sf):
     return a.join(b, F.col("s") == F.col("q") + 1).select("q", "s", scalars.hamming(F.col("pq"), F.col("ps")).alias("d"))
 
 
+@query(ORACLES["hamming_of_neighbours"])
+def packed_hamming_of_neighbours(spark, sf):
+    """The same, of profiles packed into longs."""
+    signs = read_table(spark, sf, "embeddings").select("vec_id", scalars.pack(F.transform("embedding", lambda x: (x > 0).cast("int"))).alias("profile"))
+    a, b = signs.toDF("q", "pq"), signs.toDF("s", "ps")
+    return a.join(b, F.col("s") == F.col("q") + 1).select("q", "s", scalars.hamming_packed(F.col("pq"), F.col("ps")).alias("d"))
+
+
 @query(f"""WITH {A.EVIDENCE_SQL}, f AS (SELECT q, s, dneed, min(dist) dist FROM evidence WHERE ek >= 20 GROUP BY ALL), b AS (SELECT DISTINCT q, s, dneed FROM evidence WHERE ek >= 30)
 SELECT q AS qid, s AS sid, CAST(dneed AS VARCHAR) AS div, '1e-20' AS evalue, dist FROM f JOIN b USING (q, s, dneed)""")
 def match_best_hits(spark, sf):

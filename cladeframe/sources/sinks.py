@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cladeframe.functions.scalars import wrap_seq
+from cladeframe.functions.scalars import genome_display_name, wrap_seq
 from cladeframe.model import nest
 from cladeframe.operators.ranking import dense_ids
 from cladeframe.session import publish
@@ -122,18 +122,21 @@ def _xml_document(genes: DataFrame, groups: DataFrame, score: str) -> DataFrame:
 
 
 def profile_matrix_text(members: DataFrame, genomes: list[str], names: DataFrame, terms: DataFrame) -> DataFrame:
-    """(cid, value): 0/1 per genome, ids, distinct names and distinct terms, joined by tabs; the
-    column heads in a row without a cid, which comes first in order.
+    """(cid, value): 0/1 per genome and a last column of ids by genome, distinct names and distinct
+    terms, joined by tabs; the column heads in a row without a cid, which comes first in order.
 
     members (cid, genome, gene); names (gene, gene_name); terms (gene, term)."""
     per = members.groupBy("cid", "genome").agg(F.array_join(F.array_sort(F.collect_list(F.col("gene").cast("string"))), ", ").alias("ids"))
     cells = per.groupBy("cid").agg(F.map_from_entries(F.collect_list(F.struct("genome", "ids"))).alias("by_genome"))
-    joined = lambda side, c: members.join(side, "gene").where(f"{c} is not null and {c} <> ''").groupBy("cid").agg(F.array_join(F.array_sort(F.collect_set(c)), " | ").alias(c))
+    joined = lambda side, c: members.join(side, "gene").where(f"{c} is not null and {c} <> ''").groupBy("cid").agg(F.array_join(F.array_sort(F.collect_set(c)), ", ").alias(c))
     rows = cells.join(joined(names, "gene_name"), "cid", "left").join(joined(terms, "term"), "cid", "left")
-    flags = [F.map_contains_key("by_genome", F.lit(g)).cast("int").cast("string") for g in genomes]
-    ids = F.array_join(F.array_compact(F.array(*(F.element_at("by_genome", F.lit(g)) for g in genomes))), "; ")
-    body = rows.select("cid", F.concat_ws("\t", *flags, ids, F.coalesce("gene_name", F.lit("")), F.coalesce("term", F.lit(""))).alias("value"))
-    head = "\t".join([*genomes, "Ids", "Names", "Terms"])
+    listed = F.array(*map(F.lit, genomes)) if genomes else F.array().cast("array<string>")  # one constant, whatever their number
+    flags = F.array_join(F.transform(listed, lambda g: F.map_contains_key("by_genome", g).cast("int").cast("string")), "\t")
+    ids = F.array_join(F.transform(listed, lambda g: F.coalesce(F.element_at("by_genome", g), F.lit(""))), "; ")
+    info = F.concat_ws(" | ", ids, F.coalesce("gene_name", F.lit("")), F.coalesce("term", F.lit("")))
+    body = rows.select("cid", F.concat_ws("\t", flags, info).alias("value"))
+    # Fixed value: the head of the last column.
+    head = "\t".join([*genomes, "Cluster_Info=gene, ids; per; genome | gene, names | go, terms"])
     return members.sparkSession.createDataFrame([(head,)], "value string").select(F.lit(None).cast(members.schema["cid"].dataType).alias("cid"), "value").unionByName(body)
 
 
@@ -143,24 +146,28 @@ def result_text(members: DataFrame, genomes: DataFrame, names: DataFrame, terms:
     full = members.select("cid").distinct().join(F.broadcast(genomes.select("genome")))  # result columns of one query
     rows = full.join(members, ["cid", "genome"], "left").join(names, "gene", "left").join(gene_terms, "gene", "left")
     cell = lambda c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("-"))
-    return rows.select("cid", "genome", "gene", F.concat_ws("\t", cell("gene"), "genome", cell("gene_name"), cell("terms")).alias("value"))
+    return rows.select("cid", "genome", "gene", F.concat_ws("\t", cell("gene"), genome_display_name(F.col("genome"), F.lit(None).cast("string")), cell("gene_name"), cell("terms")).alias("value"))
 
 
-def result_lines(members: DataFrame, stats: DataFrame, genomes: DataFrame, names: DataFrame, terms: DataFrame) -> DataFrame:
-    """(cid, part, genome, gene, value): result_text() as a whole document. The number of clusters
-    comes first (cid null), then of each cluster its number with its average distance (part 0),
-    the column heads (1) and the lines (2), in the order of these columns."""
+def result_lines(members: DataFrame, stats: DataFrame, genomes: DataFrame, names: DataFrame, terms: DataFrame, title: str = "Orthology Search Results") -> DataFrame:
+    """(cid, part, genome, gene, value): result_text() as a whole document. The title and the number
+    of clusters come first (cid null), each with an empty line after it; then of each cluster
+    its number with its average distance (part 0), the column heads (1), the lines (2) and an
+    empty line (3), in the order of these columns."""
     cluster = stats.select("cid", F.round("avg_dist", 6).alias("avg_dist"))
     numbered = dense_ids(cluster, "cid", name="nth")
     none = [F.lit(None).cast("string").alias("genome"), F.lit(None).cast(members.schema["gene"].dataType).alias("gene")]
-    # The headings of the text format.
+    # The sentences and heads of the text format.
     n = F.count("*")
-    said = F.when(n == 0, "No results found").when(n == 1, "1 result found").otherwise(F.concat(n.cast("string"), F.lit(" results found")))
-    total = cluster.agg(said.alias("value")).select(F.lit(None).cast(members.schema["cid"].dataType).alias("cid"), F.lit(0).alias("part"), *none, "value")
-    title = numbered.select("cid", F.lit(0).alias("part"), *none, F.concat(F.lit("Gene Cluster #"), F.col("nth").cast("string"), F.lit(" | Average Evolutionary Distance: "), F.col("avg_dist").cast("decimal(18,6)").cast("string")).alias("value"))
-    heads = cluster.select("cid", F.lit(1).alias("part"), *none, F.lit("Id\tGenome\tGene Name\tTerms").alias("value"))
+    said = F.when(n == 0, "No results found for your search.").when(n == 1, "1 result found for your search.").otherwise(F.concat(n.cast("string"), F.lit(" results found for your search.")))
+    first = cluster.agg(F.array(F.lit(title), F.lit(""), said, F.lit("")).alias("all")).select(F.posexplode("all").alias("part", "value"))
+    total = first.select(F.lit(None).cast(members.schema["cid"].dataType).alias("cid"), "part", *none, "value")
+    about = F.concat(F.lit("Gene Cluster #"), F.col("nth").cast("string"), F.lit(" | Average Evolutionary Distance: "), F.col("avg_dist").cast("decimal(18,6)").cast("string"))
+    line = lambda part, value: F.struct(F.lit(part).alias("part"), value.alias("value"))
+    around = F.array(line(0, about), line(1, F.lit("Id\tGenome\tGene Name\tGO Terms")), line(3, F.lit("")))
+    frame = numbered.select("cid", F.explode(around).alias("a")).select("cid", "a.part", *none, "a.value")
     lines = result_text(members, genomes, names, terms).select("cid", F.lit(2).alias("part"), "genome", "gene", "value")
-    return total.unionByName(title).unionByName(heads).unionByName(lines)
+    return total.unionByName(frame).unionByName(lines)
 
 
 def raw_pair_text(orthologs: DataFrame, nested_only: bool = False) -> DataFrame:
