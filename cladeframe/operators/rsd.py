@@ -123,7 +123,7 @@ def lookup_sequence(queries: DataFrame, genes: DataFrame, k: int = 6, common: in
     with_hot = met.join(hot_q, "q", "left").join(hot_g.withColumnRenamed("hot", "g_hot"), "gene", "left")
     none = F.array().cast("array<string>")
     shared = F.size(F.array_intersect(F.coalesce("hot", none), F.coalesce("g_hot", none)))
-    best = lambda df: df.groupBy("q").agg(F.max(F.struct("n", (-F.col("gene").cast("long")).alias("least"))).alias("b")).select("q", "b.n", (-F.col("b.least")).cast(genes.schema["gene"].dataType).alias("gene"))
+    best = lambda df: df.groupBy("q").agg(F.min(F.struct((-F.col("n")).alias("less"), "gene")).alias("b")).select("q", (-F.col("b.less")).alias("n"), "b.gene")
     first = stage(best(with_hot.select("q", "gene", (F.col("n") + shared).alias("n"))), "best-by-rare")
     # Queries whose common k-mers alone could do as well or better.
     open_ = hot_q.join(first.select("q", F.col("n").alias("had")), "q", "left").where("had is null or had <= size(hot)").select("q", "hot")

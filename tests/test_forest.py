@@ -109,6 +109,13 @@ def test_lookup_is_that_of_all_kmers(spark, common):
     assert {x["query"]: x.gene for x in got.collect()} == most_shared(queries, genes, 3) and got.count() == len({x["query"] for x in got.collect()})
 
 
+def test_lookup_of_text_ids(spark):
+    genes = spark.createDataFrame([("g10", "aaaab"), ("g9", "aaaac"), ("x", None)], "gene string, seq string")
+    queries = spark.createDataFrame([("q", "aaaa"), ("r", "aaac"), ("s", "zzz")], "query string, seq string")
+    got = {x["query"]: x.gene for x in rsd.lookup_sequence(queries, genes, 3).collect()}
+    assert got == {"q": "g10", "r": "g9"}  # of equal ones the smaller as text
+
+
 def test_dense_ids_are_what_samples_count_by(spark):
     rows = ranking.dense_ids(spark.range(20), "id", name="n").collect()
     assert sorted((r.id + 1, r.n) for r in rows) == [(i, i) for i in range(1, 21)]

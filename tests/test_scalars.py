@@ -12,21 +12,21 @@ def one(spark, column, *values):
 @pytest.mark.parametrize(
     "text, want",
     [
-        ("foo (bar (baz)) (wiz)", "foo (bar (baz))"), ("foo bar", "foo bar"), ("(foo) holla", "(foo)"), ("", ""),
-        ("Frog virus 3 (isolate Goorha) (FV-3)", "Frog virus 3 (isolate Goorha)"), ("foo (bar (baz)) (wiz", "foo (bar (baz))"), ("foo bar (baz)) (wiz)", "foo bar (baz)"),
+        ("oak (red (tall)) (old)", "oak (red (tall))"), ("plain words", "plain words"), ("(lead) then more", "(lead)"), ("", ""), ("a(b)c(d)", "a(b)"), ("()x", "()"),
+        ("Lake phage 12 (strain Kivu) (LP-12)", "Lake phage 12 (strain Kivu)"), ("one (two) (three", "one (two)"), ("one (two)) three)", "one (two)"), ("deep ((((x)))) y", "deep ((((x))))"),
     ],
 )
 def test_first_parens(spark, text, want):
     assert one(spark, scalars.up_to_first_parens, text) == want
 
 
-@pytest.mark.parametrize("text", ["foo bar ((baz) (wiz)", "foo bar))(baz)"])
+@pytest.mark.parametrize("text", ["never ((closed) here", "closed)) first (then)", "("])
 def test_first_parens_unbalanced(spark, text):
     with pytest.raises(Exception, match="parentheses don't match"):
         one(spark, scalars.up_to_first_parens, text)
 
 
-@pytest.mark.parametrize("name", ["id", "id desc", ">id", ">id desc", ">ns|id", ">ns|id desc", ">ns|id|", ">ns|id|desc", "ns|id", "ns|id desc", "ns|id|", "ns|id|desc", "ns|id blah|desc"])
+@pytest.mark.parametrize("name", [f"{mark}{space}id{rest}" for mark in ("", ">") for space in ("", "db|") for rest in ("", " words after", *(("|", "|entry", " words|entry") if space else ()))])
 def test_id_from_name(spark, name):
     assert one(spark, scalars.id_from_name, name) == "id"
 

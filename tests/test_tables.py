@@ -166,4 +166,12 @@ def test_renders(spark, kind):
     e = spark.createDataFrame(EDGES, "q string, s string, qdb string, sdb string, dist double")
     names = spark.createDataFrame([("a1", "n")], "gene string, gene_name string")
     terms = spark.createDataFrame([("a1", "t")], "gene string, term string")
-    assert all(r.value for r in query.render(query.orthology_query(e, upper=1.5), kind, names, terms).collect())
+    rows = query.render(query.orthology_query(e, upper=1.5), kind, names, terms)
+    if kind == "text":  # with its empty lines, as one document
+        lines = [r.value for r in rows.orderBy(F.asc_nulls_first("cid"), "part", "genome", "gene").collect()]
+        clusters = sum(x.startswith("Gene Cluster #") for x in lines)
+        assert lines[:4] == ["Orthology Search Results", "", f"{clusters} results found for your search." if clusters > 1 else "1 result found for your search.", ""]
+        assert lines[5] == "Id\tGenome\tGene Name\tGO Terms" and lines[-1] == "" and lines.count("") == 2 + clusters
+        assert any(x.startswith("a1\t") and x.endswith("\tn\tt") for x in lines)
+    else:
+        assert all(r.value for r in rows.collect())
