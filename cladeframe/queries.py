@@ -100,6 +100,16 @@ def params_grid_counts(spark, sf):
     return grid.join(counts, ["div", "evalue"], "left").select("div", "evalue", F.coalesce("n", F.lit(0)).alias("num_orthologs"))
 
 
+@query(f"""WITH {E_SQL}, b AS (SELECT DISTINCT p_brand FROM part), n AS (SELECT qdb, sdb, count(*) n FROM edges GROUP BY ALL)
+SELECT x.p_brand AS qdb, y.p_brand AS sdb, '0.8' AS div, '1e-5' AS evalue, CAST(coalesce(n, 0) AS INT) AS num_orthologs FROM b x JOIN b y ON x.p_brand < y.p_brand LEFT JOIN n ON qdb = x.p_brand AND sdb = y.p_brand""")
+def num_orthologs_of_pairs(spark, sf):
+    """Counts of the nested form, in which a pair without orthologs is a row too."""
+    keys = {"div": F.lit("0.8"), "evalue": F.lit("1e-5")}
+    found = A.edges(spark, sf).select("qdb", "sdb", F.col("q").cast("string").alias("qid"), F.col("s").cast("string").alias("sid"), "dist")
+    every = pairs.genome_pairs(A.genomes(spark, sf)).join(found, ["qdb", "sdb"], "left").withColumns(keys)
+    return model.num_orthologs(model.nest(every))
+
+
 @query(f"WITH {E_SQL} SELECT q, s, dist FROM edges WHERE qdb = 'Brand#10' AND sdb = 'Brand#9'")
 def orthologs_for_pair(spark, sf):
     tagged = A.edges(spark, sf).withColumns({"div": F.lit("0.8"), "evalue": F.lit("1e-5")})
@@ -261,6 +271,17 @@ def browse_gene_ids(spark, sf, upper=None):
     return Q.orthology_query(A.edges(spark, sf, upper=upper), genome="Brand#10", limit_genomes=["Brand#2", "Brand#20", "Brand#5"], seq_ids=own).members
 
 
+_FIRST_SQL = "(SELECT p_partkey FROM part WHERE p_brand = 'Brand#10' AND p_name = (SELECT min(p_name) FROM part WHERE p_brand = 'Brand#10'))"
+
+
+@query(f"{_restricted(f'{_BROWSE_SQL} AND (q IN {_FIRST_SQL} OR s IN {_FIRST_SQL})')} SELECT cid, genome, gene FROM members")
+def browse_gene_name(spark, sf, upper=None):
+    """The clusters of the genes of the first name, of which there may be several, in the primary genome."""
+    sequences = A.genes(spark, sf)
+    (name,) = sequences.where("genome = 'Brand#10'").agg(F.min("gene_name")).first()
+    return Q.browse(A.edges(spark, sf, upper=upper), A.genomes(spark, sf), sequences, "brand#10", ["brand#2", "brand#20", "brand#5"], name or "", "gene_name").members
+
+
 @query(f"{C_SQL} {_MATRIX}")
 def cluster_matrix(spark, sf, upper=None):
     return _matrix(_result(spark, sf, upper))
@@ -449,6 +470,15 @@ def orthoxml_pairs(spark, sf):
     return _xml_lines(sinks.orthoxml_pairs(rows, genes))
 
 
+@query(f"""WITH {A.edges_sql(where="qdb = 'Brand#10' AND sdb = 'Brand#9'")}, num AS (SELECT * FROM (SELECT p_partkey gene, p_brand genome, row_number() OVER (ORDER BY p_brand, p_partkey) num FROM part) WHERE gene IN (SELECT q FROM edges UNION SELECT s FROM edges)) """ + _xml_sql("dist", """SELECT 4, q || '|' || s || '|0.8|1e-5',
+'<orthologGroup><score id="dist"/><geneRef id="' || a.num || '"/><geneRef id="' || b.num || '"/></orthologGroup>', dist FROM edges JOIN num a ON a.gene = q JOIN num b ON b.gene = s"""))
+def raw_orthoxml_download(spark, sf):
+    """One pair's orthologs as a document that names their genes alone, by their numbers in the whole release."""
+    genes = stage(_numbered(spark, sf, A.genes(spark, sf)), "numbered")
+    rows = A.edges(spark, sf).select("qdb", "sdb", F.lit("0.8").alias("div"), F.lit("1e-5").alias("evalue"), F.col("q").alias("qid"), F.col("s").alias("sid"), "dist")
+    return _xml_lines(Q.raw_pair_download(rows, "Brand#9", "Brand#10", "0.8", "1e-5", "orthoxml", genes))
+
+
 # Reciprocal smallest distance
 
 _HITS_SQL = """v AS (SELECT vec_id, CAST(label AS VARCHAR) label, CAST(embedding AS DOUBLE[]) e FROM embeddings),

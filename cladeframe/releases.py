@@ -13,7 +13,7 @@ from cladeframe.plans import release
 from cladeframe.queries import E_SQL, _mutual_sql, _scratch
 from cladeframe.session import read_table, stage
 from cladeframe.sources import adapters as A
-from cladeframe.sources import readers, sinks
+from cladeframe.sources import gzipped, readers, sinks
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -106,16 +106,30 @@ def fasta_ids_and_namelines(spark, sf):
     return readers.read_ids(spark, path).join(lines, "id").select("id", "nameline")
 
 
+def _dat_record(acc, name):
+    head = (F.concat(F.lit("ID   E_X            Reviewed;         3 AA.")), F.concat(F.lit("AC   "), acc, F.lit(";")), F.concat(F.lit("OS   "), name, F.lit(".")))
+    return F.concat_ws("\n", *head, F.lit("SQ   SEQUENCE   3 AA;"), F.lit("     MKV"))
+
+
 @query("SELECT 'P' || p_partkey AS acc, p_brand AS org_name FROM part UNION ALL SELECT 'S' || s_suppkey, s_name FROM supplier")
 def dat_of_several_files(spark, sf):
     """Two sources as one stream, one of them compressed."""
-    record = lambda acc, name: F.concat_ws("\n", F.concat(F.lit("ID   E_X            Reviewed;         3 AA.")), F.concat(F.lit("AC   "), acc, F.lit(";")), F.concat(F.lit("OS   "), name, F.lit(".")), F.lit("SQ   SEQUENCE   3 AA;"), F.lit("     MKV"))
+    record = _dat_record
     path = _scratch(spark, "dats")
     read_table(spark, sf, "part").select(record(F.concat(F.lit("P"), _text("p_partkey")), F.col("p_brand")).alias("value")).write.option("lineSep", "\n//\n").text(f"{path}/a")
     read_table(spark, sf, "supplier").select(record(F.concat(F.lit("S"), _text("s_suppkey")), F.col("s_name")).alias("value")).write.option("lineSep", "\n//\n").option("compression", "gzip").text(f"{path}/b")
     return readers.read_dat(spark, f"{path}/a", f"{path}/b").select("acc", "org_name")
 
 
+@query("SELECT 'L' || l_orderkey || '_' || l_linenumber AS acc, l_returnflag || l_linestatus AS org_name, count(*) AS n FROM lineitem GROUP BY ALL")
+def dat_of_gzip_members(spark, sf):
+    """A record per line of an order in gzip files of many members, whose ranges are read by tasks of their own."""
+    acc = F.concat_ws("_", F.concat(F.lit("L"), _text("l_orderkey")), _text("l_linenumber"))
+    path = _scratch(spark, "members")
+    gzipped.write_gzip_records(read_table(spark, sf, "lineitem").select(_dat_record(acc, F.concat("l_returnflag", "l_linestatus")).alias("value")), f"{path}/dat.gz", "\n//\n", 1 << 16)
+    return readers.read_dat(spark, f"{path}/dat.gz", range_bytes=1 << 15).groupBy("acc", "org_name").agg(F.count("*").alias("n"))
+
+
 @query("WITH gd AS (SELECT p_brand acc, row_number() OVER (ORDER BY p_brand) id FROM (SELECT DISTINCT p_brand FROM part)) SELECT p_partkey, CAST(id AS INT) AS id FROM part JOIN gd ON acc = p_brand")
 def lookup_ids(spark, sf):
     ids = readers.lookup(queries._genome_table(spark, sf), "acc", "id")

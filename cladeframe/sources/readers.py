@@ -1,5 +1,5 @@
 """Readers of the text formats. Records end in their own separators, so files stay
-splittable; compressed files are read as they are, one task each."""
+splittable; files named .gz are read by their members (see gzipped)."""
 
 from __future__ import annotations
 
@@ -11,6 +11,22 @@ from pyspark.sql import functions as F
 
 from cladeframe.functions.scalars import id_from_name, up_to_first_parens
 from cladeframe.model import CATEGORIES
+from cladeframe.sources.gzipped import RANGE, read_gzip_records
+
+
+def _split_paths(paths: str | list[str]) -> tuple[list[str], list[str]]:
+    """Files to be read by Spark, and those by their gzip members."""
+    given = [paths] if isinstance(paths, str) else list(paths)
+    return [x for x in given if not x.endswith(".gz")], [x for x in given if x.endswith(".gz")]
+
+
+def _records(spark: SparkSession, paths: str | list[str], sep: str, range_bytes: int = RANGE) -> DataFrame:
+    plain, gzipped = _split_paths(paths)
+    text = spark.read.option("lineSep", sep).text(plain) if plain or not gzipped else None
+    if not gzipped:
+        return text
+    more = read_gzip_records(spark, gzipped, sep, range_bytes).select("value")
+    return more if text is None else text.unionByName(more)
 
 
 def _lines(record: Column, code: str) -> Column:
@@ -19,13 +35,14 @@ def _lines(record: Column, code: str) -> Column:
     return F.transform(own, lambda x: F.trim(F.substring(x, len(code) + 1, 1 << 30)))
 
 
-def read_dat(spark: SparkSession, *paths: str) -> DataFrame:
+def read_dat(spark: SparkSession, *paths: str, range_bytes: int = RANGE) -> DataFrame:
     """Annotated protein records (ID to //), one row each; several files are one stream.
 
     anomalies lists what is odd in a record: many_ox, many_pe, many_versions,
-    empty_seq_line, no_id. Records without an AC line have a null acc.
+    empty_seq_line, no_id. Records without an AC line have a null acc. range_bytes: of a gzip
+    file that a task looks for members in.
     """
-    text = spark.read.option("lineSep", "\n//\n").text(list(paths))
+    text = _records(spark, list(paths), "\n//\n", range_bytes)
     rec = text.select(F.regexp_replace("value", r"\n//\s*$", "").alias("r")).where(F.trim("r") != "")
     rows = rec.select(*(_lines(F.col("r"), c).alias(c) for c in ("ID", "AC", "DT", "DE", "GN", "OS", "OX", "PE", "KW", "DR")), F.filter(F.split("r", "\n"), lambda x: x.startswith("  ")).alias("seq"), "r")
     cross = lambda label: F.transform(F.filter("DR", lambda x: x.startswith(label + ";")), lambda x: F.get(F.split(x, "; "), F.lit(1)))
@@ -79,8 +96,14 @@ def read_fasta(spark: SparkSession, paths: str | list[str], mode: str = "drop")
     """
     if mode not in ("drop", "keep", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
-    text = spark.read.option("lineSep", "\n>").text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
-    text = text.mapInArrow(_mark_first, "value string, path string, at long, first boolean")
+    plain, gzipped = _split_paths(paths)
+    text = None
+    if plain or not gzipped:
+        text = spark.read.option("lineSep", "\n>").text(plain).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+        text = text.mapInArrow(_mark_first, "value string, path string, at long, first boolean").drop("at")
+    if gzipped:
+        more = read_gzip_records(spark, gzipped, "\n>")
+        text = more if text is None else text.unionByName(more)
     value = F.regexp_replace(F.regexp_replace("value", r"\n\z", ""), r"\r", "")
     # The separator took the '>' of all records but a file's first one.
     headless = F.col("first") & ~value.startswith(">")
@@ -123,7 +146,7 @@ def orthdata_blocks(text: DataFrame, keep_text: bool = False) -> DataFrame:
 
 
 def read_orthdata(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return orthdata_blocks(spark.read.option("lineSep", "\n//\n").text(paths))
+    return orthdata_blocks(_records(spark, paths, "\n//\n"))
 
 
 def read_ortholog_tsv(spark: SparkSession, paths: str | list[str], version: int = 2) -> DataFrame:
