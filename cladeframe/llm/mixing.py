@@ -4,7 +4,8 @@ A document's count is the inverse of the Poisson distribution, whose mean is its
 source's target repetition rate, at a number hashed from its id and a seed. So the
 outcome needs no shared state, is the same on every run, and a hot source is just
 more rows. Rows are exploded by count and dealt out anew in the order of a second
-hash: a global shuffle.
+hash: a global shuffle. A document of many copies, as of a tiny source in a huge corpus,
+is first exploded into blocks of copies, which are dealt out before they are exploded in turn.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from cladeframe.session import read_table, stage
 
 SEED = 17
+BLOCK = 1024  # copies of a document that one task makes
 
 
 def uniform(seed: int, *cols: Column) -> Column:
@@ -80,12 +82,21 @@ def replicate(docs: DataFrame, weights: dict[str, float] | None = None, budget:
     a doc_id get the same count. No rows give no rows. Columns of docs whose names
     begin with mix_ are replaced.
     """
-    docs = docs.drop("mix_rate", "mix_copy", "mix_order", "mix_source")
+    docs = docs.drop("mix_rate", "mix_copy", "mix_order", "mix_source", "mix_block")
     # Written, so that its true size decides between a broadcast and a shuffled join.
     rate = stage(rates(docs, weights, budget).select(F.col("source").alias("mix_source"), F.round("rate", 6).alias("mix_rate"), "least", "cdf"), "rates")
     mix_count = below(F.col("cdf"), uniform(seed, F.col("doc_id"))).cast("long") + F.col("least")
     joined = docs.join(rate, F.col("source").eqNullSafe(F.col("mix_source"))).withColumn("mix_count", mix_count)
-    kept = joined.where("mix_count > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(0), (F.col("mix_count") - 1).cast("int"))))
+    copies = lambda df, least, most: df.withColumn("mix_copy", F.explode(F.sequence(least.cast("int"), (most - 1).cast("int"))))
+    n = F.col("mix_count")
+    kept = copies(joined.where((n > 0) & (n <= BLOCK)), F.lit(0), n)
+    highest = rate.agg(F.max(F.col("least") + F.size("cdf"))).first()[0]  # no count is above it
+    if highest is not None and highest > BLOCK:
+        blocks = joined.where(n > BLOCK).withColumn("mix_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / BLOCK))))
+        # A number of partitions of its own, so that blocks, small before they are exploded, aren't put together again.
+        dealt = blocks.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "mix_block")
+        least = F.col("mix_block") * BLOCK
+        kept = kept.unionByName(copies(dealt, least, F.least(least + BLOCK, n)).drop("mix_block"))
     out = kept.withColumn("mix_order", uniform(seed + 1, F.col("doc_id"), F.col("mix_copy")))
     return out.drop("mix_source", "least", "cdf", "mix_count").repartitionByRange("mix_order").sortWithinPartitions("mix_order", "doc_id", "mix_copy")
 

@@ -31,6 +31,22 @@ def test_high_rates_and_order(docs):
     assert orders == sorted(orders)
 
 
+def test_copies_of_one_document_are_made_by_many_tasks(docs, monkeypatch):
+    """The same rows with and without blocks; and none of the tasks before the global shuffle makes all of them."""
+    df = docs((1, "x", "a"), (1, "x", "a"), (None, "x", "a"), (2, "y" * 50_000, "b"), (3, "z", "b"))
+    whole = mixing.replicate(df, {"a": 1.0, "b": 1.0})
+    monkeypatch.setattr(mixing, "BLOCK", 1 << 30)
+    plain = mixing.replicate(df, {"a": 1.0, "b": 1.0})
+    assert whole.columns == plain.columns and whole.dtypes == plain.dtypes
+    rows = sorted(map(str, whole.collect()))
+    assert len(rows) > 12_000 and rows == sorted(map(str, plain.collect()))
+    assert [r.mix_order for r in whole.collect()] == sorted(r.mix_order for r in whole.collect())
+    monkeypatch.setattr(mixing, "BLOCK", 64)
+    monkeypatch.setattr("pyspark.sql.DataFrame.repartitionByRange", lambda self, *_: self)
+    made = mixing.replicate(df, {"a": 1.0, "b": 1.0}).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in made) < 0.6 * len(rows)
+
+
 def test_odd_rows(docs, odd):
     out = mixing.replicate(odd.withColumn("mix_copy", odd.lang), budget=5.0)
     assert {"doc_id", "text", "mix_rate", "mix_copy", "mix_order"} <= set(out.columns)
