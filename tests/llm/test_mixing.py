@@ -42,7 +42,7 @@ def test_copies_of_one_document_are_made_by_many_tasks(docs, monkeypatch):
     assert len(rows) > 12_000 and rows == sorted(map(str, plain.collect()))
     assert [r.mix_order for r in whole.collect()] == sorted(r.mix_order for r in whole.collect())
     monkeypatch.setattr(mixing, "BLOCK", 64)
-    monkeypatch.setattr("pyspark.sql.DataFrame.repartitionByRange", lambda self, *_: self)
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda self, *_: self)
     made = mixing.replicate(df, {"a": 1.0, "b": 1.0}).groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in made) < 0.6 * len(rows)
 
