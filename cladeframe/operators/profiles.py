@@ -70,6 +70,11 @@ def transposed_profiles(members: DataFrame, clusters: DataFrame, genomes: list[s
 def transposed_blocks(members: DataFrame, clusters: DataFrame, genomes: list[str], size: int = 10_000) -> DataFrame:
     """(genome, block, part): transposed_profiles() as text of 0 and 1, in rows of `size` clusters
     that follow each other by cid, numbered from 0, so that no row grows with the clusters."""
+    return genome_blocks(members, clusters, genomes, size).withColumn("genome", F.regexp_replace("genome", r"\.aa$", ""))
+
+
+def genome_blocks(members: DataFrame, clusters: DataFrame, genomes: list[str], size: int = 10_000) -> DataFrame:
+    """transposed_blocks() with the genomes' whole names."""
     if size < 1:
         raise ValueError("blocks need a size")
     numbered = stage(dense_ids(clusters.select("cid"), "cid", name="n"), "numbered-clusters")
@@ -80,7 +85,7 @@ def transposed_blocks(members: DataFrame, clusters: DataFrame, genomes: list[str
     rows = sizes.join(F.broadcast(listed)).join(present, ["block", "genome"], "left")  # a row per block and genome
     ones = F.transform("places", lambda x, i: F.concat(F.repeat(F.lit("0"), x - F.coalesce(F.get("places", i - 1), F.lit(-1)) - 1), F.lit("1")))
     part = F.rpad(F.coalesce(F.array_join(ones, ""), F.lit("")), F.col("n"), F.lit("0"))
-    return rows.select(F.regexp_replace("genome", r"\.aa$", "").alias("genome"), "block", part.alias("part"))
+    return rows.select("genome", "block", part.alias("part"))
 
 
 def profile_members(profiles_: DataFrame, infos: DataFrame) -> DataFrame:

@@ -226,6 +226,13 @@ def render(result: Result, kind: str, names: DataFrame, terms: DataFrame) -> Dat
     raise ValueError(f"unknown kind {kind!r}")
 
 
+def export_matrix(result: Result, kind: str, path: str, size: int = 10_000) -> bool:
+    """render() of 'nexus' or 'phylip' as files of any number of clusters, as write_pieces() has
+    them; returns whether it wrote."""
+    blocks = profiles.genome_blocks(result.members, result.stats, result.genomes, size)
+    return sinks.write_pieces(sinks.matrix_pieces(blocks, result.genomes, kind), path, ["line", "piece"])
+
+
 def release_stats(genomes: DataFrame, orthologs: DataFrame, release: str, date: str) -> DataFrame:
     """release, release_date (from %Y-%m-%d), and the numbers of genomes, pairs and orthologs."""
     stats = census.dataset_stats(genomes, orthologs)

@@ -435,6 +435,40 @@ def nexus_matrix(spark, sf, upper=None):
     return sinks.nexus_matrix(profiles.transposed_profiles(r.members, r.stats, r.genomes))
 
 
+_PIECES = """k AS (SELECT cid, row_number() OVER (ORDER BY cid) - 1 p FROM (SELECT DISTINCT cid FROM comp)), o AS (SELECT genome, CAST(row_number() OVER (ORDER BY genome) AS INT) i FROM cols),
+b AS (SELECT i, p // 20 block, string_agg(CASE WHEN m.genome IS NULL THEN '0' ELSE '1' END, '' ORDER BY k.cid) part FROM o CROSS JOIN k LEFT JOIN (SELECT DISTINCT cid, genome FROM members) m ON m.cid = k.cid AND m.genome = o.genome GROUP BY ALL)"""
+
+
+@query(f"""{C_SQL}, {_PIECES}, pieces(line, piece, value) AS (SELECT 0, 0, '#Nexus' || chr(10) UNION ALL SELECT 1, 0, 'Begin data;' || chr(10)
+UNION ALL SELECT 2, 0, 'Dimensions ntax=' || (SELECT count(*) FROM o) || ' nchar=' || (SELECT count(*) FROM k) || ';' || chr(10)
+UNION ALL SELECT 3, 0, 'Format datatype=standard symbols="01";' || chr(10) UNION ALL SELECT 4, 0, 'Matrix' || chr(10) UNION ALL SELECT 4 + i, 0, genome || ' ' FROM o
+UNION ALL SELECT 4 + i, block + 1, part FROM b UNION ALL SELECT 4 + i, (SELECT max(block) + 2 FROM b), chr(10) FROM o
+UNION ALL SELECT 5 + (SELECT count(*) FROM o), 0, ';' || chr(10) UNION ALL SELECT 6 + (SELECT count(*) FROM o), 0, 'End;' || chr(10)) SELECT * FROM pieces""")
+def nexus_pieces(spark, sf, upper=None):
+    """The matrix in pieces that don't grow with the clusters."""
+    r = _result(spark, sf, upper)
+    return sinks.matrix_pieces(profiles.genome_blocks(r.members, r.stats, r.genomes, 20), r.genomes, "nexus")
+
+
+def _counted(kind: str, line: str) -> str:
+    n = lambda c: f"sum(length({line}) - length(replace({line}, '{c}', '')))"
+    return f"SELECT '{kind}' AS kind, CAST(sum(length({line})) AS BIGINT) chars, CAST({n(0)} AS BIGINT) zeros, CAST({n(1)} AS BIGINT) ones FROM"
+
+
+@query(f"""{C_SQL}, {_LINES}, nx AS (SELECT '#NexusBegin data;Format datatype=standard symbols="01";Matrix;End;' AS v UNION ALL SELECT 'Dimensions ntax=' || count(*) || ' nchar=' || max(len(profile)) || ';' FROM t
+UNION ALL SELECT genome || ' ' || array_to_string(profile, '') FROM t), ph AS (SELECT count(*) || ' ' || max(len(profile)) AS v FROM t UNION ALL SELECT rpad(substr(genome, 1, 10), 10, ' ') || array_to_string(profile, ' ') FROM t)
+{_counted('nexus', 'v')} nx UNION ALL {_counted('phylip', 'v')} ph""")
+def matrix_files(spark, sf, upper=None):
+    """Both matrices written as files whose lines no task holds, and what is read back of them."""
+    r, found = _result(spark, sf, upper), []
+    for kind in ("nexus", "phylip"):
+        path = _scratch(spark, kind)
+        Q.export_matrix(r, kind, path)
+        n = lambda c: F.sum(F.length("value") - F.length(F.replace("value", F.lit(c), F.lit(""))))
+        found.append(spark.read.text(path).agg(F.lit(kind).alias("kind"), F.sum(F.length("value")).alias("chars"), n("0").alias("zeros"), n("1").alias("ones")))
+    return found[0].unionByName(found[1])
+
+
 def _numbered(spark, sf, members):
     return ranking.dense_ids(members.select("gene", "genome").distinct(), "genome", "gene", name="num")
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from cladeframe.functions.scalars import genome_display_name, wrap_seq
 from cladeframe.model import nest
 from cladeframe.operators.ranking import dense_ids
-from cladeframe.session import publish
+from cladeframe.session import publish, stage
+from cladeframe.sources.gzipped import write_gzip_records
 
 
 def xml_escape(c: Column) -> Column:
@@ -90,6 +91,43 @@ def phylip_matrix(rows: DataFrame) -> DataFrame:
     return head.unionByName(rows.select(F.lit(1).alias("line_no"), F.concat(F.rpad(F.substring("genome", 1, 10), 10, " "), _profile_text(rows, " ")).alias("value")))
 
 
+#: Lines of a Nexus file before and after those of genomes.
+NEXUS_HEAD = ["#Nexus", "Begin data;", "Dimensions ntax={n} nchar={c};", 'Format datatype=standard symbols="01";', "Matrix"]
+NEXUS_END = [";", "End;"]
+
+
+def matrix_pieces(blocks: DataFrame, genomes: list[str], kind: str) -> DataFrame:
+    """(line, piece, value): a 'nexus' or 'phylip' matrix whose values, put one after the other in
+    order of line and piece, are the file, ends of lines among them. No value grows with the clusters.
+
+    blocks (genome, block, part) as genome_blocks() has them. Lines of genomes follow the given
+    order; without clusters they are names only."""
+    if kind not in ("nexus", "phylip"):
+        raise ValueError(f"unknown kind {kind!r}")
+    spark, nexus, blocks = blocks.sparkSession, kind == "nexus", stage(blocks, "matrix-blocks")
+    head, end = (NEXUS_HEAD, NEXUS_END) if nexus else (["{n} {c}"], [])
+    places = spark.createDataFrame([(g, len(head) + i) for i, g in enumerate(genomes)], "genome string, line int")
+    name = F.regexp_replace("genome", r"\.aa$", "")
+    first = F.concat(name, F.lit(" ")) if nexus else F.rpad(F.substring(name, 1, 10), 10, " ")
+    last = blocks.agg(F.coalesce(F.max("block") + 2, F.lit(1)).cast("long").alias("last"))  # one row
+    names = places.select("line", F.lit(0).cast("long").alias("piece"), first.alias("value"))
+    ends = places.join(F.broadcast(last)).select("line", F.col("last").alias("piece"), F.lit("\n").alias("value"))
+    spaced = F.concat(F.when(F.col("block") > 0, " ").otherwise(""), F.regexp_replace("part", "(.)(?=.)", "$1 "))
+    body = blocks.join(F.broadcast(places), "genome").select("line", (F.col("block") + 1).cast("long").alias("piece"), (F.col("part") if nexus else spaced).alias("value"))
+    fixed = spark.createDataFrame([*enumerate(head), *enumerate(end, len(head) + len(genomes))], "line int, value string")
+    wide = blocks.where(F.col("genome") == F.lit(genomes[0] if genomes else None)).agg(F.coalesce(F.sum(F.length("part")), F.lit(0)).alias("c"))  # one row
+    text = F.replace(F.replace("value", F.lit("{n}"), F.lit(str(len(genomes)))), F.lit("{c}"), F.col("c").cast("string"))
+    around = fixed.join(F.broadcast(wide)).select("line", F.lit(0).cast("long").alias("piece"), F.concat(text, F.lit("\n")).alias("value"))
+    return around.unionByName(names).unionByName(body).unionByName(ends)
+
+
+def write_pieces(pieces: DataFrame, path: str, order: list[str]) -> bool:
+    """Values in order, with nothing between them, as gzip files that make the whole one when joined
+    by name (`cat part-*`, which is a gzip file too). A line may go on in the next file, so that
+    tasks needn't hold lines. A folder that is whole stays: returns whether it wrote."""
+    return publish(pieces.sparkSession, path, lambda folder: write_gzip_records(pieces.orderBy(*order), folder, sep=""))
+
+
 def orthoxml_pairs(orthologs: DataFrame, genes: DataFrame) -> DataFrame:
     """(section, ord, value) of a document with a group per ortholog; genes are (gene, genome, num)."""
     a, b = (genes.select(F.col("gene").alias(c), F.col("num").alias(f"{c}_n")) for c in ("qid", "sid"))
