@@ -35,6 +35,16 @@ def cluster_matrix(members: DataFrame, genomes: list[str]) -> DataFrame:
     return by.select("cid", F.transform(_listed(genomes), lambda g: F.coalesce(F.element_at("m", g), empty)).alias("cells"))
 
 
+def cluster_cells(members: DataFrame, size: int = 1000) -> DataFrame:
+    """(cid, genome, part, genes): cluster_matrix() as a row per filled cell, of at most `size` sorted
+    genes, so that a cluster of most genes is many rows. Parts of a cell ascend: they are cut where
+    genes counted over all cells, by cid, genome and gene, come to a multiple of size."""
+    if size < 1:
+        raise ValueError("cells need a size")
+    part = F.floor((F.col("_n") - 1) / size).alias("part")
+    return dense_ids(members.select("cid", "genome", "gene"), "cid", "genome", "gene", name="_n").groupBy("cid", "genome", part).agg(F.array_sort(F.collect_list("gene")).alias("genes"))
+
+
 def cluster_pivot(members: DataFrame, genomes: list[str]) -> DataFrame:
     """cid and a column of genes per genome, for few genomes."""
     return members.groupBy("cid").pivot("genome", genomes).agg(F.array_sort(F.collect_list("gene")))

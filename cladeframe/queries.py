@@ -287,6 +287,11 @@ def cluster_matrix(spark, sf, upper=None):
     return _matrix(_result(spark, sf, upper))
 
 
+@query(f"{C_SQL} SELECT cid, genome, part, list(gene ORDER BY gene) AS genes FROM (SELECT *, (row_number() OVER (ORDER BY cid, genome NULLS FIRST, gene) - 1) // 1000 AS part FROM members) GROUP BY ALL")
+def cluster_cells(spark, sf, upper=None):
+    return profiles.cluster_cells(_result(spark, sf, upper).members)
+
+
 @query(f"{C_SQL} SELECT cid, array_to_string(profile, '') AS profile FROM prof")
 def profile_rows(spark, sf, upper=None):
     return _result(spark, sf, upper).profiles().select("cid", F.array_join(F.transform("profile", lambda x: x.cast("string")), "").alias("profile"))
@@ -481,9 +486,9 @@ UNION ALL SELECT 2, '', '<scores><scoreDef id="{score}" desc="distance"/></score
 UNION ALL {groups})"""
 
 
-def _xml_lines(xml: DataFrame) -> DataFrame:
+def _xml_lines(xml: DataFrame, *more: str) -> DataFrame:
     number = F.nullif(F.regexp_extract("value", '<score [^>]* value="([^"]*)"', 1), F.lit("")).cast("double")
-    return xml.select("section", "ord", F.regexp_replace("value", '(<score [^>]*) value="[^"]*"', "$1").alias("value"), F.round(number, 6).alias("score"))
+    return xml.select("section", "ord", *more, F.regexp_replace("value", '(<score [^>]*) value="[^"]*"', "$1").alias("value"), F.round(number, 6).alias("score"))
 
 
 @query(f"""{C_SQL}, num AS (SELECT gene, genome, row_number() OVER (ORDER BY genome, gene) num FROM (SELECT DISTINCT gene, genome FROM members)) """ + _xml_sql("avgdist", """SELECT 4, lpad(cid::VARCHAR, 20, '0'),
@@ -494,6 +499,21 @@ def orthoxml_groups(spark, sf, upper=None):
     return _xml_lines(sinks.orthoxml_groups(r.members.select("cid", "gene"), r.stats.select("cid", "avg_dist"), genes))
 
 
+@query(f"""{C_SQL}, num AS (SELECT gene, genome, row_number() OVER (ORDER BY genome, gene) num FROM (SELECT DISTINCT gene, genome FROM members)),
+p(section, ord, piece, value, score) AS (SELECT 0, '', 0, '<orthoXML xmlns="http://orthoXML.org/2011/" version="0.3">', CAST(NULL AS DOUBLE) UNION ALL SELECT 2, '', 0, '<scores><scoreDef id="avgdist" desc="distance"/></scores>', NULL
+UNION ALL SELECT 3, '', 0, '<groups>', NULL UNION ALL SELECT 5, '', 0, '</groups></orthoXML>', NULL
+UNION ALL SELECT DISTINCT 1, genome, 0, '<species name="' || genome || '"><database><genes>', NULL FROM num UNION ALL SELECT 1, genome, num, '<gene id="' || num || '" protId="' || gene || '"/>', NULL FROM num
+UNION ALL SELECT DISTINCT 1, genome, 9223372036854775807, '</genes></database></species>', NULL FROM num
+UNION ALL SELECT 4, lpad(cid::VARCHAR, 20, '0'), 0, '<orthologGroup id="' || cid || '"><score id="avgdist"/>', avg_dist FROM stats
+UNION ALL SELECT 4, lpad(cid::VARCHAR, 20, '0'), num, '<geneRef id="' || num || '"/>', NULL FROM stats JOIN members USING (cid) JOIN num USING (gene)
+UNION ALL SELECT 4, lpad(cid::VARCHAR, 20, '0'), 9223372036854775807, '</orthologGroup>', NULL FROM stats) SELECT section, ord, piece, value, score FROM p""")
+def orthoxml_group_pieces(spark, sf, upper=None):
+    """orthoxml_groups with a row per gene."""
+    r = _result(spark, sf, upper)
+    genes = stage(_numbered(spark, sf, r.members), "numbered")
+    return _xml_lines(sinks.orthoxml_group_pieces(r.members, r.stats.select("cid", "avg_dist"), genes), "piece")
+
+
 @query(f"""WITH {E_SQL}, g AS (SELECT DISTINCT q gene, qdb genome FROM edges UNION SELECT s, sdb FROM edges), num AS (SELECT gene, genome, row_number() OVER (ORDER BY genome, gene) num FROM g) """ + _xml_sql("dist", """SELECT 4, q || '|' || s || '|0.8|1e-5',
 '<orthologGroup><score id="dist"/><geneRef id="' || a.num || '"/><geneRef id="' || b.num || '"/></orthologGroup>', dist FROM edges JOIN num a ON a.gene = q JOIN num b ON b.gene = s"""))
 def orthoxml_pairs(spark, sf):

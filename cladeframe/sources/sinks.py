@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeframe.functions.scalars import genome_display_name, wrap_seq
@@ -147,16 +147,36 @@ def orthoxml_groups(members: DataFrame, averages: DataFrame, genes: DataFrame) -
     return _xml_document(genes, groups, "avgdist")
 
 
+def orthoxml_group_pieces(members: DataFrame, averages: DataFrame, genes: DataFrame) -> DataFrame:
+    """(section, ord, piece, value): orthoxml_groups() with a row for each gene of a species or group and
+    one before and after them, so that no row grows with a genome or a cluster. In order of the three,
+    values make the document; write_text() puts each into a line of its own."""
+    wrap = lambda rows, section, key, before, after: rows.select(F.lit(section).alias("section"), key.alias("ord"), F.explode(F.array(F.struct(F.lit(0).cast("long").alias("piece"), before.alias("value")), F.struct(F.lit(2**63 - 1).alias("piece"), after.alias("value")))).alias("x")).select("section", "ord", "x.*")
+    name, num = xml_escape(F.col("genome").cast("string")), F.col("num").cast("string")
+    species = wrap(genes.select("genome").distinct(), 1, F.col("genome").cast("string"), F.concat(F.lit('<species name="'), name, F.lit('"><database><genes>')), F.lit("</genes></database></species>"))
+    own = genes.select(F.lit(1).alias("section"), F.col("genome").cast("string").alias("ord"), F.col("num").cast("long").alias("piece"), F.concat(F.lit('<gene id="'), num, F.lit('" protId="'), xml_escape(F.col("gene").cast("string")), F.lit('"/>')).alias("value"))
+    cid = F.col("cid").cast("string")
+    score = F.concat(F.lit('<score id="avgdist" value="'), F.round("avg_dist", 6).cast("string"), F.lit('"/>'))
+    groups = wrap(averages, 4, F.lpad(cid, 20, "0"), F.concat(F.lit('<orthologGroup id="'), cid, F.lit('">'), score), F.lit("</orthologGroup>"))
+    kept = members.select("cid", "gene").join(averages.select("cid"), "cid", "left_semi").join(genes.select("gene", "num"), "gene")
+    refs = kept.select(F.lit(4).alias("section"), F.lpad(cid, 20, "0").alias("ord"), F.col("num").cast("long").alias("piece"), F.concat(F.lit('<geneRef id="'), num, F.lit('"/>')).alias("value"))
+    return _xml_frame(genes.sparkSession, "avgdist").withColumn("piece", F.lit(0).cast("long")).unionByName(species).unionByName(own).unionByName(groups).unionByName(refs)
+
+
 def _xml_document(genes: DataFrame, groups: DataFrame, score: str) -> DataFrame:
     spark = genes.sparkSession
     gene = F.concat(F.lit('<gene id="'), F.col("num").cast("string"), F.lit('" protId="'), xml_escape(F.col("gene").cast("string")), F.lit('"/>'))
     species = genes.groupBy("genome").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("num", gene.alias("x")))), lambda s: s["x"]), "").alias("genes"))
     blocks = species.select(F.lit(1).alias("section"), F.col("genome").cast("string").alias("ord"), F.concat(F.lit('<species name="'), xml_escape(F.col("genome").cast("string")), F.lit('"><database><genes>'), "genes", F.lit("</genes></database></species>")).alias("value"))
-    frame = spark.createDataFrame(
+    return _xml_frame(spark, score).unionByName(blocks).unionByName(groups)
+
+
+def _xml_frame(spark: SparkSession, score: str) -> DataFrame:
+    """(section, ord, value): what stands around species and groups."""
+    return spark.createDataFrame(
         [(0, "", '<orthoXML xmlns="http://orthoXML.org/2011/" version="0.3">'), (2, "", f'<scores><scoreDef id="{score}" desc="distance"/></scores>'), (3, "", "<groups>"), (5, "", "</groups></orthoXML>")],
         "section int, ord string, value string",
     )
-    return frame.unionByName(blocks).unionByName(groups)
 
 
 def profile_matrix_text(members: DataFrame, genomes: list[str], names: DataFrame, terms: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Matrices written in pieces against the same ones line by line."""
+"""Results written in pieces against the same ones line by line."""
 
 import gzip
 import os
@@ -80,3 +80,28 @@ def test_no_value_grows_with_clusters(spark):
     assert pieces.groupBy("line").agg(F.sum(F.length("value")).alias("n")).where("line = 1").first().n == 10 + 999 + 1
     with pytest.raises(ValueError):
         sinks.matrix_pieces(pieces, GENOMES, "text")
+
+
+def test_cells_of_a_large_cluster_are_many_rows(spark):
+    cells = [(1, "a", f"g{i:03}") for i in range(250)] + [(1, None, "x"), (2, "a", "y"), (2, "a", "y")]
+    members = spark.createDataFrame(cells, "cid long, genome string, gene string")
+    rows = profiles.cluster_cells(members, 20).orderBy("cid", "genome", "part").collect()
+    assert max(len(r.genes) for r in rows) == 20 and len(rows) >= 250 // 20 + 2
+    assert sorted((r.cid, str(r.genome), g) for r in rows for g in r.genes) == sorted((c, str(g), x) for c, g, x in cells)
+    assert [g for r in rows if r.genome == "a" and r.cid == 1 for g in r.genes] == [f"g{i:03}" for i in range(250)]
+    assert profiles.cluster_cells(members.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        profiles.cluster_cells(members, 0)
+
+
+def test_xml_by_genes_is_the_same_document(spark, tmp_path):
+    cells = [(1, g, f"{g}<{i}") for i in range(30) for g in ("h&s", "b")] + [(12, "b", "lone"), (12, "h&s", "other"), (13, "c", "no average")]
+    members = spark.createDataFrame(cells, "cid long, genome string, gene string")
+    averages = spark.createDataFrame([(1, 0.25), (12, 1.0)], "cid long, avg_dist double")
+    genes = spark.createDataFrame([(x, g, n) for n, (_, g, x) in enumerate(sorted(cells, key=lambda t: t[1:]), 1)], "gene string, genome string, num int")
+    whole = "".join(r.value for r in sinks.orthoxml_groups(members.select("cid", "gene"), averages, genes).orderBy("section", "ord").collect())
+    pieces = sinks.orthoxml_group_pieces(members, averages, genes)
+    sinks.write_text(pieces, str(tmp_path / "x"), ["section", "ord", "piece"])
+    lines = [x for f in sorted(os.listdir(tmp_path / "x")) if f.startswith("part-") for x in open(tmp_path / "x" / f).read().splitlines()]
+    assert "".join(lines) == whole
+    assert max(map(len, lines)) < 80
