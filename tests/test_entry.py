@@ -12,7 +12,7 @@ from cladeframe.sources import adapters as A
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SOME = ["edges_at_params", "params_grid_counts", "components", "cluster_stats", "retrieve_clusters", "terms_summary", "rsd_vectors", "genome_census", "change_log_diff", "term_bridge", "orthdata_roundtrip", "fasta_roundtrip", "dat_parse", "raw_pair_download", "clustering_summary_of_classes", "summary_of_every_nth_edge", "orthoxml_groups_within", "gene_view_within", "page_clusters", "transposed_profile_blocks_within", "profile_clusters_within", "nexus_pieces_within", "matrix_files_within", "change_log_names", "fasta_small_files", "genome_fasta_roundtrip", "collate_orthologs", "replace_genome_on_disk", "release_build", "reference_set", "load_of_a_release"]
+SOME = ["edges_at_params", "params_grid_counts", "components", "cluster_stats", "retrieve_clusters", "terms_summary", "rsd_vectors", "genome_census", "change_log_diff", "term_bridge", "orthdata_roundtrip", "fasta_roundtrip", "dat_parse", "raw_pair_download", "clustering_summary_of_classes", "summary_of_every_nth_edge", "orthoxml_groups_within", "gene_view_within", "page_clusters", "transposed_profile_blocks_within", "profile_clusters_within", "nexus_pieces_within", "matrix_files_within", "cluster_cells_within", "orthoxml_group_pieces_within", "change_log_names", "fasta_small_files", "genome_fasta_roundtrip", "collate_orthologs", "replace_genome_on_disk", "release_build", "reference_set", "load_of_a_release"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
