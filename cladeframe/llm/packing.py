@@ -11,13 +11,17 @@ over a hot length) and every task looks its pieces up in the plan.
 
 from __future__ import annotations
 
+import codecs
 import re
+import string
 import struct
 import zlib
+from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,18 +29,24 @@ from cladeframe.llm import textops
 from cladeframe.session import read_table, stage
 
 #: Beyond these letters, normal forms and case are left to the tokenizer, text by text.
-_PLAIN = re.compile(r"[\x00-\x1b\x20-ɏ]*")
-_CACHE_WORDS = 200_000
+#: Within them Arrow lowers letters as tokenizers do, but for the dotted capital I.
+_NOT_PLAIN = r"[^\x00-\x1b\x20-\x{12f}\x{131}-\x{24f}]"
+#: Words kept in each of two generations, and the longest word that is kept.
+_CACHE_WORDS, _CACHE_LETTERS = 400_000, 64
+#: Texts looked up and runs of letters merged at a time.
+_SLICE_BYTES, _RUNS = 12 << 20, 10_000
 _PROBE = "Ab, cd  Éf's g1\n(h)"
 _state: dict = {}
 
 
 def _load(path: str) -> dict:
-    """The tokenizer and a word -> id bytes cache of this Python worker.
+    """The tokenizer and the id bytes of words that this Python worker has met.
 
     Tokenizers that drop white space and never join across it (found by a probe) give
     a text's ids as its words' ids in a row. Of these, some keep a run of letters
-    whole, so that its merges can be asked for alone."""
+    whole and mark its end, so that many runs' merges can be asked for alone. Texts with an
+    added token in any case go to the tokenizer as they are: it looks for these before it
+    lowers letters."""
     if _state.get("path") != path:
         import os
 
@@ -45,11 +55,25 @@ def _load(path: str) -> dict:
 
         t = Tokenizer.from_file(path)
         ids = lambda x: t.encode(x, add_special_tokens=False).ids
-        bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        letters = lambda w: t.model.tokenize(w if w.isascii() else bytes_of(w)[0][0])
         by_word = ids(_PROBE) == [i for w in _PROBE.lower().split() for i in ids(w)]
-        by_run = by_word and ids("abc,") == ids("abc") + ids(",") and all([x.id for x in letters(w)] == ids(w) for w in ("abc", "déf"))
-        _state.update(path=path, tokenizer=t, words={}, by_word=by_word, letters=letters if by_run else None)
+        added = [f"(?i:{re.escape(x.content)})" for x in t.get_added_tokens_decoder().values()]
+        whole = "|".join([_NOT_PLAIN, *added]) if by_word else ""  # all texts match ""
+        _state.clear()
+        _state.update(path=path, tokenizer=t, words={}, before={}, whole=whole, merges=None)
+        end = getattr(t.model, "end_of_word_suffix", None)
+        if by_word and end and ids("abc,") == ids("abc") + ids(","):
+            letters = [*map(chr, range(256))]
+            bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            for c in map(chr, range(0x80, 0x250)):
+                for byte, letter in zip(c.encode(), bytes_of(c)[0][0]):
+                    letters[byte] = letter
+            last = np.zeros(t.get_vocab_size(), bool)
+            last[[i for x, i in t.get_vocab().items() if x.endswith(end)]] = True
+            merges = Tokenizer(t.model)
+            merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            _state.update(merges=merges, letters="".join(letters), last=last)
+            if _merge(probe := ["abc", "déf", "x"], _state) != [_id_bytes(ids(w)) for w in probe]:
+                _state.update(merges=None)
     return _state
 
 
@@ -57,38 +81,99 @@ def _id_bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def token_ids(texts: list[str], path: str) -> list[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit numbers."""
+def _merge(runs: list[str], loaded: dict) -> list[bytes]:
+    """The id bytes of each of some runs of letters, which are merged as one text and cut where words end."""
+    out = []
+    for i in range(0, len(runs), _RUNS):
+        some = runs[i : i + _RUNS]
+        text = codecs.charmap_decode(" ".join(some).encode(), "strict", loaded["letters"])[0]
+        ids = np.asarray(loaded["merges"].encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        at = [0, *(4 * np.flatnonzero(loaded["last"][ids]) + 4).tolist()]
+        if len(at) == len(some) + 1:
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip(at, at[1:])]
+        else:  # the model has no token for some last letter
+            out += [_id_bytes(x.ids) for x in loaded["tokenizer"].encode_batch_fast(some, add_special_tokens=False)]
+    return out
+
+
+def _spell(words: list[str], loaded: dict) -> list[bytes]:
+    """The id bytes of each of some words. A run of letters and the marks behind it are spelled apart.
+
+    Words are kept in two generations: when the younger one is full, it becomes the older
+    one, from which words in use come back, so that only rare ones are spelled again."""
+    if len(loaded["words"]) > _CACHE_WORDS:
+        loaded.update(before=loaded["words"], words={})
+    known, before = loaded["words"], loaded["before"]
+    out, new, odd, marked = list(map(known.get, words)), {}, {}, []
+    for i, ids in enumerate(out):
+        if ids is None:
+            word = words[i]
+            ids = before.get(word)
+            if ids is not None:
+                out[i] = known[word] = ids
+                continue
+            run = word.rstrip(string.punctuation)
+            if loaded["merges"] and run.isalpha():
+                mark = word[len(run) :]
+                if run not in known and run not in before:
+                    new[run] = None
+                if mark and mark not in known and mark not in before:
+                    odd[mark] = None
+                marked.append((i, run, mark))
+            else:
+                odd[word] = None
+                marked.append((i, word, ""))
+    new.update(zip(new, _merge([*new], loaded)) if new else ())
+    odd.update((w, _id_bytes(x.ids)) for w, x in zip(odd, loaded["tokenizer"].encode_batch_fast([*odd], add_special_tokens=False)))
+    for fresh in (new, odd):
+        known.update(fresh if max(map(len, fresh), default=0) <= _CACHE_LETTERS else {w: x for w, x in fresh.items() if len(w) <= _CACHE_LETTERS})
+    of = ChainMap(known, before, new, odd)
+    for i, run, mark in marked:
+        out[i] = of[run]
+        if mark:
+            out[i] += of[mark]
+            if len(words[i]) <= _CACHE_LETTERS:
+                known[words[i]] = out[i]
+    return out
+
+
+def token_ids(texts: list[str] | pa.Array, path: str) -> list[bytes]:
+    """Each text's ids as little-endian unsigned 32-bit numbers; null counts as empty.
+
+    Arrow splits all texts and numbers their different words, so that Python meets each
+    of these once; their ids are then put in the words' places by one take."""
     loaded = _load(path)
-    tokenizer, cache, letters = loaded["tokenizer"], loaded["words"], loaded["letters"]
-    split = [t.lower().split() if loaded["by_word"] and _PLAIN.fullmatch(t) else None for t in texts]
-    new = set()
-    for words in split:
-        if words:
-            new.update(words)
-    if len(cache) > _CACHE_WORDS:  # it saves time only
-        cache.clear()
-    odd = []
-    for word in new.difference(cache):
-        core = word[:-1] if word[-1] in ",." else word
-        if letters and core.isalpha():
-            ids = cache.get(core)
-            if ids is None:
-                ids = cache[core] = _id_bytes([x.id for x in letters(core)])
-            if core is not word:
-                mark = word[-1]
-                if mark not in cache:
-                    cache[mark] = _id_bytes(tokenizer.encode(mark, add_special_tokens=False).ids)
-                cache[word] = ids + cache[mark]
-        else:
-            odd.append(word)
-    for word, got in zip(odd, tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-        cache[word] = _id_bytes(got.ids)
-    at = cache.__getitem__
-    return [
-        b"".join(map(at, words)) if words is not None else _id_bytes(tokenizer.encode(t, add_special_tokens=False).ids)
-        for words, t in zip(split, texts)
-    ]
+    text = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
+    whole = pc.match_substring_regex(text, loaded["whole"])
+    plain = pc.utf8_lower(pc.if_else(whole, "", text))
+    for blank in "\x85\xa0":
+        plain = pc.replace_substring(plain, blank, " ")
+    lists = pc.ascii_split_whitespace(plain)
+    words = lists.flatten().dictionary_encode()
+    spelled = pa.array(_spell(words.dictionary.to_numpy(zero_copy_only=False).tolist(), loaded), pa.large_binary())
+    ids = spelled.take(words.indices)
+    data = memoryview(ids.buffers()[2] or b"")
+    ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, ids.offset * 8) if len(ids) else np.zeros(1, np.int64)
+    at = ends[lists.offsets.to_numpy()].tolist()
+    out = [data[a:b].tobytes() for a, b in zip(at, at[1:])]
+    for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+        out[i] = _id_bytes(loaded["tokenizer"].encode_batch_fast([text[i].as_py()], add_special_tokens=False)[0].ids)
+    return out
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of all batches, up to _SLICE_BYTES of texts at a time; a longer text comes alone."""
+    held, size = [], 0
+    for batch in batches:
+        for i, j, buf, _ in textops.slices(batch.column(1), _SLICE_BYTES):
+            if held and size + len(buf) > _SLICE_BYTES:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+            held.append(batch.slice(i, j - i))
+            size += len(buf)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, with_ids: bool = False) -> DataFrame:
@@ -101,21 +186,20 @@ def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id:
         from pyspark import TaskContext
 
         part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
-        for batch in batches:
-            for i, j, _, _ in textops.slices(batch.column(1), 1 << 20):
-                ids = batch.column(0).slice(i, j - i).to_pylist()
-                rows = []
-                for doc, raw in zip(ids, token_ids([t or "" for t in batch.column(1).slice(i, j - i).to_pylist()], tokenizer_path)):
-                    raw += end
-                    for k, at in enumerate(range(0, len(raw), 4 * capacity)):
-                        cut = raw[at : at + 4 * capacity]
-                        n = len(cut) // 4
-                        rows.append((doc, k, at // 4, n, zlib.crc32(cut), part, seen[n], cut)[: 7 + with_ids])
-                        seen[n] += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()])],
-                    names=[x.split()[0] for x in schema.split(", ")],
-                )
+        for table in _gathered(batches):
+            ids, texts = (table.column(c).chunk(0) for c in (0, 1))
+            rows = []
+            for doc, raw in zip(ids.to_pylist(), token_ids(texts, tokenizer_path)):
+                raw += end
+                for k, at in enumerate(range(0, len(raw), 4 * capacity)):
+                    cut = raw[at : at + 4 * capacity]
+                    n = len(cut) // 4
+                    rows.append((doc, k, at // 4, n, zlib.crc32(cut), part, seen[n], cut)[: 7 + with_ids])
+                    seen[n] += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()])],
+                names=[x.split()[0] for x in schema.split(", ")],
+            )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 

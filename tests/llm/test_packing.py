@@ -21,6 +21,39 @@ def test_ids_are_the_tokenizers():
     assert packing.token_ids(texts, PATH) == [np.asarray(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
 
 
+def test_ids_of_every_plain_letter_and_of_added_tokens_in_any_case():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(PATH)
+    texts = [f"{c}a{c}B{c} {c}, x{c}. A{c * 3}***" for c in map(chr, range(0x260))]
+    texts += ["<|ENDOFTEXT|>", "a<|EndOfText|>B", "<|endoftext|>", "<|", "don't, abc' s it's'", "x_y, a__ 12.5. 3,"]
+    assert packing.token_ids(texts, PATH) == [np.asarray(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    assert packing.token_ids([], PATH) == [] and packing.token_ids(["", " "], PATH) == [b"", b""]
+
+
+def test_words_in_use_are_spelled_once_however_many_rare_ones_come(monkeypatch):
+    loaded, asked = packing._load(PATH), Counter()
+    loaded.update(words={}, before={})
+    monkeypatch.setattr(packing, "_CACHE_WORDS", 100)
+    merge = packing._merge
+    monkeypatch.setattr(packing, "_merge", lambda runs, loaded: asked.update(runs) or merge(runs, loaded))
+    name = lambda n: "".join(chr(97 + int(c)) for c in str(n))
+    for k in range(30):
+        packing.token_ids([" ".join(["often", "seen,", *(name(40 * k + i) + "qz" for i in range(40)), "y" * 100])], PATH)
+    assert asked["often"] == asked["seen"] == 1 and len(asked) == 2 + 30 * 40 + 1
+    assert max(map(len, packing._load(PATH)["words"])) < 100  # long words aren't kept
+
+
+def test_small_batches_are_joined_and_long_texts_come_alone(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "_SLICE_BYTES", 100)
+    sizes = [10, 80, 5, 6, 300, 0, 99, 1, 2, 101]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array(["x" * n if n else None], pa.string())], ["doc_id", "text"]) for i, n in enumerate(sizes)]
+    assert [t.column(0).to_pylist() for t in packing._gathered(iter(batches))] == [[0, 1, 2], [3], [4], [5, 6, 7], [8], [9]]
+    assert list(packing._gathered(iter([]))) == []
+
+
 def check(slots, counts, capacity):
     fill, where = defaultdict(int), Counter()
     for n, a, b, c, first, offset in slots:
