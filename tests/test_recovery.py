@@ -12,6 +12,7 @@ from cladeframe.operators import tables
 from cladeframe.plans import query as Q
 from cladeframe.sources import sinks
 from cladeframe.streaming import batches
+from cladeframe.streaming import load
 from cladeframe.streaming.load import stream_load_orthologs
 
 
@@ -186,3 +187,19 @@ def test_a_stream_keeps_what_it_has_seen(spark, tmp_path):
     (src / "c.txt").write_text(block(1, 3, "late") + block(7, 8, "new"))
     stream_load_orthologs(spark, str(src), table, str(tmp_path / "c2"))
     assert loaded(spark, table) == {("1", "2"): ["b", "c"], ("1", "3"): [], ("2", "3"): ["x"], ("7", "8"): ["new"]}
+
+
+def test_a_stream_keeps_its_state_on_disk_without_python(spark, tmp_path):
+    """Sets seen aren't held in the executors' heap, and no row of a batch goes through Python; the session's setting stays."""
+    src, table, check = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "c")
+    src.mkdir()
+    (src / "a.txt").write_text("".join(block(1, n % 50, *"ab"[: n % 3]) for n in range(100)))
+    had = spark.conf.get(load.STORE)
+    stream_load_orthologs(spark, str(src), table, check)
+    assert spark.conf.get(load.STORE) == had
+    assert len(loaded(spark, table)) == spark.read.parquet(table).count() == 50
+    assert loaded(spark, table)[("1", "2")] == ["a", "b"]  # of none and two orthologs
+    state = [x for _, _, names in os.walk(f"{check}/state") for x in names]
+    assert any(x.endswith(".zip") for x in state) and not any(x.endswith(".delta") for x in state)
+    with open(load.__file__) as f:
+        assert "Pandas" not in f.read()
