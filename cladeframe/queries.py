@@ -1034,8 +1034,10 @@ def taxa_join(spark, sf):
 def stream_load_orthologs_twice(spark, sf):
     """Loaded in two goes from one checkpoint, the second with files that came later."""
     o, line = read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem")
-    flat = o.select("o_orderkey").join(line, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
-        F.col("o_orderkey").cast("string").alias("qdb"), F.lit("s").alias("sdb"), F.lit("0.2").alias("div"), F.lit("1e-20").alias("evalue"),
+    key, line = F.col("o_orderkey").cast("string").alias("qdb"), line.withColumn("qdb", F.col("l_orderkey").cast("string"))
+    # Joined by the text that they are nested by, so that rows are dealt out once.
+    flat = o.select(key).join(line, "qdb", "left").select(
+        "qdb", F.lit("s").alias("sdb"), F.lit("0.2").alias("div"), F.lit("1e-20").alias("evalue"),
         F.col("l_partkey").cast("string").alias("qid"), F.col("l_suppkey").cast("string").alias("sid"), F.col("l_quantity").alias("dist"),
     )
     path = _scratch(spark, "stream")
