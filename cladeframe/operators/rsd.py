@@ -57,6 +57,65 @@ def _nearest(t: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([a.column("gene").take(ka), db("qdb"), b.column("gene").take(kb), db("sdb"), pa.array([o[2] for o in out], pa.float64())], names=["qid", "qdb", "sid", "sdb", "dist"])
 
 
+def value_hits(points: DataFrame, keys: list[str], limit: int, bunch_rows: int = 4 * BLOCK_ROWS) -> DataFrame:
+    """(qid, qdb, sid, sdb, apart), qdb < sdb: hits between genes of different genomes by numbers. Two
+    points of equal keys are as far apart as their values; a point's nearest one of each other
+    genome goes out if it is at most `limit` away, of equal ones the smaller gene's.
+
+    points (keys, gene, genome, value long). No pair of points is made: points of equal keys
+    are cut into ranges of values, at least as wide as the limit, which also get what lies
+    within the limit beside them. Ranges are dealt into bunches of about that many rows, and
+    in a task each point is looked up among the sorted values of each genome. Points with a
+    null anywhere have no hits."""
+    p = points.select(*keys, "gene", "genome", F.col("value").cast("long").alias("value")).dropna()
+    span = F.max("value") - F.min("value") + 1
+    cut = p.groupBy(*keys).agg(F.min("value").alias("lo"), F.greatest(F.lit(limit), F.ceil(span / F.ceil(F.count("*") / bunch_rows)), F.lit(1)).cast("long").alias("width"), F.count("*").alias("n"))
+    cuts = stage(cut, "value-ranges")
+    total = cuts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]  # one number
+    at = F.col("value") - F.col("lo")
+    home = F.floor(at / F.col("width")).cast("long")
+    inside = at - home * F.col("width")
+    places = F.array_compact(F.array(home, F.when(inside <= limit, home - 1), F.when(F.col("width") - inside <= limit, home + 1)))
+    rows = p.join(cuts.drop("n"), keys).withColumn("home", home).select(*keys, "gene", "genome", "value", "home", F.explode(places).alias("place"))
+    cell = F.xxhash64(*keys, "place")
+    dealt = rows.select(F.pmod(cell, F.lit(max(1, -(-total // bunch_rows)))).alias("bunch"), F.struct(*keys, "place").alias("cell"), "gene", "genome", "value", (F.col("home") == F.col("place")).alias("own"))
+    # Ranges of one bunch are told apart by their text, so that any keys will do.
+    dealt = dealt.withColumn("cell", F.to_json("cell"))
+    kind = points.schema["gene"].dataType.simpleString()
+    return dealt.groupBy("bunch").applyInArrow(lambda t: _nearest_values(limit, t), f"qid {kind}, qdb string, sid {kind}, sdb string, apart long")
+
+
+def _nearest_values(limit: int, t: pa.Table) -> pa.Table:
+    """For each own point of a bunch the nearest of each other genome in its range."""
+    t = t.sort_by("gene")  # so that rows' numbers are in the order of genes
+    cell, value = (np.unique(t.column("cell").to_numpy(zero_copy_only=False), return_inverse=True)[1], t.column("value").to_numpy())
+    names, genome = np.unique(t.column("genome").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+    order = np.lexsort((value, cell))
+    # Places on one line for all ranges: gaps over the limit, and those between ranges, count one more than it.
+    gap = np.where(np.diff(cell[order]) == 0, np.minimum(np.diff(value[order]), limit + 1), limit + 1)
+    at = np.empty(len(order), np.int64)
+    at[order] = np.concatenate([[0], np.cumsum(gap)])
+    own = np.flatnonzero(t.column("own").to_numpy(zero_copy_only=False))
+    found = []
+    for g in range(len(names)):
+        places, first = np.unique(at[genome == g], return_index=True)  # of equal places the smallest gene
+        first = np.flatnonzero(genome == g)[first]
+        asked = own[genome[own] != g]
+        right = np.searchsorted(places, at[asked])
+        left = np.maximum(right - 1, 0)
+        right = np.minimum(right, len(places) - 1)
+        dl, dr = np.abs(at[asked] - places[left]), np.abs(at[asked] - places[right])
+        best = first[np.where((dl < dr) | ((dl == dr) & (first[left] < first[right])), left, right)]
+        d = np.minimum(dl, dr)
+        near = d <= limit
+        a, b, d = asked[near], best[near], d[near]
+        swap = genome[a] > g
+        found.append((np.where(swap, b, a), np.where(swap, a, b), d))
+    a, b, d = (np.concatenate([f[k] for f in found]) for k in range(3))
+    gene, db = t.column("gene"), lambda i: pa.array(names[genome[i]].astype(object), pa.string())
+    return pa.Table.from_arrays([gene.take(pa.array(a)), db(a), gene.take(pa.array(b)), db(b), pa.array(d)], names=["qid", "qdb", "sid", "sdb", "apart"])
+
+
 def reciprocal_smallest_distance(forward: DataFrame, backward: DataFrame | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
     """(keys, qdb, sdb, qid, sid, dist) of pairs that are each other's nearest, for qdb < sdb.
 

@@ -250,11 +250,12 @@ day_hits AS (SELECT a.c_custkey qid, b.c_custkey sid, a.db qdb, b.db sdb, CAST(m
 
 
 def _day_hits(spark, sf) -> DataFrame:
+    """Of these hits the nearest ones of each customer in each other nation, up to the largest limit of the grid."""
     o, c = read_table(spark, sf, "orders"), read_table(spark, sf, "customer")
-    oc = o.join(c, F.col("c_custkey") == F.col("o_custkey")).select("o_orderdate", "o_orderstatus", "c_custkey", _text("c_nationkey").alias("db"), F.round(F.col("o_totalprice") * 100).cast("long").alias("c"))
-    a, b = oc.toDF("day", "status", "qid", "qdb", "c1"), oc.toDF("day", "status", "sid", "sdb", "c2")
-    both = a.join(b, ["day", "status"]).where("qdb < sdb").groupBy("qid", "sid", "qdb", "sdb")
-    return both.agg((F.min(F.abs(F.col("c1") - F.col("c2"))).cast("double") / F.lit(1e8)).alias("dist"))
+    oc = o.join(c, F.col("c_custkey") == F.col("o_custkey"))
+    points = oc.select("o_orderdate", "o_orderstatus", F.col("c_custkey").alias("gene"), _text("c_nationkey").alias("genome"), F.round(F.col("o_totalprice") * 100).cast("long").alias("value"))
+    found = rsd.value_hits(points, ["o_orderdate", "o_orderstatus"], int(max(x[2] for x in _GRID_ROWS) * 1e8) + 1)
+    return stage(found.select("qid", "sid", "qdb", "sdb", (F.col("apart").cast("double") / F.lit(1e8)).alias("dist")), "day-hits")
 
 
 _GRID_ROWS = [("0.8", "1e-5", 0.0004), ("0.5", "1e-10", 0.0001), ("0.2", "1e-20", 0.00001)]
