@@ -44,9 +44,11 @@ def sequence_terms(ids: DataFrame, bridge: DataFrame) -> DataFrame:
 
 
 def encode_edges(orthologs: DataFrame, genomes: DataFrame, divs: DataFrame, evalues: DataFrame, sequences: DataFrame) -> DataFrame:
-    """Orthologs in surrogate ids. Dimensions are joined as their sizes allow."""
+    """Orthologs in surrogate ids. Divergences and e-values, 12 parameter sets at most, are broadcast:
+    Spark doesn't know the size of such lists, and where all orthologs have one set it would
+    make them anew for each part of a list. Other dimensions are joined as their sizes allow."""
     key = lambda dim, value, name, to: dim.select(F.col(value).alias(name), F.col("id").alias(to))
-    out = orthologs.join(key(divs, "name", "div", "divergence"), "div").join(key(evalues, "name", "evalue", "evalue_id"), "evalue")
+    out = orthologs.join(F.broadcast(key(divs, "name", "div", "divergence")), "div").join(F.broadcast(key(evalues, "name", "evalue", "evalue_id")), "evalue")
     out = out.join(key(genomes, "acc", "qdb", "query_db"), "qdb").join(key(genomes, "acc", "sdb", "subject_db"), "sdb")
     out = out.join(key(sequences, "external_sequence_id", "qid", "q"), "qid").join(key(sequences, "external_sequence_id", "sid", "s"), "sid")
     return out.select("query_db", "subject_db", "divergence", F.col("evalue_id").alias("evalue"), "q", "s", "dist")
