@@ -851,9 +851,13 @@ def sequence_terms(spark, sf):
 _ENC = f"enc AS (SELECT gq.id query_db, gs.id subject_db, 1 AS divergence, 2 AS evalue, a.id q, b.id s, dist FROM edges JOIN gd gq ON gq.acc = qdb JOIN gd gs ON gs.acc = sdb JOIN sd a ON a.external_sequence_id = q JOIN sd b ON b.external_sequence_id = edges.s)"
 
 
-def _encoded(spark, sf, upper=None):
+def _dimensions(spark, sf):
     genomes = stage(_genome_table(spark, sf), "genomes")
-    sequences = stage(dims.sequence_dimension(_gene_rows(spark, sf), genomes), "sequences")
+    return genomes, stage(dims.sequence_dimension(_gene_rows(spark, sf), genomes), "sequences")
+
+
+def _encoded(spark, sf, upper=None):
+    genomes, sequences = _dimensions(spark, sf)
     rows = A.edges(spark, sf, upper=upper).select("qdb", "sdb", F.lit("0.8").alias("div"), F.lit("1e-10").alias("evalue"), F.col("q").alias("qid"), F.col("s").alias("sid"), "dist")
     divs = spark.createDataFrame([(i, d) for i, d in enumerate(model.DIVERGENCES, 1)], "id int, name string")
     evalues = spark.createDataFrame([(i, e) for i, e in enumerate(model.EVALUES, 1)], "id int, name string")
