@@ -138,9 +138,20 @@ def rsd_grid(hits: DataFrame, grid: DataFrame) -> DataFrame:
 
 def rsd_params(hits: DataFrame, params: DataFrame) -> DataFrame:
     """Reciprocal pairs for every parameter set (div, evalue, max_div, min_exponent) of hits whose
-    div_needed and exponent pass it; all sets share one scan of the hits."""
-    some = hits.join(F.broadcast(params), (F.col("div_needed") <= F.col("max_div")) & (F.col("exponent") >= F.col("min_exponent")))  # 12 rows
-    return reciprocal_smallest_distance(some.select("div", "evalue", "qid", "qdb", "sid", "sdb", "dist"), keys=("div", "evalue"))
+    div_needed and exponent pass it; all sets share one scan of the hits.
+
+    Hits are dealt out once for each side, by gene and other genome, and meet the sets after
+    that, so that what is shuffled is one row for each hit, however many sets it passes."""
+    passes = (F.col("div_needed") <= F.col("max_div")) & (F.col("exponent") >= F.col("min_exponent"))
+
+    def nearest(gene: str, other: str, db: str) -> DataFrame:
+        dealt = hits.where("qdb < sdb").select("qid", "qdb", "sid", "sdb", "dist", "div_needed", "exponent").repartition(gene, db)
+        some = dealt.join(F.broadcast(params), passes)  # 12 rows
+        best = some.groupBy("div", "evalue", "qdb", "sdb", gene).agg(F.min(F.struct("dist", other)).alias("m"))
+        return best.select("div", "evalue", "qdb", "sdb", gene, F.col(f"m.{other}").alias(other), F.col("m.dist").alias("dist"))
+
+    fwd, rev = nearest("qid", "sid", "sdb"), nearest("sid", "qid", "qdb")
+    return fwd.join(rev.drop("dist"), ["div", "evalue", "qdb", "sdb", "qid", "sid"])
 
 
 def match_best_hits(forward: DataFrame, backward: DataFrame) -> DataFrame:

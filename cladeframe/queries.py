@@ -570,7 +570,8 @@ def rsd_param_grid(spark, sf):
 @query(f"""WITH {A.EVIDENCE_SQL}, {_GRID}, h AS (SELECT div, evalue, q qid, s sid, qdb, sdb, min(dist) dist FROM evidence JOIN grid ON dneed <= dmax AND ek >= k GROUP BY ALL), {_mutual_sql('div, evalue, ', 'h')}""")
 def rsd_evidence_params(spark, sf):
     grid = model.params(spark).withColumn("max_div", F.round(F.col("max_div") * 10).cast("int"))
-    hits = A.evidence(spark, sf).select(F.col("q").alias("qid"), F.col("s").alias("sid"), "qdb", "sdb", F.col("dneed").alias("div_needed"), F.col("ek").alias("exponent"), "dist")
+    widest = grid.agg(F.max("max_div"), F.min("min_exponent")).first()  # what no set passes is no hit
+    hits = A.evidence(spark, sf, *widest).select(F.col("q").alias("qid"), F.col("s").alias("sid"), "qdb", "sdb", F.col("dneed").alias("div_needed"), F.col("ek").alias("exponent"), "dist")
     return rsd.rsd_params(stage(hits, "hits"), grid).select("div", "evalue", "qdb", "sdb", "qid", "sid", "dist")
 
 
