@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladeframe.session import stage
 
 
-BLOCK_ROWS = 2048  # vectors of one side that a task compares with as many of another genome
+BLOCK_ROWS = 1 << 15  # vectors of one side that a task compares with as many of another genome
+BUNCH_ROWS = 1 << 13  # points of ranges that a task looks up together
+CHUNK = 1 << 22  # distances that a task holds at a time
 
 
 def vector_hits(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -22,8 +25,12 @@ def vector_hits(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     all-pairs comparison of sequences: genomes are cut into blocks, each pair of blocks is one
     matrix product, and only nearest candidates leave it. So a gene's nearest hit in each
     other genome is among the rows, which is all that reciprocal hits need. Rows without a
-    gene, genome or vector, and vectors of another length than the block's first, are an error."""
-    v = vectors.select("gene", "genome", F.col("vector").cast("array<double>").alias("v"))
+    gene, genome or vector, and vectors of another length than the block's first, are an error.
+
+    A vector is sent to as many tasks as there are blocks of other genomes, so that large blocks
+    shuffle less; floats go as floats."""
+    narrow = vectors.schema["vector"].dataType.simpleString() == "array<float>"
+    v = vectors.select("gene", "genome", (F.col("vector") if narrow else F.col("vector").cast("array<double>")).alias("v"))
     n = F.greatest(F.lit(1), F.ceil(F.count("*") / block_rows)).cast("int")
     sizes = stage(v.groupBy("genome").agg(n.alias("blocks")), "blocks")
     dealt = stage(v.join(sizes, "genome").withColumn("block", F.pmod(F.xxhash64("gene"), F.col("blocks")).cast("int")).drop("blocks"), "dealt-vectors")
@@ -33,7 +40,7 @@ def vector_hits(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     side = lambda db, i, k: units.join(dealt.withColumnsRenamed({"genome": db, "block": i}), [db, i]).select("qdb", "sdb", "i", "j", F.lit(k).alias("side"), "gene", "v")
     kind = vectors.schema["gene"].dataType.simpleString()
     schema = f"qid {kind}, qdb string, sid {kind}, sdb string, dist double"
-    return side("qdb", "i", 0).unionByName(side("sdb", "j", 1)).groupBy("qdb", "sdb", "i", "j").applyInArrow(_nearest, schema).distinct()
+    return side("qdb", "i", 0).unionByName(side("sdb", "j", 1)).groupBy("qdb", "sdb", "i", "j").applyInArrow(_nearest, schema)
 
 
 def _nearest(t: pa.Table) -> pa.Table:
@@ -41,23 +48,74 @@ def _nearest(t: pa.Table) -> pa.Table:
     t = t.sort_by("gene")
     is_b = t.column("side").to_numpy() == 1
     a, b = t.filter(pa.array(~is_b)), t.filter(pa.array(is_b))
-    x, y = (np.array(s.column("v").to_pylist(), float).reshape(s.num_rows, -1) for s in (a, b))
-    out = []
+    x, y = _matrix(a), _matrix(b)
+    k, m, d = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
     if len(x) and len(y):
-        # Row by row, so that distances are exact differences and memory is that of one row's.
-        best_b = np.full(len(y), np.inf), np.zeros(len(y), int)
+        if x.shape[1] != y.shape[1]:
+            raise ValueError("vectors differ in length")
+        (to_b, d_a), (to_a, d_b) = _nearest_rows(x, y), _nearest_rows(y, x)
+        k, m, d = np.concatenate([np.arange(len(x)), to_a]), np.concatenate([to_b, np.arange(len(y))]), np.concatenate([d_a, d_b])
+        once = np.unique(k * len(y) + m, return_index=True)[1]  # each other's nearest come from both sides
+        k, m, d = k[once], m[once], d[once]
+    db = lambda c: pa.array([t.column(c)[0].as_py()] * len(k), pa.string())
+    return pa.Table.from_arrays([a.column("gene").take(pa.array(k)), db("qdb"), b.column("gene").take(pa.array(m)), db("sdb"), pa.array(d)], names=["qid", "qdb", "sid", "sdb", "dist"])
+
+
+def _matrix(side: pa.Table) -> np.ndarray:
+    """The vectors as rows of doubles."""
+    column = side.column("v").combine_chunks()
+    column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    lengths = pc.unique(pc.list_value_length(column)).to_pylist()
+    if len(lengths) > 1 or None in lengths:
+        raise ValueError("vectors are missing or differ in length")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(side.num_rows, -1)
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.round(np.sqrt(((a - b) ** 2).sum(1)), 6)
+
+
+def _nearest_rows(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of x the first row of y at the least rounded distance, and that distance.
+
+    Equal rows are compared once. A matrix product bounds the distances; those that its error
+    and the rounding leave open are exact differences, so that the result is that of these
+    alone. Memory is that of CHUNK distances."""
+    best, least = np.zeros(len(x), int), np.full(len(x), np.inf)
+    if not (np.isfinite(x).all() and np.isfinite(y).all()):
         for k, row in enumerate(x):
-            d = np.round(np.sqrt(((y - row) ** 2).sum(1)), 6)
-            out.append((k, int(d.argmin()), float(d.min())))
-            nearer = d < best_b[0]
-            best_b[0][nearer], best_b[1][nearer] = d[nearer], k
-        out += [(int(k), m, float(d)) for m, (d, k) in enumerate(zip(*best_b))]
-    ka, kb = (pa.array([o[c] for o in out], pa.int64()) for c in (0, 1))
-    db = lambda c: pa.array([t.column(c)[0].as_py()] * len(out), pa.string())
-    return pa.Table.from_arrays([a.column("gene").take(ka), db("qdb"), b.column("gene").take(kb), db("sdb"), pa.array([o[2] for o in out], pa.float64())], names=["qid", "qdb", "sid", "sdb", "dist"])
-
-
-def value_hits(points: DataFrame, keys: list[str], limit: int, bunch_rows: int = 4 * BLOCK_ROWS) -> DataFrame:
+            d = _distances(y, row)
+            best[k], least[k] = d.argmin(), d.min()
+        return best, least
+    asked, back = _distinct(x)[::2]
+    y_first = _distinct(y)[1]
+    u, rows = x[asked], y[y_first]
+    u2, r2 = (u**2).sum(1), (rows**2).sum(1)
+    error = 4 * (x.shape[1] + 4) * np.finfo(float).eps * (u2.max() + r2.max())
+    to, d_to = np.zeros(len(u), int), np.zeros(len(u))
+    step = max(1, CHUNK // len(rows))
+    for at in range(0, len(u), step):
+        part = slice(at, at + step)
+        about = u2[part, None] + r2 - 2 * (u[part] @ rows.T)
+        limit = (np.sqrt(np.maximum(about.min(1) + error, 0)) + 1.001e-6) ** 2 + error
+        k, m = np.nonzero(about <= limit[:, None])
+        d = np.concatenate([_distances(rows[m[i : i + 65536]], u[at + k[i : i + 65536]]) for i in range(0, len(k), 65536)])
+        order = np.lexsort((m, d, k))
+        first = order[np.unique(k[order], return_index=True)[1]]
+        to[part], d_to[part] = m[first], d[first]
+    return y_first[to][back], d_to[back]
+
+
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of equal rows the first one's number, in any order and in their own; each row's place in the first list."""
+    if x.shape[1] == 0:
+        return np.zeros(1, int), np.zeros(1, int), np.zeros(len(x), int)
+    whole = np.ascontiguousarray(x).view(np.dtype((np.void, x.shape[1] * x.itemsize))).ravel()
+    first, back = np.unique(whole, return_index=True, return_inverse=True)[1:]
+    return first, np.sort(first), back
+
+
+def value_hits(points: DataFrame, keys: list[str], limit: int, bunch_rows: int = BUNCH_ROWS) -> DataFrame:
     """(qid, qdb, sid, sdb, apart), qdb < sdb: hits between genes of different genomes by numbers. Two
     points of equal keys are as far apart as their values; a point's nearest one of each other
     genome goes out if it is at most `limit` away, of equal ones the smaller gene's.
